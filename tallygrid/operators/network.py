@@ -1,0 +1,187 @@
+"""Street graph: adjacency, reachability within a band, corridors, re-segmentation."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import geo
+from ..functions import numerics as N
+from ..functions.text import corridor_id, span, street_name
+from .spatial import pairs_within
+
+
+def _ends(segments: DataFrame) -> DataFrame:
+    ends = F.array(F.element_at("coords", 1), F.element_at("coords", -1))
+    return segments.select("segment_id", F.posexplode(ends).alias("end", "p")).select(
+        F.struct("segment_id", "end").alias("id"), F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon")
+    )
+
+
+def touching(segments: DataFrame, plane: geo.Plane, snap_m: float) -> DataFrame:
+    """(u, v), u < v: segments with ends within `snap_m` of each other."""
+    ends = _ends(segments)
+    return (
+        pairs_within(ends, ends, plane, snap_m)
+        .select(F.col("a.segment_id").alias("u"), F.col("b.segment_id").alias("v"))
+        .where("u < v")
+        .distinct()
+    )
+
+
+def segment_adjacency(segments: DataFrame, plane: geo.Plane, snap_m: float = 5.0) -> DataFrame:
+    """(u, v, w) in both directions; w is the sum of both half lengths."""
+    pairs = touching(segments, plane, snap_m)
+    half = segments.select(F.col("segment_id").alias("s"), (geo.polyline_length(F.col("coords")) / 2).alias("h"))
+    one = (
+        pairs.join(half.select(F.col("s").alias("u"), F.col("h").alias("hu")), "u")
+        .join(half.select(F.col("s").alias("v"), F.col("h").alias("hv")), "v")
+        .select("u", "v", (F.col("hu") + F.col("hv")).alias("w"))
+    )
+    return one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
+
+
+def network_neighbors(segments: DataFrame, adjacency: DataFrame, band: float = 300.0, most_rounds: int = 100) -> DataFrame:
+    """(a, b, d): segments reachable within the band by the least path, itself at 0 included.
+
+    Each round takes one edge more from what the round before has reached nearer; the rounds
+    end when none is nearer. Their number is that of edges on a path within the band.
+    """
+    spark = segments.sparkSession
+    own = segments.select(F.col("segment_id").alias("a"), F.col("segment_id").alias("b"), F.lit(0.0).alias("d"))
+    edges = adjacency.where(F.col("w") <= band).select(F.col("u").alias("b"), F.col("v").alias("to"), "w")
+    reached = front = own
+    for i in range(most_rounds):
+        step = (
+            front.join(edges, "b")
+            .select("a", F.col("to").alias("b"), (F.col("d") + F.col("w")).alias("d"))
+            .where(F.col("d") <= band)
+            .groupBy("a", "b")
+            .agg(F.min("d").alias("d"))
+        )
+        nearer = step.join(reached.select("a", "b", F.col("d").alias("old")), ["a", "b"], "left").where("old is null or d < old").drop("old")
+        front = kept(nearer)
+        if front.isEmpty():
+            break
+        reached = kept(reached.unionByName(front).groupBy("a", "b").agg(F.min("d").alias("d")))
+    return reached
+
+
+def kept(frame: DataFrame) -> DataFrame:
+    """Cut the lineage: a reliable checkpoint where a shared folder is set, else the cached frame."""
+    if frame.sparkSession.sparkContext.getCheckpointDir():
+        return frame.checkpoint()
+    return frame.cache()
+
+
+def component_roots(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+    """(node, root): least node of each component, by passing on least labels and following them."""
+    label = kept(nodes.select("node", F.col("node").alias("root")))
+    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    for _ in range(most_rounds):
+        heard = both.join(label.select(F.col("node").alias("v"), "root"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("heard"))
+        near = label.join(heard, "node", "left").select("node", "root", F.least("root", "heard").alias("next"))
+        jump = near.join(near.select(F.col("node").alias("next"), F.col("next").alias("further")), "next", "left")
+        new = kept(jump.select("node", "root", F.least("next", "further").alias("next")))
+        changed = not new.where("next < root").isEmpty()
+        label = new.select("node", F.col("next").alias("root"))
+        if not changed:
+            break
+    return label
+
+
+def corridors(rated: DataFrame, plane: geo.Plane, per: float = 1000.0, z: float = N.Z_CITY, touch_m: float = 2.0) -> DataFrame:
+    """Chains of two or more significant, publishable segments of one street that touch.
+
+    Rows need segment_id, name, coords, n, estimate, significant, publishable. Rates are of the
+    summed counts and usable exposures, never widened.
+    """
+    fit = rated.where("significant and publishable").withColumn("street", street_name(F.col("name")))
+    same = fit.select("segment_id", "street")
+    pairs = touching(fit, plane, touch_m)
+    pairs = (
+        pairs.join(same.select(F.col("segment_id").alias("u"), F.col("street").alias("s1")), "u")
+        .join(same.select(F.col("segment_id").alias("v"), F.col("street").alias("s2")), "v")
+        .where("s1 = s2")
+        .select("u", "v")
+    )
+    roots = component_roots(fit.select(F.col("segment_id").alias("node")), pairs)
+    members = fit.join(roots, fit.segment_id == roots.node)
+    ends = F.filter(F.array_sort(F.flatten(F.collect_list(span(F.col("name"))))), lambda s: s != "")
+    grouped = members.groupBy("root", "street").agg(
+        F.array_sort(F.collect_list("segment_id")).alias("segment_ids"),
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("estimate") > 0, F.col("estimate"))).alias("exposure"),
+        ends.alias("cross"),
+    ).where(F.size("segment_ids") >= 2)
+    # A cross street named once only is an outer one.
+    outer = F.filter(F.array_distinct("cross"), lambda c: F.size(F.filter("cross", lambda d: d == c)) == 1)
+    name = F.when(F.size(outer) == 2, F.concat("street", F.lit(" ("), F.element_at(outer, 1), F.lit("–"), F.element_at(outer, 2), F.lit(")"))).otherwise(F.col("street"))
+    n, e = F.col("n"), F.col("exposure")
+    return grouped.select(
+        corridor_id(F.col("segment_ids")).alias("corridor_id"), name.alias("name"), "segment_ids", "n", "exposure",
+        N.rate(n, e, per).alias("rate"), N.rate_low(n, e, per, z).alias("rate_ci_low"), N.rate_high(n, e, per, z).alias("rate_ci_high"),
+    )
+
+
+def maup_pairs(centroids: DataFrame) -> DataFrame:
+    """(segment_id, unit): each segment in order of id is joined with the nearest one yet unpaired.
+
+    The rule is sequential by definition, over the segments of one city; one group holds them.
+    """
+
+    def pair(rows: pd.DataFrame) -> pd.DataFrame:
+        import math
+
+        rows = rows.sort_values("segment_id")
+        left = {r.segment_id: (math.radians(r.lat), math.radians(r.lon)) for r in rows.itertuples()}
+        out = []
+
+        def far(a: tuple[float, float], b: tuple[float, float]) -> float:
+            h = math.sin((b[0] - a[0]) / 2) ** 2 + math.cos(a[0]) * math.cos(b[0]) * math.sin((b[1] - a[1]) / 2) ** 2
+            return 2 * geo.EARTH_M * math.asin(min(1.0, math.sqrt(h)))
+
+        while left:
+            first = next(iter(left))
+            at = left.pop(first)
+            out.append((first, first))
+            if left:
+                other = min(left, key=lambda s: (far(at, left[s]), s))
+                del left[other]
+                out.append((other, first))
+        return pd.DataFrame(out, columns=["segment_id", "unit"])
+
+    return centroids.select("segment_id", "lat", "lon").withColumn("city", F.lit("one")).groupBy("city").applyInPandas(pair, "segment_id string, unit string")
+
+
+def maup_aggregate(attached: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Sums of counts and positive exposures by coarse unit."""
+    return (
+        attached.join(pairs, "segment_id")
+        .groupBy("unit")
+        .agg(
+            F.sum(F.when(F.col("estimate") > 0, F.col("n")).otherwise(0)).alias("n"),
+            F.sum(F.when(F.col("estimate") > 0, F.col("estimate"))).alias("estimate"),
+        )
+    )
+
+
+def split_ways(ways: DataFrame) -> DataFrame:
+    """Ways (way_id, nodes array<struct<lat, lon>>) cut at nodes that two or more ways share (to 7 digits).
+
+    Returns way_id, piece, coords. A node where a way is cut ends one piece and begins the next.
+    """
+    key = lambda p: F.concat_ws(",", F.format_number(p["lat"], 7), F.format_number(p["lon"], 7))
+    nodes = ways.select("way_id", F.posexplode("nodes").alias("i", "p")).withColumn("key", key(F.col("p")))
+    shared = nodes.groupBy("key").agg(F.count_distinct("way_id").alias("ways")).where("ways >= 2").select("key")
+    cut = nodes.join(shared.withColumn("shared", F.lit(True)), "key", "left").groupBy("way_id").agg(
+        F.array_sort(F.collect_list(F.struct("i", "p", F.coalesce("shared", F.lit(False)).alias("shared")))).alias("nodes")
+    )
+    last = F.size("nodes") - 1
+    spots = F.transform(F.filter("nodes", lambda n: n["shared"] | (n["i"] == 0) | (n["i"] == last)), lambda n: n["i"])
+    pieces = F.transform(
+        F.sequence(F.lit(1), F.size("spots") - 1),
+        lambda j: F.struct((j - 1).alias("piece"), F.transform(F.slice("nodes", F.element_at("spots", j) + 1, F.element_at("spots", j + 1) - F.element_at("spots", j) + 1), lambda n: n["p"]).alias("coords")),
+    )
+    return cut.withColumn("spots", spots).where(F.size("spots") >= 2).select("way_id", F.explode(pieces).alias("x")).select("way_id", "x.piece", "x.coords")
