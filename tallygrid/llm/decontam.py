@@ -4,16 +4,16 @@ A document's windows, each as long as a benchmark item, are compared with the it
 The fingerprints within the radius are found through an index of blocks, which misses none of
 them; then the weighted similarity of the shingles is computed exactly.
 
-Two necessary conditions keep the windows few, and lose none that can reach the threshold t.
-With n and m shingles, a similarity of t needs t / (1 + t) * (n + m) shingles in common. So a
-window must hold one of the item's first m - need + 1 shingles (its anchors), whichever they
-are, and at least `need` shingles that any item has.
+Necessary conditions keep the windows few, and lose none that can reach the threshold t. With
+n and m shingles, a similarity of t needs t / (1 + t) * (n + m) shingles in common, and at least
+t * m. So a window holds one of any m - ceil(t * m) + 1 shingles of the item (its anchors). These
+are chosen around the item's longest words, so that few words (its pivots) lie in all of
+them; only documents with a pivot are looked at by shingle. A window must hold at least the
+needed number of shingles that any item has, too.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,11 +81,32 @@ def _block(fp: Column, b: Column) -> Column:
 
 
 def prepared(benchmark: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """Items: item_id, w (words), k (shingle size), grams, fp, need for a window of full length."""
+    """Items: item_id, words, w (their number), k (shingle size), grams, fp, pivots."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = items.select("item_id", F.size("words").alias("w"), F.least(F.size("words"), F.lit(WORDS)).alias("k"), "words")
-    items = items.withColumn("grams", shingles(F.col("words"), F.col("k"))).drop("words")
-    return saved(items.withColumn("fp", fingerprint(F.col("grams"))))
+    items = items.withColumn("grams", shingles(F.col("words"), F.col("k")))
+    return saved(items.withColumns({"fp": fingerprint(F.col("grams")), "pivots": _pivots(t)}))
+
+
+def _pivots(t: float) -> Column:
+    """Positions of words of an item (words, w, k), the longest first, that lie in enough shingles.
+
+    Shingles j with p - k < j <= p hold the word p. Words are taken until those that hold one of
+    them number m - ceil(t * m) + 1 at least.
+    """
+    m, k = F.col("w") - F.col("k") + 1, F.col("k")
+    wanted = m - F.ceil(t * m - 1e-9) + 1
+    order = F.array_sort(F.transform("words", lambda w, i: F.struct((-F.char_length(w)).alias("n"), i.alias("i"))))
+
+    def held(positions: Column) -> Column:
+        """Shingles that hold a word at one of the positions."""
+        return F.size(F.filter(F.sequence(F.lit(0), m - 1), lambda j: F.exists(positions, lambda p: (j <= p) & (p - k < j))))
+
+    return F.aggregate(
+        order,
+        F.array().cast("array<int>"),
+        lambda taken, x: F.when(held(taken) >= wanted, taken).otherwise(F.array_append(taken, x["i"])),
+    )
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, t: float = THRESHOLD) -> DataFrame:
@@ -105,33 +126,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, t: float = THRESHOLD) ->
         return docs.select("doc_id").crossJoin(items.select("item_id")).where("false").select(
             "doc_id", "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start"), F.lit(0).alias("n_words")
         )
-    few = items.count() * len(_MASKS) * BLOCKS <= BROADCAST_ROWS
-    small = F.broadcast if few else (lambda x: x)
-    share = t / (1 + t)
-    grams = items.select("item_id", "w", "k", F.posexplode("grams").alias("j", "gram"), F.size("grams").alias("m"))
-    grams = grams.select("item_id", "w", "k", "m", "j", _words_hash(F.col("gram"), F.col("k")).alias("h"))
-    grams = saved(grams)
+    n_items = items.count()
+    small = F.broadcast if n_items * len(_MASKS) * BLOCKS <= BROADCAST_ROWS else (lambda x: x)
+    grams = saved(
+        items.select("item_id", "w", "k", "pivots", F.posexplode("grams").alias("j", "gram")).select(
+            "item_id", "w", "k", "j", _words_hash(F.col("gram"), F.col("k")).alias("h"),
+            F.exists("pivots", lambda p: F.col("j").between(p - F.col("k") + 1, p)).alias("anchor"),
+        )
+    )
+    words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
+    pivots = items.select(F.explode(F.transform("pivots", lambda p: F.get("words", p))).alias("p")).distinct()
 
     # Rows of documents that hold any item's shingle: their words, and where such shingles start.
-    words = docs.select("doc_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     known = {k: [r.h for r in grams.where(F.col("k") == k).select("h").distinct().limit(IN_PLAN + 1).collect()] for k in sizes}
     if all(len(x) <= IN_PLAN for x in known.values()):
+        told = [r.p for r in pivots.collect()]
+        words = words.where(F.exists("words", lambda w: w.isin(told)))
         hits = F.concat(*(_hits(F.col("words"), k, known[k]) for k in sizes))
         held = words.select(
             "doc_id", F.explode(_if_any(F.struct(hits.alias("hits"), F.col("words").alias("words")))).alias("x")
         ).select(F.monotonically_increasing_id().alias("row"), "doc_id", "x.hits", "x.words")
     else:
-        held = _hits_by_join(words, grams, sizes)
+        held = _hits_by_join(words.where(F.size("words") > 0), grams, sizes)
     held = saved(held)
 
     # An item is tried on a row if one of its anchors stands there.
-    anchors = small(grams.where(F.col("j") <= F.col("m") - F.ceil(F.lit(share) * 2 * F.col("m") - 1e-9)).select("item_id", "k", "h", "w").distinct())
-    # A shorter row than the item has fewer shingles, needs fewer in common, and is tried by every shingle.
-    tried = held.select("row", F.size("words").alias("n"), F.explode(F.array_distinct(F.transform("hits", lambda x: F.struct(x["k"].alias("k"), x["h"].alias("h"))))).alias("a")).select("row", "n", "a.k", "a.h")
-    pairs = tried.join(anchors, ["k", "h"]).where("n >= w").select("row", "item_id").unionByName(
-        tried.join(small(grams.select("item_id", "k", "h", "w").distinct()), ["k", "h"]).where("n < w").select("row", "item_id")
-    ).distinct()
-    return _verified(held, pairs, items, small, share, t)
+    anchors = small(grams.where("anchor").select("item_id", "k", "h").distinct())
+    tried = held.select("row", F.explode(F.array_distinct(F.transform("hits", lambda x: F.struct(x["k"].alias("k"), x["h"].alias("h"))))).alias("a"))
+    pairs = tried.select("row", "a.k", "a.h").join(anchors, ["k", "h"]).select("row", "item_id").distinct()
+    return _verified(held, pairs, items, small, t / (1 + t), t)
 
 
 def _words_hash(gram: Column, k: Column) -> Column:
@@ -193,7 +216,7 @@ def _verified(held: DataFrame, pairs: DataFrame, items: DataFrame, small, share:
     windows = windows.withColumn("fp", fingerprint(F.col("grams")))
     # Index: every way in which a block of an item's fingerprint can differ, by item size.
     index = small(
-        items.select("item_id", "w", F.col("grams").alias("item_grams"), F.col("fp").alias("item_fp"), F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("b"))
+        items.select("item_id", "w", F.col("fp").alias("item_fp"), F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("b"))
         .withColumn("mask", F.explode(F.array(*(F.lit(m).cast("long") for m in _MASKS))))
         .withColumn("v", _block(F.col("item_fp"), F.col("b")).bitwiseXOR(F.col("mask")))
         .drop("mask")
@@ -205,6 +228,7 @@ def _verified(held: DataFrame, pairs: DataFrame, items: DataFrame, small, share:
     near = near.where(
         F.col("b") == F.get(F.filter(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), lambda b: F.bit_count(_block(differ, b)) <= RADIUS // BLOCKS), F.lit(0))
     )
+    near = near.join(small(items.select("item_id", F.col("grams").alias("item_grams"))), "item_id")
     sure = near.withColumn("similarity", similarity(F.col("grams"), F.col("item_grams"))).where(F.col("similarity") >= t)
     best = sure.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.max_by(F.struct("start", "n"), F.struct(F.col("similarity"), -F.col("start"))).alias("x"))
     return best.select("doc_id", "item_id", "similarity", F.col("x.start").alias("start"), F.col("x.n").alias("n_words"))
