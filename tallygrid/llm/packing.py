@@ -28,10 +28,10 @@ class Sizes:
         return self.lengths[bisect_left(self.lengths, used)]
 
 
-def pack(items: list[tuple[int, int, int]], sizes: Sizes) -> list[tuple[int, list[tuple[int, int, int]]]]:
+def pack(items: list[tuple[int | None, int, int]], sizes: Sizes) -> list[tuple[int, list[tuple[int | None, int, int]]]]:
     """Pack (id, start, length) with lengths from 1 to the greatest permitted one.
 
-    Longest first (ties: id, then start), each item goes to the open bin that it leaves fullest.
+    Longest first (ties: id, null first, then start), each item goes to the open bin that it leaves fullest.
     If none has room, the bin size of least cost opens: cost by the tokens that it can hold of
     those still to come, the smaller of equals. In the end each bin shrinks to the smallest
     permitted length of its contents. Returns (length, items) by order of opening.
@@ -40,7 +40,7 @@ def pack(items: list[tuple[int, int, int]], sizes: Sizes) -> list[tuple[int, lis
     rooms: list[int] = []  # the different free rooms, ascending
     open_bins: dict[int, list[int]] = {}
     bins: list[list[tuple[int, int, int]]] = []
-    for item in sorted(items, key=lambda x: (-x[2], x[0], x[1])):
+    for item in sorted(items, key=lambda x: (-x[2], x[0] is not None, x[0] or 0, x[1])):
         need = item[2]
         at = bisect_left(rooms, need)
         if at < len(rooms):
@@ -113,7 +113,6 @@ def pack_documents(lengths: DataFrame, sizes: Sizes = Sizes(), rows_per_part: in
 
         for batch in batches:
             for doc, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                doc = -1 if doc is None else doc
                 for start in range(0, n, longest):
                     held.append((doc, start, min(longest, n - start)))
                     if len(held) >= PART:

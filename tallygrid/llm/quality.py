@@ -171,7 +171,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge: float = 0.05) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, shrink: float = 0.3, ridge: float = 0.1) -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 
     Learned from all labelled documents that are not held out (crc32 of doc_id as text, mod 4, is
@@ -203,7 +203,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge: float = 0.05) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, shrink: float = 0.3, ridge: float = 0.1) -> DataFrame:
     """The documents predicted to be good, with all their columns, in one pass over the texts after learning."""
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & ~held_out(F.col("_id"))
