@@ -14,6 +14,8 @@ from .common import table
 
 #: Vocabulary file of the token operators.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as ranks, for lengths only.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(tokens.token_lengths(docs, VOCABULARY, extra=1))
+    return packing.pack_documents(tokens.token_lengths(docs, RANKS, public_tokenizers.PATTERN, extra=1))
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

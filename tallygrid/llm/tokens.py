@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from functools import lru_cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -23,8 +24,9 @@ from .common import small_batches
 _KNOWN = re.compile(r"[^\t\n\r\x20-\x7e¡-±´-¸º»¿-ʯΑ-ΡΣ-ωА-я‐-‧€]")
 #: The library's pattern for those characters, in the terms of `re`, which is the faster engine.
 _FIND = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
-#: Entries of a piece cache; beyond, the cache is emptied and filled anew.
-CACHE = 1_000_000
+#: Entries of a generation of a piece cache. When one is full it becomes the older one, from which
+#: pieces that are met again move to the new one; the older one before it is dropped.
+CACHE = 400_000
 #: Longer pieces are not kept.
 LONGEST_KEPT = 64
 
@@ -72,10 +74,16 @@ class PieceEncoder(_Pieces, dict):
         super().__init__(path)
         self._letters = dict(enumerate(byte_letters()))
         self._tokenize = self.library.model.tokenize
-        self._most = cache
+        self._most, self._older = cache, {}
 
     def __missing__(self, piece: str) -> bytes:
-        letters = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters)
+        if (ids := self._older.get(piece)) is not None:
+            self[piece] = ids
+            return ids
+        if piece.isascii() and piece.isprintable():
+            letters = piece.replace(" ", self._letters[32])
+        else:
+            letters = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._letters)
         ids = array("I", [t.id for t in self._tokenize(letters)]).tobytes()
         if len(piece) <= LONGEST_KEPT:
             self[piece] = ids
@@ -84,6 +92,7 @@ class PieceEncoder(_Pieces, dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self) > self._most:
+            self._older = dict(self)
             self.clear()
         get, cut = self.__getitem__, self.cut
         return [
@@ -109,6 +118,7 @@ class PrefixCounts(_Pieces):
         self._longest = max(map(len, self._rank))
         self._stable: dict[tuple[bytes, bytes], bool] = {}
         self._kept: dict[str, array | bytes] = {}
+        self._older: dict[str, array | bytes] = {}
         self._most = cache
 
     def _merged(self, data: bytes) -> list[bytes]:
@@ -124,7 +134,7 @@ class PrefixCounts(_Pieces):
 
     def _pair(self, a: bytes, b: bytes) -> bool:
         if (found := self._stable.get((a, b))) is None:
-            if len(self._stable) >= self._most // 2:
+            if len(self._stable) >= self._most:
                 self._stable.clear()
             found = self._stable[a, b] = self._merged(a + b) == [a, b]
         return found
@@ -133,6 +143,8 @@ class PrefixCounts(_Pieces):
         """Counts at the prefixes of 1, 2, ... code points of one piece."""
         if (found := self._kept.get(piece)) is not None:
             return found
+        if (found := self._older.get(piece)) is not None:
+            return self._keep(piece, found)
         data = piece.encode("utf-8", "surrogatepass")
         rank, n, longest = self._rank, len(data), self._longest
         last: list[bytes] = [b""] * (n + 1)
@@ -152,11 +164,14 @@ class PrefixCounts(_Pieces):
         ends = [i for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80]
         counts = [count[i] for i in ends]
         out = bytes(counts) if counts[-1] < 256 else array("I", counts)
-        if len(piece) <= LONGEST_KEPT:
-            if len(self._kept) >= self._most:
-                self._kept.clear()
-            self._kept[piece] = out
-        return out
+        return self._keep(piece, out) if len(piece) <= LONGEST_KEPT else out
+
+    def _keep(self, piece: str, counts: array | bytes) -> array | bytes:
+        if len(self._kept) >= self._most:
+            self._older = dict(self._kept)
+            self._kept.clear()  # in place: totals() holds its lookup
+        self._kept[piece] = counts
+        return counts
 
     def totals(self, text: str) -> tuple[list[str], list[int]]:
         """Pieces (special tokens as they are) and the count of each."""
@@ -279,17 +294,28 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     )
 
 
-def token_lengths(docs: DataFrame, path: str, extra: int = 0) -> DataFrame:
-    """doc_id and length: tokens of every whole text by the library, plus `extra`. A null text is empty."""
+def token_lengths(docs: DataFrame, ranks_path: str, pattern: str, extra: int = 0) -> DataFrame:
+    """doc_id and length: tokens of every whole text as ordinary text, plus `extra`. A null text is empty.
+
+    The vocabulary is a file of base64 tokens and ranks. Only the numbers of tokens are kept.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches):
-        encoder = maker(PieceEncoder, path)
+        encode = _ranks(ranks_path, pattern).encode_ordinary
         for batch in batches:
-            ids = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.record_batch(
-                [batch.column(0), pa.array([len(x) // 4 + extra for x in ids], pa.int64())],
-                names=["doc_id", "length"],
-            )
+            n = [len(encode(t)) + extra if t else extra for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["doc_id", "length"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, length long")
+
+
+@lru_cache(maxsize=1)
+def _ranks(path: str, pattern: str):
+    import base64
+
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
