@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +25,6 @@ def floor_round(x: Column, places: int) -> Column:
 
 def even_round(x: Column, places: int) -> Column:
     """Round as Python's round() does, on the exact binary value. Vectorised in Python."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def run(values: pd.Series) -> pd.Series:
         return values.map(lambda v: round(v, places), na_action="ignore")
@@ -95,10 +96,6 @@ def two_sided_p(z: Column) -> Column:
 
 def two_sided_p_exact(z: Column) -> Column:
     """The same to full precision, vectorised in Python."""
-    import math
-
-    import pandas as pd
-
     @F.pandas_udf("double")
     def run(values: pd.Series) -> pd.Series:
         return values.map(lambda v: math.erfc(abs(v) / math.sqrt(2)), na_action="ignore")

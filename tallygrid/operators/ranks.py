@@ -32,8 +32,8 @@ def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
     """One row (n, rho): Pearson correlation of average ranks; null with under two rows or no spread."""
     known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
     ranked = fractional_ranks(fractional_ranks(known, x, "rx"), y, "ry")
-    sums = ranked.agg(F.count("*").alias("n"), F.corr("rx", "ry").alias("rho"), F.var_pop("rx").alias("vx"), F.var_pop("ry").alias("vy"))
-    return sums.select("n", F.when((F.col("n") >= 2) & (F.col("vx") > 0) & (F.col("vy") > 0), F.col("rho")).alias("rho"))
+    sums = ranked.agg(F.count("*").alias("n"), F.covar_pop("rx", "ry").alias("c"), F.var_pop("rx").alias("vx"), F.var_pop("ry").alias("vy"))
+    return sums.select("n", F.when((F.col("n") >= 2) & (F.col("vx") > 0) & (F.col("vy") > 0), F.col("c") / F.sqrt(F.col("vx") * F.col("vy"))).alias("rho"))
 
 
 def shared_top(base: DataFrame, other: DataFrame, k: int = 5) -> DataFrame:
