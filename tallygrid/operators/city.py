@@ -68,9 +68,11 @@ def segment_statistics(
     attached = rates.attach_exposure(segments.join(rates.segment_aggregate(clean), "segment_id", "left"), exposure)
     phi = None
     if adjust:
+        attached = network.kept(attached)
         attached = attached.crossJoin(F.broadcast(rates.dispersion(attached).select("phi")))
         phi = F.col("phi")
-    rated = rates.segment_rates(attached, per, z, small_n, k, phi=phi)
+    # One row per segment, used several times below: worked out once.
+    rated = network.kept(rates.segment_rates(attached, per, z, small_n, k, phi=phi))
     near = network.network_neighbors(segments, network.segment_adjacency(segments, plane, node_snap), band).select("a", "b")
     known = rated.where("rate is not null").select(F.col("segment_id").alias("id"), F.col("rate").alias("value"))
     flagged = hotspot.hotspot_significance(hotspot.getis_ord_star(known, near), alpha)

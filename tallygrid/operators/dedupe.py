@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,16 +45,26 @@ def duplicate_pairs(reports: DataFrame, plane: geo.Plane, distance_m: float = 15
     ).select(F.col("a_report_id").alias("a"), F.col("b_report_id").alias("b"), F.col("a_epoch"), F.col("b_epoch"))
 
 
-def removed_reports(pairs: DataFrame, most_rounds: int = 200) -> DataFrame:
-    """(report_id) of the reports that go, from duplicate pairs.
+#: Duplicate pairs up to which one task settles them all.
+FEW_PAIRS = 100_000
+
+
+def removed_reports(pairs: DataFrame, most_rounds: int = 200, few: int = FEW_PAIRS) -> DataFrame:
+    """(report_id) of the reports that go, from duplicate pairs (a, b, a_epoch, b_epoch), a before b.
 
     Greedy in order of time: a row stays once all its earlier duplicates are gone, and all
-    later duplicates of a row that stays go. Each round settles, in parallel, every row
-    whose earlier duplicates are settled; chains of duplicates bound the rounds.
+    later duplicates of a row that stays go. A counted, small number of pairs is settled in one
+    task. Beyond, each round settles in parallel every row whose earlier duplicates are
+    settled; chains of duplicates bound the rounds.
     """
-    edges = kept(pairs.select("a", "b").distinct())
+    edges = kept(pairs.distinct())
     gone = edges.select(F.col("b").alias("report_id")).where("false")
-    live = edges
+    n = edges.limit(few + 1).count()
+    if n == 0:
+        return gone
+    if n <= few:
+        return _settled_at_once(edges)
+    live = edges.select("a", "b")
     for _ in range(most_rounds):
         if live.isEmpty():
             return gone
@@ -69,6 +80,23 @@ def removed_reports(pairs: DataFrame, most_rounds: int = 200) -> DataFrame:
     raise RuntimeError(f"duplicates did not settle in {most_rounds} rounds")
 
 
+def _settled_at_once(edges: DataFrame) -> DataFrame:
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        earlier: dict = {}
+        when: dict = {}
+        for a, b, ta, tb in rows[["a", "b", "a_epoch", "b_epoch"]].itertuples(index=False):
+            earlier.setdefault(b, []).append(a)
+            when[a], when[b] = (ta, a), (tb, b)
+        gone = set()
+        for r in sorted(earlier, key=when.get):
+            if any(e not in gone for e in earlier[r]):
+                gone.add(r)
+        return pd.DataFrame({"report_id": pd.Series(list(gone), dtype=rows["b"].dtype)})
+
+    kind = edges.schema["b"].dataType.simpleString()
+    return edges.withColumn("all", F.lit("all")).groupBy("all").applyInPandas(settle, f"report_id {kind}")
+
+
 def dedupe(reports: DataFrame, plane: geo.Plane, distance_m: float = 15.0, window_s: int = 600) -> DataFrame:
     """The reports that stay. Reports without a readable time are never duplicates."""
     gone = removed_reports(duplicate_pairs(reports, plane, distance_m, window_s))

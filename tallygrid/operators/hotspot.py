@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions import numerics as N
+from .network import kept
 from .spatial import band_neighbors
 
 
@@ -78,6 +79,7 @@ def unit_analyze(
     rated = units.withColumns(
         {"rate": N.rate(n, e, per), "rate_ci_low": N.rate_low(n, e, per, z), "rate_ci_high": N.rate_high(n, e, per, z)}
     )
+    rated = kept(rated)
     known = rated.where("rate is not null")
     gi = getis_ord_star(known.select("id", F.col("rate").alias("value")), band_neighbors(known.select("id", "lat", "lon"), plane, band))
     flagged = hotspot_significance(gi, alpha).select("id", "z", "p", "significant")

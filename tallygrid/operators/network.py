@@ -42,30 +42,42 @@ def segment_adjacency(segments: DataFrame, plane: geo.Plane, snap_m: float = 5.0
     return one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
 
 
+#: Hops up to which reachability is one plan without an action between the rounds.
+FEW_HOPS = 6
+
+
 def network_neighbors(segments: DataFrame, adjacency: DataFrame, band: float = 300.0, most_rounds: int = 100) -> DataFrame:
     """(a, b, d): segments reachable within the band by the least path, itself at 0 included.
 
-    Each round takes one edge more from what the round before has reached nearer; the rounds
-    end when none is nearer. Their number is that of edges on a path within the band.
+    No path within the band has more edges than the band holds of the shortest edge. Few such
+    hops are one plan. Else each round takes one edge more from what the round before has
+    reached nearer, and the rounds end when none is nearer.
     """
-    spark = segments.sparkSession
     own = segments.select(F.col("segment_id").alias("a"), F.col("segment_id").alias("b"), F.lit(0.0).alias("d"))
     edges = adjacency.where(F.col("w") <= band).select(F.col("u").alias("b"), F.col("v").alias("to"), "w")
+    shortest = edges.agg(F.min("w")).first()[0]
+    if shortest is None:
+        return own
+    hops = int(band / shortest + 1e-9) if shortest > 0 else most_rounds
+
+    def step(front: DataFrame) -> DataFrame:
+        moved = front.join(edges, "b").select("a", F.col("to").alias("b"), (F.col("d") + F.col("w")).alias("d"))
+        return moved.where(F.col("d") <= band).groupBy("a", "b").agg(F.min("d").alias("d"))
+
+    if hops <= FEW_HOPS:
+        front, every = own, own
+        for _ in range(hops):
+            front = step(front)
+            every = every.unionByName(front)
+        return every.groupBy("a", "b").agg(F.min("d").alias("d"))
     reached = front = own
-    for i in range(most_rounds):
-        step = (
-            front.join(edges, "b")
-            .select("a", F.col("to").alias("b"), (F.col("d") + F.col("w")).alias("d"))
-            .where(F.col("d") <= band)
-            .groupBy("a", "b")
-            .agg(F.min("d").alias("d"))
-        )
-        nearer = step.join(reached.select("a", "b", F.col("d").alias("old")), ["a", "b"], "left").where("old is null or d < old").drop("old")
+    for _ in range(most_rounds):
+        nearer = step(front).join(reached.select("a", "b", F.col("d").alias("old")), ["a", "b"], "left").where("old is null or d < old").drop("old")
         front = kept(nearer)
         if front.isEmpty():
-            break
+            return reached
         reached = kept(reached.unionByName(front).groupBy("a", "b").agg(F.min("d").alias("d")))
-    return reached
+    raise RuntimeError(f"paths did not settle in {most_rounds} rounds")
 
 
 def kept(frame: DataFrame) -> DataFrame:

@@ -60,35 +60,44 @@ def _far(s: Column) -> Column:
     return F.sqrt(F.array_min(F.transform(s["edges"], square)))
 
 
-def _with_candidates(points: DataFrame, segments: DataFrame, plane: geo.Plane, radius: float, pick) -> DataFrame:
-    """Points with `found`: what `pick` makes of the array<struct<d, segment_id>> of segments near their cell.
+def _look_up(points: DataFrame, segments: DataFrame, plane: geo.Plane, radius: float, step: float, pick, only: Column | None = None) -> DataFrame:
+    """Points (with __x, __y) with `found`: what `pick` makes of the array<struct<d, segment_id>> of segments near them.
 
-    Points are not spread: each looks up the one cell that it lies in, so no shuffle follows.
-    The explosion of one element keeps what is found from being worked out again by each use.
+    A cell knows all segments within the radius of any of its points, so each point looks up the
+    one cell that it lies in, and nothing is spread or shuffled. Points for which `only` is
+    false look nothing up. The explosion of one element keeps what is found from being worked
+    out again by each use.
     """
-    size = radius + geo.margin(radius)
-    cells = bounded_broadcast(segment_cells(segments, plane, size))
-    placed = points.withColumns({"__x": plane.x(F.col("lon")), "__y": plane.y(F.col("lat"))}).withColumns(
-        {"cx": geo.cell(F.col("__x"), size), "cy": geo.cell(F.col("__y"), size)}
-    )
-    joined = placed.join(cells, ["cx", "cy"], "left")
+    size = radius + geo.margin(radius) + step / 2
+    cells = bounded_broadcast(segment_cells(segments, plane, size, step))
+    cx, cy = geo.cell(F.col("__x"), size), geo.cell(F.col("__y"), size)
+    keyed = points.withColumns({"cx": cx if only is None else F.when(only, cx), "cy": cy})
     near = F.transform("near", lambda s: F.struct(_far(s).alias("d"), s["segment_id"].alias("segment_id")))
-    return joined.withColumn("found", F.explode(F.array(pick(near)))).drop("near", "cx", "cy", "__x", "__y")
+    joined = keyed.join(cells, ["cx", "cy"], "left")
+    return joined.withColumn("found", F.explode(F.array(pick(near)))).drop("near", "cx", "cy")
+
+
+def _placed(points: DataFrame, plane: geo.Plane) -> DataFrame:
+    return points.withColumns({"__x": plane.x(F.col("lon")), "__y": plane.y(F.col("lat"))})
 
 
 def snap_nearest(points: DataFrame, segments: DataFrame, plane: geo.Plane, snap_max: float = 25.0) -> DataFrame:
     """Points with segment_id of the nearest segment if within `snap_max`, and the distance either way.
 
-    Looks within max(1000, 4 snap_max) metres; of equal distances the least id.
+    Looks within 4 snap_max first, where few segments are, and only for points that find none
+    there within max(1000, 4 snap_max) metres; of equal distances the least id.
     """
-    radius = max(1000.0, 4 * snap_max)
-    best = F.col("found")
-    return _with_candidates(points, segments, plane, radius, F.array_min).withColumns(
+    close, wide = 4 * snap_max, max(1000.0, 4 * snap_max)
+    first = _look_up(_placed(points, plane), segments, plane, close, 100.0, F.array_min).withColumnRenamed("found", "__first")
+    settled = F.coalesce(F.col("__first.d") <= close, F.lit(False))
+    second = _look_up(first, segments, plane, wide, 200.0, F.array_min, ~settled)
+    best = F.when(settled, F.col("__first")).otherwise(F.col("found"))
+    return second.withColumns(
         {
             "segment_id": F.when(best["d"] <= snap_max, best["segment_id"]),
-            "snapped_distance_m": F.when(best["d"] <= radius, best["d"]),
+            "snapped_distance_m": F.when(best["d"] <= wide, best["d"]),
         }
-    ).drop("found")
+    ).drop("found", "__first", "__x", "__y")
 
 
 def snap_unambiguous(points: DataFrame, segments: DataFrame, plane: geo.Plane, snap_max: float = 25.0, gap: float = 5.0) -> DataFrame:
@@ -98,7 +107,7 @@ def snap_unambiguous(points: DataFrame, segments: DataFrame, plane: geo.Plane, s
     """
     radius, tolerance = max(1000.0, 4 * snap_max), 1e-6
     pick = lambda near: F.array_sort(F.filter(near, lambda s: s["d"] <= radius))
-    found = _with_candidates(points, segments, plane, radius, pick)
+    found = _look_up(_placed(points, plane), segments, plane, radius, 200.0, pick).drop("__x", "__y")
     best = F.get("found", F.lit(0))
     close = F.array_sort(F.transform(F.filter("found", lambda s: s["d"] - F.get("found", F.lit(0))["d"] <= gap + tolerance), lambda s: s["segment_id"]))
     within = F.coalesce(best["d"] <= snap_max + tolerance, F.lit(False))

@@ -62,7 +62,9 @@ def haversine(a, b):
     return 2 * 6371000.0 * math.asin(min(1, math.sqrt(h)))
 
 
-def test_dedupe_is_greedy(spark):
+@pytest.mark.parametrize("few", [100_000, 3])
+def test_dedupe_is_greedy(spark, monkeypatch, few):
+    monkeypatch.setattr(dedupe.removed_reports, "__defaults__", (200, few))
     draw = random.Random(8)
     rows = []
     for i in range(300):
@@ -96,7 +98,9 @@ def test_corridors(spark):
     assert spark.range(1).select(X.corridor_id(F.array(F.lit("seg-07"), F.lit("seg-05"), F.lit("seg-06")))).first()[0] == "corridor-dd8fbf5922ba"
 
 
-def test_reachability_is_dijkstra(spark):
+@pytest.mark.parametrize("few", [6, 100])
+def test_reachability_is_dijkstra(spark, monkeypatch, few):
+    monkeypatch.setattr(network, "FEW_HOPS", few)
     draw = random.Random(3)
     edges = {(a, b): draw.randint(1, 9) * 1.0 for a in range(30) for b in range(a + 1, 30) if draw.random() < 0.12}
     segs = spark.createDataFrame([(str(i),) for i in range(30)], "segment_id string")
