@@ -4,7 +4,8 @@ A record file holds, for each sequence in order:
 
     u64 length of the payload | u32 masked checksum of those 8 bytes | payload | u32 masked checksum of the payload
 
-with a payload of i64 doc_id, u8 1 if doc_id is null, and the ids as u32; all little-endian.
+with a payload of i64 doc_id, u8 1 if doc_id is null, u8 bytes per id (2 if every id of the
+vocabulary has room in them, else 4), and the ids; all little-endian.
 The index beside it holds, for each record, u64 offset and u64 whole size. A checksum is the
 CRC-32 (that of zlib) turned right by 15 bits plus 0xa282ead8, so that a stored checksum
 doesn't check itself.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import struct
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
@@ -24,7 +26,7 @@ from .common import Ranges, new_folder, small_batches
 from .tokens import PieceEncoder, maker
 
 END = 2
-_HEAD, _SUM, _DOC, _SPOT = "<QI", "<I", "<qB", "<QQ"
+_HEAD, _SUM, _DOC, _SPOT = "<QI", "<I", "<qBB", "<QQ"
 
 
 def masked(data: bytes) -> int:
@@ -67,11 +69,12 @@ class RecordFile:
         return len(self.spots)
 
     def read(self, i: int) -> tuple[int | None, bytes]:
-        """doc_id and ids of record i."""
+        """doc_id of record i and its ids as unsigned 32-bit integers."""
         offset, size = self.spots[i]
         payload = unframe(self._file.read_at(size, offset))
-        doc, null = struct.unpack_from(_DOC, payload)
-        return None if null else doc, payload[struct.calcsize(_DOC) :]
+        doc, null, width = struct.unpack_from(_DOC, payload)
+        ids = np.frombuffer(payload, f"<u{width}", offset=struct.calcsize(_DOC)).astype("<u4").tobytes()
+        return None if null else doc, ids
 
     def close(self) -> None:
         self._file.close()
@@ -97,6 +100,8 @@ def write_records(docs: DataFrame, path: str, folder: str, end: int = END) -> Da
         import uuid
 
         encoder = maker(PieceEncoder, path)
+        width = 2 if max(encoder.library.get_vocab_size(), end + 1) <= 1 << 16 else 4
+        last = end.to_bytes(width, "little")
         system, base = store(folder)
         system.create_dir(base)
         out, current = [], None
@@ -120,7 +125,8 @@ def write_records(docs: DataFrame, path: str, folder: str, end: int = END) -> Da
                         "at": at, "path": name, "own": own, "records": 0, "tokens": 0, "offset": 0,
                         "data": system.open_output_stream(own), "index": system.open_output_stream(own + ".idx"),
                     }
-                framed = frame(struct.pack(_DOC, doc or 0, doc is None) + ids + end.to_bytes(4, "little"))
+                narrow = ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+                framed = frame(struct.pack(_DOC, doc or 0, doc is None, width) + narrow + last)
                 current["data"].write(framed)
                 current["index"].write(struct.pack(_SPOT, current["offset"], len(framed)))
                 current["offset"] += len(framed)
