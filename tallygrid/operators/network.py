@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import numerics as N
 from ..functions.text import corridor_id, span, street_name
-from .spatial import pairs_within
+from .spatial import kept, pairs_within
 
 
 def _ends(segments: DataFrame) -> DataFrame:
@@ -80,13 +80,6 @@ def network_neighbors(segments: DataFrame, adjacency: DataFrame, band: float = 3
     raise RuntimeError(f"paths did not settle in {most_rounds} rounds")
 
 
-def kept(frame: DataFrame) -> DataFrame:
-    """Cut the lineage: a reliable checkpoint where a shared folder is set, else the cached frame."""
-    if frame.sparkSession.sparkContext.getCheckpointDir():
-        return frame.checkpoint()
-    return frame.cache()
-
-
 def component_roots(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, root): least node of each component, by passing on least labels and following them."""
     label = kept(nodes.select("node", F.col("node").alias("root")))

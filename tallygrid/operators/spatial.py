@@ -11,8 +11,16 @@ from ..functions import geo
 BROADCAST_ROWS = 100_000
 
 
+def kept(frame: DataFrame) -> DataFrame:
+    """Cut the lineage: a reliable checkpoint where a shared folder is set, else the cached frame."""
+    if frame.sparkSession.sparkContext.getCheckpointDir():
+        return frame.checkpoint()
+    return frame.cache()
+
+
 def bounded_broadcast(frame: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """`frame` with a broadcast hint if a count shows that it is small."""
+    """`frame`, worked out once, with a broadcast hint if a count shows that it is small."""
+    frame = kept(frame)
     return F.broadcast(frame) if frame.limit(most + 1).count() <= most else frame
 
 

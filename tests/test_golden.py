@@ -199,3 +199,27 @@ def test_stream_of_reports(spark, tmp_path):
     q = intake.fresh_reports(stream).writeStream.format("memory").queryName("fresh").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(r.report_id for r in spark.sql("select * from fresh").collect()) == [1, 2]
+
+
+def test_pinned_files_and_ingestion(tmp_path):
+    from tallygrid.operators import lineage
+
+    path = str(tmp_path / "p.json")
+    lineage.write_pinned(path, {"b": 1, "a": [2]})
+    assert lineage.read_pinned(path) == {"a": [2], "b": 1}
+    (tmp_path / "p.json").write_text("{}")
+    with pytest.raises(ValueError):
+        lineage.read_pinned(path)
+    root, calls = str(tmp_path / "store"), []
+
+    def normalize(raw):
+        calls.append(raw)
+        if raw == b"bad":
+            raise ValueError
+        return raw.upper()
+
+    first = lineage.ingest_once(root, b"abc", normalize)
+    assert lineage.ingest_once(root, b"abc", normalize) == first and calls == [b"abc"]
+    with pytest.raises(ValueError):
+        lineage.ingest_once(root, b"bad", normalize)
+    assert lineage.replay(root, normalize) == [] and lineage.replay(root, lambda raw: raw) == [first["raw"]]
