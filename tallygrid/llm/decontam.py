@@ -53,18 +53,21 @@ def shingles(words: Column, size: Column) -> Column:
 
 def fingerprint(grams: Column) -> Column:
     """SimHash of an array of shingles: a bit is set if over half of the hashes have it."""
-    hashes = F.transform(grams, lambda g: F.xxhash64(g))
-    bit = lambda h, b: F.expr("1L").cast("long") * F.call_function("shiftright", h, b).bitwiseAND(F.lit(1).cast("long"))
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(63)),
-        F.lit(0).cast("long"),
-        lambda acc, b: acc.bitwiseOR(
-            F.when(
-                F.aggregate(hashes, F.lit(0).cast("long"), lambda n, h: n + bit(h, b)) * 2 > F.size(grams),
-                F.call_function("shiftleft", F.lit(1).cast("long"), b),
-            ).otherwise(F.lit(0).cast("long"))
-        ),
-    )
+    one = F.lit(1).cast("long")
+
+    def bits(hashes: Column) -> Column:
+        half = F.size(hashes) / 2
+        return F.aggregate(
+            F.sequence(F.lit(0), F.lit(63)),
+            F.lit(0).cast("long"),
+            lambda acc, b: F.when(
+                F.aggregate(hashes, F.lit(0).cast("long"), lambda n, h: n + F.call_function("shiftright", h, b).bitwiseAND(one)) > half,
+                acc.bitwiseOR(F.call_function("shiftleft", one, b)),
+            ).otherwise(acc),
+        )
+
+    # As a lambda's variable the hashes are worked out once, not for every bit.
+    return F.get(F.transform(F.array(F.transform(grams, lambda g: F.xxhash64(g))), bits), F.lit(0))
 
 
 def similarity(a: Column, b: Column) -> Column:
