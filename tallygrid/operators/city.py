@@ -73,7 +73,8 @@ def segment_statistics(
         phi = F.col("phi")
     # One row per segment, used several times below: worked out once.
     rated = network.kept(rates.segment_rates(attached, per, z, small_n, k, phi=phi))
-    near = network.network_neighbors(segments, network.segment_adjacency(segments, plane, node_snap), band).select("a", "b")
+    adjacency = network.kept(network.segment_adjacency(segments, plane, node_snap))
+    near = network.network_neighbors(segments, adjacency, band).select("a", "b")
     known = rated.where("rate is not null").select(F.col("segment_id").alias("id"), F.col("rate").alias("value"))
     flagged = hotspot.hotspot_significance(hotspot.getis_ord_star(known, near), alpha)
     return rated.join(flagged.select(F.col("id").alias("segment_id"), "z", "p", "significant"), "segment_id", "left").withColumn(

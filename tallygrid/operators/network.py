@@ -13,33 +13,30 @@ from .spatial import kept, pairs_within
 
 
 def _ends(segments: DataFrame) -> DataFrame:
+    """Both ends of each segment, with half its length in their identity."""
     ends = F.array(F.element_at("coords", 1), F.element_at("coords", -1))
-    return segments.select("segment_id", F.posexplode(ends).alias("end", "p")).select(
-        F.struct("segment_id", "end").alias("id"), F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon")
+    half = geo.polyline_length(F.col("coords")) / 2
+    return segments.select("segment_id", half.alias("half"), ends.alias("ends")).select("segment_id", "half", F.posexplode("ends").alias("end", "p")).select(
+        F.struct("segment_id", "end", "half").alias("id"), F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon")
     )
 
 
-def touching(segments: DataFrame, plane: geo.Plane, snap_m: float) -> DataFrame:
-    """(u, v), u < v: segments with ends within `snap_m` of each other."""
+def _touching(segments: DataFrame, plane: geo.Plane, snap_m: float) -> DataFrame:
     ends = _ends(segments)
-    return (
-        pairs_within(ends, ends, plane, snap_m)
-        .select(F.col("a.segment_id").alias("u"), F.col("b.segment_id").alias("v"))
-        .where("u < v")
-        .distinct()
+    pairs = pairs_within(ends, ends, plane, snap_m).select(
+        F.col("a.segment_id").alias("u"), F.col("b.segment_id").alias("v"), (F.col("a.half") + F.col("b.half")).alias("w")
     )
+    return pairs.where("u <> v").distinct()
+
+
+def touching(segments: DataFrame, plane: geo.Plane, snap_m: float) -> DataFrame:
+    """(u, v), u < v: segments with ends within `snap_m` of each other."""
+    return _touching(segments, plane, snap_m).where("u < v").select("u", "v")
 
 
 def segment_adjacency(segments: DataFrame, plane: geo.Plane, snap_m: float = 5.0) -> DataFrame:
     """(u, v, w) in both directions; w is the sum of both half lengths."""
-    pairs = touching(segments, plane, snap_m)
-    half = segments.select(F.col("segment_id").alias("s"), (geo.polyline_length(F.col("coords")) / 2).alias("h"))
-    one = (
-        pairs.join(half.select(F.col("s").alias("u"), F.col("h").alias("hu")), "u")
-        .join(half.select(F.col("s").alias("v"), F.col("h").alias("hv")), "v")
-        .select("u", "v", (F.col("hu") + F.col("hv")).alias("w"))
-    )
-    return one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
+    return _touching(segments, plane, snap_m)
 
 
 #: Hops up to which reachability is one plan without an action between the rounds.

@@ -53,7 +53,9 @@ def exposure_mismatch(segments: DataFrame, exposure: DataFrame) -> DataFrame:
 
 def check_id_scheme(segments: DataFrame, exposure: DataFrame) -> None:
     """Raise if exposure is given and none of it belongs to a segment."""
-    if not exposure.isEmpty() and exposure.join(segments, "segment_id", "left_semi").isEmpty():
+    known = segments.select("segment_id", F.lit(True).alias("known"))
+    seen = exposure.select("segment_id").join(known, "segment_id", "left").agg(F.count("*").alias("n"), F.count("known").alias("k")).first()
+    if seen.n and not seen.k:
         raise ValueError("no exposure id is a segment id")
 
 
