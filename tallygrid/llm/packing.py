@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import saved
+
 #: Pieces that one packing holds in memory; a partition of more is packed in several such parts.
 PART = 50_000
 
@@ -80,7 +82,8 @@ def pack_documents(lengths: DataFrame, sizes: Sizes = Sizes(), rows_per_part: in
     that a rerun of a lost task packs the same rows in the same way; each partition is packed
     in parts of bounded size. Packing by part costs at most the unfilled bins of each part.
     """
-    rows = lengths.select(F.col("doc_id").cast("long"), F.col("length").cast("long"))
+    # The lengths are worked out once, for the count and for the packing.
+    rows = saved(lengths.select(F.col("doc_id").cast("long"), F.col("length").cast("long")))
     parts = max(1, -(-rows.count() // rows_per_part))
     longest = sizes.lengths[-1]
 
