@@ -1,6 +1,7 @@
 """Every registered query against its SQL in DuckDB, at the smallest scale."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from tallygrid.plans import registry
@@ -18,7 +19,7 @@ def duck(data):
 
 
 def plain(frame, columns):
-    say = lambda v: "NULL" if v is None or v != v else repr(float(v)) if isinstance(v, float) else str(v)
+    say = lambda v: "NULL" if pd.isna(v) else repr(float(v)) if isinstance(v, float) else str(v)
     return sorted(tuple(say(v) for v in row) for row in frame[columns].astype(object).itertuples(index=False))
 
 
