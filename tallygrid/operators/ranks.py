@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numerics as N
@@ -83,19 +83,15 @@ def dominant_type(typed: DataFrame) -> DataFrame:
 
 def rate_classes(rated: DataFrame, classes: int = 5) -> DataFrame:
     """(segment_id, rate, class): class by quantile breaks at rounded positions, breaks all different."""
+    from .hotspot import cumulative
+
     rates = rated.where("rate is not null")
-    breaks = rates.agg(F.array_sort(F.collect_list("rate")).alias("r")).select(
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.lit(classes - 1)),
-                lambda i: F.get("r", F.floor(i * (F.size("r") - 1) / classes + 0.5).cast("int")),
-            )
-        ).alias("breaks")
-    )
+    counts = cumulative(rates.groupBy("rate").agg(F.count("*").alias("c")), "rate", "c")
+    total = counts.agg(F.sum("c").alias("total"))
+    places = total.select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(classes - 1)), lambda i: F.floor(i * (F.col("total") - 1) / classes + 0.5))).alias("at"))
+    # The value at a place from 0 in ascending order; a handful of places, so a handful of breaks.
+    found = counts.join(F.broadcast(places), (F.col("upto") > F.col("at")) & (F.col("upto") - F.col("c") <= F.col("at")))
+    breaks = found.agg(F.collect_set("rate").alias("breaks"))
     return rates.crossJoin(F.broadcast(breaks)).select(
         "segment_id", "rate", F.size(F.filter("breaks", lambda b: b < F.col("rate"))).alias("class")
     )
-
-
-def nulls_as_least(column: str) -> Column:
-    return F.col(column).desc_nulls_last()
