@@ -31,6 +31,9 @@ CACHE = 400_000
 LONGEST_KEPT = 64
 
 
+_SHORT = (2, 1)
+
+
 class _Pieces:
     """Cuts texts as the vocabulary file says."""
 
@@ -112,31 +115,53 @@ class PrefixCounts(_Pieces):
         import json
 
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            model = json.load(f)["model"]
         shown = {c: b for b, c in enumerate(byte_letters())}
-        self._rank = {bytes(shown[c] for c in t): i for t, i in vocabulary.items() if all(c in shown for c in t)}
-        self._longest = max(map(len, self._rank))
-        self._stable: dict[tuple[bytes, bytes], bool] = {}
+        self._rank = {bytes(shown[c] for c in t): i for t, i in model["vocab"].items() if all(c in shown for c in t)}
+        # Lengths of the tokens that end in three given bytes, longest first.
+        lengths: dict[bytes, set[int]] = {}
+        for token in self._rank:
+            if len(token) >= 3:
+                lengths.setdefault(token[-3:], set()).add(len(token))
+        self._lengths = {end: (*sorted(n, reverse=True), 2, 1) for end, n in lengths.items()}
+        ids, self._joined = model["vocab"], {}
+        # A token of one byte is made of itself.
+        self._left = {i: i for i in self._rank.values()}
+        self._right = dict(self._left)
+        for merge in model["merges"]:
+            x, y = (ids[t] for t in (merge.split(" ") if isinstance(merge, str) else merge))
+            both = ids["".join(merge.split(" ") if isinstance(merge, str) else merge)]
+            self._joined[x, y] = both
+            self._left[both], self._right[both] = x, y
+        self._stable: dict[int, bool] = {}
         self._kept: dict[str, array | bytes] = {}
         self._older: dict[str, array | bytes] = {}
         self._most = cache
 
-    def _merged(self, data: bytes) -> list[bytes]:
-        """Plain merging by rank, for short byte strings."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        rank = self._rank.get
-        while len(parts) > 1:
-            best, at = min((rank(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if best == 1 << 60:
+    def _pair(self, a: int, b: int) -> bool:
+        """Whether merging the bytes of a and b ends in these two tokens.
+
+        It does unless, while both were being made, tokens stood at the seam whose merge comes
+        before the one that made the later of the two. The makings are undone, the latest first.
+        """
+        key = a << 20 | b
+        joined, x, y, before = self._joined, a, b, 1 << 60
+        while True:
+            if joined.get((x, y), before) < before:
+                found = False
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _pair(self, a: bytes, b: bytes) -> bool:
-        if (found := self._stable.get((a, b))) is None:
-            if len(self._stable) >= self._most:
-                self._stable.clear()
-            found = self._stable[a, b] = self._merged(a + b) == [a, b]
+            inner_x, inner_y = self._right[x], self._left[y]
+            if inner_x == x and inner_y == y:
+                found = True
+                break
+            # A merge at the seam of equal rank comes first only if it begins further left.
+            if inner_y == y or (inner_x != x and x > y):
+                before, x = x, inner_x
+            else:
+                before, y = y + 1, inner_y
+        if len(self._stable) >= self._most:
+            self._stable.clear()
+        self._stable[key] = found
         return found
 
     def piece(self, piece: str) -> array | bytes:
@@ -146,23 +171,23 @@ class PrefixCounts(_Pieces):
         if (found := self._older.get(piece)) is not None:
             return self._keep(piece, found)
         data = piece.encode("utf-8", "surrogatepass")
-        rank, n, longest = self._rank, len(data), self._longest
-        last: list[bytes] = [b""] * (n + 1)
-        count = [0] * (n + 1)
-        stable = self._stable.get
+        rank, n, lengths = self._rank.get, len(data), self._lengths.get
+        last, count, stable = [0] * (n + 1), [0] * (n + 1), self._stable.get
         for i in range(1, n + 1):
-            for start in range(max(0, i - longest), i):
-                token = data[start:i]
-                if token in rank:
+            for size in lengths(data[i - 3 : i], _SHORT) if i > 2 else _SHORT:
+                start = i - size
+                if start >= 0 and (token := rank(data[start:i])) is not None:
                     if start:
-                        if (fits := stable((last[start], token))) is None:
+                        if (fits := stable(last[start] << 20 | token)) is None:
                             fits = self._pair(last[start], token)
                         if not fits:
                             continue
                     last[i], count[i] = token, count[start] + 1
                     break
-        ends = [i for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80]
-        counts = [count[i] for i in ends]
+        if n == len(piece):
+            counts = count[1:]
+        else:
+            counts = [count[i] for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80]
         out = bytes(counts) if counts[-1] < 256 else array("I", counts)
         return self._keep(piece, out) if len(piece) <= LONGEST_KEPT else out
 
