@@ -188,7 +188,8 @@ class PrefixCounts(_Pieces):
             counts = count[1:]
         else:
             counts = [count[i] for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80]
-        out = bytes(counts) if counts[-1] < 256 else array("I", counts)
+        # Counts can fall: an inner prefix can have more tokens than the whole.
+        out = bytes(counts) if max(counts) < 256 else array("I", counts)
         return self._keep(piece, out) if len(piece) <= LONGEST_KEPT else out
 
     def _keep(self, piece: str, counts: array | bytes) -> array | bytes:

@@ -64,3 +64,11 @@ def test_lengths(spark):
     got = K.token_lengths(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 1)
     n = {r.doc_id: r.length for r in got.collect()}
     assert n[1] == count("hello there") + 1 and n[2] == 1 and n[3] > 2
+
+
+def test_counts_that_fall_below_256_again():
+    draw = random.Random(434)
+    piece = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(470))[:441]
+    counts = list(K.PrefixCounts(PATH).piece(piece))
+    assert counts[-2:] == [256, 255] == [count(piece[:-1]), count(piece)]
+    assert K.PrefixCounts(PATH).truncate(piece, 254) == next(i - 1 for i, c in enumerate([0, *counts]) if c > 254)
