@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .network import kept
+from .network import component_roots, kept
 from .spatial import _around
 
 
@@ -55,7 +55,8 @@ def removed_reports(pairs: DataFrame, most_rounds: int = 200, few: int = FEW_PAI
     Greedy in order of time: a row stays once all its earlier duplicates are gone, and all
     later duplicates of a row that stays go. A counted, small number of pairs is settled in one
     task. Beyond, each round settles in parallel every row whose earlier duplicates are
-    settled; chains of duplicates bound the rounds.
+    settled, until few pairs are left. What `most_rounds` rounds leave are long chains: each
+    set of connected rows is then settled in one pass in order of time.
     """
     edges = kept(pairs.distinct())
     gone = edges.select(F.col("b").alias("report_id")).where("false")
@@ -64,10 +65,13 @@ def removed_reports(pairs: DataFrame, most_rounds: int = 200, few: int = FEW_PAI
         return gone
     if n <= few:
         return _settled_at_once(edges)
-    live = edges.select("a", "b")
+    live = edges
     for _ in range(most_rounds):
-        if live.isEmpty():
+        n = live.limit(few + 1).count()
+        if n == 0:
             return gone
+        if n <= few:
+            return gone.unionByName(_settled_at_once(live))
         later = live.select(F.col("b").alias("a")).distinct()
         stay = live.select("a").distinct().join(later, "a", "left_anti")
         dead = kept(live.join(stay, "a", "left_semi").select(F.col("b").alias("report_id")).distinct())
@@ -75,12 +79,16 @@ def removed_reports(pairs: DataFrame, most_rounds: int = 200, few: int = FEW_PAI
         live = kept(
             live.join(dead.select(F.col("report_id").alias("b")), "b", "left_anti")
             .join(dead.select(F.col("report_id").alias("a")), "a", "left_anti")
-            .select("a", "b")
+            .select("a", "b", "a_epoch", "b_epoch")
         )
-    raise RuntimeError(f"duplicates did not settle in {most_rounds} rounds")
+    nodes = live.select(F.col("a").alias("node")).union(live.select("b")).distinct()
+    roots = component_roots(nodes, live.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return gone.unionByName(_settled_at_once(live.join(roots.withColumnRenamed("node", "a"), "a"), "root"))
 
 
-def _settled_at_once(edges: DataFrame) -> DataFrame:
+def _settled_at_once(edges: DataFrame, by: str | None = None) -> DataFrame:
+    """The rows that go, in one task for all pairs, or for those of each value of a column."""
+
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         earlier: dict = {}
         when: dict = {}
@@ -94,7 +102,8 @@ def _settled_at_once(edges: DataFrame) -> DataFrame:
         return pd.DataFrame({"report_id": pd.Series(list(gone), dtype=rows["b"].dtype)})
 
     kind = edges.schema["b"].dataType.simpleString()
-    return edges.withColumn("all", F.lit("all")).groupBy("all").applyInPandas(settle, f"report_id {kind}")
+    groups = edges.groupBy(by) if by else edges.withColumn("all", F.lit("all")).groupBy("all")
+    return groups.applyInPandas(settle, f"report_id {kind}")
 
 
 def dedupe(reports: DataFrame, plane: geo.Plane, distance_m: float = 15.0, window_s: int = 600) -> DataFrame:
