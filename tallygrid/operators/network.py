@@ -89,8 +89,8 @@ def component_roots(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -
         changed = not new.where("next < root").isEmpty()
         label = new.select("node", F.col("next").alias("root"))
         if not changed:
-            break
-    return label
+            return label
+    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def corridors(rated: DataFrame, plane: geo.Plane, per: float = 1000.0, z: float = N.Z_CITY, touch_m: float = 2.0) -> DataFrame:
