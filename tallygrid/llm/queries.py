@@ -16,6 +16,13 @@ from .common import table
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: The same vocabulary as ranks, for lengths only.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Strings that are one token of that vocabulary.
+SPECIALS = ("<|endoftext|>",)
+
+
+def lengths_for_packing(docs: DataFrame) -> DataFrame:
+    """doc_id and length of every text as op 5 encodes it, the end id included."""
+    return tokens.token_lengths(docs, RANKS, public_tokenizers.PATTERN, extra=1, specials=SPECIALS)
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +36,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(tokens.token_lengths(docs, RANKS, public_tokenizers.PATTERN, extra=1))
+    return packing.pack_documents(lengths_for_packing(table(spark, sf_dir, "documents")))
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

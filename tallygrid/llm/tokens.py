@@ -320,28 +320,35 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     )
 
 
-def token_lengths(docs: DataFrame, ranks_path: str, pattern: str, extra: int = 0) -> DataFrame:
-    """doc_id and length: tokens of every whole text as ordinary text, plus `extra`. A null text is empty.
+def token_lengths(docs: DataFrame, ranks_path: str, pattern: str, extra: int = 0, specials: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and length: tokens of every whole text, plus `extra`. A null text is empty.
 
-    The vocabulary is a file of base64 tokens and ranks. Only the numbers of tokens are kept.
+    The vocabulary is a file of base64 tokens and ranks. Each of `specials` in a text is one
+    token, as `PieceEncoder` has it, and nothing joins across it. Only the numbers of tokens are kept.
+    Rows are answered one by one; other columns are ignored; an empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
 
     def run(batches):
-        encode = _ranks(ranks_path, pattern).encode_ordinary
+        vocabulary = _ranks(ranks_path, pattern, specials)
+        plain, marked = vocabulary.encode_ordinary, vocabulary.encode
         for batch in batches:
-            n = [len(encode(t)) + extra if t else extra for t in batch.column(1).to_pylist()]
+            n = []
+            for t in batch.column(1).to_pylist():
+                t = t or ""
+                n.append(extra + len(marked(t, allowed_special="all") if any(s in t for s in specials) else plain(t)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["doc_id", "length"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, length long")
 
 
 @lru_cache(maxsize=1)
-def _ranks(path: str, pattern: str):
+def _ranks(path: str, pattern: str, specials: tuple[str, ...] = ()):
     import base64
 
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    marks = {s: max(ranks.values()) + 1 + i for i, s in enumerate(specials)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=marks)
