@@ -8,7 +8,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Rows handed to Python at once: whole texts are kilobytes each, so batches stay near ten megabytes.
 ARROW_ROWS = 1000
@@ -57,8 +56,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that `frame` does not have, in any case of letters."""
+    taken = {c.lower() for c in frame.columns}
+    mark = "_"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
 
 
 # ---------------------------------------------------------------- range buckets
@@ -184,5 +188,3 @@ def shingle_hashes(words, size: int):
         out ^= out >> np.uint64(32)
     return out
 
-
-LONG = T.LongType()

@@ -172,25 +172,30 @@ WITH lines AS (
   SELECT *, CAST('0x' || md5(line)[1:8] AS BIGINT) AS h,
     len(list_filter(string_split_regex(line, '[ \t\r\v\f]+'), lambda x: x <> '')) AS words
   FROM lines
-), ends AS (
-  SELECT *, coalesce((lag(h) OVER o * 1000003 + h) % 2147483647 % 3 = 0, false)
-      OR words >= 50 OR coalesce(lead(words) OVER o >= 50, true) AS ends
+), counted AS (
+  SELECT *, coalesce((lag(h) OVER o * 1000003 + h) % 2147483647 % 3 = 0, false) AS ends,
+    CAST(sum(words) OVER o AS BIGINT) AS upto, CAST(sum(words) OVER o AS BIGINT) - words AS ahead
   FROM hashed WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), numbered AS (
   SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS number
-  FROM ends
-), chunked AS (
-  SELECT doc_id, number, string_agg(line, chr(10) ORDER BY i) AS chunk,
-    (count(*) > 1 OR max(words) >= 50) AND sum(words) > 0 AS can
-  FROM numbered GROUP BY doc_id, number
-), marked AS (
-  SELECT *, can AND (doc_id > min(doc_id) OVER (PARTITION BY can, chunk)
-      OR number > min(number) OVER (PARTITION BY can, chunk, doc_id)) AS gone
-  FROM chunked
+  FROM counted
+), ranges AS (
+  SELECT doc_id, min(i) AS a, max(i) AS b FROM numbered GROUP BY doc_id, number HAVING count(*) > 1 AND sum(words) > 0
+  UNION
+  SELECT x.doc_id, x.i AS a, min(y.i) AS b FROM counted x JOIN counted y ON x.doc_id = y.doc_id AND y.i >= x.i AND y.upto - x.ahead >= 50 GROUP BY x.doc_id, x.i
+  UNION
+  SELECT y.doc_id, max(x.i) AS a, y.i AS b FROM counted x JOIN counted y ON x.doc_id = y.doc_id AND y.i >= x.i AND y.upto - x.ahead >= 50 GROUP BY y.doc_id, y.i
+), told AS (
+  SELECT r.doc_id, r.a, r.b, array_to_string(string_split(d.text, chr(10))[r.a : r.b], chr(10)) AS passage FROM ranges r JOIN documents d USING (doc_id)
+), firsts AS (
+  SELECT passage, min((doc_id, a, b)) AS f FROM told GROUP BY passage HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i
+  FROM told JOIN firsts USING (passage) WHERE f[1] < doc_id OR (f[1] = doc_id AND f[3] < a)
 ), kept AS (
-  SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY number) FILTER (NOT gone), '') AS text,
-    CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed
-  FROM marked GROUP BY doc_id
+  SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text,
+    CAST(count(g.i) AS BIGINT) AS n_removed
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
 )
 SELECT d.doc_id, k.text, coalesce(k.n_removed, 0) AS n_removed FROM documents d LEFT JOIN kept k USING (doc_id)
 """
