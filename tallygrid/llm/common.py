@@ -51,6 +51,11 @@ def saved(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def bounded(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`frame`, of narrow rows that are cheap to count, marked for a broadcast if it has no more than `rows`."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

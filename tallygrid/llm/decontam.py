@@ -1,15 +1,18 @@
 """Benchmark decontamination. DataFrame functions only.
 
-A document's windows, each as long as a benchmark item, are compared with the item by SimHash.
-The fingerprints within the radius are found through an index of blocks, which misses none of
-them; then the weighted similarity of the shingles is computed exactly.
+A document's windows, each as long as a benchmark item, get SimHash fingerprints. Candidates are
+the pairs of a document and an item with fingerprints within the radius, found through
+an index of blocks, which misses none of them. Then the weighted similarity of the shingles
+of all windows of a candidate is computed exactly, by running sums over the changes from one
+window to the next, so that the work is in proportion to the shingles in common.
 
 Necessary conditions keep the windows few, and lose none that can reach the threshold t. With
 n and m shingles, a similarity of t needs t / (1 + t) * (n + m) shingles in common, and at least
 t * m. So a window holds one of any m - ceil(t * m) + 1 shingles of the item (its anchors). These
 are chosen around the item's longest words, so that few words (its pivots) lie in all of
-them; only documents with a pivot are looked at by shingle. A window must hold at least the
-needed number of shingles that any item has, too.
+them; only documents with a pivot are looked at by shingle, and only windows of the lengths
+of items whose anchor the document has. A window must hold at least the needed number of
+shingles that any item has, too.
 """
 
 from __future__ import annotations
@@ -17,17 +20,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, saved
+from .common import BROADCAST_ROWS, bounded, fresh, saved
 
 WORDS = 5
 THRESHOLD = 0.8
 #: Differing bits up to which every pair of fingerprints is found. A similarity of 0.8 has 10 on average.
 RADIUS = 23
 BLOCKS = 8
-#: Item shingles up to which the set of them stands in the plan itself.
+#: Item shingles up to which the set of them stands in the plan itself; more are joined.
 IN_PLAN = 50_000
 #: All ways to change at most RADIUS // BLOCKS bits of a block.
-_MASKS = [m for m in range(256) if bin(m).count("1") <= RADIUS // BLOCKS]
+_MASKS = [m for m in range(256) if m.bit_count() <= RADIUS // BLOCKS]
 
 
 def words_of(text: Column) -> Column:
@@ -35,48 +38,41 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _hash_at(words: Column, at: Column, size: int) -> Column:
-    return F.xxhash64(*(F.get(words, at + j) for j in range(size)))
-
-
 def _positions(n: Column, size: int) -> Column:
     return F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
 
 
-def shingles(words: Column, size: Column) -> Column:
-    """The runs of `size` words, as strings."""
-    return F.transform(
-        F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.array_join(F.slice(words, i + 1, size), " "),
-    )
+def shingles(words: Column, size: int) -> Column:
+    """Hashes of the runs of `size` words, by position."""
+    return F.transform(_positions(F.size(words), size), lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(size))))
 
 
-def fingerprint(grams: Column) -> Column:
-    """SimHash of an array of shingles: a bit is set if over half of the hashes have it."""
+def fingerprint(hashes: Column) -> Column:
+    """SimHash of an array of shingle hashes: a bit is set if over half of the hashes have it."""
     one = F.lit(1).cast("long")
 
-    def bits(hashes: Column) -> Column:
-        half = F.size(hashes) / 2
+    def bits(held: Column) -> Column:
+        half = F.size(held) / 2
         return F.aggregate(
             F.sequence(F.lit(0), F.lit(63)),
             F.lit(0).cast("long"),
             lambda acc, b: F.when(
-                F.aggregate(hashes, F.lit(0).cast("long"), lambda n, h: n + F.call_function("shiftright", h, b).bitwiseAND(one)) > half,
+                F.aggregate(held, F.lit(0).cast("long"), lambda n, h: n + F.call_function("shiftright", h, b).bitwiseAND(one)) > half,
                 acc.bitwiseOR(F.call_function("shiftleft", one, b)),
             ).otherwise(acc),
         )
 
     # As a lambda's variable the hashes are worked out once, not for every bit.
-    return F.get(F.transform(F.array(F.transform(grams, lambda g: F.xxhash64(g))), bits), F.lit(0))
+    return F.get(F.transform(F.array(hashes), bits), F.lit(0))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Weighted Jaccard index of two arrays of shingles: sum of lesser over sum of greater counts."""
-    count = lambda x, g: F.size(F.filter(x, lambda y: y == g))
-    both = F.aggregate(
-        F.array_distinct(F.array_intersect(a, b)), F.lit(0), lambda n, g: n + F.least(count(a, g), count(b, g))
+def _sums(hashes: Column) -> Column:
+    """The sums of the lower and of the upper halves of hashes, the same in any order."""
+    half = F.lit(0xFFFFFFFF).cast("long")
+    return F.aggregate(
+        hashes, F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")),
+        lambda s, h: F.struct((s["a"] + h.bitwiseAND(half)).alias("a"), (s["b"] + F.call_function("shiftright", h, F.lit(32)).bitwiseAND(half)).alias("b")),
     )
-    return both / (F.size(a) + F.size(b) - both)
 
 
 def _block(fp: Column, b: Column) -> Column:
@@ -84,35 +80,35 @@ def _block(fp: Column, b: Column) -> Column:
 
 
 def prepared(benchmark: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """Items: item_id, words, w (their number), k (shingle size), grams, fp, pivots."""
+    """Items with a word: at (a number of the row), item_id, words, w (how many), k (shingle size), hashes, fp, pivots."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
-    items = items.select("item_id", F.size("words").alias("w"), F.least(F.size("words"), F.lit(WORDS)).alias("k"), "words")
-    items = items.withColumn("grams", shingles(F.col("words"), F.col("k")))
-    return saved(items.withColumns({"fp": fingerprint(F.col("grams")), "pivots": _pivots(t)}))
+    items = items.select(
+        F.monotonically_increasing_id().alias("at"), "item_id", F.size("words").alias("w"), F.least(F.size("words"), F.lit(WORDS)).alias("k"), "words"
+    )
+    by_size = F.coalesce(*(F.when(F.col("k") == k, shingles(F.col("words"), k)) for k in range(1, WORDS + 1)))
+    items = items.withColumn("hashes", by_size)
+    return saved(items.withColumns({"fp": fingerprint(F.col("hashes")), "pivots": _pivots(t)}))
 
 
 def _pivots(t: float) -> Column:
     """Positions of words of an item (words, w, k), the longest first, that lie in enough shingles.
 
     Shingles j with p - k < j <= p hold the word p. Words are taken until those that hold one of
-    them number m - ceil(t * m) + 1 at least.
+    them number m - ceil(t * m) + 1 at least. The state is the shingles that none of the taken words lies in.
     """
     m, k = F.col("w") - F.col("k") + 1, F.col("k")
-    wanted = m - F.ceil(t * m - 1e-9) + 1
+    most_left = F.ceil(t * m - 1e-9) - 1
     order = F.array_sort(F.transform("words", lambda w, i: F.struct((-F.char_length(w)).alias("n"), i.alias("i"))))
+    start = F.struct(F.sequence(F.lit(0), m - 1).alias("left"), F.array().cast("array<int>").alias("taken"))
 
-    def held(positions: Column) -> Column:
-        """Shingles that hold a word at one of the positions."""
-        return F.size(F.filter(F.sequence(F.lit(0), m - 1), lambda j: F.exists(positions, lambda p: (j <= p) & (p - k < j))))
+    def take(state: Column, x: Column) -> Column:
+        left = F.filter(state["left"], lambda j: (j > x["i"]) | (j <= x["i"] - k))
+        return F.when(F.size(state["left"]) <= most_left, state).otherwise(F.struct(left.alias("left"), F.array_append(state["taken"], x["i"]).alias("taken")))
 
-    return F.aggregate(
-        order,
-        F.array().cast("array<int>"),
-        lambda taken, x: F.when(held(taken) >= wanted, taken).otherwise(F.array_append(taken, x["i"])),
-    )
+    return F.aggregate(order, start, take, lambda state: state["taken"])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, t: float = THRESHOLD) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, t: float = THRESHOLD, in_plan: int = IN_PLAN) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words): the best window of a document for each item that it holds.
 
     A window is a run of words as long as the item, or the whole of a shorter document. It
@@ -120,124 +116,156 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, t: float = THRESHOLD) ->
     item of fewer than five words is one shingle. Of equal windows the first is told. Words are
     runs of letters and digits in lower case. Null and empty texts, and items without a word,
     match nothing; rows of equal doc_id are one document; repeated items match each; other
-    columns are ignored. Documents that hold no item are not returned.
+    columns are ignored. Documents that hold no item are not returned. Shingles are told apart
+    by 64-bit hashes. Up to `in_plan` different item shingles stand in the plan; more are
+    joined, to the same result.
     """
-    spark = docs.sparkSession
+    found = _matches(docs, benchmark, t, in_plan)
+    best = found.groupBy("doc_id", "item_id").agg(
+        F.max("similarity").alias("similarity"), F.max_by(F.struct("start", "n"), F.struct(F.col("similarity"), -F.col("start"), F.col("n"))).alias("x")
+    )
+    return best.select("doc_id", "item_id", "similarity", F.col("x.start").alias("start"), F.col("x.n").alias("n_words"))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, t: float = THRESHOLD, in_plan: int = IN_PLAN) -> DataFrame:
+    """The documents that hold no benchmark item, with all their columns. Each row is judged by its own text."""
+    keys = fresh(docs, "nul", "doc", "mark")
+    names = docs.columns
+    say = lambda doc, mark: [doc.isNull().alias(keys[0]), F.coalesce(doc.cast("string"), F.lit("")).alias(keys[1]), mark.alias(keys[2])]
+    found = saved(_matches(docs, benchmark, t, in_plan).select(*say(F.col("doc_id"), F.col("mark"))).distinct())
+    return docs.select("*", *say(F.col("doc_id"), _mark())).join(bounded(found), keys, "left_anti").select(*names)
+
+
+def _mark() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, t: float, in_plan: int) -> DataFrame:
+    """(doc_id, mark, item_id, similarity, start, n): the best window of each row and item; mark is a hash of the row's text."""
     items = prepared(benchmark, t)
     sizes = sorted(r.k for r in items.select("k").distinct().collect())
     if not sizes:
-        return docs.select("doc_id").crossJoin(items.select("item_id")).where("false").select(
-            "doc_id", "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start"), F.lit(0).alias("n_words")
+        return docs.where(F.lit(False)).select(
+            "doc_id", _mark().alias("mark"), F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"),
+            F.lit(0.0).alias("similarity"), F.lit(0).alias("start"), F.lit(0).alias("n"),
         )
-    n_items = items.count()
-    small = F.broadcast if n_items * len(_MASKS) * BLOCKS <= BROADCAST_ROWS else (lambda x: x)
-    grams = saved(
-        items.select("item_id", "w", "k", "pivots", F.posexplode("grams").alias("j", "gram")).select(
-            "item_id", "w", "k", "j", _words_hash(F.col("gram"), F.col("k")).alias("h"),
-            F.exists("pivots", lambda p: F.col("j").between(p - F.col("k") + 1, p)).alias("anchor"),
-        )
-    )
-    words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    pivots = items.select(F.explode(F.transform("pivots", lambda p: F.get("words", p))).alias("p")).distinct()
-
-    # Rows of documents that hold any item's shingle: their words, and where such shingles start.
-    known = {k: [r.h for r in grams.where(F.col("k") == k).select("h").distinct().limit(IN_PLAN + 1).collect()] for k in sizes}
-    if all(len(x) <= IN_PLAN for x in known.values()):
-        told = [r.p for r in pivots.collect()]
-        words = words.where(F.exists("words", lambda w: w.isin(told)))
-        hits = F.concat(*(_hits(F.col("words"), k, known[k]) for k in sizes))
-        held = words.select(
-            "doc_id", F.explode(_if_any(F.struct(hits.alias("hits"), F.col("words").alias("words")))).alias("x")
-        ).select(F.monotonically_increasing_id().alias("row"), "doc_id", "x.hits", "x.words")
-    else:
-        held = _hits_by_join(words.where(F.size("words") > 0), grams, sizes)
-    held = saved(held)
-
-    # An item is tried on a row if one of its anchors stands there.
-    anchors = small(grams.where("anchor").select("item_id", "k", "h").distinct())
-    tried = held.select("row", F.explode(F.array_distinct(F.transform("hits", lambda x: F.struct(x["k"].alias("k"), x["h"].alias("h"))))).alias("a"))
-    pairs = tried.select("row", "a.k", "a.h").join(anchors, ["k", "h"]).select("row", "item_id").distinct()
-    return _verified(held, pairs, items, small, t / (1 + t), t)
-
-
-def _words_hash(gram: Column, k: Column) -> Column:
-    """The hash of a shingle string as `_hash_at` gives it."""
-    w = F.split(gram, " ")
-    out = F.xxhash64(*(F.get(w, F.lit(j)) for j in range(WORDS)))
-    for size in range(WORDS - 1, 0, -1):
-        out = F.when(k == size, F.xxhash64(*(F.get(w, F.lit(j)) for j in range(size)))).otherwise(out)
-    return out
-
-
-def _hits(words: Column, k: int, hashes: list[int]) -> Column:
-    said = ",".join(f"{h}L" if h > -(2**63) else "(-9223372036854775807L - 1L)" for h in hashes)
-    gets = ",".join(f"get(words, i + {j})" for j in range(k))
-    return F.expr(
-        f"transform(filter(IF(size(words) >= {k}, sequence(0, size(words) - {k}), cast(array() as array<int>)),"
-        f" i -> xxhash64({gets}) IN ({said})), i -> struct({k} as k, i as i, xxhash64({gets}) as h))"
-    )
+    grams = items.select("at", "w", "k", "pivots", F.posexplode("hashes").alias("j", "h"))
+    counts = saved(grams.groupBy("at", "h").agg(F.count("*").cast("int").alias("c")))
+    anchors = grams.where(F.exists("pivots", lambda p: F.col("j").between(p - F.col("k") + 1, p)))
+    anchors = saved(anchors.select("k", "h", "w").distinct())
+    known = saved(grams.select("k", "h").distinct())
+    rows = docs.select("doc_id", _mark().alias("mark"), words_of(F.col("text")).alias("words"))
+    held = saved(_held_in_plan(rows, items, known, sizes) if known.count() <= in_plan else _held_by_join(rows, known, sizes))
+
+    near = _candidates(held, items, anchors, t / (1 + t))
+    return _verified(held, near, items, counts, t)
+
+
+def _held_in_plan(rows: DataFrame, items: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """(row, doc_id, mark, k, size, hits, hashes) of rows that hold an item's shingle: how many words, where such
+    shingles of k words start, and the hashes of all its shingles. The shingles and pivot words stand in the plan."""
+    told = [r.p for r in items.select(F.explode(F.transform("pivots", lambda p: F.get("words", p))).alias("p")).distinct().collect()]
+    sets: dict[int, list[int]] = {k: [] for k in sizes}
+    for r in known.collect():
+        sets[r.k].append(r.h)
 
+    # All in one expression per row, each step a lambda's variable: a filter after it would be pushed down and work out everything twice.
+    def part(k: int) -> str:
+        words = ", ".join(f"get(words, i + {j})" for j in range(k))
+        hashes = f"transform(IF(size(words) >= {k}, sequence(0, size(words) - {k}), cast(array() AS array<int>)), i -> xxhash64({words}))"
+        known_at = f"filter(transform(held, (h, i) -> struct(i, h)), x -> x.h IN ({','.join(map(_long, sorted(sets[k])))}))"
+        return f"transform(array({hashes}), held -> struct({k} AS k, {known_at} AS hits, held AS hashes))"
 
-def _if_any(row: Column) -> Column:
-    """An array of the row if it has hits, else an empty one; computes the hits once."""
-    return F.filter(F.array(row), lambda x: F.size(x["hits"]) > 0)
+    each = F.expr(f"filter(concat({', '.join(map(part, sizes))}), x -> size(x.hits) > 0)")
+    with_pivot = F.when(F.exists("words", lambda w: w.isin(told)), each)
+    found = rows.select("doc_id", "mark", F.size("words").alias("size"), F.explode(with_pivot).alias("x"))
+    return found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "mark", "x.k", "size", "x.hits", "x.hashes")
 
 
-def _hits_by_join(words: DataFrame, grams: DataFrame, sizes: list[int]) -> DataFrame:
-    """As above for a benchmark too large to stand in the plan: shingles are joined by their hashes."""
-    rows = saved(words.withColumn("row", F.monotonically_increasing_id()))
+def _long(h: int) -> str:
+    return f"{h}L" if h > -(2**63) else "(-9223372036854775807L - 1L)"
+
+
+def _held_by_join(rows: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """The same for a benchmark too large to stand in the plan: shingles are joined by their hashes, and the texts of rows with any read again."""
     each = None
     for k in sizes:
-        part = rows.select("row", F.posexplode(F.transform(_positions(F.size("words"), k), lambda i: _hash_at(F.col("words"), i, k))).alias("i", "h")).withColumn("k", F.lit(k))
-        part = part.join(grams.select("k", "h").distinct(), ["k", "h"], "left_semi")
+        hashes = shingles(F.col("words"), k)
+        part = rows.select("doc_id", "mark", F.posexplode(hashes).alias("i", "h"))
+        part = part.join(bounded(known.where(F.col("k") == k).select("h")), "h", "left_semi").select(*_key(), F.lit(k).alias("k"), "i", "h")
+        whole = rows.select("doc_id", "mark", F.lit(k).alias("k"), F.size("words").alias("size"), hashes.alias("hashes")).select("*", *_key())
+        part = part.groupBy("nul", "id", "mark", "k").agg(F.array_sort(F.collect_set(F.struct("i", "h"))).alias("hits"))
+        part = whole.join(part, ["nul", "id", "mark", "k"]).select("doc_id", "mark", "k", "size", "hits", "hashes")
         each = part if each is None else each.unionByName(part)
-    hits = each.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "i", "h"))).alias("hits"))
-    return rows.join(hits, "row").select("row", "doc_id", "hits", "words")
+    return each.select(F.monotonically_increasing_id().alias("row"), "doc_id", "mark", "k", "size", "hits", "hashes")
 
 
-def _verified(held: DataFrame, pairs: DataFrame, items: DataFrame, small, share: float, t: float) -> DataFrame:
-    # Windows with enough hits, each told once, by its first hit.
-    sized = pairs.join(small(items.select("item_id", "w", "k")), "item_id").join(held, "row")
-    sized = sized.withColumn("n", F.least(F.size("words"), F.col("w"))).withColumn(
-        "need",
-        F.greatest(
-            F.lit(1), F.ceil(F.lit(share) * (F.col("n") - F.col("k") + 1 + F.col("w") - F.col("k") + 1) - 1e-9).cast("int")
-        ),
+def _key() -> list[Column]:
+    """Columns without null that say which row it is."""
+    return [F.col("doc_id").isNull().alias("nul"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("mark")]
+
+
+def _candidates(held: DataFrame, items: DataFrame, anchors: DataFrame, share: float) -> DataFrame:
+    """(row, at): rows and items with windows whose fingerprints lie within the radius."""
+    # The lengths of windows of a row: those of the items of which an anchor stands there.
+    tried = held.select("row", "k", F.explode(F.array_distinct(F.transform("hits", lambda x: x["h"]))).alias("h"))
+    lengths = tried.join(bounded(anchors), ["k", "h"]).select("row", "w").distinct()
+    sized = held.join(lengths, "row").select(
+        "row", "k", "w", "size", "hashes", F.least("size", "w").alias("n"), F.transform("hits", lambda x: x["i"]).alias("p")
     )
-    sized = sized.withColumn("p", F.expr("transform(filter(hits, x -> x.k = k), x -> x.i)"))
+    both = F.col("n") - F.col("k") + 1 + F.col("w") - F.col("k") + 1
+    sized = sized.where("n >= k").withColumn("need", F.greatest(F.lit(1), F.ceil(F.lit(share) * both - 1e-9).cast("int")))
+    # Windows with enough hits, each told once, by its first hit.
     starts = F.expr(
         """flatten(transform(
              IF(size(p) >= need, sequence(0, size(p) - need), cast(array() as array<int>)),
-             a -> IF(greatest(p[a + need - 1] + k - n, IF(a > 0, p[a - 1] + 1, 0), 0) <= least(p[a], size(words) - n),
-                     sequence(greatest(p[a + need - 1] + k - n, IF(a > 0, p[a - 1] + 1, 0), 0), least(p[a], size(words) - n)),
+             a -> IF(greatest(p[a + need - 1] + k - n, IF(a > 0, p[a - 1] + 1, 0), 0) <= least(p[a], size - n),
+                     sequence(greatest(p[a + need - 1] + k - n, IF(a > 0, p[a - 1] + 1, 0), 0), least(p[a], size - n)),
                      cast(array() as array<int>))))"""
     )
+    # Windows of the same shingles have one fingerprint: of those of a row and length that agree in two sums of hashes one is taken.
     windows = sized.select(
-        "doc_id", "w", "k", "n",
-        F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice("words", s + 1, F.col("n")).alias("words")))).alias("x"),
-    ).select("doc_id", "w", "k", "n", "x.start", shingles(F.col("x.words"), F.col("k")).alias("grams"))
-    windows = windows.withColumn("fp", fingerprint(F.col("grams")))
-    # Index: every way in which a block of an item's fingerprint can differ, by item size.
-    index = small(
-        items.select("item_id", "w", F.col("fp").alias("item_fp"), F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("b"))
-        .withColumn("mask", F.explode(F.array(*(F.lit(m).cast("long") for m in _MASKS))))
-        .withColumn("v", _block(F.col("item_fp"), F.col("b")).bitwiseXOR(F.col("mask")))
-        .drop("mask")
+        "row", "k", "w", (F.col("n") - F.col("k") + 1).alias("many"), "hashes",
+        F.sort_array(F.transform(starts, lambda s: F.struct(_sums(F.slice("hashes", s + 1, F.col("n") - F.col("k") + 1)).alias("key"), s.alias("start")))).alias("x"),
     )
-    probes = windows.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumn("v", _block(F.col("fp"), F.col("b")))
-    differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
-    near = probes.join(index, ["w", "b", "v"]).where(F.bit_count(differ) <= RADIUS)
-    # A pair that agrees in several blocks is taken at the first.
-    near = near.where(
-        F.col("b") == F.get(F.filter(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), lambda b: F.bit_count(_block(differ, b)) <= RADIUS // BLOCKS), F.lit(0))
+    windows = windows.select("row", "k", "w", "many", "hashes", F.explode(F.expr("filter(x, (y, i) -> i = 0 OR y.key != x[i - 1].key)")).alias("x"))
+    windows = windows.select("row", "k", "w", fingerprint(F.slice("hashes", F.col("x.start") + 1, F.col("many"))).alias("fp")).distinct()
+    # Index: every way in which a block of an item's fingerprint can differ, by item size.
+    blocks = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
+    index = items.select("at", "k", "w", F.col("fp").alias("item_fp"), F.explode(blocks).alias("b")).withColumn(
+        "mask", F.explode(F.array(*(F.lit(m).cast("long") for m in _MASKS)))
     )
-    near = near.join(small(items.select("item_id", F.col("grams").alias("item_grams"))), "item_id")
-    sure = near.withColumn("similarity", similarity(F.col("grams"), F.col("item_grams"))).where(F.col("similarity") >= t)
-    best = sure.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.max_by(F.struct("start", "n"), F.struct(F.col("similarity"), -F.col("start"))).alias("x"))
-    return best.select("doc_id", "item_id", "similarity", F.col("x.start").alias("start"), F.col("x.n").alias("n_words"))
+    index = index.select("at", "k", "w", "item_fp", "b", _block(F.col("item_fp"), F.col("b")).bitwiseXOR(F.col("mask")).alias("v"))
+    probes = windows.withColumn("b", F.explode(blocks)).withColumn("v", _block(F.col("fp"), F.col("b")))
+    small = F.broadcast if items.count() * len(_MASKS) * BLOCKS <= BROADCAST_ROWS else (lambda x: x)
+    near = probes.join(small(index), ["k", "w", "b", "v"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    return near.select("row", "at").distinct()
+
 
+def _verified(held: DataFrame, near: DataFrame, items: DataFrame, counts: DataFrame, t: float) -> DataFrame:
+    """The best window of each candidate, if it reaches the threshold; exact.
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns. Rows with null doc_id are looked at as one document."""
-    found = contaminated(docs, benchmark, t).select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti").select(*docs.columns)
+    The j-th position p of a shingle that the item has c times counts for the windows that begin
+    at most n - k before p, and after the position c before it; so it adds one at the first
+    such begin and takes it away after the last. Between these changes nothing changes.
+    """
+    told = bounded(saved(items.select("at", "item_id", "w", "k")))
+    pairs = saved(near.join(told, "at"))
+    found = held.select("row", "size", F.explode("hits").alias("x")).select("row", "size", "x.i", "x.h")
+    found = found.join(pairs.select("row", "at", "w", "k"), "row").join(bounded(counts), ["at", "h"])
+    places = found.groupBy("row", "at", "h").agg(
+        F.first("c").alias("c"), F.first("k").alias("k"), F.first("w").alias("w"), F.first("size").alias("size"), F.array_sort(F.collect_list("i")).alias("p")
+    )
+    places = places.select("row", "at", "c", "k", "w", F.least("size", "w").alias("n"), "size", "p")
+    spans = places.select(
+        "row", "at", "k", "w", "n", "size",
+        F.explode(F.expr("transform(p, (x, j) -> struct(greatest(x - n + k, IF(j >= c, p[j - c] + 1, 0), 0) AS a, x AS b))")).alias("s"),
+    ).where("s.a <= s.b and s.a <= size - n")
+    changes = spans.select("row", "at", "k", "w", "n", "size", F.explode(F.expr("array(struct(s.a AS start, 1 AS d), struct(s.b + 1 AS start, -1 AS d))")).alias("x"))
+    steps = changes.where("x.start <= size - n").groupBy("row", "at", "k", "w", "n", F.col("x.start").alias("start")).agg(F.sum("x.d").alias("d"))
+    alike = F.expr("sum(d) OVER (PARTITION BY row, at ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    scored = steps.select("row", "at", "start", "n", alike.alias("alike"), ((F.col("n") - F.col("k") + 1) + (F.col("w") - F.col("k") + 1)).alias("both"))
+    scored = scored.withColumn("similarity", F.col("alike") / (F.col("both") - F.col("alike"))).where(F.col("similarity") >= t)
+    best = scored.groupBy("row", "at").agg(F.max("similarity").alias("similarity"), F.max_by(F.struct("start", "n"), F.struct(F.col("similarity"), -F.col("start"))).alias("x"))
+    named = best.join(bounded(pairs.select("row", "at", "item_id")), ["row", "at"]).join(held.select("row", "doc_id", "mark"), "row")
+    return named.select("doc_id", "mark", "item_id", "similarity", F.col("x.start").alias("start"), F.col("x.n").alias("n"))
