@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, saved, small_batches
+from .common import components, fresh, saved, small_batches
 
 #: Differing bits at which fingerprints still link.
 RADIUS = 2
@@ -242,7 +242,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that repeat this doc_id one stays, the least by text. Rows with null doc_id stay.
     """
     kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    (place,) = fresh(docs, "place")
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = named.withColumn("__place", place).where("__place = 1").drop("__place")
-    return named.unionByName(docs.where("doc_id is null"))
+    named = named.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(place) == 1)
+    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))

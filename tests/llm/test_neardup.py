@@ -44,7 +44,7 @@ def corpus(seed, n):
 
 
 def check(spark, rows):
-    docs = spark.createDataFrame(rows, "doc_id long, text string, tag int").repartition(3)
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, tag int, node int, _ID int").repartition(3)
     kept = N.keep_distinct(docs)
     assert kept.columns == docs.columns
     return sorted(r.tag for r in kept.collect())
@@ -59,11 +59,47 @@ def test_against_brute_force_jaccard(spark, monkeypatch):
     ]
     assert sum(x >= 4 for x in edge) > 20 and sum(3 < x < 4 for x in edge) > 5
     assert check(spark, rows) == sorted(want)
-    monkeypatch.setattr(N, "FEW", 2)
+    # On the driver only: another order of the shingles, the same rows.
     monkeypatch.setattr(N, "FREQUENT", 2)
     assert check(spark, rows) == sorted(want)
 
 
+def test_large_groups_against_brute_force(spark):
+    """Hundreds of loose copies of two texts: shingles of over 32 members with several labels, so the second round counts."""
+    draw, texts = random.Random(12), []
+    for _ in range(2):
+        base = [f"w{draw.randrange(9000)}" for _ in range(200)]
+        for _ in range(110):
+            copy = list(base)
+            for _ in range(draw.choice((1, 2, 3, 4, 4))):
+                copy[draw.randrange(len(copy))] = f"x{draw.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    rows = [(i, t, i) for i, t in enumerate(texts)]
+    want, _ = brute(rows)
+    assert 4 < len(want) < 150
+    assert check(spark, rows) == sorted(want)
+
+
+def test_last_pairs_against_all_pairs():
+    import pyarrow as pa
+
+    draw, sets = np.random.default_rng(2), []
+    base = draw.integers(0, 2**63, 120)
+    for _ in range(150):
+        keep = base[draw.random(120) < draw.uniform(0.8, 1)]
+        sets.append(np.unique(np.concatenate([keep, draw.integers(0, 2**63, draw.integers(0, 40))])).astype(np.uint64))
+    label = draw.integers(0, 4, 150) * (draw.random(150) < 0.7)
+    names = ["sh", "node", "n", "at", "label", "bits"]
+    rows = [np.zeros(150, np.int64), np.arange(150), np.array([len(x) for x in sets], np.int32), np.zeros(150, np.int32), label.astype(np.int64)]
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array([N.parities(x) for x in sets], pa.binary())], names=names)
+    got = [tuple(r) for b in N._last_pairs([batch.slice(0, 70), batch.slice(70)]) for r in zip(*(c.to_pylist() for c in b.columns))]
+    fits = lambda a, b: N.least_apart(N.parities(sets[a]), N.parities(sets[b])) * 9 <= len(sets[a]) + len(sets[b])
+    size = lambda a, b: min(len(sets[a]), len(sets[b])) * 9 >= 4 * (len(sets[a]) + len(sets[b]))
+    want = {(a, b) for a in range(150) for b in range(a + 1, 150) if label[a] != label[b] and fits(a, b) and size(a, b)}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+    assert all((a, b) in want for a in range(150) for b in range(a + 1, 150) if label[a] != label[b] and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])))
+
+
 def test_looser_copies_than_two_bits_go(spark):
     from tallygrid.llm import simhash
 

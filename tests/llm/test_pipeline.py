@@ -1,7 +1,10 @@
 import corpus_pipeline
-from tallygrid.llm import decontam, quality, simhash
+from tallygrid.llm import decontam, linededup, quality, simhash
 from tallygrid.llm.common import table
 
+from test_neardup import brute as near_brute
+from test_linededup import ranges
+
 
 def test_stages_in_turn(spark, data, tmp_path):
     docs = table(spark, data, "documents")
@@ -16,8 +19,24 @@ def test_stages_in_turn(spark, data, tmp_path):
     ids = lambda f: {r.doc_id for r in f.select("doc_id").collect()}
     good = {r.doc_id for r in quality.score_quality(docs, table(spark, data, "labels")).collect() if r.predicted}
     assert ids(frames[1]) == good and ids(frames[2]) == good
-    near = simhash.near_duplicates(frames[2])
-    assert ids(frames[3]) == {r.component_id for r in near.collect()}
+    # Line dedup by the bytes themselves.
+    before, first = sorted((r.doc_id, r.text) for r in frames[1].collect()), {}
+    cut = {d: ranges(t) for d, t in before}
+    for d, (lines, found) in cut.items():
+        for a, b in sorted(found):
+            first.setdefault("\n".join(lines[a:b]), (d, b))
+    want = {}
+    for d, (lines, found) in cut.items():
+        gone = set()
+        for a, b in found:
+            e, stop = first["\n".join(lines[a:b])]
+            if e < d or stop <= a:
+                gone.update(range(a, b))
+        want[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    assert {r.doc_id: r.text for r in frames[2].collect()} == want
+    # Near copies by all pairs of five-word shingles.
+    stay, _ = near_brute([(d, t, d) for d, t in sorted(want.items())])
+    assert ids(frames[3]) == stay
     leaks = ids(decontam.contaminated(frames[3], table(spark, data, "benchmark")))
     assert ids(frames[4]) == ids(frames[3]) - leaks
     packed = {i.doc_id for r in frames[5].collect() for i in r["items"]}
@@ -27,6 +46,13 @@ def test_stages_in_turn(spark, data, tmp_path):
 
 
 def test_extra_columns(spark, data):
-    docs = table(spark, data, "documents").selectExpr("*", "1 as row", "'x' as component_id", "2 as __doc1")
+    extra = ("row", "component_id", "__doc1", "__doc", "__h", "__place", "_doc", "_nul", "mark", "node", "hits", "label", "x", "fold", "start", "_Ranges")
+    docs = table(spark, data, "documents").limit(60).selectExpr("*", *(f"{i} as {c}" for i, c in enumerate(extra)))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
     for _, stage in corpus_pipeline.STAGES[:4]:
-        assert stage(spark, docs, data).columns == docs.columns
+        out = stage(spark, docs, data)
+        assert out.columns == docs.columns
+        assert all(r[c] == i for r in out.collect() for i, c in enumerate(extra))
+    assert len(corpus_pipeline.STAGES[4][1](spark, docs, data).collect()) > 0
+    for f in (simhash.keep_one, linededup.dedup_lines):
+        assert [c for c in f(docs).columns if c != "n_removed"] == docs.columns and f(docs).count() > 0
