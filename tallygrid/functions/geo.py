@@ -5,12 +5,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 METRES_PER_LON = 111_320.0
 METRES_PER_LAT = 110_540.0
 EARTH_M = 6_371_000.0
+METRES_PER_DEGREE = EARTH_M * math.pi / 180
+#: The longest edge that is cut into equal parts, in metres.
+LONGEST_EDGE_M = 100_000.0
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,22 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return 2 * EARTH_M * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
 
 
+def haversine_plain(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
+    """The same of plain numbers, for steps within a group."""
+    a, b = math.sin(math.radians(lat2 - lat1) / 2), math.sin(math.radians(lon2 - lon1) / 2)
+    return 2 * EARTH_M * math.asin(min(1.0, math.sqrt(a * a + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * b * b)))
+
+
+def reference_point(points: DataFrame, lat0: float | None = None, lon0: float | None = None) -> Plane:
+    """The plane about a given position, else about the mean of points (lat, lon); one row comes to the driver."""
+    if lat0 is not None and lon0 is not None:
+        return Plane(lat0, lon0)
+    mean = points.agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon")).first()
+    if mean.lat is None or mean.lon is None:
+        raise ValueError("no point to project about")
+    return Plane(mean.lat, mean.lon)
+
+
 def margin(radius: float) -> float:
     """What a projected search radius gains so that no true neighbour is missed."""
     return 0.10 * radius + 5.0
@@ -106,12 +125,17 @@ def point_polyline(px: Column, py: Column, coords: Column, plane: Plane) -> Colu
     )
 
 
-def samples(coords: Column, step: float) -> Column:
-    """Points along a line: both ends of every edge, and points `step` metres apart or nearer between."""
+def samples(coords: Column, step: float, longest: float | None = None) -> Column:
+    """Points along a line: both ends of every edge, and points between that cut it into equal parts of `step` metres at the most.
+
+    An edge longer than `longest` fails, if that is given.
+    """
 
     def along(e: Column) -> Column:
         d = haversine(e["a"]["lat"], e["a"]["lon"], e["b"]["lat"], e["b"]["lon"])
         n = F.greatest(F.lit(1), F.ceil(d / step).cast("int"))
+        if longest is not None:
+            n = F.when(d > longest, F.raise_error(F.lit(f"an edge is longer than {longest} m")).cast("int")).otherwise(n)
         return F.transform(
             F.sequence(F.lit(0), n),
             lambda i: F.struct(
@@ -121,3 +145,18 @@ def samples(coords: Column, step: float) -> Column:
         )
 
     return F.flatten(F.transform(edges(coords), along))
+
+
+def densify(coords: Column, plane: Plane, step: float) -> Column:
+    """Points (x, y) of a line in the plane: its vertices, and along each edge a point after each whole `step`."""
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+
+    def along(e: Column) -> Column:
+        ax, ay, bx, by = plane.x(e["a"]["lon"]), plane.y(e["a"]["lat"]), plane.x(e["b"]["lon"]), plane.y(e["b"]["lat"])
+        length = F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
+        steps = F.floor(length / step).cast("int")
+        between = F.when(steps > 0, F.transform(F.sequence(F.lit(1), steps), lambda k: point(ax + (bx - ax) * (k * step / length), ay + (by - ay) * (k * step / length))))
+        return F.concat(F.coalesce(between, F.array().cast("array<struct<x:double,y:double>>")), F.array(point(bx, by)))
+
+    first = F.element_at(coords, 1)
+    return F.concat(F.array(point(plane.x(first["lon"]), plane.y(first["lat"]))), F.flatten(F.transform(edges(coords), along)))

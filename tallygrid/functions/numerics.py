@@ -75,18 +75,38 @@ def wilson(hits: Column, trials: Column, z: float = Z95) -> tuple[Column, Column
     )
 
 
-#: Coefficients of the rational approximation 7.1.26 in Abramowitz and Stegun.
-ERF_P = 0.3275911
-ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+#: Rational Chebyshev approximations of the error function by W. J. Cody (1969), greatest powers first:
+#: x * A(x^2) / B(x^2) for erf up to 0.46875; exp(-x^2) * C(x) / D(x) for erfc up to 4; P and Q in 1 / x^2 beyond.
+ERF_A = (1.85777706184603153e-1, 3.16112374387056560e0, 1.13864154151050156e2, 3.77485237685302021e2, 3.20937758913846947e3)
+ERF_B = (1.0, 2.36012909523441209e1, 2.44024637934444173e2, 1.28261652607737228e3, 2.84423683343917062e3)
+ERFC_C = (
+    2.15311535474403846e-8, 5.64188496988670089e-1, 8.88314979438837594e0, 6.61191906371416295e1, 2.98635138197400131e2,
+    8.81952221241769090e2, 1.71204761263407058e3, 2.05107837782607147e3, 1.23033935479799725e3,
+)
+ERFC_D = (
+    1.0, 1.57449261107098347e1, 1.17693950891312499e2, 5.37181101862009858e2, 1.62138957456669019e3,
+    3.29079923573345963e3, 4.36261909014324716e3, 3.43936767414372164e3, 1.23033935480374942e3,
+)
+ERFC_P = (1.63153871373020978e-2, 3.05326634961232344e-1, 3.60344899949804439e-1, 1.25781726111229246e-1, 1.60837851487422766e-2, 6.58749161529837803e-4)
+ERFC_Q = (1.0, 2.56852019228982242e0, 1.87295284992346725e0, 5.27905102951428412e-1, 6.05183413124413191e-2, 2.33520497626869185e-3)
+
+
+def _horner(coefficients: tuple[float, ...], x: Column) -> Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + c
+    return out
 
 
 def erfc(x: Column) -> Column:
-    """Complementary error function for x >= 0, to 1.5e-7, inside generated code."""
-    t = 1.0 / (1.0 + ERF_P * x)
-    poly = F.lit(ERF_A[4])
-    for a in reversed(ERF_A[:4]):
-        poly = poly * t + a
-    return poly * t * F.exp(-(x * x))
+    """Complementary error function for x >= 0, to double precision, inside generated code."""
+    low = 1.0 - x * _horner(ERF_A, x * x) / _horner(ERF_B, x * x)
+    # The square is taken in two parts, one of them exact, so that its error is not multiplied.
+    near = F.floor(x * 16.0) / 16.0
+    bell = F.exp(-near * near) * F.exp(-(x - near) * (x + near))
+    z = 1.0 / (x * x)
+    high = (1.0 / math.sqrt(math.pi) - z * _horner(ERFC_P, z) / _horner(ERFC_Q, z)) / x
+    return F.when(x <= 0.46875, low).when(x <= 4.0, bell * _horner(ERFC_C, x) / _horner(ERFC_D, x)).otherwise(bell * high)
 
 
 def two_sided_p(z: Column) -> Column:
@@ -94,15 +114,6 @@ def two_sided_p(z: Column) -> Column:
     return erfc(F.abs(z) / 2**0.5)
 
 
-def two_sided_p_exact(z: Column) -> Column:
-    """The same to full precision, vectorised in Python."""
-    @F.pandas_udf("double")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: math.erfc(abs(v) / math.sqrt(2)), na_action="ignore")
-
-    return run(z)
-
-
 def laplace_noise(u: Column, scale: float) -> Column:
     """Laplace noise from a uniform number in (-0.5, 0.5), by the inverse distribution function."""
     return -scale * F.signum(u) * F.log1p(-2.0 * F.abs(u))

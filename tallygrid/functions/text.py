@@ -63,18 +63,21 @@ def slug(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(name), r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
 
 
+#: A street name with its span in parentheses, and the dashes between cross streets.
+NAME_AND_SPAN = r"^(.+?)\s*\(([^)]*)\)\s*$"
+SPAN_DASH = "[‒–—―-]"
+
+
 def street_name(name: Column) -> Column:
     """'5th St (B to C)' gives '5th St'; a name without a span is the street."""
-    found = F.regexp_extract(name, r"^(.+?)\s*\(([^)]*)\)\s*$", 1)
-    return F.when(found == "", name).otherwise(found)
+    found = F.regexp_extract(name, NAME_AND_SPAN, 1)
+    return F.trim(F.when(found == "", name).otherwise(found))
 
 
 def span(name: Column) -> Column:
-    """The cross streets in parentheses, as an array."""
-    inside = F.regexp_extract(name, r"^(.+?)\s*\(([^)]*)\)\s*$", 2)
-    return F.when(inside == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(inside, "[-‐-―−]"), lambda s: F.trim(s))
-    )
+    """The cross streets in parentheses, as an array without empty names."""
+    inside = F.regexp_extract(name, NAME_AND_SPAN, 2)
+    return F.filter(F.transform(F.split(inside, SPAN_DASH), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def tombstone_key(identity: Column) -> Column:

@@ -59,6 +59,21 @@ def run_pipeline(
     return clean_records(kept, segments, plane, snap_max)
 
 
+def stage_summary(
+    reports: DataFrame, segments: DataFrame, plane: geo.Plane, start: str | None = None, end: str | None = None,
+    gazetteer: DataFrame | None = None, snap_max: float = 25.0, distance_m: float = 15.0, window_s: int = 600,
+) -> DataFrame:
+    """One row on a run of the pipeline: reports_in, out_of_window, duplicates_removed, snapped, unsnapped."""
+    inside, _ = window_filter(reports, start, end)
+    clean = run_pipeline(reports, segments, plane, start, end, gazetteer, snap_max, distance_m, window_s)
+    seen = reports.agg(F.count("*").alias("reports_in")).crossJoin(inside.agg(F.count("*").alias("inside")))
+    ends = clean.agg(F.count("segment_id").alias("snapped"), F.count_if(F.col("segment_id").isNull()).alias("unsnapped"))
+    return seen.crossJoin(ends).select(
+        "reports_in", (F.col("reports_in") - F.col("inside")).alias("out_of_window"),
+        (F.col("inside") - F.col("snapped") - F.col("unsnapped")).alias("duplicates_removed"), "snapped", "unsnapped",
+    )
+
+
 def segment_statistics(
     clean: DataFrame, segments: DataFrame, exposure: DataFrame, plane: geo.Plane, per: float = 1000.0, z: float = N.Z_CITY,
     small_n: int = 5, k: int = 3, alpha: float = 0.05, band: float = 300.0, node_snap: float = 5.0, adjust: bool = False,

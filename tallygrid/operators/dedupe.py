@@ -8,48 +8,47 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from .network import component_roots, kept
-from .spatial import _around
+
+
+#: Steps to cells of (time, x, y) that come after one's own, so that two neighbouring cells meet once.
+AHEAD = [(t, x, y) for t in (0, 1) for x in (-1, 0, 1) for y in (-1, 0, 1) if (t, x, y) >= (0, 0, 0)]
 
 
 def duplicate_pairs(reports: DataFrame, plane: geo.Plane, distance_m: float = 15.0, window_s: int = 600) -> DataFrame:
     """(a, b): reports that are duplicates of each other, a before b in order of (epoch, id).
 
     Within the distance and the time window, and of one reporter if both have a token, else of
-    one hazard and mode. Candidates share a cell of space and time; rows need report_id, lat,
-    lon, epoch, reporter_token, hazard_type, mode.
+    one hazard and mode. Candidates share the token, or hazard and mode, and a cell of space
+    and time; one side is sent to its own cell and those that come after it. Rows need
+    report_id, lat, lon, epoch, reporter_token, hazard_type, mode.
     """
     size = max(1.0, distance_m + geo.margin(distance_m))
+    token = F.nullif("reporter_token", F.lit(""))
+    named = lambda kind, *c: F.when(F.concat(*c).isNotNull(), F.struct(F.lit(kind).alias("kind"), F.concat_ws("\x1f", *c).alias("key")))
     base = reports.where("epoch is not null").select(
-        "report_id", "lat", "lon", "epoch", "reporter_token", "hazard_type", "mode",
+        F.struct("epoch", "report_id", "lat", "lon", token.isNotNull().alias("told")).alias("r"),
+        F.explode(F.array_compact(F.array(named("token", token), named("kind", F.col("hazard_type"), F.col("mode"))))).alias("k"),
         geo.cell(plane.x(F.col("lon")), size).alias("cx"), geo.cell(plane.y(F.col("lat")), size).alias("cy"),
         F.floor(F.col("epoch") / max(1, window_s)).alias("ct"),
-    )
-    left = base.select(*(F.col(c).alias(f"a_{c}") for c in base.columns if c not in ("cx", "cy", "ct")), "cx", "cy", "ct")
-    right = base.select(
-        *(F.col(c).alias(f"b_{c}") for c in base.columns if c not in ("cx", "cy", "ct")),
-        F.explode(_around(F.col("cx"), F.col("cy"))).alias("s"),
-        F.array(F.col("ct") - 1, F.col("ct"), F.col("ct") + 1).alias("times"),
-    )
-    right = right.withColumn("ct", F.explode("times")).select("*", "s.cx", "s.cy").drop("s", "times")
-    near = left.join(right, ["cx", "cy", "ct"])
-    before = (F.col("a_epoch") < F.col("b_epoch")) | ((F.col("a_epoch") == F.col("b_epoch")) & (F.col("a_report_id") < F.col("b_report_id")))
-    tokens = (F.coalesce("a_reporter_token", F.lit("")) != "") & (F.coalesce("b_reporter_token", F.lit("")) != "")
-    same = F.when(tokens, F.col("a_reporter_token") == F.col("b_reporter_token")).otherwise(
-        (F.col("a_hazard_type") == F.col("b_hazard_type")) & (F.col("a_mode") == F.col("b_mode"))
-    )
-    return near.where(
-        before
-        & (F.col("b_epoch") - F.col("a_epoch") <= window_s)
-        & same
-        & (geo.haversine(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon")) <= distance_m)
-    ).select(F.col("a_report_id").alias("a"), F.col("b_report_id").alias("b"), F.col("a_epoch"), F.col("b_epoch"))
+    ).select("r", "k.kind", "k.key", "cx", "cy", "ct")
+    steps = F.array(*(F.struct((F.col("ct") + t).alias("ct"), (F.col("cx") + x).alias("cx"), (F.col("cy") + y).alias("cy"), F.lit((t, x, y) == (0, 0, 0)).alias("own")) for t, x, y in AHEAD))
+    ahead = base.select(F.col("r").alias("s"), "kind", "key", F.explode(steps).alias("c")).select("s", "kind", "key", "c.ct", "c.cx", "c.cy", "c.own")
+    near = base.join(ahead, ["kind", "key", "ct", "cx", "cy"])
+    order = lambda c: F.struct(F.col(f"{c}.epoch"), F.col(f"{c}.report_id"))
+    first, last = F.when(order("r") < order("s"), F.col("r")).otherwise(F.col("s")), F.when(order("r") < order("s"), F.col("s")).otherwise(F.col("r"))
+    # In one cell both orders meet; two reports with a token count by it alone.
+    met = near.where((~F.col("own") | (order("r") < order("s"))) & ((F.col("kind") == "token") | ~(F.col("r.told") & F.col("s.told"))))
+    pairs = met.select(first.alias("a"), last.alias("b"))
+    return pairs.where(
+        (F.col("b.epoch") - F.col("a.epoch") <= window_s) & (geo.haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= distance_m)
+    ).select(F.col("a.report_id").alias("a"), F.col("b.report_id").alias("b"), F.col("a.epoch").alias("a_epoch"), F.col("b.epoch").alias("b_epoch"))
 
 
 #: Duplicate pairs up to which one task settles them all.
 FEW_PAIRS = 100_000
 
 
-def removed_reports(pairs: DataFrame, most_rounds: int = 200, few: int = FEW_PAIRS) -> DataFrame:
+def removed_reports(pairs: DataFrame, most_rounds: int = 12, few: int = FEW_PAIRS) -> DataFrame:
     """(report_id) of the reports that go, from duplicate pairs (a, b, a_epoch, b_epoch), a before b.
 
     Greedy in order of time: a row stays once all its earlier duplicates are gone, and all

@@ -11,7 +11,7 @@ from ..functions import numerics as N
 from ..functions import text as X
 
 #: Keys that no published row may have.
-PRIVATE_KEYS = ("id", "report_id", "reporter_token", "note", "occurred_at", "lat", "lon", "location", "address", "accuracy_m")
+PRIVATE_KEYS = ("reporter_token", "occurred_at", "note", "heading_deg", "lat", "lon", "accuracy_m", "mode", "severity", "true_count")
 
 
 # ---------------------------------------------------------------- intake and moderation
@@ -103,12 +103,29 @@ def approved_union(queue: DataFrame, store: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- publication
 
 
-def published_rows(rated: DataFrame) -> DataFrame:
-    """What may be told of each publishable segment; raises if a private column would be."""
-    private = [c for c in rated.columns if c in PRIVATE_KEYS]
+def private_columns(rows: DataFrame) -> list[str]:
+    """Columns that no published row may have. Geometry, an array of points, is not looked into."""
+    return [c for c in rows.columns if c.lower() in PRIVATE_KEYS]
+
+
+def published_rows(rated: DataFrame, k: int = 3, count: str = "n") -> DataFrame:
+    """What may be told of each publishable segment; raises if a private column or a count from 1 to k - 1 would be."""
+    private = private_columns(rated)
     if private:
         raise ValueError("private columns: " + ", ".join(private))
-    return rated.where("publishable")
+    told = rated.where("publishable")
+    if count in rated.columns and not told.where((F.col(count) > 0) & (F.col(count) < k)).isEmpty():
+        raise ValueError(f"a published count is below {k}")
+    return told
+
+
+def metadata_leaks(text: str, reports: DataFrame) -> DataFrame:
+    """(problem, what): private keys in the JSON text of metadata, and reports both of whose coordinates, to 5 digits, stand in it."""
+    keys = F.array(*(F.lit(k) for k in PRIVATE_KEYS if f'"{k}"' in text)) if any(f'"{k}"' in text for k in PRIVATE_KEYS) else F.array().cast("array<string>")
+    said = reports.sparkSession.range(1).select(F.lit("private key").alias("problem"), F.explode(keys).alias("what"))
+    there = lambda c: F.contains(F.lit(text), F.round(c, 5).cast("string"))
+    at = reports.where(there(F.col("lat")) & there(F.col("lon"))).select(F.lit("raw coordinate").alias("problem"), F.col("report_id").cast("string").alias("what"))
+    return said.unionByName(at)
 
 
 def geometry_leaks(segments: DataFrame, reports: DataFrame) -> DataFrame:
@@ -214,9 +231,55 @@ def scorecard(verdicts: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def crosswalk_lookup(rows: DataFrame, rules: DataFrame, value: str, default: str) -> DataFrame:
-    """Adds mapped: the target of the first rule (priority, pattern, target) whose pattern the value contains."""
-    first = F.array_sort(F.collect_list(F.struct("priority", F.lower("pattern").alias("pattern"), "target")))
-    table = rules.agg(first.alias("__rules"))
-    hit = F.get(F.filter("__rules", lambda r: F.contains(F.lower(F.col(value)), r["pattern"])), F.lit(0))
-    return rows.crossJoin(F.broadcast(table)).withColumn("mapped", F.coalesce(hit["target"], F.lit(default))).drop("__rules")
+#: Rules of one crosswalk at the most; they are written by hand.
+MOST_RULES = 10_000
+#: The axes on which each source's bias has to be described.
+BIAS_AXES = ("route_choice", "reporter_pool", "app_access", "language", "demographic_skew", "survivorship", "salience", "temporal_campaign")
+#: Characters that an answer about an axis has at least.
+LEAST_ANSWER = 40
+
+
+def crosswalk_problems(said: dict) -> list[str]:
+    """What is wrong with a crosswalk as its file has it: missing keys, targets outside the vocabularies, bias axes without an answer."""
+    source, out = said.get("source", {}), []
+    out += [f"source.{k} is missing" for k in ("id", "name", "url", "license", "bias_label") if k not in source]
+    answers = source.get("bias_profile", {})
+    out += [f"bias axis {a} is not known" for a in sorted(set(answers) - set(BIAS_AXES))]
+    out += [f"bias axis {a} is not answered" for a in BIAS_AXES if len(str(answers.get(a, "")).strip()) < LEAST_ANSWER]
+    for part, known, default in (("hazard_type", X.HAZARDS, "other"), ("severity", X.SEVERITIES, "near_miss")):
+        rules = said.get(part, {})
+        targets = [rules.get("default", default), *(r["value"] for r in rules.get("rules", []))]
+        out += [f"{part}: {t} is not known" for t in sorted({t for t in targets if t not in known})]
+    return out
+
+
+def apply_crosswalk(rows: DataFrame, said: dict, hazard: str, severity: str) -> DataFrame:
+    """Adds hazard_type and severity by a crosswalk's rules, and its source's id and label of bias; raises if the crosswalk is not valid."""
+    problems = crosswalk_problems(said)
+    if problems:
+        raise ValueError("; ".join(problems))
+    spark = rows.sparkSession
+
+    def mapped(frame: DataFrame, part: str, key: str, column: str, default: str, exact: bool) -> DataFrame:
+        told = said.get(part, {})
+        rules = spark.createDataFrame([(i, r[key], r["value"]) for i, r in enumerate(told.get("rules", []))], "priority int, pattern string, target string")
+        return crosswalk_lookup(frame, rules, column, told.get("default", default), exact).withColumnRenamed("mapped", f"__{part}")
+
+    out = mapped(mapped(rows, "hazard_type", "when", hazard, "other", True), "severity", "contains", severity, "near_miss", False)
+    out = out.withColumns({"hazard_type": F.col("__hazard_type"), "severity": F.col("__severity"), "source_id": F.lit(said["source"]["id"]), "bias_label": F.lit(said["source"]["bias_label"])})
+    return out.drop("__hazard_type", "__severity")
+
+
+def crosswalk_lookup(rows: DataFrame, rules: DataFrame, value: str, default: str, exact: bool = False) -> DataFrame:
+    """Adds mapped: the target of the first rule (priority, pattern, target) that the value meets.
+
+    A value meets a rule of severity if it contains the pattern in any case of letters, one of
+    hazards (`exact`) if it equals the pattern. A missing or empty value gets the default.
+    """
+    told = [(r.priority, r.pattern, r.target) for r in rules.select("priority", "pattern", "target").limit(MOST_RULES + 1).collect()]
+    if len(told) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    v, mapped = F.col(value), F.lit(default)
+    for _, pattern, target in sorted(told, reverse=True):
+        mapped = F.when((v == pattern) if exact else F.contains(F.lower(v), F.lit(pattern.lower())), target).otherwise(mapped)
+    return rows.withColumn("mapped", F.when(F.coalesce(v, F.lit("")) == "", default).otherwise(mapped))

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions import numerics as N
 from .network import kept
-from .spatial import band_neighbors
+from .spatial import band_neighbors, bounded_broadcast
 
 
 def getis_ord_star(values: DataFrame, neighbors: DataFrame) -> DataFrame:
@@ -89,27 +87,26 @@ def unit_analyze(
 def null_calibration(values: DataFrame, neighbors: DataFrame, shuffles: int = 200, seed: int = 20260101, alpha: float = 0.05) -> DataFrame:
     """(shuffle, false_positives): flagged units after the values were dealt out anew at random.
 
-    The number of units is that of a city's segments; the permutations are drawn on the driver, as
-    they must follow from the seed, and all shuffles are then tested in one grouped plan.
+    In each shuffle the units are sorted by a hash of seed, shuffle and id, and the unit at a
+    place gets the value of the unit at that place by id; so the permutations follow from the
+    seed, on any cluster. All shuffles are tested in one grouped plan.
     """
-    spark = values.sparkSession
-    rows = sorted((r.id, r.value) for r in values.where("value is not null").collect())
-    ids, xs, draw = [r[0] for r in rows], [r[1] for r in rows], random.Random(seed)
-    dealt = []
-    for s in range(shuffles):
-        mixed = list(xs)
-        draw.shuffle(mixed)
-        dealt += [(s, i, x) for i, x in zip(ids, mixed)]
-    kind = values.schema["id"].dataType.simpleString()
-    table = spark.createDataFrame(dealt, f"shuffle int, id {kind}, value double")
-    pairs = neighbors.where("a <> b").select("a", "b").distinct().unionByName(values.where("value is not null").select(F.col("id").alias("a"), F.col("id").alias("b")))
+    from .ranks import numbered
+
+    known = kept(numbered(values.where("value is not null").select("id", "value"), ["id"], "place"))
+    each = known.select("id", F.explode(F.sequence(F.lit(0), F.lit(shuffles - 1))).alias("shuffle"))
+    mixed = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("shuffle").cast("string"), F.col("id").cast("string")))
+    place = (F.row_number().over(Window.partitionBy("shuffle").orderBy(mixed, "id")) - 1).alias("place")
+    table = kept(each.select("shuffle", "id", place).join(known.select("place", "value"), "place").select("shuffle", "id", "value"))
+    own = known.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    pairs = bounded_broadcast(neighbors.where("a <> b").select("a", "b").distinct().unionByName(own))
     by = Window.partitionBy("shuffle")
     stats = table.groupBy("shuffle").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"))
-    sums = table.join(F.broadcast(pairs), table.id == pairs.b).groupBy("shuffle", "a").agg(F.count("*").alias("w"), F.sum("value").alias("wx"))
+    sums = table.join(pairs, table.id == pairs.b).groupBy("shuffle", "a").agg(F.count("*").alias("w"), F.sum("value").alias("wx"))
     n, w = F.col("n"), F.col("w")
     spread = F.col("sd") * F.sqrt(F.greatest(F.lit(0.0), (n * w - w * w) / (n - 1)))
     z = F.when((n < 3) | (spread == 0), 0.0).otherwise((F.col("wx") - F.col("mean") * w) / spread)
-    tested = sums.join(F.broadcast(stats), "shuffle").withColumn("z", z).withColumn("p", N.two_sided_p(F.col("z")))
+    tested = sums.join(bounded_broadcast(stats), "shuffle").withColumn("z", z).withColumn("p", N.two_sided_p(F.col("z")))
     ranked = tested.withColumn("r", F.row_number().over(by.orderBy("p", "a")))
     last = F.max(F.when(F.col("p") <= F.col("r") / n * alpha, F.col("r"))).over(by)
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,20 +44,78 @@ def shared_top(base: DataFrame, other: DataFrame, k: int = 5) -> DataFrame:
 
 
 def topk_overlap(base: DataFrame, other: DataFrame, k: int = 5) -> DataFrame:
-    """One row: Jaccard index of both top-k id sets; 1 if both are empty."""
+    """One row: Jaccard index of both top-k id sets; 0 if both are empty."""
     ids = lambda d: top_by(d, "rate", "segment_id", k).agg(F.collect_set("segment_id").alias("s"))
     both = ids(base).crossJoin(ids(other).withColumnRenamed("s", "t"))
     union = F.size(F.array_union("s", "t"))
-    return both.select(F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect("s", "t")) / union).alias("overlap"))
-
-
-def kendall_concordance(base: DataFrame, other: DataFrame, k: int = 50) -> DataFrame:
-    """One row (comparable, concordant): pairs of the common ids of both top-k lists in the same order."""
-    a = top_by(base, "rate", "segment_id", k).select("segment_id", F.col("place").alias("pa"))
-    b = top_by(other, "rate", "segment_id", k).select("segment_id", F.col("place").alias("pb"))
-    both = a.join(b, "segment_id")
-    x, y = both.select(F.col("pa").alias("a1"), F.col("pb").alias("b1")), both.select(F.col("pa").alias("a2"), F.col("pb").alias("b2"))
-    return x.join(y, F.col("a1") < F.col("a2")).agg(F.count("*").alias("comparable"), F.count_if(F.col("b1") < F.col("b2")).alias("concordant"))
+    return both.select(F.when(union == 0, 0.0).otherwise(F.size(F.array_intersect("s", "t")) / union).alias("overlap"))
+
+
+def numbered(rows: DataFrame, order: list, out: str) -> DataFrame:
+    """Adds a number from 0 in the given order, without one task for all rows.
+
+    Rows are sorted by ranges into partitions and kept so; a partition's rows are numbered in
+    their order, after the count of the partitions before it.
+    """
+    from .spatial import kept
+
+    low = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = kept(rows.orderBy(*order).withColumn("__place", F.monotonically_increasing_id()))
+    part = F.shiftright("__place", 33)
+    counts = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("c"))
+    before = counts.select("__part", (F.sum("c").over(Window.orderBy("__part")) - F.col("c")).alias("__before"))
+    return placed.withColumn("__part", part).join(F.broadcast(before), "__part").withColumn(out, F.col("__before") + low).drop("__place", "__part", "__before")
+
+
+def inversions(values) -> int:
+    """Pairs of an array in which the greater comes first, by merging sorted halves."""
+    import numpy as np
+
+    if len(values) < 2:
+        return 0
+    half = len(values) // 2
+    left, right = np.sort(values[:half]), values[half:]
+    return inversions(values[:half]) + inversions(right) + int((half - np.searchsorted(left, right, side="right")).sum())
+
+
+#: Rows of a block in which inversions are counted at once.
+BLOCK = 50_000
+
+
+def kendall_concordance(base: DataFrame, other: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One row (comparable, concordant): pairs of the ids that both rankings have, and those in the same order.
+
+    Rows are segment_id and rate, ranked by falling rate, then id; those without a rate do not
+    count, nor those that a column `publishable` says are not. Discordant pairs are inversions
+    of one ranking against the other. They are counted by blocks of consecutive places in both:
+    between different blocks from the counts of each pair of blocks, within one block by
+    merging.
+    """
+    fit = lambda d: d.where(F.col("rate").isNotNull() & (F.col("publishable") if "publishable" in d.columns else F.lit(True)))
+    both = fit(base).select("segment_id", F.col("rate").alias("ra")).join(fit(other).select("segment_id", F.col("rate").alias("rb")), "segment_id")
+    placed = numbered(numbered(both, [F.desc("ra"), "segment_id"], "pa"), [F.desc("rb"), "segment_id"], "pb")
+    placed = placed.select("pa", "pb", F.floor(F.col("pa") / block).alias("a"), F.floor(F.col("pb") / block).alias("b"))
+    n = placed.count()
+    side = -(-n // block)
+
+    def within(by: list[str], sign: int) -> DataFrame:
+        def count(rows: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"n": [sign * inversions(rows.sort_values("pa")["pb"].to_numpy())]})
+
+        return placed.groupBy(*by).applyInPandas(count, "n long")
+
+    # Pairs of one block of the first ranking; of one of the second but not of the first; of two blocks in both.
+    found = within(["a"], 1).unionByName(within(["b"], 1)).unionByName(within(["a", "b"], -1))
+    if side > 1:
+        grid = placed.sparkSession.range(side * side).select(F.floor(F.col("id") / side).alias("a"), (F.col("id") % side).alias("b"))
+        cells = grid.join(placed.groupBy("a", "b").agg(F.count("*").alias("c")), ["a", "b"], "left").select("a", "b", F.coalesce("c", F.lit(0)).alias("c"))
+        above = Window.partitionBy("b").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
+        beyond = Window.partitionBy("a").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
+        summed = cells.withColumn("s", F.coalesce(F.sum("c").over(above), F.lit(0)))
+        crossed = summed.withColumn("t", F.coalesce(F.sum("s").over(beyond), F.lit(0)))
+        found = found.unionByName(crossed.agg(F.sum(F.col("c") * F.col("t")).alias("n")))
+    pairs = n * (n - 1) // 2
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bad")).select(F.lit(pairs).cast("long").alias("comparable"), (F.lit(pairs) - F.col("bad")).cast("long").alias("concordant"))
 
 
 def median_reference(rated: DataFrame) -> DataFrame:

@@ -24,6 +24,12 @@ def segment_aggregate(clean: DataFrame) -> DataFrame:
     )
 
 
+def excluded_fraction(clean: DataFrame) -> DataFrame:
+    """One row: the share of snapped records that are flagged as doubtful, 0 without any."""
+    sums = segment_aggregate(clean).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_primary"), F.lit(0)).alias("p"))
+    return sums.select(F.when(F.col("n") > 0, N.floor_round((F.col("n") - F.col("p")) / F.col("n"), 4)).otherwise(0.0).alias("excluded_fraction"))
+
+
 def hazard_counts(clean: DataFrame) -> DataFrame:
     """Snapped records per segment and hazard."""
     return clean.where("segment_id is not null").groupBy("segment_id", "hazard_type").agg(F.count("*").alias("n"))
@@ -190,3 +196,44 @@ def bias_extremes(shares: DataFrame, most: int = 3) -> DataFrame:
     ).unionByName(
         under.select(F.lit("under").alias("side"), place(["difference", "segment_id"]).alias("place"), "segment_id", "difference")
     )
+
+
+def counter_snap(counts: DataFrame, segments: DataFrame, plane, max_snap_m: float = 50.0) -> DataFrame:
+    """Counter readings (counter_id, lat, lon, count) with their nearest segment within the distance, null if there is none.
+
+    Readings without a place or a positive count are left out.
+    """
+    from .spatial import snap_nearest
+
+    good = counts.where("lat is not null and lon is not null and count > 0")
+    named = good.select(F.col("counter_id").alias("report_id"), "lat", "lon", "count")
+    return snap_nearest(named, segments, plane, max_snap_m).select(F.col("report_id").alias("counter_id"), "segment_id", "count")
+
+
+def build_exposure(
+    snapped: DataFrame, segments: DataFrame, source: str, date: str, how: str = "sum", fallback: bool = False, prior: float | None = None
+) -> DataFrame:
+    """Exposure (segment_id, estimate, source, date) from snapped readings (segment_id, count) by sum, mean or max.
+
+    With `fallback` the segments without a reading get the prior, or else the median of the
+    estimates, if it is positive, under a source that says so.
+    """
+    reduce = {"sum": F.sum, "mean": F.avg, "max": F.max}[how]
+    known = snapped.where("segment_id is not null").groupBy("segment_id").agg(reduce("count").cast("double").alias("estimate"))
+    out = known.select("segment_id", "estimate", F.lit(source).alias("source"), F.lit(date).alias("date"))
+    if not fallback:
+        return out
+    middle = known.agg((F.percentile("estimate", 0.5) if prior is None else F.lit(float(prior))).alias("estimate"))
+    others = segments.select("segment_id").join(known, "segment_id", "left_anti").crossJoin(F.broadcast(middle)).where("estimate > 0")
+    return out.unionByName(others.select("segment_id", "estimate", F.lit(f"modeled_flat_prior ({source})").alias("source"), F.lit(date).alias("date")))
+
+
+#: First and last colour of the map's ramp, as red, green and blue.
+RAMP = ((220, 232, 235), (20, 91, 115))
+
+
+def map_color(value: Column, most: Column) -> Column:
+    """The colour of a value on the ramp, by the root of its share of the greatest."""
+    share = F.sqrt(value / F.greatest(F.lit(1), most))
+    channels = (F.floor(a + (b - a) * share + 0.5).cast("string") for a, b in zip(*RAMP))
+    return F.concat(F.lit("rgb("), F.concat_ws(", ", *channels), F.lit(")"))

@@ -40,19 +40,12 @@ def segment_cells(segments: DataFrame, plane: geo.Plane, size: float, step: floa
         dx, dy = plane.x(e["b"]["lon"]) - ax, plane.y(e["b"]["lat"]) - ay
         return F.struct(ax.alias("ax"), ay.alias("ay"), dx.alias("dx"), dy.alias("dy"), (dx * dx + dy * dy).alias("l2"))
 
-    points = segments.select(
-        "segment_id", F.transform(geo.edges(F.col("coords")), edge).alias("edges"), F.explode(geo.samples(F.col("coords"), step)).alias("p")
-    )
-    cells = points.select(
-        "segment_id", "edges", geo.cell(plane.x(F.col("p.lon")), size).alias("x"), geo.cell(plane.y(F.col("p.lat")), size).alias("y")
-    ).distinct()
-    spread = cells.select("segment_id", "edges", F.explode(_around(F.col("x"), F.col("y"))).alias("c"))
-    return (
-        spread.select("segment_id", "edges", "c.cx", "c.cy")
-        .distinct()
-        .groupBy("cx", "cy")
-        .agg(F.collect_list(F.struct("segment_id", "edges")).alias("near"))
-    )
+    points = segments.select("segment_id", F.explode(geo.samples(F.col("coords"), step)).alias("p"))
+    cells = points.select("segment_id", geo.cell(plane.x(F.col("p.lon")), size).alias("x"), geo.cell(plane.y(F.col("p.lat")), size).alias("y")).distinct()
+    # Ids and cells only are spread and made different; the edges join last.
+    spread = cells.select("segment_id", F.explode(_around(F.col("x"), F.col("y"))).alias("c")).select("segment_id", "c.cx", "c.cy").distinct()
+    edges = segments.select("segment_id", F.transform(geo.edges(F.col("coords")), edge).alias("edges"))
+    return spread.join(edges, "segment_id").groupBy("cx", "cy").agg(F.collect_list(F.struct("segment_id", "edges")).alias("near"))
 
 
 def _far(s: Column) -> Column:

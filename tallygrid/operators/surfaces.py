@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+import secrets
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +112,14 @@ def is_wet(wet, precip_mm):
     return F.coalesce(wet, precip_mm > 0, F.lit(False))
 
 
+def weather_by_condition(records: DataFrame, weather: DataFrame) -> DataFrame:
+    """(condition, n, baseline_wet_share): records of matched days by condition, beside the wet share of all days."""
+    days = bounded_broadcast(weather.select("date", "condition"))
+    dated = records.select(X.local_date(F.col("occurred_at")).alias("date")).groupBy("date").agg(F.count("*").alias("n"))
+    base = weather.agg(F.avg(is_wet(F.col("wet"), F.col("precip_mm")).cast("double")).alias("baseline_wet_share"))
+    return dated.join(days, "date").groupBy("condition").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(base))
+
+
 def weather_join(records: DataFrame, weather: DataFrame) -> DataFrame:
     """One row: records matched to a day of weather and not, wet and dry ones, wet share of the matched."""
     days = bounded_broadcast(weather.select("date", is_wet(F.col("wet"), F.col("precip_mm")).alias("is_wet")))
@@ -133,18 +146,53 @@ def dp_true_counts(records: DataFrame) -> DataFrame:
     )
 
 
-def dp_release(true_counts: DataFrame, epsilon: float, enabled: bool, signed_off: bool, seed: int) -> DataFrame:
+def _noise(secret: bytes, epsilon: float):
+    """Laplace noise of a cell, from an HMAC of its name. The secret travels in the function, not in the plan."""
+
+    @F.pandas_udf("double")
+    def uniform(segment: pd.Series, part: pd.Series) -> pd.Series:
+        def draw(s, p):
+            digest = hmac.new(secret, f"{s}\x1f{p}".encode(), hashlib.sha256).digest()
+            return ((int.from_bytes(digest[:7], "big") >> 4) + 0.5) / 2.0**52 - 0.5
+
+        return pd.Series([draw(s, p) for s, p in zip(segment, part)], dtype="float64")
+
+    return N.laplace_noise(uniform(F.col("segment_id").cast("string"), F.col("part")), 1.0 / epsilon)
+
+
+def _secret(secret: bytes | None, epsilon: float) -> bytes:
+    if not epsilon > 0:
+        raise ValueError("epsilon must be above 0")
+    if secret is not None and len(secret) < 16:
+        raise ValueError("a secret has 128 bits at least")
+    return secret if secret is not None else secrets.token_bytes(32)
+
+
+def dp_release(true_counts: DataFrame, epsilon: float, enabled: bool, signed_off: bool, secret: bytes | None = None) -> DataFrame:
     """(segment_id, part, published): counts with Laplace noise, rounded and not below zero.
 
-    Disabled gives no row; enabled without sign-off raises. One record touches one cell, so the
-    scale is 1 / epsilon. Noise is drawn from a hash of cell and seed, so that a task that runs
-    again draws the same; the true counts are not passed on.
+    Disabled gives no row; enabled without sign-off raises, and so does an epsilon that is not
+    above 0. One record touches one cell, so the scale is 1 / epsilon. Noise follows from a
+    secret of 128 bits or more and the cell, so that a task that runs again draws the same and
+    nobody without the secret can take it off; without a secret a fresh one is drawn, which
+    is not kept. The true counts are not passed on.
     """
     if not enabled:
         return true_counts.where("false").select("segment_id", "part", F.lit(0).cast("long").alias("published"))
     if not signed_off:
         raise PermissionError("a noisy release needs sign-off")
-    h = F.xxhash64(F.lit(seed), F.col("segment_id"), F.col("part"))
-    u = (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / 2.0**53 - 0.5
-    noisy = F.col("true_count") + N.laplace_noise(u, 1.0 / epsilon)
+    noisy = F.col("true_count") + _noise(_secret(secret, epsilon), epsilon)
     return true_counts.select("segment_id", "part", F.greatest(F.lit(0), F.round(noisy)).cast("long").alias("published"))
+
+
+def dp_accounting(true_counts: DataFrame, epsilon: float, secret: bytes | None = None) -> DataFrame:
+    """One row on a release: cells, noise_scale, composed_epsilon, mean_absolute_noise, theater.
+
+    `theater` says that the noise is on average as large as the counts, or as 1, so that little can be read from them.
+    """
+    rows = true_counts.select("true_count", F.abs(_noise(_secret(secret, epsilon), epsilon)).alias("far"))
+    sums = rows.agg(F.count("*").alias("cells"), F.coalesce(F.avg("far"), F.lit(0.0)).alias("noise"), F.coalesce(F.avg("true_count"), F.lit(0.0)).alias("mean"))
+    return sums.select(
+        "cells", F.lit(1.0 / epsilon).alias("noise_scale"), (F.col("cells") * epsilon).alias("composed_epsilon"),
+        N.floor_round(F.col("noise"), 4).alias("mean_absolute_noise"), ((F.col("cells") > 0) & (F.col("noise") >= F.greatest("mean", F.lit(1.0)))).alias("theater"),
+    )

@@ -36,11 +36,11 @@ def s_rate(n: str, e: str) -> str:
 
 
 def s_erfc(x: str) -> str:
-    t = f"(1e0 / (1e0 + {N.ERF_P}e0 * ({x})))"
-    poly = f"{N.ERF_A[4]}e0"
-    for a in reversed(N.ERF_A[:4]):
-        poly = f"({poly} * {t} + {a}e0)"
-    return f"({poly} * {t} * exp(-(({x}) * ({x}))))"
+    """By the series of erf without cancellation under 2, by the continued fraction above: not as the columns do it."""
+    series = f"({x}) * list_reduce([1e0] || list_transform(range(60, 0, -1), lambda i: i * 1e0), lambda acc, i: 1e0 + acc * 2e0 * ({x}) * ({x}) / (2e0 * i + 1e0))"
+    fraction = f"list_reduce([{x}] || list_transform(range(120, 0, -1), lambda i: i * 1e0), lambda acc, i: ({x}) + i / 2e0 / acc)"
+    bell = f"exp(-(({x}) * ({x}))) / sqrt(pi())"
+    return f"(CASE WHEN ({x}) < 2e0 THEN 1e0 - 2e0 * {bell} * ({series}) ELSE {bell} / ({fraction}) END)"
 
 
 def s_p(z: str) -> str:
@@ -119,7 +119,13 @@ def duplicate_pairs(spark, d):
     return dedupe.duplicate_pairs(M.reports(spark, d), M.PLANE).select("a", "b")
 
 
-@query()
+_GREEDY = """nodes AS (SELECT p.b, row_number() OVER (ORDER BY r.epoch, p.b) AS i, p.earlier FROM (SELECT b, list(a) AS earlier FROM pairs GROUP BY b) p JOIN reports r ON r.report_id = p.b),
+greedy(i, gone) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
+  SELECT n.i, CASE WHEN len(list_filter(n.earlier, lambda x: NOT list_contains(g.gone, x))) > 0 THEN list_append(g.gone, n.b) ELSE g.gone END FROM greedy g JOIN nodes n ON n.i = g.i + 1),
+gone AS (SELECT unnest(gone) AS report_id FROM greedy QUALIFY i = max(i) OVER ())"""
+
+
+@query(M.sql("reports", "SELECT report_id FROM reports WHERE report_id NOT IN (SELECT report_id FROM gone)", _PAIRS + ",\n" + _GREEDY).replace("WITH ", "WITH RECURSIVE ", 1))
 def dedupe_greedy(spark, d):
     return dedupe.dedupe(M.reports(spark, d), M.PLANE).select("report_id")
 
@@ -131,18 +137,74 @@ def geocode_join(spark, d):
     nations = M.table(spark, d, "nation")
     gaz = nations.select(X.address_key(F.col("n_name")).alias("key"), (F.col("n_nationkey") * 1.0).alias("lat"), (F.col("n_nationkey") * 2.0).alias("lon"))
     c = M.table(spark, d, "customer")
-    rows = c.join(F.broadcast(nations), c.c_nationkey == nations.n_nationkey).select(
+    rows = c.join(spatial.bounded_broadcast(nations), c.c_nationkey == nations.n_nationkey).select(
         "c_custkey", F.when(F.col("c_custkey") % 3 == 0, "nowhere").otherwise(F.concat(F.lit("  "), F.upper("n_name"), F.lit(" "))).alias("address"),
         F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"),
     )
     return spatial.geocode(rows, gaz).select("c_custkey", "lat", "lon")
 
 
-@query()
+_INSIDE = "inside AS (SELECT * FROM reports WHERE substr(occurred_at, 1, 10) BETWEEN '2024-01-02' AND '2024-01-28')"
+_RUN = ",\n".join([_INSIDE, _PAIRS.replace("reports", "inside"), _GREEDY, """ran AS (SELECT * FROM clean WHERE report_id IN (SELECT report_id FROM inside) AND report_id NOT IN (SELECT report_id FROM gone))"""])
+
+
+@query(M.sql("clean", """SELECT report_id, segment_id, hazard_type, concat_ws(',', CASE WHEN unsnapped THEN 'unsnapped' END, CASE WHEN low_accuracy THEN 'low_accuracy' END,
+  CASE WHEN far_snap THEN 'far_snap' END) AS flags FROM ran""", _RUN).replace("WITH ", "WITH RECURSIVE ", 1))
 def run_pipeline(spark, d):
     return city.run_pipeline(M.reports(spark, d), M.segments(spark, d), M.PLANE, "2024-01-02", "2024-01-28").select("report_id", "segment_id", "hazard_type", F.array_join("quality_flags", ",").alias("flags"))
 
 
+@query(M.sql("clean", """SELECT (SELECT count(*) FROM reports) AS reports_in, (SELECT count(*) FROM reports) - (SELECT count(*) FROM inside) AS out_of_window,
+  (SELECT count(*) FROM gone) AS duplicates_removed, count(segment_id) AS snapped, count(*) - count(segment_id) AS unsnapped FROM ran""", _RUN).replace("WITH ", "WITH RECURSIVE ", 1))
+def stage_summary(spark, d):
+    return city.stage_summary(M.reports(spark, d), M.segments(spark, d), M.PLANE, "2024-01-02", "2024-01-28")
+
+
+@query(M.sql("clean", f"SELECT {sr('count(*) FILTER (low_accuracy OR far_snap) / count(*)')} AS excluded_fraction FROM clean WHERE segment_id IS NOT NULL"))
+def excluded_fraction(spark, d):
+    return rates.excluded_fraction(M.clean(spark, d))
+
+
+_COUNTERS = """counters AS (SELECT s_suppkey AS counter_id, 38.5e0 + (s_suppkey % 6) * 0.0025e0 + (s_suppkey % 5) * 0.0002e0 AS lat,
+  -121.7e0 + (s_suppkey % 10 + 0.5e0) * 0.003e0 AS lon, CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE CAST(floor(s_acctbal) AS DOUBLE) END AS count FROM supplier),
+snapped_counts AS (SELECT counter_id, CASE WHEN (counter_id % 5) * 0.0002e0 * 110540e0 <= 50e0 THEN 'seg-' || lpad(CAST(counter_id % 6 * 10 + counter_id % 10 AS VARCHAR), 2, '0') END AS segment_id, count
+  FROM counters WHERE count > 0)"""
+
+
+def _snapped_counts(spark, d):
+    k = F.col("s_suppkey")
+    counters = M.table(spark, d, "supplier").select(
+        k.alias("counter_id"), (38.5 + (k % 6) * 0.0025 + (k % 5) * 0.0002).alias("lat"), (-121.7 + (k % 10 + 0.5) * 0.003).alias("lon"),
+        F.when(k % 9 != 0, F.floor("s_acctbal").cast("double")).alias("count"),
+    )
+    return rates.counter_snap(counters, M.segments(spark, d), M.PLANE)
+
+
+@query(M.sql("", "SELECT counter_id, segment_id, count FROM snapped_counts", _COUNTERS))
+def counter_snap(spark, d):
+    return _snapped_counts(spark, d)
+
+
+@query(M.sql("segments", f"""SELECT segment_id, {sr('estimate')} AS estimate, 'counters' AS source, '2024-01-31' AS date FROM known
+UNION ALL SELECT segment_id, {sr('(SELECT median(estimate) FROM known)')}, 'modeled_flat_prior (counters)', '2024-01-31' FROM segments WHERE segment_id NOT IN (SELECT segment_id FROM known)""",
+  _COUNTERS + ", known AS (SELECT segment_id, avg(count) AS estimate FROM snapped_counts WHERE segment_id IS NOT NULL GROUP BY 1)"))
+def exposure_build(spark, d):
+    return rates.build_exposure(_snapped_counts(spark, d), M.segments(spark, d), "counters", "2024-01-31", "mean", True).withColumn("estimate", r("estimate"))
+
+
+@query(M.sql("attached", f"""SELECT segment_id, 'rgb(' || floor(220 + (20 - 220) * s + 0.5e0)::INT || ', ' || floor(232 + (91 - 232) * s + 0.5e0)::INT || ', ' || floor(235 + (115 - 235) * s + 0.5e0)::INT || ')' AS color
+FROM (SELECT segment_id, sqrt(n / greatest(1, max(n) OVER ())) AS s FROM attached)"""))
+def map_color(spark, d):
+    a = attached(spark, d)
+    return a.crossJoin(F.broadcast(a.agg(F.max("n").alias("most")))).select("segment_id", rates.map_color(F.col("n"), F.col("most")).alias("color"))
+
+
+@query(M.sql("reports", f"SELECT {sr('avg(lat)', 7)} AS lat0, {sr('avg(lon)', 7)} AS lon0 FROM reports"))
+def reference_point(spark, d):
+    plane = geo.reference_point(M.reports(spark, d))
+    return spark.range(1).select(r(F.lit(plane.lat0), 7).alias("lat0"), r(F.lit(plane.lon0), 7).alias("lon0"))
+
+
 @query(M.sql("reports", "SELECT count(*) AS n FROM reports WHERE lon BETWEEN -121.695e0 AND -121.68e0 AND lat BETWEEN 38.501e0 AND 38.509e0"))
 def bbox_filter(spark, d):
     return M.reports(spark, d).where(spatial.bbox(-121.695, 38.501, -121.68, 38.509)).agg(F.count("*").alias("n"))
@@ -214,12 +276,14 @@ def segment_rates(spark, d):
     )
 
 
-@query(M.sql("attached", f"""SELECT segment_id, concat_ws(',', CASE WHEN NOT coalesce(estimate > 0, false) THEN 'exposure_unknown' END,
+@query(M.sql("attached", f"""SELECT segment_id, concat_ws(',', CASE WHEN coalesce(abs(epoch(CAST(date AS TIMESTAMP)) - epoch(TIMESTAMP '1998-07-15')) > 7 * 86400, false) THEN 'exposure_stale' END,
+  CASE WHEN NOT coalesce(estimate > 0, false) THEN 'exposure_unknown' END, CASE WHEN n > n_primary * 2 THEN 'geocode_low_confidence' END,
   CASE WHEN n > 0 AND n < 200 THEN 'low_sample' END) AS flags FROM attached"""))
 def published_flags(spark, d):
-    a = attached(spark, d)
-    flags = rates.published_flags(F.col("n"), 200, rates.usable(F.col("estimate")), F.lit(False), F.lit(False))
-    return a.select("segment_id", F.array_join(flags, ",").alias("flags"))
+    at = lambda c: F.unix_timestamp(F.try_to_timestamp(c, F.lit("yyyy-MM-dd")))
+    stale = rates.is_stale(at(F.col("date")), at(F.lit("1998-07-15")), 7)
+    flags = rates.published_flags(F.col("n"), 200, rates.usable(F.col("estimate")), stale, F.col("n") > F.col("n_primary") * 2)
+    return attached(spark, d).select("segment_id", F.array_join(flags, ",").alias("flags"))
 
 
 @query(M.sql("attached", f"""SELECT segment_id, {sr(f"greatest(0e0, n + (n * {s_cube('1e0 - 1e0 / (9e0 * n) - 1.96e0 / (3e0 * sqrt(n))')} - n) * sqrt(2.5e0))")} AS low,
@@ -320,9 +384,13 @@ def bh_fdr(spark, d):
     return hotspot.benjamini_hochberg(z.withColumn("p", N.two_sided_p(F.col("z")))).select("id", "rejected")
 
 
-@query(f"SELECT p_partkey AS id, {sr(s_p('(p_retailprice - 1400e0) / 300e0'), 6)} AS p FROM part")
+_WIDE = "((p_retailprice - 1400e0) / 60e0)"
+
+
+@query(f"SELECT p_partkey AS id, {sr('p', 9)} AS p, {sr('log10(p)', 6)} AS log10_p FROM (SELECT p_partkey, {s_p(_WIDE)} AS p FROM part)")
 def two_sided_p(spark, d):
-    return M.table(spark, d, "part").select(F.col("p_partkey").alias("id"), r(N.two_sided_p((F.col("p_retailprice") - 1400.0) / 300.0), 6).alias("p"))
+    p = N.two_sided_p((F.col("p_retailprice") - 1400.0) / 60.0)
+    return M.table(spark, d, "part").select(F.col("p_partkey").alias("id"), p.alias("p")).select("id", r("p", 9), r(F.log10("p"), 6).alias("log10_p"))
 
 
 _LENGTH = s_haversine("lat", "lon1", "lat", "lon2")
@@ -360,40 +428,73 @@ def segment_statistics(spark, d):
     return out.select("segment_id", "n", r("rate"), r("rate_ci_low"), r("rate_ci_high"), r("z"), "significant", "publishable")
 
 
-@query()
+@query(M.sql("attached", f"""SELECT 'corridor-' || substr(sha256(ids), 1, 12) AS corridor_id, name, ids AS segment_ids, n, 'mixed' AS exposure_date, {sr(s_rate('n', 'e'))} AS rate, {sr(s_low('n', 'e'))} AS rate_ci_low,
+  {sr(s_high('n', 'e'))} AS rate_ci_high, 'certain' AS confidence_label FROM (
+  SELECT any_value(street) || ' (c' || min(pos % 10) || '–c' || (max(pos % 10) + 1) || ')' AS name, string_agg(segment_id, ',' ORDER BY segment_id) AS ids, CAST(sum(n) AS BIGINT) AS n,
+    CASE WHEN count(estimate) = count(*) THEN sum(estimate) END AS e
+  FROM (SELECT *, pos - row_number() OVER (ORDER BY pos) AS island FROM rated WHERE pos % 10 < 4 AND publishable) GROUP BY pos // 10, island HAVING count(*) > 1)""", _RATED))
 def corridors(spark, d):
-    fit = rated(spark, d).withColumn("significant", F.col("pos") % 10 < 4)
-    return network.corridors(fit, M.PLANE).select("corridor_id", "name", F.array_join("segment_ids", ",").alias("segment_ids"), "n", r("rate"), r("rate_ci_low"), r("rate_ci_high"))
+    fit = rated(spark, d).withColumn("significant", F.col("pos") % 10 < 4).withColumns({"exposure_source": F.col("source"), "exposure_date": F.col("segment_id")})
+    out = network.corridors(fit, M.PLANE)
+    return out.select("corridor_id", "name", F.array_join("segment_ids", ",").alias("segment_ids"), "n", "exposure_date", r("rate"), r("rate_ci_low"), r("rate_ci_high"), "confidence_label")
 
 
-@query()
+_FAR = s_haversine("p.lat", "p.lon", "q.lat", "q.lon")
+_PAIRING = f"""cents AS (SELECT segment_id AS id, lat, (lon1 + lon2) / 2e0 AS lon FROM segments),
+far_apart AS (SELECT p.id AS p, q.id AS q, {_FAR} AS d FROM cents p JOIN cents q ON p.id <> q.id),
+turns(taken, a, b) AS (SELECT CAST([] AS VARCHAR[]), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) UNION ALL
+  SELECT list_concat(taken, list_filter([a, b], lambda x: x IS NOT NULL)), a, b FROM (
+    SELECT t.taken, t.a, (SELECT arg_min(f.q, (f.d, f.q)) FROM far_apart f WHERE f.p = t.a AND NOT list_contains(t.taken, f.q)) AS b
+    FROM (SELECT taken, (SELECT min(id) FROM cents WHERE NOT list_contains(taken, id)) AS a FROM turns) t) WHERE a IS NOT NULL),
+of AS (SELECT a AS segment_id, a AS unit FROM turns WHERE a IS NOT NULL UNION ALL SELECT b, a FROM turns WHERE b IS NOT NULL)"""
+
+
+@query(M.sql("segments", "SELECT segment_id, unit FROM of", _PAIRING).replace("WITH ", "WITH RECURSIVE ", 1))
 def maup_pairing(spark, d):
     return network.maup_pairs(M.units(spark, d).select(F.col("id").alias("segment_id"), "lat", "lon"))
 
 
-@query()
+_COARSE = f"""coarse AS (SELECT unit, n * (1000e0 / e) AS rate FROM (SELECT unit, sum(n) FILTER (estimate > 0) AS n, sum(estimate) FILTER (estimate > 0) AS e FROM rated JOIN of USING (segment_id) GROUP BY 1) WHERE e > 0),
+vals AS (SELECT unit AS id, rate AS value FROM coarse), near AS (SELECT DISTINCT x.unit AS a, y.unit AS b FROM walk w JOIN of x ON x.segment_id = w.a JOIN of y ON y.segment_id = w.b),
+top AS (SELECT segment_id, unit, row_number() OVER (ORDER BY rate DESC, segment_id) AS place FROM rated JOIN of USING (segment_id) WHERE publishable AND rate IS NOT NULL QUALIFY place <= 5),
+ranks AS (SELECT unit, row_number() OVER (ORDER BY rate DESC, unit) AS place FROM coarse),
+fine AS (SELECT DISTINCT unit FROM top WHERE unit IN (SELECT unit FROM coarse)), best AS (SELECT unit FROM ranks WHERE place <= 5)"""
+
+
+@query(M.sql("attached", f"""SELECT (SELECT count(*) FROM of) AS fine_units, (SELECT count(DISTINCT unit) FROM of) AS coarse_units, t.segment_id AS top_hotspot_id, r.place AS coarse_rank,
+  coalesce(f.rejected AND f.z > 0, false) AS still_significant, r.place = 1 AND coalesce(f.rejected AND f.z > 0, false) AS survives,
+  {sr('(SELECT count(*) FROM fine JOIN best USING (unit)) / (SELECT count(*) FROM (SELECT unit FROM fine UNION SELECT unit FROM best))')} AS topk_overlap
+FROM (SELECT * FROM top WHERE place = 1) t LEFT JOIN ranks r USING (unit) LEFT JOIN flagged f ON f.id = t.unit""",
+  ",\n".join([_RATED, _ADJ, _REACH.replace("600e0", "300e0"), _PAIRING, _COARSE, _GI, _bh("gi")])).replace("WITH ", "WITH RECURSIVE ", 1))
 def maup_rank_stability(spark, d):
-    a = rated(spark, d).select("segment_id", "n", "estimate", "rate", "publishable")
+    segs = M.segments(spark, d)
+    near = network.network_neighbors(segs, network.segment_adjacency(segs, M.PLANE), 300.0).select("a", "b")
     pairs = network.maup_pairs(M.units(spark, d).select(F.col("id").alias("segment_id"), "lat", "lon"))
-    coarse = network.maup_aggregate(a, pairs).withColumn("rate", N.rate(F.col("n"), F.col("estimate")))
-    fine = a.join(pairs, "segment_id").groupBy("unit").agg(F.max("rate").alias("rate"))
-    return ranks.topk_overlap(fine.select(F.col("unit").alias("segment_id"), "rate"), coarse.select(F.col("unit").alias("segment_id"), "rate"))
+    return network.maup_rank_stability(rated(spark, d), pairs, near).withColumn("topk_overlap", r("topk_overlap"))
 
 
-@query()
+@query(M.sql("segments reports exposure", """SELECT shuffle, count(*) FILTER (r <= last AND z > 0) AS false_positives FROM (SELECT *, max(CASE WHEN p <= r / m * 0.05e0 THEN r END) OVER (PARTITION BY shuffle) AS last FROM ranked) GROUP BY shuffle""",
+  ",\n".join([_UNITS, _BAND, f"""placed AS (SELECT id, value, row_number() OVER (ORDER BY id) - 1 AS place FROM vals),
+dealt AS (SELECT shuffle, id, row_number() OVER (PARTITION BY shuffle ORDER BY md5('20260101-' || shuffle || '-' || id), id) - 1 AS place FROM vals, range(50) t(shuffle)),
+mixed AS (SELECT d.shuffle, d.id, v.value FROM dealt d JOIN placed v USING (place)),
+whole AS (SELECT shuffle, count(*) AS m, avg(value) AS mean, stddev_pop(value) AS sd FROM mixed GROUP BY 1),
+gi AS (SELECT shuffle, a, m, CASE WHEN sd * sqrt(greatest(0e0, (m * w - w * w) / (m - 1))) = 0 THEN 0e0 ELSE (wx - mean * w) / (sd * sqrt(greatest(0e0, (m * w - w * w) / (m - 1)))) END AS z
+  FROM (SELECT shuffle, n.a, count(*) AS w, sum(v.value) AS wx FROM near n JOIN mixed v ON v.id = n.b GROUP BY 1, 2) JOIN whole USING (shuffle)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY shuffle ORDER BY p, a) AS r FROM (SELECT *, {s_p('z')} AS p FROM gi))"""])))
 def null_calibration(spark, d):
     u = M.units(spark, d).where("exposure > 0")
     near = spatial.band_neighbors(u.select("id", "lat", "lon"), M.PLANE, 300.0)
-    return hotspot.null_calibration(u.select("id", N.rate(F.col("n"), F.col("exposure")).alias("value")), near, shuffles=50)
+    out = hotspot.null_calibration(u.select("id", N.rate(F.col("n"), F.col("exposure")).alias("value")), near, shuffles=50)
+    return out.select(F.col("shuffle").cast("long").alias("shuffle"), "false_positives")
 
 
-@query("""WITH n AS (SELECT l_orderkey AS way, l_linenumber AS i, l_suppkey AS node FROM lineitem WHERE l_orderkey % 4 = 0),
+@query("""WITH n AS (SELECT l_orderkey AS way, l_linenumber AS i, l_suppkey AS node FROM lineitem),
 shared AS (SELECT node FROM n GROUP BY node HAVING count(DISTINCT way) >= 2),
 m AS (SELECT *, node IN (SELECT node FROM shared) OR row_number() OVER (PARTITION BY way ORDER BY i) = 1 OR row_number() OVER (PARTITION BY way ORDER BY i DESC) = 1 AS cut FROM n)
 SELECT way AS way_id, CAST(count(*) FILTER (cut) - 1 AS BIGINT) AS pieces FROM m GROUP BY way HAVING count(*) FILTER (cut) >= 2""")
 def osm_split(spark, d):
     node = F.struct((F.col("l_suppkey") * 1.0).alias("lat"), F.lit(0.0).alias("lon"))
-    ways = M.table(spark, d, "lineitem").where("l_orderkey % 4 = 0").groupBy(F.col("l_orderkey").alias("way_id")).agg(
+    ways = M.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("way_id")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("i"), node.alias("p")))), lambda x: x["p"]).alias("nodes")
     )
     return network.split_ways(ways).groupBy("way_id").agg(F.count("*").alias("pieces"))
@@ -455,14 +556,36 @@ def weather_join(spark, d):
     return surfaces.weather_join(M.reports(spark, d), M.weather(spark, d)).select("matched", "unmatched", "wet", "dry")
 
 
+_CONDITION = "(CASE WHEN precip_mm > 1 THEN 'rain' WHEN wet THEN 'showers' ELSE 'clear' END)"
+
+
+@query(M.sql("reports weather", f"""SELECT {_CONDITION} AS condition, count(*) AS n, {sr('(SELECT avg(CAST(coalesce(wet, precip_mm > 0, false) AS DOUBLE)) FROM weather)')} AS baseline_wet_share
+FROM reports JOIN weather ON date = substr(occurred_at, 1, 10) GROUP BY 1"""))
+def weather_by_condition(spark, d):
+    days = M.weather(spark, d).withColumn("condition", F.expr(_CONDITION))
+    return surfaces.weather_by_condition(M.reports(spark, d), days).withColumn("baseline_wet_share", r("baseline_wet_share"))
+
+
 @query(M.sql("clean", f"SELECT segment_id, {_PART} AS part, count(*) AS true_count FROM clean WHERE segment_id IS NOT NULL GROUP BY 1, 2"))
 def dp_true_counts(spark, d):
     return surfaces.dp_true_counts(M.clean(spark, d))
 
 
-@query()
+#: The secret of the query, told here so that SQL can draw the same noise; a release has one of its own.
+_DEMO_SECRET = bytes(range(32))
+_PADS = {name: bytes(b ^ pad for b in _DEMO_SECRET.ljust(64, b"\0")).hex() for name, pad in (("inner", 0x36), ("outer", 0x5C))}
+_NOISE = f"""noise AS (SELECT *, -1e0 * sign(u) * ln(1e0 - 2e0 * abs(u)) AS noise FROM (SELECT *, (CAST('0x' || substr(sha256(from_hex('{_PADS['outer']}') || from_hex(sha256(from_hex('{_PADS['inner']}') || encode(segment_id || chr(31) || part)))), 1, 13) AS BIGINT) + 0.5e0) / 4503599627370496e0 - 0.5e0 AS u
+  FROM (SELECT segment_id, {_PART} AS part, count(*) AS true_count FROM clean WHERE segment_id IS NOT NULL GROUP BY 1, 2)))"""
+
+
+@query(M.sql("clean", "SELECT segment_id, part, CAST(greatest(0, round(true_count + noise)) AS BIGINT) AS published FROM noise", _NOISE))
 def dp_release(spark, d):
-    return surfaces.dp_release(surfaces.dp_true_counts(M.clean(spark, d)), 1.0, True, True, 7)
+    return surfaces.dp_release(surfaces.dp_true_counts(M.clean(spark, d)), 1.0, True, True, _DEMO_SECRET)
+
+
+@query(M.sql("clean", f"""SELECT count(*) AS cells, 1e0 AS noise_scale, count(*) * 1e0 AS composed_epsilon, {sr('avg(abs(noise))')} AS mean_absolute_noise, avg(abs(noise)) >= greatest(avg(true_count), 1) AS theater FROM noise""", _NOISE))
+def dp_accounting(spark, d):
+    return surfaces.dp_accounting(surfaces.dp_true_counts(M.clean(spark, d)), 1.0, _DEMO_SECRET)
 
 
 # ---------------------------------------------------------------- geometry scalars
@@ -487,12 +610,18 @@ def polyline_measures(spark, d):
 
 @query(M.sql("segments", f"SELECT segment_id, CAST(greatest(1, ceil({_LENGTH} / 50e0)) + 1 AS BIGINT) AS points FROM segments"))
 def densify(spark, d):
-    return M.segments(spark, d).select("segment_id", F.size(geo.samples(F.col("coords"), 50.0)).cast("long").alias("points"))
+    return M.segments(spark, d).select("segment_id", F.size(geo.samples(F.col("coords"), 50.0, geo.LONGEST_EDGE_M)).cast("long").alias("points"))
 
 
-@query(M.sql("segments", "SELECT segment_id, street FROM segments"))
+@query(M.sql("segments", f"SELECT segment_id, CAST(floor(len / 50e0) + 2 AS BIGINT) AS points, {sr('x0 + (x1 - x0) * (3 * 50e0 / len)', 3)} AS x FROM (SELECT *, x1 - x0 AS len FROM (SELECT segment_id, (lon1 - -121.7e0) * {M._K} AS x0, (lon2 - -121.7e0) * {M._K} AS x1 FROM segments))"))
+def densify_floor(spark, d):
+    points = geo.densify(F.col("coords"), M.PLANE, 50.0)
+    return M.segments(spark, d).select("segment_id", F.size(points).cast("long").alias("points"), r(F.get(points, F.lit(3))["x"], 3).alias("x"))
+
+
+@query(M.sql("segments", "SELECT segment_id, street, 'c' || (pos % 10) || '|c' || (pos % 10 + 1) AS span FROM segments"))
 def street_and_span(spark, d):
-    return M.segments(spark, d).select("segment_id", X.street_name(F.col("name")).alias("street"))
+    return M.segments(spark, d).select("segment_id", X.street_name(F.col("name")).alias("street"), F.array_join(X.span(F.col("name")), "|").alias("span"))
 
 
 # ---------------------------------------------------------------- ranks
@@ -535,10 +664,16 @@ def topk_overlap(spark, d):
 
 
 @query(M.sql("attached", """SELECT count(*) AS comparable, count(*) FILTER (x.pb < y.pb) AS concordant FROM c x JOIN c y ON x.pa < y.pa""",
-  _RATED + """, c AS (SELECT * FROM (SELECT segment_id, row_number() OVER (ORDER BY rate DESC, segment_id) AS pa FROM rated WHERE rate IS NOT NULL QUALIFY pa <= 50)
-  JOIN (SELECT segment_id, row_number() OVER (ORDER BY n DESC, segment_id) AS pb FROM rated QUALIFY pb <= 50) USING (segment_id))"""))
+  _RATED + """, c AS (SELECT segment_id, row_number() OVER (ORDER BY rate DESC, segment_id) AS pa, row_number() OVER (ORDER BY n DESC, segment_id) AS pb FROM rated WHERE rate IS NOT NULL AND publishable)"""))
 def kendall_concordance(spark, d):
-    return ranks.kendall_concordance(*_two(spark, d))
+    a = rated(spark, d).select("segment_id", "rate", "publishable", "n")
+    return ranks.kendall_concordance(a, a.withColumn("rate", F.when(F.col("rate").isNotNull(), F.col("n").cast("double"))), 16)
+
+
+@query("""SELECT count(*) AS comparable, count(*) FILTER (x.pb < y.pb) AS concordant FROM c x JOIN c y ON x.pa < y.pa""".replace("SELECT", "WITH c AS (SELECT row_number() OVER (ORDER BY p_retailprice DESC, CAST(p_partkey AS VARCHAR)) AS pa, row_number() OVER (ORDER BY p_size DESC, CAST(p_partkey AS VARCHAR)) AS pb FROM part)\nSELECT", 1))
+def kendall_many(spark, d):
+    part = M.table(spark, d, "part").withColumn("segment_id", F.col("p_partkey").cast("string"))
+    return ranks.kendall_concordance(part.select("segment_id", F.col("p_retailprice").alias("rate")), part.select("segment_id", F.col("p_size").alias("rate")), 300)
 
 
 @query(M.sql("attached", f"""SELECT segment_id, {sr('rate')} AS rate FROM rated, (SELECT median(rate) AS m FROM rated WHERE publishable AND rate IS NOT NULL)
@@ -564,9 +699,16 @@ def rate_classes(spark, d):
     return ranks.rate_classes(rated(spark, d)).select("segment_id", r("rate"), "class")
 
 
-@query(_CITY_SQL + f"SELECT segment_id, {sr('z')} AS z FROM rated JOIN flagged f ON f.id = segment_id WHERE rejected AND z > 0 AND publishable")
+_PLANTED = "planted AS (SELECT * REPLACE (CASE WHEN pos BETWEEN 22 AND 25 THEN estimate / 20e0 ELSE estimate END AS estimate) FROM attached),\n"
+_PLANTED_SQL = M.sql("attached", "", _PLANTED + _CITY.replace("FROM attached)", "FROM planted)")).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(_PLANTED_SQL + f"SELECT segment_id, {sr('z')} AS z FROM rated JOIN flagged f ON f.id = segment_id WHERE rejected AND z > 0 AND publishable")
 def hotspots_by_z(spark, d):
-    out = city.segment_statistics(M.clean(spark, d), M.segments(spark, d), M.exposure(spark, d), M.PLANE)
+    """With a planted hot spot: a twentieth of the exposure on four neighbouring blocks."""
+    planted = F.substring("segment_id", 5, 2).cast("int").between(22, 25)
+    exposure = M.exposure(spark, d).withColumn("estimate", F.when(planted, F.col("estimate") / 20).otherwise(F.col("estimate")))
+    out = city.segment_statistics(M.clean(spark, d), M.segments(spark, d), exposure, M.PLANE)
     return out.where("significant and publishable").orderBy(F.desc("z")).select("segment_id", r("z"))
 
 
@@ -577,7 +719,5 @@ def name_contains_filter(spark, d):
 
 @query(M.sql("attached", f"SELECT CAST(row_number() OVER (ORDER BY rate DESC NULLS LAST, segment_id) AS INT) AS place, segment_id FROM rated", _RATED))
 def table_sort(spark, d):
-    rows = rated(spark, d).orderBy(F.col("rate").desc_nulls_last(), "segment_id").limit(1000)
-    from pyspark.sql import Window
-
-    return rows.select(F.row_number().over(Window.orderBy(F.col("rate").desc_nulls_last(), "segment_id")).alias("place"), "segment_id")
+    placed = ranks.numbered(rated(spark, d), [F.col("rate").desc_nulls_last(), "segment_id"], "at")
+    return placed.select((F.col("at") + 1).cast("int").alias("place"), "segment_id")

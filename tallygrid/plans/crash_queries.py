@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import crash as C
+from ..operators.ranks import numbered
 from . import mapping as M
 from .registry import query
 
@@ -47,9 +48,9 @@ def crash_local_time(spark, d):
     return C.map_rows(_accidents(spark, d)).select("case_id", "local_time")
 
 
-@query("SELECT o_custkey // 7 AS k, any_value(o_orderkey) AS o_orderkey FROM orders GROUP BY 1 HAVING count(*) = 1")
+@query("SELECT o_custkey * 12 + month(o_orderdate) AS k, any_value(o_orderkey) AS o_orderkey FROM orders GROUP BY 1 HAVING count(*) = 1")
 def crash_duplicates(spark, d):
-    rows = M.table(spark, d, "orders").select(F.floor(F.col("o_custkey") / 7).alias("k"), "o_orderkey")
+    rows = M.table(spark, d, "orders").select((F.col("o_custkey") * 12 + F.month("o_orderdate")).alias("k"), "o_orderkey")
     return C.drop_all_duplicates(rows, "k")[0]
 
 
@@ -178,23 +179,22 @@ def mode_summary(spark, d):
 
 @query(M.sql("persons cases", "SELECT CAST(row_number() OVER (ORDER BY cases DESC, state) AS INT) AS place, state, cases FROM cells WHERE mode = 'N-O' AND cases >= 60", _CELLS))
 def burden_rank(spark, d):
-    from pyspark.sql import Window
-
     cells = C.suppress(_state_cells(spark, d)[1], "cases", 60).where("mode = 'N-O' and status = 'published'")
-    return cells.select(F.row_number().over(Window.orderBy(F.desc("cases"), "state")).alias("place"), "state", "cases")
+    return numbered(cells, [F.desc("cases"), "state"], "at").select((F.col("at") + 1).cast("int").alias("place"), "state", "cases")
 
 
-@query(M.sql("persons cases", "SELECT mode, max(cases) FILTER (state = 3) AS a, max(cases) FILTER (state = 7) AS b FROM cells GROUP BY mode", _CELLS))
+@query(M.sql("persons cases", "SELECT mode, max(cases) FILTER (state = 3 AND cases >= 60) AS a, max(cases) FILTER (state = 7 AND cases >= 60) AS b FROM cells GROUP BY mode", _CELLS))
 def state_comparison(spark, d):
-    return _state_cells(spark, d)[1].groupBy("mode").agg(
+    return C.suppress(_state_cells(spark, d)[1], "cases", 60).groupBy("mode").agg(
         F.max(F.when(F.col("state") == 3, F.col("cases"))).alias("a"), F.max(F.when(F.col("state") == 7, F.col("cases"))).alias("b")
     )
 
 
-@query(M.sql("persons cases", "SELECT year, mode, count(DISTINCT case_id) AS cases FROM persons JOIN cases USING (case_id) WHERE state = 5 GROUP BY 1, 2"))
+@query(M.sql("persons cases", """SELECT year, mode, CASE WHEN cases >= 60 THEN 'published' ELSE 'suppressed_or_zero' END AS status, CASE WHEN cases >= 60 THEN cases END AS cases
+FROM (SELECT year, mode, count(DISTINCT case_id) AS cases FROM persons JOIN cases USING (case_id) WHERE state = 5 GROUP BY 1, 2)"""))
 def state_profile_by_year(spark, d):
     rows, _ = _state_cells(spark, d)
-    return rows.where("state = 5").groupBy("year", "mode").agg(F.count_distinct("case_id").alias("cases"))
+    return C.suppress(rows.where("state = 5").groupBy("year", "mode").agg(F.count_distinct("case_id").alias("cases")), "cases", 60)
 
 
 @query(M.sql("persons cases", """SELECT count(*) FILTER (a >= 60 AND b >= 60) AS comparable, count(*) FILTER (NOT coalesce(a >= 60 AND b >= 60, false)) AS excluded FROM (

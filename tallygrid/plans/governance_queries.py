@@ -50,10 +50,10 @@ def approve_reject(spark, d):
 
 
 @query(rf"""SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}') THEN 'email' END,
-  CASE WHEN regexp_matches(text, '\b\d{{3}}[-.\s]?\d{{3}}[-.\s]?\d{{4}}\b') THEN 'phone' END) AS flags FROM documents""")
+  CASE WHEN regexp_matches(text, '\b\d{{3}}[-.\s]?\d{{3}}[-.\s]?\d{{4}}\b') THEN 'phone' END,
+  CASE WHEN len(list_filter(regexp_extract_all(regexp_replace(text, '[^\p{{L}}\p{{N}}_]', '  ', 'g'), '(?:^| )([A-Z0-9]{{5,8}})(?: |$)', 1), lambda x: regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[0-9]'))) > 0 THEN 'plate' END) AS flags FROM documents""")
 def pii_flags(spark, d):
-    flags = F.filter(X.pii_flags(F.col("text")), lambda f: f != "plate")
-    return M.table(spark, d, "documents").select("doc_id", F.array_join(flags, ",").alias("flags"))
+    return M.table(spark, d, "documents").select("doc_id", F.array_join(X.pii_flags(F.col("text")), ",").alias("flags"))
 
 
 @query("SELECT doc_id, CASE WHEN " + " WHEN ".join(
@@ -98,16 +98,23 @@ def approved_union_dedupe(spark, d):
     return G.approved_union(pick(3, "queue"), pick(2, "store"))
 
 
-@query(M.sql("reports", "SELECT report_id, CASE WHEN hazard_type IN ('close_pass','dooring','surface_hazard','sightline','signal','debris','other') THEN 0 ELSE 1 END + CASE WHEN accuracy_m > 100000 THEN 1 ELSE 0 END AS problems FROM reports"))
+@query(M.sql("reports", """SELECT report_id, concat_ws('; ', CASE WHEN hazard_type NOT IN ('close_pass','dooring','surface_hazard','sightline','signal','debris','other') THEN 'hazard_type: not valid' END,
+  CASE WHEN report_id % 7 = 3 THEN 'lat: not valid' END, CASE WHEN report_id % 5 = 2 THEN 'location: not valid' END, CASE WHEN report_id % 40 = 0 THEN 'accuracy_m: not valid' END) AS problems FROM reports"""))
 def validate_report(spark, d):
-    return G.validate_reports(M.reports(spark, d)).select("report_id", F.size("problems").alias("problems"))
+    k = F.col("report_id")
+    rows = M.reports(spark, d).withColumns({
+        "lat": F.when(k % 7 == 3, 91.0).otherwise(F.col("lat")), "lon": F.when(k % 5 != 2, F.col("lon")), "accuracy_m": F.when(k % 40 == 0, 0.0).otherwise(F.col("accuracy_m")),
+    })
+    return G.validate_reports(rows).select("report_id", F.array_join("problems", "; ").alias("problems"))
 
 
 @query(M.sql("attached", """SELECT *, usable / segments AS usable_share, observed / segments AS observed_share,
   CASE WHEN usable = 0 THEN 0 WHEN usable / segments < 0.5 THEN 1 WHEN observed / segments < 0.5 THEN 2 ELSE 3 END AS tier
-FROM (SELECT count(*) AS segments, count(*) FILTER (estimate > 0) AS usable, count(*) FILTER (estimate > 0 AND tier = 'observed') AS observed, CAST(0 AS BIGINT) AS stale FROM attached)"""))
+FROM (SELECT count(*) AS segments, count(*) FILTER (estimate > 0) AS usable, count(*) FILTER (estimate > 0 AND tier = 'observed') AS observed,
+  count(*) FILTER (estimate > 0 AND abs(epoch(CAST(date AS TIMESTAMP)) - epoch(TIMESTAMP '1998-07-15')) > 7 * 86400) AS stale FROM attached)"""))
 def coverage_assess(spark, d):
-    return G.coverage_assess(attached(spark, d), F.lit(False))
+    at = lambda c: F.unix_timestamp(F.try_to_timestamp(c, F.lit("yyyy-MM-dd")))
+    return G.coverage_assess(attached(spark, d), rates.is_stale(at(F.col("date")), at(F.lit("1998-07-15")), 7))
 
 
 @query("""SELECT count(*) AS groups, count(*) FILTER (n < 52) AS small_groups, CAST(coalesce(sum(n) FILTER (n < 52), 0) AS BIGINT) AS small_rows, CAST(sum(n) AS BIGINT) AS rows
@@ -160,6 +167,12 @@ def scorecard(spark, d):
     return G.scorecard(_sig(spark, d).select("segment_id", "significant", "rate_ci_low", "rate_ci_high"), truth).select("recall", "precision", "background_fp")
 
 
+@query("SELECT p_partkey, CASE p_type WHEN 'PROMO BURNISHED COPPER' THEN 'copper' WHEN 'promo burnished copper' THEN 'never' ELSE 'none' END AS mapped FROM part")
+def crosswalk_exact(spark, d):
+    rules = spark.createDataFrame([(1, "PROMO BURNISHED COPPER", "copper"), (2, "promo burnished copper", "never"), (3, "PROMO BURNISHED", "part")], "priority int, pattern string, target string")
+    return G.crosswalk_lookup(M.table(spark, d, "part"), rules, "p_type", "none", exact=True).select("p_partkey", "mapped")
+
+
 @query("SELECT p_partkey, CASE WHEN contains(lower(p_type), 'brass') THEN 'metal' WHEN contains(lower(p_type), 'a') THEN 'has_a' ELSE 'none' END AS mapped FROM part")
 def crosswalk_lookup(spark, d):
     rules = spark.createDataFrame([(1, "BRASS", "metal"), (2, "a", "has_a"), (3, "brass", "late")], "priority int, pattern string, target string")
@@ -180,3 +193,12 @@ def bottom_line_top3(spark, d):
 def forbidden_key_guard(spark, d):
     rows = G.published_rows(rated(spark, d).select("segment_id", "coords", "rate", "publishable"))
     return G.geometry_leaks(rows, M.reports(spark, d)).agg(F.count("*").alias("leaks"))
+
+
+_METADATA = '{"peak": 12, "mode": "all", "points": [38.50252, -121.69850, 38.505, -121.6985, 38.50502, -121.6984], "note": null}'
+
+
+@query(M.sql("reports", f"""SELECT 'private key' AS problem, k AS what FROM (VALUES ('note'), ('mode')) t(k)
+UNION ALL SELECT 'raw coordinate', CAST(report_id AS VARCHAR) FROM reports WHERE contains('{_METADATA}', CAST(round(lat, 5) AS VARCHAR)) AND contains('{_METADATA}', CAST(round(lon, 5) AS VARCHAR))"""))
+def metadata_guard(spark, d):
+    return G.metadata_leaks(_METADATA, M.reports(spark, d))

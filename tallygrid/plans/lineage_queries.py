@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lineage as L
 from . import mapping as M
-from .city_queries import _RATED, rated
+from .city_queries import _GREEDY, _PAIRS, _RATED, rated
 from .crash_queries import _state_cells
 from .registry import query
 
@@ -86,7 +86,8 @@ def joined_artifact(spark, d):
     return L.artifact_accounting(o, s, "case_id")
 
 
-@query()
+@query(M.sql("clean", " UNION ALL ".join(f"""SELECT {s} AS snap_max, 600 AS window_s, 15e0 AS distance_m, count(*) AS kept, count(*) FILTER (snapped_distance_m <= {s}) AS snapped
+FROM clean WHERE report_id NOT IN (SELECT report_id FROM gone)""" for s in ("10e0", "25e0")), _PAIRS + ",\n" + _GREEDY).replace("WITH ", "WITH RECURSIVE ", 1))
 def sensitivity_grid(spark, d):
     return L.sensitivity_grid(M.reports(spark, d), M.segments(spark, d), M.PLANE, (10.0, 25.0), (600,), (15.0,))
 

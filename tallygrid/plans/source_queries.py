@@ -23,7 +23,8 @@ def corridor_id(spark, d):
     return o.select("k", X.corridor_id(F.col("ids")).alias("corridor_id"))
 
 
-@query()
+@query("""SELECT o_orderkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || lower(to_hex((CAST('0x' || substr(h, 17, 2) AS INT) & 63) | 128)) || substr(h, 19, 2) || '-' || substr(h, 21, 12) AS id
+FROM (SELECT o_orderkey, sha1(from_hex('6ba7b8119dad11d180b400c04fd430c8') || encode('case:' || o_orderkey)) AS h FROM orders)""")
 def uuid5_id(spark, d):
     return M.table(spark, d, "orders").select("o_orderkey", X.uuid5(uuid.NAMESPACE_URL, F.concat(F.lit("case:"), F.col("o_orderkey").cast("string"))).alias("id"))
 
@@ -45,12 +46,11 @@ def parse_ts(spark, d):
     return M.reports(spark, d).select("report_id", X.epoch(F.col("occurred_at")).alias("epoch"))
 
 
-@query(M.sql("segments", """SELECT segment_id, '{"type":"Feature","geometry":{"type":"LineString","n":2},"properties":{"segment_id":"' || segment_id || '"}}' AS feature FROM segments"""))
+@query(M.sql("segments", """SELECT segment_id, '{"type":"Feature","geometry":{"type":"LineString","coordinates":[[' || lon1 || ',' || lat || '],[' || lon2 || ',' || lat || ']]},"properties":{"segment_id":"' || segment_id || '"}}' AS feature FROM segments"""))
 def geojson_features(spark, d):
     from ..sources.sinks import features
 
-    rows = features(M.segments(spark, d).select("segment_id", "coords"))
-    return rows.select("segment_id", F.regexp_replace("feature", r'"coordinates":\[\[[^\]]*\],\[[^\]]*\]\]', '"n":2').alias("feature"))
+    return features(M.segments(spark, d).select("segment_id", "coords")).select("segment_id", "feature")
 
 
 @query("SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'África' WHEN 1 THEN 'América' ELSE 'otra' END AS label FROM nation")

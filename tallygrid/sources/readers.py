@@ -83,15 +83,33 @@ def weather_json(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode(rows).alias("r")).select("r.date", "r.wet", "r.precip_mm", "r.condition")
 
 
-#: Weather codes up to which a condition holds.
-WEATHER_CODES = ((0, "clear"), (3, "cloudy"), (48, "fog"), (67, "rain"), (77, "snow"), (82, "rain"), (86, "snow"), (99, "thunderstorm"))
+def crosswalk_toml(spark: SparkSession, path: str) -> dict:
+    """A crosswalk file: tables source (with bias_profile), hazard_type and severity; for `governance.apply_crosswalk`."""
+    import tomllib
+
+    return tomllib.loads(_whole(spark, path).first()["value"])
+
+
+#: First and last weather code of each condition; codes between are other.
+WEATHER_CODES = (
+    ("clear", 0, 0),
+    ("partly_cloudy", 1, 3),
+    ("fog", 45, 45),
+    ("fog", 48, 48),
+    ("rain", 51, 67),
+    ("snow", 71, 77),
+    ("showers", 80, 82),
+    ("snow_showers", 85, 86),
+    ("thunderstorm", 95, 99),
+)
 
 
 def weather_condition(code) -> object:
-    out = None
-    for most, name in WEATHER_CODES:
-        out = F.when(code <= most, name) if out is None else out.when(code <= most, name)
-    return out.otherwise("unknown")
+    """The condition of a weather code; other outside all ranges and without a code."""
+    out = F.when(code.isNull(), "other")
+    for name, first, last in WEATHER_CODES:
+        out = out.when(code.between(first, last), name)
+    return out.otherwise("other")
 
 
 def weather_archive(spark: SparkSession, path: str) -> DataFrame:

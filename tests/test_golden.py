@@ -7,10 +7,11 @@ import uuid
 import pytest
 
 from pyspark.sql import functions as F
+from tallygrid.functions import geo
 from tallygrid.functions import numerics as N
 from tallygrid.functions import text as X
 from tallygrid.functions.geo import Plane, polyline_centroid
-from tallygrid.operators import city, crash, dedupe, hotspot, network, ranks, rates, spatial, surfaces
+from tallygrid.operators import city, crash, dedupe, governance, hotspot, network, ranks, rates, spatial, surfaces
 from tallygrid.sources import readers, sinks
 
 PLANE = Plane(33.9533, -117.3962)
@@ -119,8 +120,8 @@ def test_reachability_is_dijkstra(spark, monkeypatch, few):
 def test_planted_hot_spot(spark):
     out = {r.id: r for r in hotspot.unit_analyze(hotspot.planted_units(spark), Plane(0.0, 0.0), 300.0).collect()}
     assert all(out[f"hot-{i}"].significant for i in range(3)) and sum(r.significant for r in out.values()) == 3
-    exact = spark.createDataFrame([(x / 4,) for x in range(20)], "z double").select("z", N.two_sided_p(F.col("z")).alias("a"), N.two_sided_p_exact(F.col("z")).alias("b"))
-    assert all(abs(r.a - r.b) < 2e-7 for r in exact.collect())
+    exact = spark.createDataFrame([(x / 16,) for x in range(-160, 480)], "z double").select("z", N.two_sided_p(F.col("z")).alias("p"))
+    assert all(abs(r.p / math.erfc(abs(r.z) / math.sqrt(2)) - 1) < 1e-13 for r in exact.collect())
 
 
 def test_rejections_of_ties_and_none(spark):
@@ -158,12 +159,130 @@ def test_crash_batch_fails_as_a_whole(spark):
 
 def test_noise_is_unbiased_and_guarded(spark):
     t = spark.range(4000).selectExpr("cast(id as string) as segment_id", "'midday' as part", "cast(100 as bigint) as true_count")
-    out = surfaces.dp_release(t, 1.0, True, True, 3)
+    key = bytes(range(16))
+    out = surfaces.dp_release(t, 1.0, True, True, key)
     v = [r.published for r in out.collect()]
     assert "true_count" not in out.columns and abs(sum(v) / len(v) - 100) < 0.15 and abs(sum((x - 100) ** 2 for x in v) / len(v) - 2) < 0.4
-    assert surfaces.dp_release(t, 1.0, False, False, 3).count() == 0
+    assert v == [r.published for r in out.repartition(3).orderBy(F.col("segment_id").cast("int")).collect()]
+    assert key.hex() not in out._jdf.queryExecution().toString()
+    fresh = [[r.published for r in surfaces.dp_release(t, 1.0, True, True).collect()] for _ in range(2)]
+    assert fresh[0] != fresh[1] and v not in fresh
+    assert surfaces.dp_release(t, 1.0, False, False).count() == 0
     with pytest.raises(PermissionError):
-        surfaces.dp_release(t, 1.0, True, False, 3)
+        surfaces.dp_release(t, 1.0, True, False, key)
+    for epsilon, secret in ((0.0, key), (-1.0, key), (math.nan, key), (1.0, b"short")):
+        with pytest.raises(ValueError):
+            surfaces.dp_release(t, epsilon, True, True, secret)
+    told = surfaces.dp_accounting(t, 0.5, key).first()
+    assert told.cells == 4000 and told.noise_scale == 2.0 and told.composed_epsilon == 2000.0 and not told.theater and 1.9 < told.mean_absolute_noise < 2.1
+    assert surfaces.dp_accounting(t.withColumn("true_count", F.lit(1)), 0.5, key).first().theater
+
+
+def test_nothing_private_is_published(spark):
+    good = spark.createDataFrame([("a", 5, True), ("b", 2, False), ("c", 0, True)], "segment_id string, n long, publishable boolean")
+    assert {r.segment_id for r in governance.published_rows(good).collect()} == {"a", "c"}
+    for key in ("reporter_token", "occurred_at", "note", "heading_deg", "lat", "lon", "accuracy_m", "mode", "severity", "true_count", "True_Count"):
+        with pytest.raises(ValueError, match="private"):
+            governance.published_rows(good.withColumn(key, F.lit(1)))
+    with pytest.raises(ValueError, match="below 3"):
+        governance.published_rows(good.withColumn("publishable", F.lit(True)))
+    reports = spark.createDataFrame([(1, 38.123456, -121.5), (2, 38.2, -121.6)], "report_id long, lat double, lon double")
+    leaks = lambda text: sorted((r.problem, r.what) for r in governance.metadata_leaks(text, reports).collect())
+    assert leaks('{"at": [38.12346, -121.5], "other": 38.2}') == [("raw coordinate", "1")]
+    assert leaks('{"note": 1, "true_count": 2}') == [("private key", "note"), ("private key", "true_count")] and leaks("{}") == []
+
+
+def test_weather_codes(spark):
+    from tallygrid.sources.readers import weather_condition
+
+    want = {0: "clear", 2: "partly_cloudy", 4: "other", 44: "other", 45: "fog", 46: "other", 48: "fog", 50: "other", 51: "rain", 67: "rain", 70: "other",
+            75: "snow", 81: "showers", 83: "other", 86: "snow_showers", 90: "other", 95: "thunderstorm", 100: "other", None: "other"}
+    got = spark.createDataFrame([(c,) for c in want], "c int").select("c", weather_condition(F.col("c")).alias("w")).collect()
+    assert {r.c: r.w for r in got} == want
+
+
+def test_order_of_all_pairs(spark):
+    draw = random.Random(6)
+    rows = [(f"s{i}", draw.choice([None, *range(40)]), draw.randint(0, 30), draw.random() > 0.1) for i in range(300)]
+    a = spark.createDataFrame([(i, None if x is None else float(x), p) for i, x, _, p in rows], "segment_id string, rate double, publishable boolean").repartition(3)
+    b = spark.createDataFrame([(i, float(y)) for i, _, y, _ in rows[:250]], "segment_id string, rate double")
+    both = [(i, x, y) for i, x, y, p in rows[:250] if x is not None and p]
+    pa = {r[0]: k for k, r in enumerate(sorted(both, key=lambda r: (-r[1], r[0])))}
+    pb = {r[0]: k for k, r in enumerate(sorted(both, key=lambda r: (-r[2], r[0])))}
+    good = sum((pa[u[0]] < pa[v[0]]) == (pb[u[0]] < pb[v[0]]) for k, u in enumerate(both) for v in both[:k])
+    n = len(both)
+    for block in (7, 60, 50_000):
+        assert tuple(ranks.kendall_concordance(a, b, block).first()) == (n * (n - 1) // 2, good)
+    assert tuple(ranks.kendall_concordance(a.where("false"), b).first()) == (0, 0)
+    none = a.where("false").select("segment_id", "rate")
+    assert ranks.topk_overlap(none, none).first().overlap == 0.0
+
+
+def test_numbers_in_order(spark):
+    frame = spark.createDataFrame([(i * 7919 % 500,) for i in range(500)], "x int").repartition(5)
+    got = ranks.numbered(frame, ["x"], "at").collect()
+    assert all(r.x == r.at for r in got) and len(got) == 500
+
+
+def test_pairs_of_segments_by_rings(spark):
+    import pandas as pd
+
+    draw = random.Random(11)
+    for n in (0, 1, 2, 7, 90):
+        at = {f"s{i:03d}": (38 + draw.random() * draw.choice((0.01, 0.3)), -121 - draw.random() * 0.05) for i in range(n)}
+        free, want = dict(at), {}
+        for s in sorted(at):
+            if s in free:
+                p = free.pop(s)
+                want[s] = s
+                if free:
+                    o = min(free, key=lambda q: (geo.haversine_plain(*p, *free[q]), q))
+                    free.pop(o)
+                    want[o] = s
+        rows = pd.DataFrame([(s, *p) for s, p in at.items()], columns=["segment_id", "lat", "lon"])
+        assert dict(network._paired(rows)) == want
+    cities = spark.createDataFrame([("a1", 0.0, 0.0, "a"), ("a2", 0.0, 9.0, "a"), ("b1", 0.0, 0.001, "b"), ("b2", 0.0, 9.001, "b")], "segment_id string, lat double, lon double, city string")
+    assert {r.segment_id: r.unit for r in network.maup_pairs(cities, "city").collect()} == {"a1": "a1", "a2": "a1", "b1": "b1", "b2": "b1"}
+
+
+def test_names_and_order_of_corridors(spark):
+    p = lambda x, y=0.0: (38.5 + y * 0.003, -121.7 + x * 0.003)
+    rows = [
+        ("s2", "5th St (Z–Y)", [p(0), p(1)], 5, 10.0, "a", "d"), ("s1", "5th St (Y–A)", [p(1), p(2)], 5, 10.0, "a", "e"),
+        ("t3", "Oak St (K–L)", [p(9, 1), p(8, 1)], 1, None, None, "d"), ("t1", "Oak St (L–M)", [p(8, 1), p(7, 1)], 1, 3.0, "b", "d"), ("t2", "Oak St (M-N)", [p(7, 1), p(6, 1)], 1, 3.0, "b", "d"),
+        ("u1", "Elm St (A–B)", [p(0, 5), p(1, 5)], 1, 1.0, "a", "d"), ("u2", "Elm St (B–C)", [p(1, 5), p(2, 5)], 1, 1.0, "a", "d"), ("u3", "Elm St (B–D)", [p(1, 5), p(1, 6)], 1, 1.0, "a", "d"), ("u4", "Elm St (B–E)", [p(1, 5), p(1, 4)], 1, 1.0, "a", "d"),
+        ("v1", "Ash St", [p(0, 9), p(1, 9)], 1, 1.0, "a", "d"), ("v2", "Ash St", [p(1, 9), p(2, 9)], 1, 1.0, "a", "d"),
+    ]
+    frame = spark.createDataFrame([(*r, True, True) for r in rows], "segment_id string, name string, coords array<struct<lat: double, lon: double>>, n long, estimate double, exposure_source string, exposure_date string, significant boolean, publishable boolean")
+    got = {r.name: r for r in network.corridors(frame, Plane(38.5, -121.7)).collect()}
+    assert set(got) == {"5th St (Z–A)", "Oak St (N–K)", "Elm St (merged: u1, u2, u3, u4)", "Ash St (merged: v1, v2)"}
+    fifth, oak = got["5th St (Z–A)"], got["Oak St (N–K)"]
+    assert fifth.segment_ids == ["s1", "s2"] and fifth.exposure_source == "a" and fifth.exposure_date == "mixed" and fifth.confidence_label == "certain" and fifth.rate == 500.0
+    assert oak.segment_ids == ["t2", "t1", "t3"] and oak.rate is None and oak.exposure_source == "mixed" and oak.confidence_label == "uncertain"
+
+
+def test_crosswalk_files(spark, tmp_path):
+    from tallygrid.sources.readers import crosswalk_toml
+
+    answers = "\n".join(f'{a} = "{"a long enough answer about this very axis "}{a}"' for a in governance.BIAS_AXES)
+    rest = '[hazard_type]\ndefault = "other"\nrules = [{when = "Close pass", value = "close_pass"}]\n[severity]\nrules = [{contains = "hurt", value = "serious"}, {contains = "h", value = "minor"}]\n'
+    path = tmp_path / "c.toml"
+    path.write_text(f'[source]\nid = "x"\nname = "X"\nurl = "u"\nlicense = "l"\nbias_label = "b"\n[source.bias_profile]\n{answers}\n{rest}')
+    said = crosswalk_toml(spark, str(path))
+    rows = spark.createDataFrame([(1, "Close pass", "HURT badly"), (2, "close pass", "oh"), (3, None, None), (4, "Close pass!", "")], "id int, kind string, harm string")
+    got = {r.id: (r.hazard_type, r.severity, r.bias_label) for r in governance.apply_crosswalk(rows, said, "kind", "harm").collect()}
+    assert got == {1: ("close_pass", "serious", "b"), 2: ("other", "minor", "b"), 3: ("other", "near_miss", "b"), 4: ("other", "near_miss", "b")}
+    said["source"]["bias_profile"]["language"] = "n/a"
+    said["severity"]["default"] = "awful"
+    assert governance.crosswalk_problems(said) == ["bias axis language is not answered", "severity: awful is not known"]
+
+
+def test_exposure_from_counters(spark):
+    segs = spark.createDataFrame([("a",), ("b",), ("c",)], "segment_id string")
+    snapped = spark.createDataFrame([(1, "a", 4.0), (2, "a", 8.0), (3, "b", 1.0), (4, None, 50.0)], "counter_id int, segment_id string, count double")
+    build = lambda **k: {r.segment_id: (r.estimate, r.source) for r in rates.build_exposure(snapped, segs, "s", "d", **k).collect()}
+    assert build() == {"a": (12.0, "s"), "b": (1.0, "s")} and build(how="max")["a"][0] == 8.0
+    assert build(how="mean", fallback=True)["c"] == (3.5, "modeled_flat_prior (s)") and build(fallback=True, prior=2.0)["c"][0] == 2.0 and "c" not in build(fallback=True, prior=0.0)
 
 
 def test_files(spark, tmp_path):

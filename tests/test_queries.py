@@ -32,6 +32,5 @@ def test_equals_sql(spark, duck, data, name):
     assert number(plain(got, columns)) == number(plain(want, columns))
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_runs(spark, data, name):
-    assert registry.QUERIES[name](spark, data).columns
+def test_every_query_has_sql():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
