@@ -9,8 +9,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows handed to Python at once: whole texts are kilobytes each, so batches stay near ten megabytes.
+#: Rows and bytes handed to Python at once; a longer text is a batch of its own.
 ARROW_ROWS = 1000
+ARROW_BYTES = 32 << 20
 #: Dimension tables at or under this many rows may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -21,9 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the Arrow batches of this session, unless somebody has bounded them already."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound the Arrow batches of this session by rows and bytes, unless somebody has bounded them more.
+
+    The frames are worked out later than they are made, so the bounds stay.
+    """
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", ARROW_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -61,6 +68,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own, by the file system that Spark has for it."""
+    context = spark.sparkContext
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(context._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def fresh(frame: DataFrame, *names: str) -> list[str]:
     """Names for helper columns that `frame` does not have, in any case of letters."""
     taken = {c.lower() for c in frame.columns}
@@ -70,49 +84,34 @@ def fresh(frame: DataFrame, *names: str) -> list[str]:
     return [mark + n for n in names]
 
 
-# ---------------------------------------------------------------- range buckets
+# ---------------------------------------------------------------- ranges of doc_id
 
 
 LOWEST = -(2**63)
+#: Ranges that a table is cut into at the most; beyond, ranges grow.
+MOST_RANGES = 200_000
 
 
-class Ranges:
-    """Consecutive key ranges of about equal row counts: `heads[i]` is the least key of range i.
+def place() -> list[Column]:
+    """key, mark: by what rows are cut into ranges of doc_id, null first, and of text: its first 64 code points."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("key"), F.substring(text_or_empty(), 1, 64).alias("mark")]
 
-    Only the key column is read. What comes to the driver is one key per range. Rows of equal
-    key fall into one range; a null key counts as the lowest.
-    """
 
-    def __init__(self, frame: DataFrame, key: str, rows_per_range: int = 4000):
-        self.key = F.coalesce(F.col(key).cast("long"), F.lit(LOWEST))
-        keys = frame.select(self.key.alias("k"))
-        shuffles = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.rows = keys.count()
-        wanted = max(1, min(self.rows, max(2 * shuffles, -(-self.rows // rows_per_range))))
-        found = (
-            keys.repartitionByRange(wanted, "k").groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("k"))
-        )
-        self.heads = sorted({r.k for r in found.collect()}) or [LOWEST]
-
-    def __len__(self) -> int:
-        return len(self.heads)
-
-    def array(self) -> Column:
-        """The heads as an array of longs."""
-        said = (f"{h}L" if h > LOWEST else "(-9223372036854775807L - 1L)" for h in self.heads)
-        return F.expr(f"array({','.join(said)})")
-
-    def of(self) -> Column:
-        """The range of a row's key, by binary search in the heads."""
-        n, heads = len(self.heads), self.array()
-        steps = [1 << b for b in reversed(range(max(1, n.bit_length())))]
-        return F.aggregate(
-            F.array(*(F.lit(s) for s in steps)),
-            F.lit(0),
-            lambda at, step: F.when(
-                (at + step < F.lit(n)) & (F.get(heads, at + step) <= self.key), at + step
-            ).otherwise(at),
-        )
+def text_or_empty() -> Column:
+    return F.coalesce(F.col("text"), F.lit(""))
+
+
+def n_ranges(docs: DataFrame, rows_per_range: int) -> int:
+    """In how many ranges of about so many rows `docs` is cut."""
+    return max(1, min(MOST_RANGES, -(-docs.count() // rows_per_range)))
+
+
+def range_heads(docs: DataFrame, ranges: int) -> list[tuple[int, str]]:
+    """The first (key, mark) of each of about so many consecutive ranges of rows; that much comes to the driver."""
+    dealt = docs.select(*place()).repartitionByRange(ranges, "key", "mark")
+    heads = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("key", "mark")).alias("h")).select("h.key", "h.mark")
+    found = heads.toArrow()
+    return sorted(set(zip(found.column("key").to_pylist(), found.column("mark").to_pylist())))
 
 
 # ---------------------------------------------------------------- components

@@ -22,10 +22,12 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Ranges, new_folder, small_batches
+from .common import n_ranges, new_folder, place, small_batches, text_or_empty
 from .tokens import PieceEncoder, maker
 
 END = 2
+#: Files that one task reads back.
+FILES_PER_TASK = 4
 _HEAD, _SUM, _DOC, _SPOT = "<QI", "<I", "<qBB", "<QQ"
 
 
@@ -80,69 +82,50 @@ class RecordFile:
         self._file.close()
 
 
-def write_records(docs: DataFrame, path: str, folder: str, end: int = END) -> DataFrame:
-    """Encode every text and write it below `folder`, one file for each range of doc_id.
+def write_records(docs: DataFrame, path: str, folder: str, end: int = END, rows_per_file: int = 8000) -> DataFrame:
+    """Encode every text and write it below `folder`, one file for each range of rows, written by a task of its own.
 
-    Returns one row per file: part (files ascend with doc_id), uri, n_records, n_tokens. A
-    file is written under a name of its task attempt and renamed when it is whole, so a task
+    Returns one row per file: part (files ascend with doc_id), uri, n_records, n_tokens. Rows of
+    one doc_id come in order of their texts, and a range can end between them. A file is written under a name of its task attempt and renamed when it is whole, so a task
     that runs again replaces it by the same bytes.
     """
     small_batches(docs.sparkSession, 500)
-    ranges = Ranges(docs, "doc_id", rows_per_range=8000)
     rows = (
-        docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), ranges.of().alias("at"), ranges.key.alias("key"))
-        .repartition("at")
-        .sortWithinPartitions("at", "key", "text")
-        .select("doc_id", "text", "at")
+        docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"), *place())
+        .repartitionByRange(n_ranges(docs, rows_per_file), "key", "mark")
+        .sortWithinPartitions("key", "mark", "text")
+        .select("doc_id", "text")
     )
 
     def run(batches):
         import uuid
 
+        from pyspark import TaskContext
+
         encoder = maker(PieceEncoder, path)
         width = 2 if max(encoder.library.get_vocab_size(), end + 1) <= 1 << 16 else 4
         last = end.to_bytes(width, "little")
         system, base = store(folder)
-        system.create_dir(base)
-        out, current = [], None
-
-        def finish():
-            current["data"].close()
-            current["index"].close()
-            for suffix in ("", ".idx"):
-                system.move(current["own"] + suffix, current["path"] + suffix)
-            out.append((current["at"], f"{folder}/part-{current['at']:08d}", current["records"], current["tokens"]))
-
+        at, records, tokens, offset, data, index = TaskContext.get().partitionId(), 0, 0, 0, None, None
+        own, name = f"{base}/part-{at:08d}.{uuid.uuid4().hex}", f"part-{at:08d}"
         for batch in batches:
-            docs, texts, ats = (c.to_pylist() for c in batch.columns)
-            for doc, ids, at in zip(docs, encoder.encode(texts), ats):
-                if current is None or current["at"] != at:
-                    if current:
-                        finish()
-                    name = f"{base}/part-{at:08d}"
-                    own = f"{name}.{uuid.uuid4().hex}"
-                    current = {
-                        "at": at, "path": name, "own": own, "records": 0, "tokens": 0, "offset": 0,
-                        "data": system.open_output_stream(own), "index": system.open_output_stream(own + ".idx"),
-                    }
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+                if data is None:
+                    system.create_dir(base)
+                    data, index = system.open_output_stream(own), system.open_output_stream(own + ".idx")
                 narrow = ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
                 framed = frame(struct.pack(_DOC, doc or 0, doc is None, width) + narrow + last)
-                current["data"].write(framed)
-                current["index"].write(struct.pack(_SPOT, current["offset"], len(framed)))
-                current["offset"] += len(framed)
-                current["records"] += 1
-                current["tokens"] += len(ids) // 4 + 1
-        if current:
-            finish()
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([x[0] for x in out], pa.int64()),
-                pa.array([x[1] for x in out], pa.string()),
-                pa.array([x[2] for x in out], pa.int64()),
-                pa.array([x[3] for x in out], pa.int64()),
-            ],
-            names=["part", "uri", "n_records", "n_tokens"],
-        )
+                data.write(framed)
+                index.write(struct.pack(_SPOT, offset, len(framed)))
+                offset += len(framed)
+                records += 1
+                tokens += len(ids) // 4 + 1
+        if data is not None:
+            data.close()
+            index.close()
+            for suffix in ("", ".idx"):
+                system.move(own + suffix, f"{base}/{name}{suffix}")
+            yield pa.RecordBatch.from_pylist([{"part": at, "uri": f"{folder}/{name}", "n_records": records, "n_tokens": tokens}])
 
     return rows.mapInArrow(run, "part long, uri string, n_records long, n_tokens long")
 
@@ -186,4 +169,4 @@ def encode_to_records(docs: DataFrame, path: str, folder: str | None = None, end
         rows.append((f.uri, base))
         base += f.n_tokens
     listed = spark.createDataFrame(rows, "uri string, base long")
-    return read_records(listed.repartition(max(1, min(len(rows), int(spark.conf.get("spark.sql.shuffle.partitions")))), "uri"))
+    return read_records(listed.repartition(max(1, -(-len(rows) // FILES_PER_TASK))))

@@ -22,8 +22,10 @@ from .common import components, fresh, saved, small_batches
 RADIUS = 2
 WORDS = 3
 SEED = 42
-#: Members of a shard that the tree aims at, and fingerprints sampled for each shard to place its vantage points.
+#: Members of a shard that the tree aims at, and shards at the most: beyond, they grow, and the tree goes on inside them.
 SHARD = 4096
+MOST_SHARDS = 8192
+#: Fingerprints sampled for each shard to place its vantage points; so 65,536 come to the driver at the most.
 SAMPLE_PER_SHARD = 8
 #: Members of a node under which all are compared.
 LEAF = 96
@@ -165,10 +167,10 @@ def shard_clusters(fps: np.ndarray, home: np.ndarray) -> np.ndarray:
 def fingerprint_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
     """Links (u, v) among the nodes of (fp, node), fp all different, that connect what is within the radius.
 
-    A sample of bounded share, the least by hash, comes to the driver to place vantage points.
+    A sample of bounded size, the least by hash, comes to the driver to place vantage points.
     """
     n = classes.count()
-    shards = max(1, -(-n // shard))
+    shards = max(1, min(MOST_SHARDS, -(-n // shard)))
     sample = [r.fp for r in classes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(shards * SAMPLE_PER_SHARD).collect()]
     tree, _ = build_tree(np.array(sample, dtype=np.int64).view(np.uint64), shards)
 

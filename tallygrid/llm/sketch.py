@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Ranges, shingle_hashes, small_batches, word_hashes
+from .common import LOWEST, n_ranges, place, range_heads, shingle_hashes, small_batches, text_or_empty, word_hashes
 
 WORDS = 5
 K = 128
@@ -95,7 +96,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def compare_edits(docs: DataFrame, k: int = K) -> DataFrame:
+def compare_edits(docs: DataFrame, k: int = K, rows_per_range: int = 4000) -> DataFrame:
     """Every text's fingerprint beside those of its edited text and of the next document.
 
     Next is by ascending doc_id, and after the last comes the first. Returns doc_id, n_chars,
@@ -105,28 +106,32 @@ def compare_edits(docs: DataFrame, k: int = K) -> DataFrame:
     their texts, null doc_ids first; a single row is its own next. Other columns are ignored;
     an empty table gives an empty result.
 
-    Texts are dealt out once, by consecutive ranges of doc_id, and read in order within each;
-    the first row of a range is sent to the range before as well. No task holds more than a
-    batch and one document of the stream.
+    Texts are dealt out once, by consecutive ranges of doc_id, a task for each, and read in order
+    within it; the first row of a range is sent to the range before as well. No task holds more
+    than a batch and one document of the stream. Rows of one doc_id that begin alike, by 64 code points, are in one range.
     """
     small_batches(docs.sparkSession)
-    ranges = Ranges(docs, "doc_id")
-    n = len(ranges)
-    rows = docs.select(
-        F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), ranges.of().alias("at"), ranges.key.alias("key")
-    )
-    first = F.col("key") == F.get(ranges.array(), F.col("at"))
+    heads = range_heads(docs, n_ranges(docs, rows_per_range)) or [(LOWEST, "")]
+    shared, n = docs.sparkSession.sparkContext.broadcast(heads), len(heads)
+
+    def deal(batches):
+        heads = shared.value
+        for batch in batches:
+            spots = list(zip(batch.column("key").to_pylist(), batch.column("mark").to_pylist()))
+            at = [bisect_right(heads, x) - 1 for x in spots]
+            # A row before the first head cannot be, unless it came after the heads were taken.
+            at = [max(0, i) for i in at]
+            first = [i for i, x in enumerate(spots) if heads[at[i]] == x]
+            rows = pa.array([*range(len(spots)), *first])
+            places = pa.array([*at, *((at[i] - 1) % n for i in first)], pa.int32())
+            ahead = pa.array([0] * len(spots) + [1] * len(first), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in batch.columns), places, ahead], names=["doc_id", "text", "key", "mark", "at", "ahead"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"), *place())
     dealt = (
-        rows.select(
-            "doc_id", "text", "key",
-            F.explode(
-                F.when(first, F.array(F.struct(F.col("at"), F.lit(0).alias("ahead")), F.struct(((F.col("at") + n - 1) % n).alias("at"), F.lit(1).alias("ahead"))))
-                .otherwise(F.array(F.struct(F.col("at"), F.lit(0).alias("ahead"))))
-            ).alias("place"),
-        )
-        .select("doc_id", "text", "key", "place.at", "place.ahead")
-        .repartition("at")
-        .sortWithinPartitions("at", "ahead", "key", "text")
+        rows.mapInArrow(deal, "doc_id long, text string, key long, mark string, at int, ahead int")
+        .repartitionById(n, F.col("at"))
+        .sortWithinPartitions("at", "ahead", "key", "mark", "text")
         .select("doc_id", "text", "at", "ahead")
     )
 

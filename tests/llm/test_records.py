@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -29,6 +30,20 @@ def test_files_hold_every_document(spark, tmp_path):
     assert not [p for p in tmp_path.iterdir() if len(p.name.split(".")[0]) != len("part-00000000")]
 
 
+def test_one_doc_id_is_cut_into_many_files(spark, tmp_path):
+    rows = [(None if i % 2 else i, f"text {i * 37 % 101} " * (i % 9)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    files = R.write_records(docs, PATH, f"file://{tmp_path}", rows_per_file=10).collect()
+    assert len(files) > 12 and sum(f.n_records for f in files) == 200 and max(f.n_records for f in files) < 60
+    lib = Tokenizer.from_file(PATH)
+    want = [[*lib.encode(t, add_special_tokens=False).ids, 2] for _, t in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))]
+    got = []
+    for f in sorted(files, key=lambda f: f.part):
+        file = R.RecordFile(f.uri)
+        got += [np.frombuffer(file.read(i)[1], "<u4").tolist() for i in range(len(file))]
+    assert got == want
+
+
 def test_damage_is_found():
     framed = R.frame(b"payload")
     assert R.unframe(framed) == b"payload"

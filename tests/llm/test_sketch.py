@@ -1,6 +1,9 @@
+import functools
 import hashlib
 import random
 
+import numpy as np
+
 from tallygrid.llm.sketch import Sketch, compare_edits, edited, fingerprints
 from tallygrid.llm.common import shingle_hashes, word_hashes
 
@@ -25,6 +28,16 @@ def test_estimates():
     assert set(m.hashes.tolist()) <= set(Sketch.of(a, 512).hashes.tolist()) | set(Sketch.of(b, 512).hashes.tolist())
 
 
+def test_merged_parts_are_the_sketch_of_the_union():
+    for n, k in ((3, 64), (40, 64), (900, 64), (900, 512)):
+        parts = [words(100 * n + i, n) for i in range(5)]
+        every = np.unique(np.concatenate([shingle_hashes(word_hashes(p), 5) for p in parts]))
+        merged = functools.reduce(Sketch.merge, (Sketch.of(p, k) for p in parts))
+        assert merged.hashes.tolist() == np.sort(every)[:k].tolist()
+        if len(every) < k:
+            assert merged.distinct() == len(every)
+
+
 def test_small_sets_are_exact_and_round_trip():
     a, b = "one two three four five six seven", "ONE two  three\nfour five six eight"
     assert Sketch.of(a).resemblance(Sketch.of(b)) == exact(a, b) == 0.5
@@ -47,6 +60,13 @@ def test_edits_against_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_many_ranges_give_the_same(spark):
+    rows = [(None if i % 3 == 0 else i % 50, words(i, i % 30) if i % 7 else "same text") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    say = lambda f: sorted(str(tuple(r)) for r in f.collect())
+    assert say(compare_edits(frame, rows_per_range=7)) == say(compare_edits(frame, rows_per_range=1000))
+
+
 def test_one_row_and_none(spark):
     one = spark.createDataFrame([(5, "a b c d e f g h")], "doc_id long, text string")
     r = compare_edits(one).first()
