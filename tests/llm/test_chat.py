@@ -64,3 +64,9 @@ def test_ties_repeats_nulls_and_extra_columns(spark):
 
 def test_empty(spark):
     assert run(spark, []) == {}
+
+
+def test_native_plan(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>")], "conv_id long, turn int, role string, text string")
+    said = chat.turn_digests(chat.read_chats(chat.format_chats(rows)))._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in said for x in ("Python", "Pandas", "Arrow", "MapPartitions", "CartesianProduct"))

@@ -42,3 +42,37 @@ def test_counts_do_not_depend_on_partitions(spark):
     docs = spark.createDataFrame([("en", TEXTS["en"])] * 30 + [("de", TEXTS["de"])] * 9, "lang string, text string")
     one, many = (sorted(map(tuple, L.gram_counts(docs.repartition(n)).collect())) for n in (1, 7))
     assert one == many
+
+
+def test_whole_query_against_brute_force(spark):
+    import random
+    import zlib
+    from collections import Counter
+
+    draw, rows = random.Random(2), []
+    pools = {"aa": [f"{a}o{b}" for a in "bcdfg" for b in "aeiou"], "bb": [f"{a}é{b}ß" for a in "klmn" for b in "xyz"], "cc": ["the", "of", "and", "köö"]}
+    for i in range(150):
+        lang = draw.choice(sorted(pools))
+        rows.append((i, " ".join(draw.choice(pools[lang]).title() for _ in range(draw.randint(0, 40))), lang if i % 11 else None))
+    rows += [(200, None, "aa"), (201, "", "bb"), (202, "123 !!", "cc"), (None, "boba bobe", "aa"), (203, "Kéxß, kéxß", None), (203, "the of", None)]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, lang string, score string").repartition(3)
+    out = L.predict_languages(frame, 20).collect()
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+    count = lambda t: Counter(dict(zip(*(x.tolist() for x in L.grams(t)))))
+    rank = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:20]]
+    learned = {}
+    for d, t, lang in rows:
+        if d is not None and t is not None and lang is not None and not held(d):
+            learned.setdefault(lang, Counter()).update(count(t))
+    profiles = {lang: rank(c) for lang, c in learned.items()}
+    want = []
+    for d, t, _ in rows:
+        mine = rank(count(t)) if t else []
+        if not mine:
+            want.append((str(d), held(d), "und", 0.0))
+            continue
+        far = sorted((sum(abs(i - p.index(g)) if g in p else 20 for i, g in enumerate(mine)), lang) for lang, p in profiles.items())
+        total = far[0][0] + far[1][0]
+        want.append((str(d), held(d), far[0][1], far[1][0] / total if total else 0.5))
+    assert sorted((str(r.doc_id), r.held_out, r.lang_pred, r.score) for r in out) == sorted(want)
+    assert len({w[2] for w in want}) == 4

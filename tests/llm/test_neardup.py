@@ -97,6 +97,9 @@ def test_last_pairs_against_all_pairs():
     size = lambda a, b: min(len(sets[a]), len(sets[b])) * 9 >= 4 * (len(sets[a]) + len(sets[b]))
     want = {(a, b) for a in range(150) for b in range(a + 1, 150) if label[a] != label[b] and fits(a, b) and size(a, b)}
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+    near = [tuple(r) for b in N._last_pairs([batch.slice(0, 70), batch.slice(70)], True) for r in zip(*(c.to_pylist() for c in b.columns))]
+    most = max(set(label.tolist()), key=label.tolist().count)
+    assert set(near) <= want and {x for p in near for x in p} >= {x for p in want for x in p if label[x] != most} and len(near) <= 150
     assert all((a, b) in want for a in range(150) for b in range(a + 1, 150) if label[a] != label[b] and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])))
 
 
