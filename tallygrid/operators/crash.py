@@ -160,6 +160,40 @@ def grouping_totals(rows: DataFrame, geography: str, county: str, mode: str, key
     )
 
 
+def county_cells(rows: DataFrame, geography: str, county: str, mode: str, key: str) -> DataFrame:
+    """(kind, state, cell, mode, cases): reported counties, what stands for one by its status, and totals of the state.
+
+    Each case counts once for each mode; county codes have three digits. Counties and
+    sentinels of a state and mode add up to its total.
+    """
+    status = county_status(F.col(county))
+    cell = F.when(status == "reported", F.col(county)).otherwise(status)
+    one = rows.select(F.col(geography).alias("state"), F.when(status == "reported", "county").otherwise("sentinel").alias("kind"), cell.alias("cell"), F.col(mode).alias("mode"), F.col(key).alias("key")).distinct()
+    cells = one.groupBy("kind", "state", "cell", "mode").agg(F.count("*").alias("cases"))
+    totals = one.select("state", "mode", "key").distinct().groupBy("state", "mode").agg(F.count("*").alias("cases"))
+    return cells.unionByName(totals.select(F.lit("total").alias("kind"), "state", F.lit(None).cast("string").alias("cell"), "mode", "cases"))
+
+
+def unreconciled(cells: DataFrame) -> DataFrame:
+    """(state, mode, parts, cases) where the counties and sentinels of `county_cells` do not add up to the total."""
+    parts = cells.where("kind <> 'total'").groupBy("state", "mode").agg(F.sum("cases").alias("parts"))
+    both = cells.where("kind = 'total'").select("state", "mode", "cases").join(parts, ["state", "mode"], "full_outer")
+    return both.where(~F.col("cases").eqNullSafe(F.col("parts"))).select("state", "mode", "parts", "cases")
+
+
+def project_counties(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """`county_cells` with counties under the crosswalk's geoid (state, cell, geoid); sentinels and totals stay as they are.
+
+    Raises if a county has no geoid, or if the parts no longer add up to the totals.
+    """
+    counties = cells.where("kind = 'county'")
+    told = project_cells(counties.select("state", "cell", "mode", "cases"), crosswalk.select("state", "cell", F.struct("state", "geoid").alias("to")), ["state", "cell"], "to", "mode", "cases")
+    out = told.select(F.lit("county").alias("kind"), "to.state", F.col("to.geoid").alias("cell"), "mode", "cases").unionByName(cells.where("kind <> 'county'").select("kind", "state", "cell", "mode", "cases"))
+    if not unreconciled(out).isEmpty():
+        raise ValueError("projected counties do not add up to their states")
+    return out
+
+
 def project_cells(cells: DataFrame, crosswalk: DataFrame, on: list[str], target: str, mode: str, count: str) -> DataFrame:
     """Cells counted again under the crosswalk's target ids; raises if a cell has no target."""
     missing = cells.join(crosswalk, on, "left_anti")

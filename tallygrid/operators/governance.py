@@ -51,13 +51,55 @@ def record_tombstones(old: DataFrame, ids: DataFrame, identity: str = "report_id
     return old.select("hash").unionByName(ids.select(X.tombstone_key(F.col(identity)).alias("hash"))).distinct()
 
 
+def coarse_key() -> list[Column]:
+    """Place to 4 digits, address, hazard and hour, without nulls."""
+    at = lambda c: F.coalesce(F.floor(F.col(c) * 1e4 + 0.5), F.lit(-(2**62)))
+    return [at("lat"), at("lon"), F.coalesce("address", F.lit("")), F.coalesce("hazard_type", F.lit("")), F.coalesce(F.substring("occurred_at", 1, 13), F.lit(""))]
+
+
 def coarse_duplicates(reports: DataFrame) -> DataFrame:
     """Adds possible_duplicate: an earlier row has the same coarse place, address, hazard and hour."""
-    key = [
-        F.floor(F.col("lat") * 1e4 + 0.5), F.floor(F.col("lon") * 1e4 + 0.5), F.coalesce("address", F.lit("")),
-        F.coalesce("hazard_type", F.lit("")), F.substring("occurred_at", 1, 13),
-    ]
-    return reports.withColumn("possible_duplicate", F.row_number().over(Window.partitionBy(*key).orderBy("report_id")) > 1)
+    return reports.withColumn("possible_duplicate", F.row_number().over(Window.partitionBy(*coarse_key()).orderBy("report_id")) > 1)
+
+
+def submit(batch: DataFrame, queue: DataFrame, tombstones: DataFrame) -> DataFrame:
+    """The batch as pending submissions with review flags; raises if a report is not valid or was deleted before.
+
+    `queue` has the columns of reports and status; a report is a possible duplicate if one of the
+    queue that was not rejected has the same coarse place, address, hazard and hour.
+    """
+    good = accept_batch(batch)
+    kept_out = good.select("report_id").join(tombstone_anti(good.select("report_id"), tombstones), "report_id", "left_anti")
+    if not kept_out.isEmpty():
+        raise ValueError(f"{kept_out.count()} reports were deleted by their contributors")
+    open_ = queue.where("status <> 'rejected'").select(*(c.alias(f"__k{i}") for i, c in enumerate(coarse_key()))).distinct().withColumn("__seen", F.lit(True))
+    keyed = good.withColumns({f"__k{i}": c for i, c in enumerate(coarse_key())}).join(open_, [f"__k{i}" for i in range(len(coarse_key()))], "left")
+    note = F.col("note") if "note" in batch.columns else F.lit(None).cast("string")
+    flags = F.concat(F.coalesce(X.pii_flags(note), F.array().cast("array<string>")), F.when(F.col("__seen"), F.array(F.lit("possible_duplicate"))).otherwise(F.array().cast("array<string>")))
+    return keyed.select(*batch.columns, F.lit("pending").alias("status"), flags.alias("flags"))
+
+
+#: What a submission can be.
+STATUSES = ("pending", "approved", "rejected")
+
+
+def moderation_report(submissions: DataFrame, k: int = 5) -> DataFrame:
+    """(breakdown, key, n, withheld): counts by status, review flag and, of rejected ones, category of reason.
+
+    Rows need status, flags and reason. Counts from 1 to k - 1 are withheld as null; every status
+    and category has a row. One row (withheld, cells) tells how many were withheld.
+    """
+    spark = submissions.sparkSession
+    names = [("status", s) for s in STATUSES] + [("reason", c) for c in (*(n for n, _ in X.REASONS), "other")]
+    seen = submissions.select(F.explode(F.concat(
+        F.array(F.struct(F.lit("status").alias("breakdown"), F.col("status").alias("key"))),
+        F.transform(F.coalesce("flags", F.array().cast("array<string>")), lambda f: F.struct(F.lit("flag").alias("breakdown"), f.alias("key"))),
+        F.when(F.col("status") == "rejected", F.array(F.struct(F.lit("reason").alias("breakdown"), X.reason_category(F.col("reason")).alias("key")))).otherwise(F.array().cast("array<struct<breakdown:string,key:string>>")),
+    )).alias("x")).groupBy("x.breakdown", "x.key").agg(F.count("*").alias("n"))
+    every = spark.createDataFrame(names, "breakdown string, key string").join(seen, ["breakdown", "key"], "full_outer").withColumn("n", F.coalesce("n", F.lit(0)))
+    small = (F.col("n") > 0) & (F.col("n") < k)
+    told = every.select("breakdown", "key", F.when(~small, F.col("n")).alias("n"), small.alias("withheld"))
+    return told.unionByName(told.agg(F.count_if("withheld").alias("n")).select(F.lit("withheld").alias("breakdown"), F.lit("cells").alias("key"), "n", F.lit(False).alias("withheld")))
 
 
 def latest_state(events: DataFrame) -> DataFrame:

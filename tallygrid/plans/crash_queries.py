@@ -128,6 +128,31 @@ def county_feasibility(spark, d):
     return C.grouping_totals(_state_cells(spark, d)[0], "state", "county", "mode", "case_id")
 
 
+_COUNTY = "coded AS (SELECT state, CASE county WHEN 0 THEN '000' WHEN 1 THEN '997' WHEN 2 THEN '999' ELSE lpad(CAST(county AS VARCHAR), 3, '0') END AS code, mode, case_id FROM persons JOIN cases USING (case_id))"
+
+
+def _coded(spark, d):
+    rows, _ = _state_cells(spark, d)
+    code = F.when(F.col("county") == 0, "000").when(F.col("county") == 1, "997").when(F.col("county") == 2, "999").otherwise(F.lpad(F.col("county").cast("string"), 3, "0"))
+    return C.county_cells(rows.withColumn("code", code), "state", "code", "mode", "case_id")
+
+
+_KINDS = """SELECT CASE WHEN code IN ('000', '997', '999') THEN 'sentinel' ELSE 'county' END AS kind, state, CASE code WHEN '000' THEN 'not_applicable' WHEN '997' THEN 'other' WHEN '999' THEN 'unknown' ELSE {cell} END AS cell, mode, count(DISTINCT case_id) AS cases FROM coded GROUP BY ALL
+UNION ALL SELECT 'total', state, NULL, mode, count(DISTINCT case_id) FROM coded GROUP BY ALL"""
+
+
+@query(M.sql("persons cases", _KINDS.replace("{cell}", "code"), _COUNTY))
+def county_sentinels(spark, d):
+    return _coded(spark, d)
+
+
+@query(M.sql("persons cases", _KINDS.replace("{cell}", "'g' || (CAST(code AS INT) // 4)"), _COUNTY))
+def county_projection_reconciled(spark, d):
+    cells = _coded(spark, d)
+    crosswalk = cells.where("kind = 'county'").select("state", "cell").distinct().withColumn("geoid", F.concat(F.lit("g"), F.floor(F.col("cell").cast("int") / 4).cast("string")))
+    return C.project_counties(cells, crosswalk)
+
+
 @query(M.sql("persons cases", "SELECT lpad(CAST(state AS VARCHAR), 2, '0') || lpad(CAST(county // 2 AS VARCHAR), 3, '0') AS geoid, mode, CAST(sum(cases) AS BIGINT) AS cases FROM cc GROUP BY 1, 2",
   "cc AS (SELECT state, county, mode, count(DISTINCT case_id) AS cases FROM persons JOIN cases USING (case_id) GROUP BY 1, 2, 3)"))
 def county_projection(spark, d):

@@ -32,6 +32,35 @@ def moderation_counts_k(spark, d):
     return G.moderation_counts(_subs(spark, d), F.col("user_id"), 70)
 
 
+_FLAGGED = """flagged AS (SELECT *, CASE WHEN submission_id % 5 = 0 THEN ['email', 'phone'] WHEN submission_id % 700 = 3 THEN ['plate'] ELSE [] END AS flags,
+  CASE submission_id % 3 WHEN 0 THEN 'Duplicate of another' WHEN 1 THEN 'just SPAM' END AS reason FROM subs)"""
+
+
+@query(M.sql("", """SELECT breakdown, key, CASE WHEN n = 0 OR n >= 100 THEN n END AS n, n > 0 AND n < 100 AS withheld FROM cells
+UNION ALL SELECT 'withheld', 'cells', count(*) FILTER (n > 0 AND n < 100), false FROM cells""", _SUB + "," + _FLAGGED + """, seen AS (
+  SELECT 'status' AS breakdown, status AS key FROM flagged UNION ALL SELECT 'flag', unnest(flags) FROM flagged
+  UNION ALL SELECT 'reason', CASE submission_id % 3 WHEN 0 THEN 'duplicate' WHEN 1 THEN 'spam' ELSE 'other' END FROM flagged WHERE status = 'rejected'),
+names AS (SELECT 'status' AS breakdown, unnest(['pending', 'approved', 'rejected']) AS key UNION ALL SELECT 'reason', unnest(['duplicate', 'spam', 'identifier-leak', 'invalid-location', 'off-topic', 'other'])),
+cells AS (SELECT breakdown, key, coalesce(n, 0) AS n FROM names FULL JOIN (SELECT breakdown, key, count(*) AS n FROM seen GROUP BY ALL) USING (breakdown, key))"""))
+def moderation_report(spark, d):
+    k = F.col("submission_id")
+    flags = F.when(k % 5 == 0, F.array(F.lit("email"), F.lit("phone"))).when(k % 700 == 3, F.array(F.lit("plate"))).otherwise(F.array().cast("array<string>"))
+    return G.moderation_report(_subs(spark, d).withColumns({"flags": flags, "reason": F.when(k % 3 == 0, "Duplicate of another").when(k % 3 == 1, "just SPAM")}), 100)
+
+
+@query(M.sql("reports", """SELECT report_id, 'pending' AS status, concat_ws(',', CASE WHEN report_id % 10 = 1 THEN 'email' END, CASE WHEN q.report_id IS NOT NULL THEN 'possible_duplicate' END) AS flags
+FROM (SELECT *, floor(lat * 1e4 + 0.5e0) AS y, floor(lon * 1e4 + 0.5e0) AS x, substr(occurred_at, 1, 13) AS hour FROM reports WHERE report_id % 2 = 1 AND hazard_type <> 'glitter') b
+LEFT JOIN (SELECT floor(lat * 1e4 + 0.5e0) AS y, floor(lon * 1e4 + 0.5e0) AS x, hazard_type, substr(occurred_at, 1, 13) AS hour, min(report_id) AS report_id FROM reports WHERE report_id % 2 = 0 AND report_id % 6 <> 0 GROUP BY ALL) q
+USING (y, x, hazard_type, hour)""").replace("SELECT report_id, 'pending'", "SELECT b.report_id, 'pending'").replace("CASE WHEN report_id % 10", "CASE WHEN b.report_id % 10"))
+def submit(spark, d):
+    rows = M.reports(spark, d)
+    k = F.col("report_id")
+    batch = rows.where((k % 2 == 1) & (F.col("hazard_type") != "glitter")).withColumn("note", F.when(k % 10 == 1, "write to a@b.org"))
+    queue = rows.where(k % 2 == 0).withColumn("status", F.when(k % 6 == 0, "rejected").otherwise("pending"))
+    gone = G.record_tombstones(rows.where("false").select(F.lit("").alias("hash")), rows.where(k % 2 == 0))
+    return G.submit(batch, queue, gone).select("report_id", "status", F.array_join("flags", ",").alias("flags"))
+
+
 @query(M.sql("", f"SELECT count(*) AS decided, {sr('median((decided - received) / 3600e0)', 2)} AS median_hours FROM subs WHERE decided IS NOT NULL", _SUB))
 def moderation_latency(spark, d):
     return G.decision_latency(_subs(spark, d))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import uuid
 import zipfile
 from pathlib import PurePosixPath
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..operators.spatial import bounded_broadcast
 
 _POINT = "array<double>"
 _STREETS = (
@@ -128,10 +130,26 @@ def gazetteer_json(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(X.address_key(F.col("r.address")).alias("key"), "r.lat", "r.lon")
 
 
-def ride_file(spark: SparkSession, path: str) -> DataFrame:
+#: Addresses under which the ids of ride incidents and of point reports are made.
+RIDES = uuid.uuid5(uuid.NAMESPACE_URL, "https://simra-project.github.io/")
+POINTS = uuid.uuid5(uuid.NAMESPACE_URL, "https://bikemaps.org/")
+
+Box = tuple[float, float, float, float]
+
+
+def _inside(frame: DataFrame, box: Box | None) -> DataFrame:
+    """Rows within (west, south, east, north), its edges included; all without a box."""
+    if box is None:
+        return frame
+    west, south, east, north = box
+    return frame.where(F.col("lon").between(west, east) & F.col("lat").between(south, north))
+
+
+def ride_file(spark: SparkSession, path: str, box: Box | None = None) -> DataFrame:
     """Incidents of ride files: the part before the divider, its second line naming the columns.
 
-    Incidents without a kind or of kind -5 are left out; the time is in milliseconds.
+    Incidents without a kind or of kind -5 are left out, and those outside the box; the time is
+    in milliseconds. report_id follows from the file's name, place and time.
     """
     files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", "\r", ""), r"={5,}")[0].alias("head"))
     lines = files.select("file", F.split("head", "\n").alias("l"))
@@ -139,22 +157,29 @@ def ride_file(spark: SparkSession, path: str) -> DataFrame:
     rows = lines.select("file", names.alias("names"), F.posexplode("l").alias("i", "line")).where("i > 1 and trim(line) <> ''")
     cells = F.transform("names", lambda n, i: F.coalesce(F.get(F.split("line", ","), i), F.lit("")))
     m = rows.select("file", F.map_from_arrays("names", cells).alias("m"))
-    return m.where("m['incident'] not in ('', '-5')").select(
-        "file", F.col("m")["key"].alias("key"), F.col("m")["lat"].try_cast("double").alias("lat"), F.col("m")["lon"].try_cast("double").alias("lon"),
+    rows = m.where("m['incident'] not in ('', '-5')").select(
+        "file", F.col("m")["ts"].alias("ts"), F.col("m")["key"].alias("key"), F.col("m")["lat"].try_cast("double").alias("lat"), F.col("m")["lon"].try_cast("double").alias("lon"),
         X.iso_from_epoch_ms(F.col("m")["ts"].try_cast("long")).alias("occurred_at"), F.col("m")["incident"].alias("incident"), F.col("m")["scary"].alias("scary"),
     )
+    name = F.format_string("simra:%s:%.6f,%.6f:%s", F.element_at(F.split("file", "/"), -1), F.col("lat"), F.col("lon"), F.col("ts"))
+    return _inside(rows.withColumn("report_id", X.uuid5(RIDES, name)), box).drop("ts")
+
 
+def point_reports(spark: SparkSession, path: str, kind: str, offset: str = "-08:00", box: Box | None = None) -> DataFrame:
+    """Point features with pk, date, incident_with, injury, hazard_type, as far as they lie in the box.
 
-def point_reports(spark: SparkSession, path: str, kind: str, offset: str = "-08:00") -> DataFrame:
-    """Point features with pk, date, incident_with, injury, hazard_type; a time without offset gets one."""
+    A time without offset gets one; report_id follows from kind and pk, without pk from place and time.
+    """
     props = "struct<pk: string, date: string, incident_with: string, injury: string, hazard_type: string>"
     row = f"struct<features: array<struct<geometry: struct<type: string, coordinates: {_POINT}>, properties: {props}>>>"
     f = _whole(spark, path).select(F.explode(F.from_json("value", row)["features"]).alias("f")).where("f.geometry.type = 'Point'")
-    return f.select(
+    rows = f.select(
         F.lit(kind).alias("kind"), "f.properties.pk", X.with_offset(F.col("f.properties.date"), offset).alias("occurred_at"),
         F.col("f.geometry.coordinates")[1].alias("lat"), F.col("f.geometry.coordinates")[0].alias("lon"),
         "f.properties.incident_with", "f.properties.injury", "f.properties.hazard_type",
     )
+    name = F.coalesce(F.concat(F.lit(f"{kind}:"), F.col("pk")), F.format_string(kind + ":%.6f,%.6f:%s", F.col("lat"), F.col("lon"), F.col("occurred_at")))
+    return _inside(rows.withColumn("report_id", X.uuid5(POINTS, name)), box)
 
 
 def osm_ways(spark: SparkSession, path: str) -> DataFrame:
@@ -178,6 +203,51 @@ def counts_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns(number).where("count > 0")
 
 
+def counts_geojson(spark: SparkSession, path: str, field: str = "count") -> DataFrame:
+    """lat, lon, count of Point features whose property `field` is a positive count."""
+    row = f"struct<features: array<struct<geometry: struct<type: string, coordinates: {_POINT}>, properties: map<string,string>>>>"
+    f = _whole(spark, path).select(F.explode(F.from_json("value", row)["features"]).alias("f")).where("f.geometry.type = 'Point' and size(f.geometry.coordinates) >= 2")
+    rows = f.select(F.col("f.geometry.coordinates")[1].alias("lat"), F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.properties")[field].try_cast("double").alias("count"))
+    return rows.where("count > 0")
+
+
+def zip_table(spark: SparkSession, path: str, member: str, columns: list[str], encoding: str = "UTF-8") -> DataFrame:
+    """The columns, as text, of the CSV that is a member of ZIP files; its name in any case, with or without folders before it.
+
+    A file is one task, and its rows are passed on in parts. Names are trimmed and in upper
+    case; a row with more values than names fails, and so do duplicate or missing names.
+    """
+    wanted = [c.upper() for c in columns]
+
+    def run(batches):
+        import csv
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for content in batch.column(0).to_pylist():
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    found = [m for m in z.namelist() if PurePosixPath(m).name.lower() == member.lower()]
+                    if len(found) != 1:
+                        raise ValueError(f"{len(found)} members are named {member}")
+                    rows = csv.reader(io.TextIOWrapper(z.open(found[0]), encoding=encoding, newline=""))
+                    names = [c.strip().lstrip("\ufeff").upper() for c in next(rows)]
+                    if len(set(names)) != len(names) or not set(wanted) <= set(names):
+                        raise ValueError("duplicate or missing columns")
+                    at, held = [names.index(c) for c in wanted], []
+                    for row in rows:
+                        if len(row) > len(names):
+                            raise ValueError("a row has more values than there are columns")
+                        held.append([row[i] if i < len(row) else None for i in at])
+                        if len(held) == 10_000:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held)], names=wanted)
+                            held = []
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held)], names=wanted)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ", ".join(f"`{c}` string" for c in wanted))
+
+
 def text_table(spark: SparkSession, path: str, columns: list[str], encoding: str = "UTF-8") -> DataFrame:
     """A CSV with all columns as text, names trimmed and in upper case; duplicate or missing names fail."""
     raw = spark.read.option("encoding", encoding).csv(path, header=True, mode="FAILFAST")
@@ -208,7 +278,7 @@ def pinned_archives(spark: SparkSession, path: str, pins: DataFrame) -> DataFram
     files = spark.read.format("binaryFile").load(path).select(
         F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256")
     )
-    return files.join(F.broadcast(pins), ["name", "size", "sha256"], "left_semi")
+    return files.join(bounded_broadcast(pins), ["name", "size", "sha256"], "left_semi")
 
 
 def boundaries_kml(spark: SparkSession, path: str) -> DataFrame:

@@ -320,6 +320,45 @@ def test_stream_of_reports(spark, tmp_path):
     assert sorted(r.report_id for r in spark.sql("select * from fresh").collect()) == [1, 2]
 
 
+def test_more_files(spark, tmp_path):
+    import zipfile
+
+    (tmp_path / "points.geojson").write_text('{"features": [{"geometry": {"type": "Point", "coordinates": [-121.5, 38.5]}, "properties": {"count": 7, "pk": 3, "date": "2024-01-01T10:00:00"}},'
+        ' {"geometry": {"type": "Point", "coordinates": [-120.5, 38.5]}, "properties": {"count": "0", "date": "2024-01-01T10:00:00Z"}}, {"geometry": {"type": "LineString", "coordinates": []}, "properties": {}}]}')
+    assert [tuple(r) for r in readers.counts_geojson(spark, str(tmp_path / "points.geojson")).collect()] == [(38.5, -121.5, 7.0)]
+    both = {r.pk: r.report_id for r in readers.point_reports(spark, str(tmp_path / "points.geojson"), "nearmiss").collect()}
+    assert both == {"3": str(uuid.uuid5(readers.POINTS, "nearmiss:3")), None: str(uuid.uuid5(readers.POINTS, "nearmiss:38.500000,-120.500000:2024-01-01T10:00:00Z"))}
+    assert [r.pk for r in readers.point_reports(spark, str(tmp_path / "points.geojson"), "nearmiss", box=(-121.6, 38, -121.5, 38.5)).collect()] == ["3"]
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("National/accident.CSV", '\ufeffst_case, State,NAME\n1,6,"Davis, CA"\n2,,\n3\n'.encode())
+    got = readers.zip_table(spark, str(tmp_path / "a.zip"), "ACCIDENT.csv", ["ST_CASE", "NAME"]).collect()
+    assert [tuple(r) for r in got] == [("1", "Davis, CA"), ("2", ""), ("3", None)]
+    with pytest.raises(Exception, match="members are named"):
+        readers.zip_table(spark, str(tmp_path / "a.zip"), "person.csv", ["A"]).collect()
+
+
+def test_submissions_as_one_chain(spark):
+    schema = "report_id string, occurred_at string, lat double, lon double, mode string, hazard_type string, severity string, accuracy_m double, address string, note string"
+    row = lambda i, note=None, lat=38.5: (i, "2024-01-01T10:00:00Z", lat, -121.5, "cyclist", "dooring", "minor", 5.0, None, note)
+    queue = spark.createDataFrame([(*row("q"), "pending"), (*row("r", lat=38.7), "rejected")], schema + ", status string")
+    gone = governance.record_tombstones(queue.where("false").select(F.lit("").alias("hash")), spark.createDataFrame([("old",)], "report_id string"))
+    batch = spark.createDataFrame([row("a", "call 555-123-4567"), row("b", lat=38.6), row("c", lat=38.7)], schema)
+    assert {r.report_id: (r.status, r.flags) for r in governance.submit(batch, queue, gone).collect()} == {"a": ("pending", ["phone", "possible_duplicate"]), "b": ("pending", []), "c": ("pending", [])}
+    for wrong, message in ((row("old"), "deleted"), (row("x", lat=91.0), "invalid")):
+        with pytest.raises(ValueError, match=message):
+            governance.submit(spark.createDataFrame([row("a"), wrong], schema), queue, gone)
+
+
+def test_counties_add_up(spark):
+    rows = [(1, "001", "a", 1), (1, "999", "a", 2), (1, "001", "b", 1), (2, "000", "a", 3), (1, "003", "a", 4), (1, "001", "a", 1)]
+    cells = crash.county_cells(spark.createDataFrame(rows, "state long, county string, mode string, key long"), "state", "county", "mode", "key")
+    assert {tuple(r) for r in cells.where("mode = 'a'").collect()} == {("county", 1, "001", "a", 1), ("county", 1, "003", "a", 1), ("sentinel", 1, "unknown", "a", 1), ("sentinel", 2, "not_applicable", "a", 1), ("total", 1, None, "a", 3), ("total", 2, None, "a", 1)}
+    assert crash.unreconciled(cells).collect() == []
+    assert [tuple(r) for r in crash.unreconciled(cells.where("cell is distinct from '003'")).collect()] == [(1, "a", 2, 3)]
+    with pytest.raises(ValueError, match="without a crosswalk"):
+        crash.project_counties(cells, spark.createDataFrame([(1, "001", "g")], "state long, cell string, geoid string"))
+
+
 def test_pinned_files_and_ingestion(tmp_path):
     from tallygrid.operators import lineage
 
