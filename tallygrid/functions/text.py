@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column
@@ -80,6 +81,11 @@ def span(name: Column) -> Column:
     return F.filter(F.transform(F.split(inside, SPAN_DASH), lambda s: F.trim(s)), lambda s: s != "")
 
 
+def field_name(name: str) -> str:
+    """A header as a name: trimmed, in lower case, blanks and dashes as one underscore, other signs left out."""
+    return re.sub(r"[^a-z0-9_]", "", re.sub(r"[\s-]+", "_", name.strip().lower()))
+
+
 def tombstone_key(identity: Column) -> Column:
     return F.sha2(identity.cast("string"), 256)
 

@@ -41,6 +41,59 @@ def index_mismatch(index: DataFrame, inventory: DataFrame) -> DataFrame:
     return a.join(b, "name", "full_outer").select("name", problem.alias("problem")).where("problem is not null")
 
 
+def state_shards(rows: DataFrame, state: str, order: list[str]) -> DataFrame:
+    """(state, features, content, bytes, sha256): the rows of each state as one JSON list, in order; what is public of them is in the columns."""
+    said = F.to_json(F.struct(*(c for c in rows.columns if c != state)))
+    lists = rows.groupBy(F.col(state).alias("state")).agg(F.array_sort(F.collect_list(F.struct(*order, said.alias("__json")))).alias("x"))
+    content = F.concat(F.lit("["), F.array_join(F.transform("x", lambda r: r["__json"]), ","), F.lit("]\n"))
+    return lists.select("state", F.size("x").alias("features"), content.alias("content")).withColumns({"bytes": F.octet_length("content").cast("long"), "sha256": F.sha2(F.col("content").cast("binary"), 256)})
+
+
+def county_release_index(values: DataFrame, boundaries: DataFrame, states: DataFrame) -> DataFrame:
+    """(state, value_bytes, value_sha256, boundary_bytes, boundary_sha256, problem) of the shards that every state needs.
+
+    The problem is missing_values, missing_boundaries or unlisted_state, null if there is none.
+    """
+    side = lambda frame, name: frame.select("state", F.col("bytes").alias(f"{name}_bytes"), F.col("sha256").alias(f"{name}_sha256"))
+    both = side(values, "value").join(side(boundaries, "boundary"), "state", "full_outer")
+    every = states.select("state", F.lit(True).alias("__listed")).join(both, "state", "full_outer")
+    problem = F.when(F.col("__listed").isNull(), "unlisted_state").when(F.col("value_sha256").isNull(), "missing_values").when(F.col("boundary_sha256").isNull(), "missing_boundaries")
+    return every.withColumn("problem", problem).drop("__listed")
+
+
+def outcome_problems(outcomes: DataFrame, key: str) -> DataFrame:
+    """(key, problem) of normalised outcomes (key, occurred_on, state_code, lat, lon, fatality_count): what keeps them out of an artifact."""
+    repeated = outcomes.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key, F.lit("repeated").alias("problem"))
+    rules = {
+        "no identity": F.col(key).isNull(),
+        "no date": ~F.coalesce(F.col("occurred_on").rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_timestamp(F.col("occurred_on"), F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False)),
+        "no state": F.col("state_code").isNull(),
+        "place out of range": ~(F.coalesce(F.col("lat").between(-90, 90), F.lit(True)) & F.coalesce(F.col("lon").between(-180, 180), F.lit(True))) | (F.col("lat").isNull() != F.col("lon").isNull()),
+        "no fatality": ~F.coalesce(F.col("fatality_count") >= 1, F.lit(False)),
+    }
+    found = outcomes.select(key, F.explode(F.array_compact(F.array(*(F.when(b, n) for n, b in rules.items())))).alias("problem"))
+    return found.unionByName(repeated)
+
+
+def joined_records(outcomes: DataFrame, summaries: DataFrame, jurisdictions: DataFrame, key: str, year: int) -> DataFrame:
+    """One record per case of the contract's year: structs outcome, summary and jurisdiction, the rest under no key.
+
+    Raises if a case is not in each of the three exactly once, lies in another year, or is told in two states.
+    """
+    frames = {"outcome": outcomes, "summary": summaries, "jurisdiction": jurisdictions}
+    counts = None
+    for name, frame in frames.items():
+        one = frame.groupBy(key).agg(F.count("*").alias(name))
+        counts = one if counts is None else counts.join(one, key, "full_outer")
+    if not counts.where(" or ".join(f"coalesce({n}, 0) <> 1" for n in frames)).isEmpty():
+        raise ValueError("a case is not in each part exactly once")
+    parts = [f.select(key, F.struct(*(c for c in f.columns if c != key)).alias(n)) for n, f in frames.items()]
+    out = parts[0].join(parts[1], key).join(parts[2], key)
+    if not out.where((F.col("outcome.year") != year) | (F.col("outcome.state") != F.col("jurisdiction.state"))).isEmpty():
+        raise ValueError("a case lies in another year, or in two states")
+    return out
+
+
 def correction_ledger(old: DataFrame, new: DataFrame, key: str, free: tuple[str, ...]) -> DataFrame:
     """(key, field, before, after) of changed fields; raises if a field other than the `free` ones changed."""
     fields = [c for c in old.columns if c != key]

@@ -103,3 +103,47 @@ def symbology_verify(spark, d):
     return L.symbology_violations(rated(spark, d).withColumn("class", F.when(F.col("pos") % 2 == 0, 1)), 160)
 
 
+
+
+def _shards(spark, d):
+    n = M.table(spark, d, "nation").select(F.col("n_regionkey").alias("state"), "n_nationkey", "n_name")
+    return L.state_shards(n, "state", ["n_nationkey"]), L.state_shards(n.where("state <> 2").withColumn("state", F.when(F.col("state") == 4, 9).otherwise(F.col("state"))).drop("n_name"), "state", ["n_nationkey"])
+
+
+_SHARDS = """a AS (SELECT n_regionkey AS state, '[' || string_agg('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}', ',' ORDER BY n_nationkey) || ']' || chr(10) AS c FROM nation GROUP BY 1),
+b AS (SELECT CASE n_regionkey WHEN 4 THEN 9 ELSE n_regionkey END AS state, '[' || string_agg('{"n_nationkey":' || n_nationkey || '}', ',' ORDER BY n_nationkey) || ']' || chr(10) AS c FROM nation WHERE n_regionkey <> 2 GROUP BY 1)"""
+
+
+@query(M.sql("", "SELECT state, CAST(5 AS INT) AS features, strlen(c) AS bytes, sha256(c) AS sha256 FROM a", _SHARDS))
+def county_boundary_publish(spark, d):
+    return _shards(spark, d)[0].select("state", "features", "bytes", "sha256")
+
+
+@query(M.sql("", """SELECT state, strlen(a.c) AS value_bytes, sha256(a.c) AS value_sha256, strlen(b.c) AS boundary_bytes, sha256(b.c) AS boundary_sha256,
+  CASE WHEN state = 9 THEN 'unlisted_state' WHEN a.c IS NULL THEN 'missing_values' WHEN b.c IS NULL THEN 'missing_boundaries' END AS problem
+FROM a FULL JOIN b USING (state)""", _SHARDS))
+def county_release_index(spark, d):
+    values, boundaries = _shards(spark, d)
+    return L.county_release_index(values, boundaries, M.table(spark, d, "region").select(F.col("r_regionkey").alias("state")))
+
+
+@query("""SELECT o_orderkey AS case_id, problem FROM (SELECT *, unnest([CASE WHEN o_orderkey % 11 = 0 THEN 'no date' END, CASE WHEN o_orderkey % 13 = 0 THEN 'no state' END,
+  CASE WHEN o_orderkey % 90 + 10 > 90 THEN 'place out of range' END, CASE WHEN o_orderkey % 17 = 0 THEN 'no fatality' END]) AS problem FROM orders) WHERE problem IS NOT NULL""")
+def outcome_artifact(spark, d):
+    k = F.col("o_orderkey")
+    rows = M.table(spark, d, "orders").select(
+        k.alias("case_id"), F.when(k % 11 == 0, "1999-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("occurred_on"),
+        F.when(k % 13 != 0, k % 50).alias("state_code"), (k % 90 + 10).cast("double").alias("lat"), F.lit(-100.0).alias("lon"), F.when(k % 17 == 0, 0).otherwise(1).alias("fatality_count"),
+    )
+    return L.outcome_problems(rows, "case_id")
+
+
+@query(M.sql("persons cases", """SELECT case_id, state, people, strlen(county_code) AS digits FROM (SELECT case_id, state, printf('%03d', county) AS county_code FROM cases WHERE year = 1996)
+JOIN (SELECT case_id, count(*) AS people FROM persons GROUP BY 1) USING (case_id)"""))
+def joined_artifact_v2(spark, d):
+    cases = M.cases(spark, d).where("year = 1996")
+    people = M.persons(spark, d).join(cases.select("case_id"), "case_id", "left_semi").groupBy("case_id").agg(F.count("*").alias("people"))
+    places = cases.select("case_id", "state", F.lpad(F.col("county").cast("string"), 3, "0").alias("county_code"))
+    whole = cases.join(people.select("case_id"), "case_id", "left_semi")
+    out = L.joined_records(whole.select("case_id", "year", "state"), people, places.join(people.select("case_id"), "case_id", "left_semi"), "case_id", 1996)
+    return out.select("case_id", "outcome.state", "summary.people", F.length("jurisdiction.county_code").cast("long").alias("digits"))

@@ -248,6 +248,57 @@ def zip_table(spark: SparkSession, path: str, member: str, columns: list[str], e
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ", ".join(f"`{c}` string" for c in wanted))
 
 
+def evidence_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as trimmed text under plain names; a missing value is empty, rows without any value are left out.
+
+    Quoted fields may hold commas, quotes and line breaks. Empty or equal names fail.
+    """
+    raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=False)
+    names = [X.field_name(c) for c in raw.columns]
+    if not all(names) or len(set(names)) != len(names):
+        raise ValueError("headers must be non-empty and unique")
+    rows = raw.toDF(*names).select(*(F.coalesce(F.trim(F.col(n)), F.lit("")).alias(n) for n in names))
+    return rows.where(F.concat(*names) != "")
+
+
+def evidence_json(spark: SparkSession, path: str) -> DataFrame:
+    """record map<string,string> under plain names: of a list of objects, of `reports`, or of point features with longitude and latitude."""
+    raw = _whole(spark, path)
+    flat, point = "map<string,string>", f"struct<geometry: struct<type: string, coordinates: {_POINT}>, properties: map<string,string>>"
+    listed = F.from_json(F.when(F.trim("value").startswith("["), F.col("value")), f"array<{flat}>")
+    both = F.from_json("value", f"struct<reports: array<{flat}>, features: array<{point}>>")
+    place = lambda f, i: F.when(f["geometry"]["type"] == "Point", F.get(f["geometry"]["coordinates"], F.lit(i)).cast("string")).otherwise("")
+    own = lambda f: F.map_filter(F.coalesce(f["properties"], F.create_map().cast(flat)), lambda k, _: ~k.isin("longitude", "latitude"))
+    features = F.transform(both["features"], lambda f: F.map_concat(own(f), F.create_map(F.lit("longitude"), place(f, 0), F.lit("latitude"), place(f, 1))))
+    plain = lambda k, _: F.regexp_replace(F.regexp_replace(F.lower(F.trim(k)), r"[\s-]+", "_"), "[^a-z0-9_]", "")
+    return raw.select(F.explode(F.coalesce(listed, both["reports"], features)).alias("r")).select(F.transform_keys("r", plain).alias("record"))
+
+
+#: Kinds of sources, and how open they are.
+SOURCE_KINDS = ("streets", "incidents", "exposure", "official_outcomes", "context", "interventions")
+SOURCE_ACCESS = ("open", "partner", "licensed", "private")
+
+
+def source_registry(spark: SparkSession, path: str) -> DataFrame:
+    """(id, kind, name, license, updated_at, geography, access, stale_after_days, synthetic) of a registry file; raises with all that is wrong in it."""
+    import tomllib
+
+    said = tomllib.loads(_whole(spark, path).first()["value"])
+    rows, floor = said.get("sources", []), said.get("measured_min_coverage", 0.8)
+    ids = [str(r.get("id", "")) for r in rows]
+    wrong = ["version must be 1"] * (said.get("version") != 1) + ["city is missing"] * (not str(said.get("city", "")).strip())
+    wrong += ["measured_min_coverage must be above 0 and at most 1"] * (not (isinstance(floor, (int, float)) and 0 < floor <= 1))
+    wrong += [f"id {i!r} is empty or repeated" for i in sorted({i for i in ids if not i or ids.count(i) > 1})]
+    wrong += [f"{r.get('id')}: {k} is missing" for r in rows for k in ("name", "license", "updated_at", "geography") if not r.get(k)]
+    wrong += [f"{r.get('id')}: kind {r.get('kind')!r} is not known" for r in rows if r.get("kind") not in SOURCE_KINDS]
+    wrong += [f"{r.get('id')}: access {r.get('access')!r} is not known" for r in rows if r.get("access", "open") not in SOURCE_ACCESS]
+    wrong += [f"{r.get('id')}: stale_after_days is below 0" for r in rows if int(r.get("stale_after_days", 365)) < 0]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    told = [(*(str(r[k]) for k in ("id", "kind", "name", "license", "updated_at", "geography")), r.get("access", "open"), int(r.get("stale_after_days", 365)), bool(r.get("synthetic", False))) for r in rows]
+    return spark.createDataFrame(told, "id string, kind string, name string, license string, updated_at string, geography string, access string, stale_after_days int, synthetic boolean")
+
+
 def text_table(spark: SparkSession, path: str, columns: list[str], encoding: str = "UTF-8") -> DataFrame:
     """A CSV with all columns as text, names trimmed and in upper case; duplicate or missing names fail."""
     raw = spark.read.option("encoding", encoding).csv(path, header=True, mode="FAILFAST")

@@ -337,6 +337,41 @@ def test_more_files(spark, tmp_path):
         readers.zip_table(spark, str(tmp_path / "a.zip"), "person.csv", ["A"]).collect()
 
 
+def test_evidence_files_and_registry(spark, tmp_path):
+    (tmp_path / "e.csv").write_text('Report ID, Hazard-Type ,Note (free)\r\n1,dooring,"a, ""b""\nc"\r\n,,\r\n2, debris ,\r\n')
+    got = readers.evidence_csv(spark, str(tmp_path / "e.csv"))
+    assert got.columns == ["report_id", "hazard_type", "note_free"]
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "dooring", 'a, "b"\nc'), ("2", "debris", "")]
+    (tmp_path / "bad.csv").write_text("a,A \n1,2\n")
+    with pytest.raises(ValueError):
+        readers.evidence_csv(spark, str(tmp_path / "bad.csv"))
+    files = {"l.json": '[{"Hazard Type": "x", "n": 1}]', "r.json": '{"reports": [{"a-b": "y"}]}',
+             "f.json": '{"features": [{"geometry": {"type": "Point", "coordinates": [1.5, 2]}, "properties": {"Kind": "k"}}, {"geometry": null, "properties": null}]}'}
+    for n, t in files.items():
+        (tmp_path / n).write_text(t)
+    read = lambda n: [r.record for r in readers.evidence_json(spark, str(tmp_path / n)).collect()]
+    assert read("l.json") == [{"hazard_type": "x", "n": "1"}] and read("r.json") == [{"a_b": "y"}]
+    assert read("f.json") == [{"kind": "k", "longitude": "1.5", "latitude": "2.0"}, {"longitude": "", "latitude": ""}]
+    good = 'version = 1\ncity = "C"\n[[sources]]\nid = "s"\nkind = "streets"\nname = "S"\nlicense = "l"\nupdated_at = "2024-01-01"\ngeography = "g"\n'
+    (tmp_path / "r.toml").write_text(good)
+    assert [tuple(r) for r in readers.source_registry(spark, str(tmp_path / "r.toml")).collect()] == [("s", "streets", "S", "l", "2024-01-01", "g", "open", 365, False)]
+    (tmp_path / "w.toml").write_text(good.replace("version = 1", "version = 2") + '[[sources]]\nid = "s"\nkind = "magic"\naccess = "secret"\n')
+    with pytest.raises(ValueError, match="version must be 1; id 's' is empty or repeated; s: name is missing; s: license is missing; s: updated_at is missing; s: geography is missing; s: kind 'magic' is not known; s: access 'secret' is not known"):
+        readers.source_registry(spark, str(tmp_path / "w.toml"))
+
+
+def test_joined_records_fail_as_a_whole(spark):
+    from tallygrid.operators import lineage
+
+    o = spark.createDataFrame([(1, 2020, 6), (2, 2020, 7)], "case_id long, year long, state long")
+    s = spark.createDataFrame([(1, 3), (2, 4)], "case_id long, people long")
+    j = spark.createDataFrame([(1, 6, "001"), (2, 7, "003")], "case_id long, state long, county string")
+    assert {(r.case_id, r.outcome.state, r.summary.people, r.jurisdiction.county) for r in lineage.joined_records(o, s, j, "case_id", 2020).collect()} == {(1, 6, 3, "001"), (2, 7, 4, "003")}
+    for bad, message in (((o, s.where("case_id = 1"), j, "case_id", 2020), "exactly once"), ((o, s.union(s), j, "case_id", 2020), "exactly once"), ((o, s, j, "case_id", 2021), "another year"), ((o, s, j.withColumn("state", F.lit(6)), "case_id", 2020), "two states")):
+        with pytest.raises(ValueError, match=message):
+            lineage.joined_records(*bad)
+
+
 def test_submissions_as_one_chain(spark):
     schema = "report_id string, occurred_at string, lat double, lon double, mode string, hazard_type string, severity string, accuracy_m double, address string, note string"
     row = lambda i, note=None, lat=38.5: (i, "2024-01-01T10:00:00Z", lat, -121.5, "cyclist", "dooring", "minor", 5.0, None, note)
