@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .spatial import bounded_broadcast
+
 #: Involved modes in their order.
 MODE_ORDER = ("motor_vehicle_occupant", "motorcyclist", "pedalcyclist", "pedestrian", "other_road_user", "unknown")
 #: Latitudes that stand for an unknown position, and person types allowed and of other road users by coding period.
@@ -135,7 +137,7 @@ def suppress(cells: DataFrame, count: str, k: int) -> DataFrame:
 
 def dense_cells(geographies: DataFrame, modes: DataFrame, cells: DataFrame, geography: str, mode: str, count: str = "cases", k: int = 10) -> DataFrame:
     """Every geography with every mode; a missing or small cell is suppressed_or_zero and has no count."""
-    every = geographies.select(geography).distinct().crossJoin(F.broadcast(modes.select(mode).distinct()))
+    every = geographies.select(geography).distinct().crossJoin(bounded_broadcast(modes.select(mode).distinct()))
     joined = every.join(cells.select(geography, mode, count), [geography, mode], "left")
     fit = F.coalesce(F.col(count) >= k, F.lit(False))
     return joined.select(geography, mode, F.when(fit, "published").otherwise(SUPPRESSED).alias("status"), F.when(fit, F.col(count)).alias(count))
