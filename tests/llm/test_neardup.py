@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tallygrid.llm import neardup as N
 
@@ -64,8 +65,10 @@ def test_against_brute_force_jaccard(spark, monkeypatch):
     assert check(spark, rows) == sorted(want)
 
 
-def test_large_groups_against_brute_force(spark):
-    """Hundreds of loose copies of two texts: shingles of over 32 members with several labels, so the second round counts."""
+@pytest.mark.parametrize("few", [N.FEW_LEFT, 3])
+def test_large_groups_against_brute_force(spark, few, monkeypatch):
+    """Hundreds of loose copies of two texts: shingles of over 32 members with several labels, so the later rounds count, in both forms."""
+    monkeypatch.setattr(N, "FEW_LEFT", few)
     draw, texts = random.Random(12), []
     for _ in range(2):
         base = [f"w{draw.randrange(9000)}" for _ in range(200)]
@@ -103,6 +106,24 @@ def test_last_pairs_against_all_pairs():
     assert all((a, b) in want for a in range(150) for b in range(a + 1, 150) if label[a] != label[b] and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])))
 
 
+def test_pairs_with_few_against_all_pairs():
+    import pyarrow as pa
+
+    draw, rows = np.random.default_rng(4), []
+    base, none = draw.integers(0, 2**63, 90), np.zeros(0, np.uint64)
+    for i in range(120):
+        found = np.unique(np.concatenate([base[draw.random(90) < draw.uniform(0.8, 1)], draw.integers(0, 2**63, draw.integers(0, 25))])).astype(np.uint64)
+        rows.append((i * 7 % 120, len(found), N.prefix(found, none, none).view(np.int64).tolist(), N.parities(found), int(draw.integers(0, 3)), found))
+    few = [r[:5] for r in rows if r[4]]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("node", "n", "prefix", "bits", "label"), r)) for r in rows])
+    got = [tuple(p) for b in N._pairs_with(few)([batch.slice(0, 50), batch.slice(50)]) for p in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(got) == len(set(got)) and all(u < v for u, v in got)
+    label = {r[0]: r[4] for r in rows}
+    assert all(label[u] != label[v] for u, v in got)
+    near = {(min(a[0], b[0]), max(a[0], b[0])) for i, a in enumerate(rows) for b in rows[:i] if a[4] != b[4] and 5 * len(np.intersect1d(a[5], b[5])) >= 4 * len(np.union1d(a[5], b[5]))}
+    assert len(near) > 100 and near <= set(got)
+
+
 def test_looser_copies_than_two_bits_go(spark):
     from tallygrid.llm import simhash
 
