@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from . import chat, decontam, langid, linededup, packing, quality, records, simhash, sketch, tokens
+from . import chat, decontam, langid, linededup, packing, quality, records, repair, simhash, sketch, tokens
 from .common import table
 
 #: Vocabulary file of the token operators.
@@ -71,6 +71,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation; edge cases as `repair.repair_edits` has them."""
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +108,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_benchmark_decontamination,
         op10_line_dedup,
+        op13_conversation_repair,
         pipeline,
     )
 }
@@ -200,4 +206,52 @@ WITH lines AS (
 SELECT d.doc_id, k.text, coalesce(k.n_removed, 0) AS n_removed FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
-ORACLES = {"op1_chat_formatting": _OP1, "op9_benchmark_decontamination": _OP9, "op10_line_dedup": _OP10}
+def _least(*options: str) -> str:
+    return f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _edit(letter: str, cost: str, then: str, said: str = "", if_: str = "true") -> str:
+    turns = f"list_concat([{said}], {then}.t)" if said else f"{then}.t"
+    return f"CASE WHEN {if_} THEN {{'c': {cost} + {then}.c, 'a': '{letter}' || {then}.a, 't': {turns}}} END"
+
+
+def _taken(state: int) -> str:
+    """What a turn can become in a state, from what comes after it: kept by its initial, or given the role due."""
+    due, after = (("assistant", 3) if state == 2 else ("user", 2))
+    keeps = [_edit("K", "cut", f"s{to}", "role || ':' || text", f"stays AND initial = '{x}'") for x, to in {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[state].items()]
+    return _least(_edit("D", "3", f"s{state}"), *keeps, _edit("R", "2 + cut", f"s{after}", f"'{due}:' || text", "stays")) + f" AS b{state}"
+
+
+_NO_TURN = "CAST([] AS VARCHAR[])"
+_OP13 = rf"""
+WITH RECURSIVE sums AS (
+  SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))
+), given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), summed AS (
+  SELECT *, xor(list_reduce([4294967295] || list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS k FROM given, sums
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM summed WHERE k <> 0
+), told AS (
+  SELECT *, row_number() OVER o AS i, lag(role) OVER o AS before, count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE 'none' END AS fault
+  FROM hurt WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND left(before, 1) || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM told GROUP BY conv_id
+), walk(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT DISTINCT conv_id, n + 1, {{'c': 0, 'a': '', 't': {_NO_TURN}}}, {{'c': 4, 'a': 'II', 't': ['user:', 'assistant:']}}, {{'c': 2, 'a': 'I', 't': ['assistant:']}}, {{'c': 0, 'a': '', 't': {_NO_TURN}}} FROM told
+  UNION ALL
+  SELECT conv_id, i, {_least("b0", _edit("I", "2", "c2", "'user:'"))}, {_least("b1", _edit("I", "2", "c2", "'user:'"))}, c2, {_least("b3", _edit("I", "2", "b2", "'user:'"))}
+  FROM (SELECT *, {_least("b2", _edit("I", "2", "b3", "'assistant:'"))} AS c2 FROM (
+    SELECT conv_id, t.i, {_taken(0)}, {_taken(1)}, {_taken(2)}, {_taken(3)}
+    FROM walk w JOIN (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CAST(fault = 'truncated' AS INT) AS cut FROM told) t USING (conv_id) WHERE t.i = w.i - 1))
+)
+SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(s0.c, 0) AS BIGINT) AS cost, coalesce(s0.a, '') AS audit, sha256(coalesce(array_to_string(s0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN counted USING (conv_id) LEFT JOIN (SELECT * FROM walk WHERE i = 1) USING (conv_id)
+"""
+
+ORACLES = {"op1_chat_formatting": _OP1, "op9_benchmark_decontamination": _OP9, "op10_line_dedup": _OP10, "op13_conversation_repair": _OP13}
