@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from . import chat, decontam, langid, linededup, packing, quality, records, repair, simhash, sketch, tokens
+from . import chat, decontam, langid, linededup, ngram, packing, quality, records, repair, simhash, sketch, tokens
 from .common import table
 
 #: Vocabulary file of the token operators.
@@ -71,6 +71,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of those that are not held out; edge cases as `ngram.score_texts` has them."""
+    return ngram.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of every damaged conversation; edge cases as `repair.repair_edits` has them."""
     return repair.repair_damaged(table(spark, sf_dir, "conversations"))
@@ -108,6 +113,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_benchmark_decontamination,
         op10_line_dedup,
+        op12_lm_scoring,
         op13_conversation_repair,
         pipeline,
     )
@@ -235,8 +241,10 @@ WITH RECURSIVE sums AS (
     unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM summed WHERE k <> 0
 ), told AS (
   SELECT *, row_number() OVER o AS i, lag(role) OVER o AS before, count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS initial,
-    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
-      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE 'none' END AS fault
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE 'none' END AS fault
   FROM hurt WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
 ), counted AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
