@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from . import chat, decontam, langid, linededup, ngram, packing, quality, records, repair, simhash, sketch, tokens
+from . import alignment, chat, decontam, langid, linededup, ngram, packing, quality, records, repair, simhash, sketch, tokens
 from .common import table
 
 #: Vocabulary file of the token operators.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: The same vocabulary as ranks, for lengths only.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The sentencepiece model of the alignment.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Strings that are one token of that vocabulary.
 SPECIALS = ("<|endoftext|>",)
 
@@ -71,6 +73,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two vocabularies, aligned; edge cases as `alignment.align_corpus` has them."""
+    return alignment.align_corpus(table(spark, sf_dir, "documents"), (VOCABULARY, PIECES))
+
+
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a model of those that are not held out; edge cases as `ngram.score_texts` has them."""
     return ngram.score_corpus(table(spark, sf_dir, "documents"))
@@ -113,6 +120,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_benchmark_decontamination,
         op10_line_dedup,
+        op11_cross_tokenizer_alignment,
         op12_lm_scoring,
         op13_conversation_repair,
         pipeline,
