@@ -99,7 +99,14 @@ def _horner(coefficients: tuple[float, ...], x: Column) -> Column:
 
 
 def erfc(x: Column) -> Column:
-    """Complementary error function for x >= 0, to double precision, inside generated code."""
+    """Complementary error function for x >= 0, to double precision.
+
+    The argument stands some forty times in the formula, so it is bound to a variable and worked out once.
+    """
+    return F.transform(F.array(x), _erfc)[0]
+
+
+def _erfc(x: Column) -> Column:
     low = 1.0 - x * _horner(ERF_A, x * x) / _horner(ERF_B, x * x)
     # The square is taken in two parts, one of them exact, so that its error is not multiplied.
     near = F.floor(x * 16.0) / 16.0

@@ -428,17 +428,6 @@ def segment_statistics(spark, d):
     return out.select("segment_id", "n", r("rate"), r("rate_ci_low"), r("rate_ci_high"), r("z"), "significant", "publishable")
 
 
-@query(M.sql("attached", f"""SELECT 'corridor-' || substr(sha256(ids), 1, 12) AS corridor_id, name, ids AS segment_ids, n, 'mixed' AS exposure_date, {sr(s_rate('n', 'e'))} AS rate, {sr(s_low('n', 'e'))} AS rate_ci_low,
-  {sr(s_high('n', 'e'))} AS rate_ci_high, 'certain' AS confidence_label FROM (
-  SELECT any_value(street) || ' (c' || min(pos % 10) || '–c' || (max(pos % 10) + 1) || ')' AS name, string_agg(segment_id, ',' ORDER BY segment_id) AS ids, CAST(sum(n) AS BIGINT) AS n,
-    CASE WHEN count(estimate) = count(*) THEN sum(estimate) END AS e
-  FROM (SELECT *, pos - row_number() OVER (ORDER BY pos) AS island FROM rated WHERE pos % 10 < 4 AND publishable) GROUP BY pos // 10, island HAVING count(*) > 1)""", _RATED))
-def corridors(spark, d):
-    fit = rated(spark, d).withColumn("significant", F.col("pos") % 10 < 4).withColumns({"exposure_source": F.col("source"), "exposure_date": F.col("segment_id")})
-    out = network.corridors(fit, M.PLANE)
-    return out.select("corridor_id", "name", F.array_join("segment_ids", ",").alias("segment_ids"), "n", "exposure_date", r("rate"), r("rate_ci_low"), r("rate_ci_high"), "confidence_label")
-
-
 _FAR = s_haversine("p.lat", "p.lon", "q.lat", "q.lon")
 _PAIRING = f"""cents AS (SELECT segment_id AS id, lat, (lon1 + lon2) / 2e0 AS lon FROM segments),
 far_apart AS (SELECT p.id AS p, q.id AS q, {_FAR} AS d FROM cents p JOIN cents q ON p.id <> q.id),
@@ -703,13 +692,27 @@ _PLANTED = "planted AS (SELECT * REPLACE (CASE WHEN pos BETWEEN 22 AND 25 THEN e
 _PLANTED_SQL = M.sql("attached", "", _PLANTED + _CITY.replace("FROM attached)", "FROM planted)")).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-@query(_PLANTED_SQL + f"SELECT segment_id, {sr('z')} AS z FROM rated JOIN flagged f ON f.id = segment_id WHERE rejected AND z > 0 AND publishable")
-def hotspots_by_z(spark, d):
-    """With a planted hot spot: a twentieth of the exposure on four neighbouring blocks."""
+def _planted_statistics(spark, d):
+    """Statistics with a planted hot spot: a twentieth of the exposure on four neighbouring blocks."""
     planted = F.substring("segment_id", 5, 2).cast("int").between(22, 25)
     exposure = M.exposure(spark, d).withColumn("estimate", F.when(planted, F.col("estimate") / 20).otherwise(F.col("estimate")))
-    out = city.segment_statistics(M.clean(spark, d), M.segments(spark, d), exposure, M.PLANE)
-    return out.where("significant and publishable").orderBy(F.desc("z")).select("segment_id", r("z"))
+    return city.segment_statistics(M.clean(spark, d), M.segments(spark, d), exposure, M.PLANE)
+
+
+@query(_PLANTED_SQL + f"SELECT segment_id, {sr('z')} AS z FROM rated JOIN flagged f ON f.id = segment_id WHERE rejected AND z > 0 AND publishable")
+def hotspots_by_z(spark, d):
+    return _planted_statistics(spark, d).where("significant and publishable").orderBy(F.desc("z")).select("segment_id", r("z"))
+
+
+@query(_PLANTED_SQL + f"""SELECT 'corridor-' || substr(sha256(ids), 1, 12) AS corridor_id, name, ids AS segment_ids, n, date AS exposure_date, {sr(s_rate('n', 'e'))} AS rate, {sr(s_low('n', 'e'))} AS rate_ci_low,
+  {sr(s_high('n', 'e'))} AS rate_ci_high, CASE WHEN n >= 5 THEN 'certain' ELSE 'uncertain' END AS confidence_label FROM (
+  SELECT any_value(street) || ' (c' || min(pos % 10) || '–c' || (max(pos % 10) + 1) || ')' AS name, string_agg(segment_id, ',' ORDER BY segment_id) AS ids, CAST(sum(n) AS BIGINT) AS n,
+    CASE WHEN count(estimate) = count(*) THEN sum(estimate) END AS e, CASE WHEN count(DISTINCT date) = 1 THEN min(date) ELSE 'mixed' END AS date
+  FROM (SELECT r.*, pos - row_number() OVER (ORDER BY pos) AS island FROM rated r JOIN flagged f ON f.id = segment_id WHERE rejected AND z > 0 AND publishable) GROUP BY pos // 10, island HAVING count(*) > 1)""")
+def corridors(spark, d):
+    """Corridors of the significant segments around the planted hot spot."""
+    out = network.corridors(_planted_statistics(spark, d).withColumns({"exposure_source": F.col("source"), "exposure_date": F.col("date")}), M.PLANE)
+    return out.select("corridor_id", "name", F.array_join("segment_ids", ",").alias("segment_ids"), "n", "exposure_date", r("rate"), r("rate_ci_low"), r("rate_ci_high"), "confidence_label")
 
 
 @query(M.sql("attached", "SELECT segment_id, rate IS NULL AS unknown FROM rated WHERE street ILIKE '%row 3%'", _RATED))

@@ -326,9 +326,9 @@ def test_more_files(spark, tmp_path):
     (tmp_path / "points.geojson").write_text('{"features": [{"geometry": {"type": "Point", "coordinates": [-121.5, 38.5]}, "properties": {"count": 7, "pk": 3, "date": "2024-01-01T10:00:00"}},'
         ' {"geometry": {"type": "Point", "coordinates": [-120.5, 38.5]}, "properties": {"count": "0", "date": "2024-01-01T10:00:00Z"}}, {"geometry": {"type": "LineString", "coordinates": []}, "properties": {}}]}')
     assert [tuple(r) for r in readers.counts_geojson(spark, str(tmp_path / "points.geojson")).collect()] == [(38.5, -121.5, 7.0)]
-    both = {r.pk: r.report_id for r in readers.point_reports(spark, str(tmp_path / "points.geojson"), "nearmiss").collect()}
-    assert both == {"3": str(uuid.uuid5(readers.POINTS, "nearmiss:3")), None: str(uuid.uuid5(readers.POINTS, "nearmiss:38.500000,-120.500000:2024-01-01T10:00:00Z"))}
-    assert [r.pk for r in readers.point_reports(spark, str(tmp_path / "points.geojson"), "nearmiss", box=(-121.6, 38, -121.5, 38.5)).collect()] == ["3"]
+    both = {r.pk: r.report_id for r in readers.point_reports(spark, str(tmp_path / "points.geojson"), "collision").collect()}
+    assert both == {"3": str(uuid.uuid5(readers.POINTS, "collision:3")), None: str(uuid.uuid5(readers.POINTS, "collision:38.500000,-120.500000:2024-01-01T10:00:00Z"))}
+    assert [r.pk for r in readers.point_reports(spark, str(tmp_path / "points.geojson"), "collision", box=(-121.6, 38, -121.5, 38.5)).collect()] == ["3"]
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("National/accident.CSV", '\ufeffst_case, State,NAME\n1,6,"Davis, CA"\n2,,\n3\n'.encode())
     got = readers.zip_table(spark, str(tmp_path / "a.zip"), "ACCIDENT.csv", ["ST_CASE", "NAME"]).collect()
