@@ -6,23 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-
-#: Rows up to which the cell side of a join is broadcast.
-BROADCAST_ROWS = 100_000
-
-
-def kept(frame: DataFrame) -> DataFrame:
-    """Cut the lineage: a reliable checkpoint where a shared folder is set, else the cached frame."""
-    if frame.sparkSession.sparkContext.getCheckpointDir():
-        return frame.checkpoint()
-    return frame.cache()
-
-
-def bounded_broadcast(frame: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """`frame`, worked out once, with a broadcast hint if a count shows that it is small."""
-    frame = kept(frame)
-    return F.broadcast(frame) if frame.limit(most + 1).count() <= most else frame
-
+from .shared import bounded_broadcast, kept  # noqa: F401  others take them from here
 
 def _around(cx: Column, cy: Column, reach: int = 1) -> Column:
     steps = [(i, j) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)]

@@ -50,8 +50,9 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def reports(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Reports of the table of events, or of a frame, which may be a stream, of its columns."""
+    e = table(spark, sf_dir, "events") if events is None else events
     home = F.col("user_id") % 60
     away = F.when(F.col("event_id") % 13 == 0, 0.001).otherwise(0.0)
     hazard = F.create_map(*(F.lit(x) for kv in EVENT_HAZARDS.items() for x in kv))[F.col("event_type")]

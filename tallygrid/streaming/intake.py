@@ -26,3 +26,10 @@ def write_accepted(reports: DataFrame, path: str, checkpoint: str, available_now
 
     writer = reports.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def replay(rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run a stream over what is there now, append what it gives to Parquet below `path`, and read that."""
+    query = rows.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
