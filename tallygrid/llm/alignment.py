@@ -15,32 +15,34 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import get, put
-from .common import new_folder, saved, small_batches
-from .tokens import PieceEncoder, byte_letters, maker
+from .common import new_folder, remove_folder, saved, small_batches
+from .tokens import CACHE, PieceEncoder, byte_letters, maker
 
 #: The one character that the second vocabulary does not give back: it has it for a space.
 LOST = "▁"
 #: Where texts are cut into stretches.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: White space beside a space, or other than a line break: a text without it is cut at every space.
-_ODD = re.compile(r"\s |[^\S\n] ?\s| \s|^\s|\s$|[^\S \n]")
+#: White space other than spaces and line breaks.
+_RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Different stretches that a task counts at once, those of a file, and those that a worker keeps.
-COUNTED, PER_FILE, KEPT = 300_000, 200_000, 400_000
-_TOKENS = "key long, n long, hash long, piece string, a_ids array<int>, a_lens array<int>, b_ids array<int>, b_lens array<int>"
+COUNTED, PER_FILE, KEPT = 400_000, 200_000, 300_000
+#: A token as one number: its side from this bit on, its id from that bit on, its length in bytes below.
+_SIDE, _ID = 48, 16
 
 
 def stretches(text: str) -> list[str]:
-    """The stretches of a text, each without the space before it."""
-    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    """The stretches of a text that is not empty, each without the space before it."""
+    if "  " in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace() or _RARE.search(text):
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 class Encoders:
@@ -59,11 +61,14 @@ class Encoders:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of each text by both; raises if the tokens of one are not the bytes of a space and the text."""
-        a_ids = [np.frombuffer(b"".join(self._a[p] for p in self._a.cut(" " + t)), "<u4").tolist() for t in texts]
+        if len(self._a) > CACHE // 4:
+            self._a.clear()
+        a_ids = [np.frombuffer(b"".join([self._a[p] for p in self._a.cut(" " + t)]), "<u4").tolist() for t in texts]
         b_ids = self._b.encode(texts, num_threads=1)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         for t, a, b in zip(texts, a_ids, b_ids):
             data = b" " + t.encode()
-            if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+            if b"".join(map(a_bytes, a)) != data or b"".join(map(b_bytes, b)) != data:
                 raise ValueError(f"a vocabulary does not give back {t[:80]!r}")
         return a_ids, b_ids
 
@@ -74,63 +79,92 @@ def usable(text: str | None) -> bool:
 
 
 def encoded(texts: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """Rows (n, piece) to (key, n, hash, piece, a_ids, a_lens, b_ids, b_lens), key different for each row.
-
-    The pieces are texts with which `usable` is true; the hash is a 64-bit one of a piece's bytes.
-    """
+    """Rows (key, n, piece), the pieces texts with which `usable` is true, to (key, n, tokens), first those of A, then of B."""
     small_batches(texts.sparkSession)
-    names = [c.split()[0] for c in _TOKENS.split(", ")]
 
     def run(batches):
-        from pyspark import TaskContext
-
         encoders = maker(Encoders, paths)
-        a_len, b_len = (np.array([len(x) for x in side], np.int32) for side in (encoders.a_bytes, encoders.b_bytes))
-        at = TaskContext.get().partitionId() << 40
-
-        def lists(ids, lengths):
-            flat = np.fromiter(chain.from_iterable(ids), np.int32)
-            offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
-            return pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.ListArray.from_arrays(offsets, pa.array(lengths[flat]))
-
+        numbers = [(side << _SIDE) + (np.arange(len(data), dtype=np.int64) << _ID) + np.array([len(x) for x in data]) for side, data in enumerate((encoders.a_bytes, encoders.b_bytes))]
         for batch in batches:
-            pieces = batch.column(1).to_pylist()
-            a, b = encoders.encode(pieces)
-            hashes = np.array([xxhash.xxh3_64_intdigest(p.encode()) for p in pieces], np.uint64).view(np.int64)
-            keys = at + np.arange(len(pieces))
-            at += len(pieces)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0), pa.array(hashes), batch.column(1), *lists(a, a_len), *lists(b, b_len)], names=names)
+            a, b = encoders.encode(batch.column(2).to_pylist())
+            sizes_a, sizes_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
+            ends = np.cumsum(sizes_a + sizes_b)
+            # Every text's tokens of A stand before those of B.
+            is_b = np.repeat(np.tile([False, True], len(a)), np.stack([sizes_a, sizes_b], axis=1).ravel())
+            flat = np.zeros(len(is_b), np.int64)
+            for mask, side, number in ((~is_b, a, numbers[0]), (is_b, b, numbers[1])):
+                flat[mask] = number[np.array([i for ids in side for i in ids], dtype=np.int64)]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["key", "n", "tokens"])
 
-    return texts.select("n", "piece").mapInArrow(run, _TOKENS)
+    return texts.select("key", "n", "piece").mapInArrow(run, "key long, n long, tokens array<long>")
 
 
 def aligned(tokens: DataFrame) -> DataFrame:
-    """Token arrays (key, n, a_ids, a_lens, b_ids, b_lens) to (key, n, end, a, b, grp): one row for each byte offset
-    where a token of either side ends, with that token's id or null, and the number of the group.
+    """Rows (key, n, tokens) to (key, n, end, a, b, grp, head): one for each byte offset where a token of A or of B ends, counted from
+    the space before the text, with these tokens' ids or null, and the number of the group. Where both end there is a link.
+    head is true for the first token of A, so once for each text of a key.
 
-    Every key's sides have equal lengths in bytes, and no token is empty.
+    Texts are dealt out by key; what comes of them is joined where it is, if rows that are dealt out by key may be joined on
+    key and end (`spark.sql.requireAllClusterKeysForCoPartition` false). Rows of a key stand in order of their ends.
     """
-
-    def side(name: str, *more: str) -> DataFrame:
-        # Arrays are dealt out by key; what comes of them stays where it is.
-        dealt = tokens.select("key", *more, f"{name}_ids", f"{name}_lens").repartition("key")
-        rows = dealt.select("key", *more, F.posexplode(F.arrays_zip(f"{name}_ids", f"{name}_lens")).alias("pos", "t"))
-        end = F.sum(f"t.{name}_lens").over(Window.partitionBy("key").orderBy("pos")).cast("int")
-        return rows.select(F.col("key").alias(f"{name}_key"), *more, F.col(f"t.{name}_ids").alias(name), end.alias(f"{name}_end"))
-
-    a, b = side("a", "n"), side("b")
-    both = a.join(b, (F.col("a_key") == F.col("b_key")) & (F.col("a_end") == F.col("b_end")), "full_outer")
-    rows = both.select(F.coalesce("a_key", "b_key").alias("key"), F.coalesce("a_end", "b_end").alias("end"), "a", "b", "n")
+    # A few bytes become many rows, so more parts than a shuffle has else.
+    parts = 4 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tokens.repartition(parts, "key")
+
+    def side(k: int, name: str) -> DataFrame:
+        rows = dealt.select("key", "n", F.posexplode("tokens").alias("pos", "t")).where(F.shiftright("t", _SIDE) == k)
+        end = F.sum(F.col("t").bitwiseAND((1 << _ID) - 1)).over(Window.partitionBy("key").orderBy("pos")).cast("int")
+        number = F.shiftright("t", _ID).bitwiseAND((1 << (_SIDE - _ID)) - 1).cast("int")
+        return rows.select(*(F.col(c).alias(f"{c}_{name}") for c in ("key", "n", "pos")), number.alias(name), end.alias(f"end_{name}"))
+
+    both = side(0, "a").join(side(1, "b"), (F.col("key_a") == F.col("key_b")) & (F.col("end_a") == F.col("end_b")), "full_outer")
+    of = lambda c: F.coalesce(f"{c}_a", f"{c}_b").alias(c)
+    head = F.coalesce(F.col("pos_a") == 0, F.lit(False)).alias("head")
+    rows = both.select(of("key"), of("n"), of("end"), "a", "b", head).repartition(parts, "key")
     cut = (F.col("a").isNotNull() & F.col("b").isNotNull()).cast("int")
     upto = F.sum(cut).over(Window.partitionBy("key").orderBy("end"))
-    return rows.withColumn("grp", (upto - cut).cast("int"))
-
-
-def groups(rows: DataFrame) -> DataFrame:
-    """Rows of `aligned` to its groups: key, grp, n, end, a and b (array<int> in order); the link is their last elements."""
-    told = rows.groupBy("key", "grp").agg(F.max("n").alias("n"), F.max("end").alias("end"), F.array_sort(F.collect_list(F.struct("end", "a", "b"))).alias("t"))
-    ids = lambda c: F.filter(F.transform("t", lambda x: x[c]), lambda x: x.isNotNull())
-    return told.select("key", "grp", "n", "end", ids("a").alias("a"), ids("b").alias("b"))
+    return rows.withColumn("grp", (upto - cut).cast("int")).sortWithinPartitions("key", "end")
+
+
+_FOLDED = "key long, n long, n_a long, n_b long, n_groups long, groups string, links array<long>, heads long"
+
+
+def _folded(batches):
+    """Rows of `aligned`, those of a key one behind the other, to one row for each key: key, n, n_a, n_b, n_groups,
+    groups (joined by semicolons), links (A id and B id in one number) and heads, how many texts have the key."""
+    names = [c.split()[0] for c in _FOLDED.split(", ")]
+    kinds = [pa.int64()] * 5 + [pa.string(), pa.list_(pa.int64()), pa.int64()]
+    done: list[tuple] = []
+    key, count, n_a, n_b, said, links, heads, a_ids, b_ids = None, 0, 0, 0, [], [], 0, [], []
+
+    def sent():
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=names)
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("key", "n", "a", "b", "head")]
+        for k, n, a, b, head in zip(*columns):
+            if k != key:
+                if key is not None:
+                    done.append((key, count, n_a, n_b, len(links), ";".join(said), links, heads))
+                key, count, n_a, n_b, said, links, heads = k, n, 0, 0, [], [], 0
+            heads += head
+            if a is not None:
+                a_ids.append(str(a))
+            if b is not None:
+                b_ids.append(str(b))
+                if a is not None:
+                    said.append(f"{','.join(a_ids)}|{','.join(b_ids)}")
+                    links.append(a << 32 | b)
+                    n_a += len(a_ids)
+                    n_b += len(b_ids)
+                    a_ids, b_ids = [], []
+        if len(done) > 5000:
+            yield sent()
+            done = []
+    if key is not None:
+        done.append((key, count, n_a, n_b, len(links), ";".join(said), links, heads))
+        yield sent()
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
@@ -143,17 +177,22 @@ def pair_counts(links: DataFrame) -> DataFrame:
     return counts.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("b")))
 
 
-def _piece_counts(docs: DataFrame) -> DataFrame:
-    """(n, piece): the different stretches of all usable texts, and how often each occurs."""
+def _key(piece: str, seed: int) -> int:
+    return (xxhash.xxh64_intdigest(piece.encode(), seed) ^ 1 << 63) - (1 << 63)
+
+
+def _piece_counts(docs: DataFrame, seed: int) -> DataFrame:
+    """(key, n, piece): the different stretches of all usable texts, and how often each occurs."""
 
     def run(batches):
         found: Counter = Counter()
 
         def sent():
-            pieces = list(found)
-            for i in range(0, len(pieces), 10_000):
-                part = pieces[i : i + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array([found[p] for p in part], pa.int64()), pa.array(part, pa.string())], names=["n", "piece"])
+            pieces, n = list(found), list(found.values())
+            for i in range(0, len(pieces), 50_000):
+                part = pieces[i : i + 50_000]
+                keys = pa.array([_key(p, seed) for p in part], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(part, pa.string()), pa.array(n[i : i + 50_000], pa.int64())], names=["key", "piece", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -164,46 +203,56 @@ def _piece_counts(docs: DataFrame) -> DataFrame:
                 found.clear()
         yield from sent()
 
-    return docs.select("text").mapInArrow(run, "n long, piece string").groupBy("piece").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "key long, piece string, n long").groupBy("key", "piece").agg(F.sum("n").alias("n"))
 
 
 _STORED = ("n_a", "n_b", "n_groups", "n_best", "count_sum")
 
 
-def _write_pieces(told: DataFrame, folder: str, files: int) -> None:
-    """Rows (hash, piece, groups and the columns of _STORED) to files of pieces in order of their hashes."""
-    wide = ("hash", *_STORED)
+def _file_of(h: np.ndarray, files: int) -> np.ndarray:
+    return ((h >> np.uint64(48)) * np.uint64(files)) >> np.uint64(16)
+
+
+def _write_pieces(whole: DataFrame, folder: str, files: int) -> int:
+    """Rows (key, n_a, n_b, n_groups, groups, links) to files in order of the keys, with what the pair counts
+    give for their links; returns how many there are."""
 
     def run(batches):
-        parts: dict[int, list] = {}
+        pairs, parts = get(folder, "pairs"), {}
         for batch in batches:
-            h = batch.column("hash").to_numpy().view(np.uint64)
-            f = ((h >> np.uint64(48)) * np.uint64(files)) >> np.uint64(16)
+            f = _file_of(batch.column("key").to_numpy().view(np.uint64), files)
             for k in np.unique(f):
                 parts.setdefault(int(k), []).append(batch.filter(pa.array(f == k)))
         for k, found in parts.items():
             table = pa.Table.from_batches(found)
-            h = table.column("hash").to_numpy().view(np.uint64)
-            order = np.argsort(h, kind="stable")
-            table = table.take(pa.array(order))
-            out = {c: table.column(c).to_numpy() for c in wide}
-            out["hash"] = h[order]
-            for c in ("piece", "groups"):
-                data = [x.encode() for x in table.column(c).to_pylist()]
-                out[f"{c}_end"] = np.cumsum([len(x) for x in data], dtype=np.int64)
-                put(folder, f"{c}-{k}", {"bytes": np.frombuffer(b"".join(data), np.uint8)})
-            put(folder, f"pieces-{k}", out)
+            h = table.column("key").to_numpy().view(np.uint64)
+            order = np.argsort(h)
+            table = table.take(pa.array(order)).combine_chunks()
+            links = table.column("links").combine_chunks()
+            starts = links.offsets.to_numpy()[:-1] - links.offsets[0].as_py()
+            at = np.searchsorted(pairs["pair"], links.flatten().to_numpy())
+            said = [x.encode() for x in table.column("groups").to_pylist()]
+            out = {c: table.column(c).to_numpy() for c in _STORED[:3]}
+            out |= {"n_best": np.add.reduceat(pairs["best"][at].astype(np.int64), starts), "count_sum": np.add.reduceat(pairs["count"][at], starts), "end": np.cumsum([len(x) for x in said], dtype=np.int64)}
+            put(folder, f"groups-{k}", {"bytes": np.frombuffer(b"".join(said), np.uint8)})
+            put(folder, f"pieces-{k}", {"key": h[order], **{c: x.astype(np.min_scalar_type(x.max())) for c, x in out.items()}})
             yield pa.RecordBatch.from_arrays([pa.array([len(h)], pa.int64())], names=["pieces"])
 
-    file = F.shiftright(F.shiftrightunsigned("hash", 48) * files, 16).cast("int")
-    told.repartitionById(files, file).mapInArrow(run, "pieces long").agg(F.sum("pieces")).collect()
+    file = F.shiftright(F.shiftrightunsigned("key", 48) * files, 16).cast("int")
+    return whole.select("key", *_STORED[:3], "groups", "links").repartitionById(files, file).mapInArrow(run, "pieces long").agg(F.sum("pieces")).first()[0] or 0
+
+
+def _write_pairs(counted: DataFrame, folder: str) -> None:
+    """The pair counts as one sorted array; there are no more of them than both vocabularies have bytes."""
+    found = counted.select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("pair"), "count", "best").orderBy("pair").toArrow()
+    put(folder, "pairs", {"pair": found["pair"].to_numpy(), "count": found["count"].to_numpy(), "best": found["best"].to_numpy(zero_copy_only=False).astype(np.uint8)})
 
 
 class Pieces:
     """What the alignment of each stretch came to, looked up in the files and kept for the next texts."""
 
-    def __init__(self, folder: str, files: int):
-        self._folder, self._files = folder, files
+    def __init__(self, folder: str, files: int, seed: int):
+        self._folder, self._files, self._seed = folder, files, seed
         self.clear()
 
     def clear(self) -> None:
@@ -215,37 +264,32 @@ class Pieces:
         return self._values[slots]
 
     def need(self, pieces: set[str]) -> None:
-        """Make sure that all of these have a slot."""
-        new = [p for p in pieces if p not in self.slot]
+        """Make sure that all of these have a slot. They are stretches of the corpus, whose keys are all different."""
+        new = list(pieces.difference(self.slot))
         if len(self.slot) + len(new) > max(KEPT, len(pieces)):
             self.clear()
             new = list(pieces)
-        data = [p.encode() for p in new]
-        h = np.array([xxhash.xxh3_64_intdigest(x) for x in data], np.uint64)
+        h = np.array([_key(p, self._seed) for p in new], np.int64).view(np.uint64)
         order = np.argsort(h)
-        file_of = ((h[order] >> np.uint64(48)) * np.uint64(self._files)) >> np.uint64(16)
+        cuts = np.searchsorted(_file_of(h[order], self._files), np.arange(self._files + 1))
         while len(self._values) < len(self.groups) + len(new):
             self._values = np.concatenate([self._values, np.zeros_like(self._values)])
-        cuts = np.searchsorted(file_of, np.arange(self._files + 1))
-        for k in range(self._files):
+        for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             part = order[cuts[k] : cuts[k + 1]]
-            if not len(part):
-                continue
-            main, names, said = (get(self._folder, f"{c}-{k}") for c in ("pieces", "piece", "groups"))
-            names, said, ends, tell = names["bytes"], said["bytes"], main["piece_end"], main["groups_end"]
-            at = np.searchsorted(main["hash"], h[part])
-            for j, i in enumerate(part.tolist()):
-                spot = int(at[j])
-                # Different pieces of equal hash stand one behind the other.
-                while names[(ends[spot - 1] if spot else 0) : ends[spot]].tobytes() != data[i]:
-                    spot += 1
-                at[j] = spot
-                self.slot[new[i]] = len(self.groups)
-                self.groups.append(said[(tell[spot - 1] if spot else 0) : tell[spot]].tobytes())
-            first = len(self.groups) - len(part)
+            main, data = get(self._folder, f"pieces-{k}"), get(self._folder, f"groups-{k}")["bytes"]
+            at = np.searchsorted(main["key"], h[part])
+            first = len(self.groups)
+            for j, (i, begin, end) in enumerate(zip(part.tolist(), np.where(at > 0, main["end"][at - 1], 0).tolist(), main["end"][at].tolist())):
+                self.slot[new[i]] = first + j
+                self.groups.append(data[begin:end].tobytes())
             self._values[first : len(self.groups)] = np.stack([main[c][at] for c in _STORED], axis=1)
 
 
+def _written(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def align_corpus(docs: DataFrame, paths: tuple[str, str], folder: str | None = None) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every whole text.
 
@@ -259,43 +303,46 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str], folder: str | None = N
     spark = docs.sparkSession
     small_batches(spark)
     folder = folder or new_folder(spark, "alignment")
-    tokens = saved(encoded(_piece_counts(docs), paths))
-    n_pieces = tokens.count()
-    files = max(1, min(65_536, -(-n_pieces // PER_FILE)))
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")  # rows that are dealt out by key are joined on key and end where they are
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
     try:
-        said = F.concat(F.array_join("a", ","), F.lit("|"), F.array_join("b", ","))
-        each = groups(aligned(tokens)).select("key", "grp", "n", F.size("a").alias("n_a"), F.size("b").alias("n_b"), said.alias("said"), F.element_at("a", -1).alias("a"), F.element_at("b", -1).alias("b"))
-        whole = saved(
-            each.groupBy("key").agg(
-                F.max("n").alias("n"), F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count("*").alias("n_groups"),
-                F.array_sort(F.collect_list(F.struct("grp", "said"))).alias("said"), F.collect_list(F.struct("a", "b")).alias("links"),
-            ).select("key", "n", "n_a", "n_b", "n_groups", F.array_join(F.transform("said", lambda x: x["said"]), ";").alias("groups"), "links")
-        )
+        for seed in range(100):
+            rows = aligned(encoded(_piece_counts(docs, seed), paths)).select("key", "n", "a", "b", "head")
+            whole = _written(rows.mapInArrow(_folded, _FOLDED), f"{folder}/whole")
+            n_pieces, most = whole.agg(F.count("*"), F.max("heads")).first()
+            if (most or 1) == 1:
+                break
+            remove_folder(spark, f"{folder}/whole")  # two stretches have one key: another seed
+        else:
+            raise RuntimeError("no seed gives every stretch a key of its own")
     finally:
-        spark.conf.set(key, before)
-    links = whole.select("key", "n", F.explode("links").alias("l")).select("key", "n", "l.a", "l.b")
-    counted = saved(pair_counts(links.select("a", "b", "n")))
-    sums = links.join(F.broadcast(counted), ["a", "b"]).groupBy("key").agg(F.count_if("best").alias("n_best"), F.sum("count").alias("count_sum"))
-    told = tokens.select("key", "hash", "piece").join(whole.drop("links", "n"), "key").join(sums, "key")
-    _write_pieces(told.select("hash", "piece", "groups", *_STORED), folder, files)
+        spark.conf.set(setting, before)
+    links = whole.select("n", F.explode("links").alias("l")).select(F.shiftright("l", 32).cast("int").alias("a"), F.col("l").bitwiseAND((1 << 32) - 1).cast("int").alias("b"), "n")
+    _write_pairs(pair_counts(links), folder)
+    files = max(1, min(65_536, -(-n_pieces // PER_FILE)))
+    _write_pieces(whole, folder, files)
+    remove_folder(spark, f"{folder}/whole")
 
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
     def run(batches):
-        table = Pieces(folder, files)
+        table = Pieces(folder, files, seed)
         for batch in batches:
             cut = [stretches(t) if usable(t) else [] for t in batch.column(1).to_pylist()]
             table.need(set().union(*cut))
-            sums, digests = np.zeros((len(cut), len(_STORED)), np.int64), []
-            for i, pieces in enumerate(cut):
-                slots = [table.slot[p] for p in pieces]
-                if slots:
-                    sums[i] = table.values(slots).sum(axis=0)
-                digests.append(hashlib.sha256(b";".join([table.groups[s] for s in slots])).hexdigest() if slots else "")
-            a, b, n_groups, best, count = sums.T
+            slot, groups = table.slot.__getitem__, table.groups.__getitem__
+            slots, digests = [], []
+            for pieces in cut:
+                mine = list(map(slot, pieces))
+                slots += mine
+                digests.append(hashlib.sha256(b";".join(map(groups, mine))).hexdigest() if mine else "")
+            sums = np.zeros((len(cut), len(_STORED)), np.int64)
+            sizes = np.array([len(p) for p in cut], np.int64)
+            if slots:
+                some = sizes > 0
+                sums[some] = np.add.reduceat(table.values(slots), (np.cumsum(sizes) - sizes)[some], axis=0)
+            a, b, n_groups, best, count = np.ascontiguousarray(sums.T)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (a, b, n_groups, n_groups, best, count)), pa.array(digests, pa.string())], names=names)
 
     kinds = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in names)
@@ -303,10 +350,12 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str], folder: str | None = N
 
 
 def align_texts(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """The groups themselves, text by text: doc_id, grp, end (in bytes, from the space before the text), a and b (ids).
+    """The groups themselves, text by text: key, doc_id, grp, end (in bytes, from the space before the text), a and b (ids in order).
 
     Whole texts go through the relations. Texts without tokens have no row; rows of one doc_id are told apart by `key`.
     """
-    texts = docs.where("text <> ''").where(~F.contains("text", F.lit(LOST)))
-    tokens = saved(encoded(texts.select(F.col("doc_id").cast("long").alias("n"), F.col("text").alias("piece")), paths))
-    return groups(aligned(tokens)).select("key", F.col("n").alias("doc_id"), "grp", "end", "a", "b")
+    texts = docs.where("text <> ''").where(~F.contains("text", F.lit(LOST))).select(F.col("doc_id").cast("long"), F.col("text").alias("piece"))
+    told = saved(texts.withColumn("key", F.monotonically_increasing_id()))
+    rows = aligned(encoded(told.select("key", F.lit(1).cast("long").alias("n"), "piece"), paths))
+    ids = lambda c: F.array_compact(F.transform(F.array_sort(F.collect_list(F.struct("end", c))), lambda x: x[c])).alias(c)
+    return rows.groupBy("key", "grp").agg(F.max("end").alias("end"), ids("a"), ids("b")).join(told.drop("piece"), "key").select("key", "doc_id", "grp", "end", "a", "b")
