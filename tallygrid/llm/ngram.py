@@ -27,8 +27,10 @@ from .common import new_folder, saved, small_batches, text_or_empty, word_hashes
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))
 #: Tokens that a task counts at once.
 TOKENS = 4_000_000
-#: Words of a vocabulary file, and tokens of the corpus that a file of pairs stands for, about.
+#: Most words of a vocabulary file, and tokens of the corpus that a file of pairs stands for, about.
 WORDS_PER_FILE, TOKENS_PER_FILE = 1_000_000, 2_000_000
+#: Tokens of the corpus for which there is another vocabulary file, so that what is told of its words doesn't grow.
+TOKENS_PER_VOCABULARY_FILE = 4_000_000
 _LOW = np.uint64(0xFFFFFFFF)
 _COLUMNS = ("cont", "total", "n1", "n2", "n3")
 
@@ -197,7 +199,7 @@ def train(texts: DataFrame, folder: str | None = None) -> Model:
     if whole.words >= 2**32 - 1:
         raise ValueError("more different words than numbers of 32 bits")
     n_words, n_tokens, n_texts = whole.words, whole.tokens or 0, whole.texts or 0
-    files = max(1, min(65_536, -(-n_words // WORDS_PER_FILE)))
+    files = max(1, min(65_536, max(-(-n_words // WORDS_PER_FILE), n_tokens // TOKENS_PER_VOCABULARY_FILE)))
 
     def write_words(batches):
         found: dict[int, list] = {}
@@ -252,12 +254,14 @@ def train(texts: DataFrame, folder: str | None = None) -> Model:
 
     def tell(batches):
         starts = np.cumsum([0, *sizes])
-        for v, runs in _gathered(batches).items():
-            out = {c: np.zeros(sizes[v], np.int64) for c in _COLUMNS}
-            for kind, numbers, values in runs:
+        made: dict[int, dict] = {}
+        for batch in batches:
+            for kind, v, numbers, values in zip(*(c.to_pylist() for c in batch.columns)):
+                out = made.setdefault(v, {c: np.zeros(sizes[v], np.int64) for c in _COLUMNS})
                 at = np.frombuffer(numbers, "<i8") - starts[v]
                 for c, x in zip(("cont",) if kind == "last" else _COLUMNS[1:], np.frombuffer(values, "<i8").reshape(-1, len(at))):
                     out[c][at] += x
+        for v, out in made.items():
             put(folder, f"stats-{v}", out)
             yield _runs([("low", v, b"", np.array([out["cont"].sum(), *(np.sum(out["cont"] == i) for i in (1, 2, 3, 4)), np.sum(out["cont"] >= 3)], "<i8").tobytes())])
 

@@ -56,7 +56,7 @@ def texts(seed, n=200):
 @pytest.fixture(params=["plain", "many files"])
 def sizes(request, monkeypatch):
     if request.param == "many files":
-        for name, value in (("TOKENS", 100), ("WORDS_PER_FILE", 7), ("TOKENS_PER_FILE", 90)):
+        for name, value in (("TOKENS", 100), ("WORDS_PER_FILE", 7), ("TOKENS_PER_FILE", 90), ("TOKENS_PER_VOCABULARY_FILE", 300)):
             monkeypatch.setattr(ngram, name, value)
 
 
