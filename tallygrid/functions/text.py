@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The vocabularies of a report.
 HAZARDS = ("close_pass", "dooring", "surface_hazard", "sightline", "signal", "debris", "other")
 MODES = ("cyclist", "pedestrian", "wheelchair", "scooter", "other")
 SEVERITIES = ("near_miss", "minor", "serious")
@@ -115,9 +116,9 @@ PLATE = r"\b(?=[A-Z0-9]{5,8}\b)(?=[A-Z0-9]*[A-Z])(?=[A-Z0-9]*\d)[A-Z0-9]{5,8}\b"
 
 
 def pii_flags(note: Column) -> Column:
-    """Which kinds of personal data a note seems to hold."""
-    kinds = (("email", EMAIL), ("phone", PHONE), ("plate", PLATE))
-    return F.array_compact(F.array(*(F.when(note.rlike(pattern), name) for name, pattern in kinds)))
+    """Which kinds of personal data a note seems to hold; plates are looked for in upper case."""
+    kinds = (("email", note, EMAIL), ("phone", note, PHONE), ("plate", F.upper(note), PLATE))
+    return F.array_compact(F.array(*(F.when(said.rlike(pattern), f"possible_{name}_in_note") for name, said, pattern in kinds)))
 
 
 #: Keyword buckets of moderation reasons; the first that matches counts.

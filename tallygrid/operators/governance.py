@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,8 +63,8 @@ def coarse_duplicates(reports: DataFrame) -> DataFrame:
 def submit(batch: DataFrame, queue: DataFrame, tombstones: DataFrame) -> DataFrame:
     """The batch as pending submissions with review flags; raises if a report is not valid or was deleted before.
 
-    `queue` has the columns of reports and status; a report is a possible duplicate if one of the
-    queue that was not rejected has the same coarse place, address, hazard and hour.
+    `queue` has the columns of reports and status; a report is a possible duplicate if one of the queue that was
+    not rejected, or an earlier one of the batch by report_id, has the same coarse place, address, hazard and hour.
     """
     good = accept_batch(batch)
     kept_out = good.select("report_id").join(tombstone_anti(good.select("report_id"), tombstones), "report_id", "left_anti")
@@ -74,8 +72,9 @@ def submit(batch: DataFrame, queue: DataFrame, tombstones: DataFrame) -> DataFra
         raise ValueError(f"{kept_out.count()} reports were deleted by their contributors")
     open_ = queue.where("status <> 'rejected'").select(*(c.alias(f"__k{i}") for i, c in enumerate(coarse_key()))).distinct().withColumn("__seen", F.lit(True))
     keyed = good.withColumns({f"__k{i}": c for i, c in enumerate(coarse_key())}).join(open_, [f"__k{i}" for i in range(len(coarse_key()))], "left")
+    keyed = keyed.withColumn("__again", F.row_number().over(Window.partitionBy(*(f"__k{i}" for i in range(len(coarse_key())))).orderBy("report_id")) > 1)
     note = F.col("note") if "note" in batch.columns else F.lit(None).cast("string")
-    flags = F.concat(F.coalesce(X.pii_flags(note), F.array().cast("array<string>")), F.when(F.col("__seen"), F.array(F.lit("possible_duplicate"))).otherwise(F.array().cast("array<string>")))
+    flags = F.concat(F.coalesce(X.pii_flags(note), F.array().cast("array<string>")), F.when(F.coalesce("__seen", F.lit(False)) | F.col("__again"), F.array(F.lit("possible_duplicate"))).otherwise(F.array().cast("array<string>")))
     return keyed.select(*batch.columns, F.lit("pending").alias("status"), flags.alias("flags"))
 
 
@@ -221,41 +220,6 @@ def score_preregistration(predicted: DataFrame, held_out: DataFrame, z: float =
     return sums.withColumns({"hit_rate": F.when(F.col("evaluable") > 0, F.col("hits") / F.col("evaluable")), "low": low, "high": high})
 
 
-def vintage_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(segment_id, change, cause) of rows (segment_id, method, threshold, estimate, n, rate) of two releases.
-
-    Of changed rows the first cause that differs: method, threshold, exposure, reports, else
-    recomputation. A row that is gone was suppressed.
-    """
-    columns = ("method", "threshold", "estimate", "n", "rate")
-    a = old.select("segment_id", F.lit(True).alias("in_a"), *(F.col(c).alias(f"a_{c}") for c in columns))
-    b = new.select("segment_id", F.lit(True).alias("in_b"), *(F.col(c).alias(f"b_{c}") for c in columns))
-    both = a.join(b, "segment_id", "full_outer")
-    differ = {c: ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in columns}
-    any_ = reduce(lambda x, y: x | y, differ.values())
-    change = (
-        F.when(F.col("in_a").isNull(), "added").when(F.col("in_b").isNull(), "withdrawn").when(any_, "changed").otherwise("same")
-    )
-    cause = (
-        F.when(F.col("in_a").isNull(), None).when(F.col("in_b").isNull(), "suppression").when(differ["method"], "method")
-        .when(differ["threshold"], "threshold").when(differ["estimate"], "exposure").when(differ["n"], "reports")
-        .when(differ["rate"], "recomputation")
-    )
-    return both.select("segment_id", change.alias("change"), cause.alias("cause"))
-
-
-def conformance(published: DataFrame, k: int = 3) -> DataFrame:
-    """(rule, segment_id): violations of published rows against the release rules."""
-    c = F.col
-    rules = {
-        "rate_without_denominator": c("rate").isNotNull() & ~F.coalesce(c("estimate") > 0, F.lit(False)),
-        "rate_outside_interval": (c("rate") < c("rate_ci_low")) | (c("rate") > c("rate_ci_high")),
-        "rate_without_interval": c("rate").isNotNull() & (c("rate_ci_low").isNull() | c("rate_ci_high").isNull()),
-        "small_cell": (c("n") > 0) & (c("n") < k),
-    }
-    return published.select(F.explode(F.array_compact(F.array(*(F.when(b, name) for name, b in rules.items())))).alias("rule"), "segment_id")
-
-
 def scorecard(verdicts: DataFrame, truth: DataFrame) -> DataFrame:
     """One row: recall, precision, false-positive rates by role and interval coverage, null on nothing.
 

@@ -198,7 +198,7 @@ def bias_extremes(shares: DataFrame, most: int = 3) -> DataFrame:
     )
 
 
-def counter_snap(counts: DataFrame, segments: DataFrame, plane, max_snap_m: float = 50.0) -> DataFrame:
+def counter_snap(counts: DataFrame, segments: DataFrame, plane, max_snap_m: float = 30.0) -> DataFrame:
     """Counter readings (counter_id, lat, lon, count) with their nearest segment within the distance, null if there is none.
 
     Readings without a place or a positive count are left out.

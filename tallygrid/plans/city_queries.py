@@ -167,7 +167,7 @@ def excluded_fraction(spark, d):
 
 _COUNTERS = """counters AS (SELECT s_suppkey AS counter_id, 38.5e0 + (s_suppkey % 6) * 0.0025e0 + (s_suppkey % 5) * 0.0002e0 AS lat,
   -121.7e0 + (s_suppkey % 10 + 0.5e0) * 0.003e0 AS lon, CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE CAST(floor(s_acctbal) AS DOUBLE) END AS count FROM supplier),
-snapped_counts AS (SELECT counter_id, CASE WHEN (counter_id % 5) * 0.0002e0 * 110540e0 <= 50e0 THEN 'seg-' || lpad(CAST(counter_id % 6 * 10 + counter_id % 10 AS VARCHAR), 2, '0') END AS segment_id, count
+snapped_counts AS (SELECT counter_id, CASE WHEN (counter_id % 5) * 0.0002e0 * 110540e0 <= 30e0 THEN 'seg-' || lpad(CAST(counter_id % 6 * 10 + counter_id % 10 AS VARCHAR), 2, '0') END AS segment_id, count
   FROM counters WHERE count > 0)"""
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import governance as G
-from ..operators import rates
+from ..operators import rates, releases
 from . import mapping as M
 from .city_queries import _RATED, attached, rated, s_p, sr
 from .registry import query, r
@@ -48,14 +48,15 @@ def moderation_report(spark, d):
     return G.moderation_report(_subs(spark, d).withColumns({"flags": flags, "reason": F.when(k % 3 == 0, "Duplicate of another").when(k % 3 == 1, "just SPAM")}), 100)
 
 
-@query(M.sql("reports", """SELECT report_id, 'pending' AS status, concat_ws(',', CASE WHEN report_id % 10 = 1 THEN 'email' END, CASE WHEN q.report_id IS NOT NULL THEN 'possible_duplicate' END) AS flags
+@query(M.sql("reports", """SELECT b.report_id, 'pending' AS status, concat_ws(',', CASE WHEN b.report_id % 10 = 1 THEN 'possible_email_in_note' END, CASE WHEN b.report_id % 10 = 3 THEN 'possible_plate_in_note' END,
+  CASE WHEN q.report_id IS NOT NULL OR row_number() OVER (PARTITION BY y, x, hazard_type, hour ORDER BY b.report_id) > 1 THEN 'possible_duplicate' END) AS flags
 FROM (SELECT *, floor(lat * 1e4 + 0.5e0) AS y, floor(lon * 1e4 + 0.5e0) AS x, substr(occurred_at, 1, 13) AS hour FROM reports WHERE report_id % 2 = 1 AND hazard_type <> 'glitter') b
 LEFT JOIN (SELECT floor(lat * 1e4 + 0.5e0) AS y, floor(lon * 1e4 + 0.5e0) AS x, hazard_type, substr(occurred_at, 1, 13) AS hour, min(report_id) AS report_id FROM reports WHERE report_id % 2 = 0 AND report_id % 6 <> 0 GROUP BY ALL) q
-USING (y, x, hazard_type, hour)""").replace("SELECT report_id, 'pending'", "SELECT b.report_id, 'pending'").replace("CASE WHEN report_id % 10", "CASE WHEN b.report_id % 10"))
+USING (y, x, hazard_type, hour)"""))
 def submit(spark, d):
     rows = M.reports(spark, d)
     k = F.col("report_id")
-    batch = rows.where((k % 2 == 1) & (F.col("hazard_type") != "glitter")).withColumn("note", F.when(k % 10 == 1, "write to a@b.org"))
+    batch = rows.where((k % 2 == 1) & (F.col("hazard_type") != "glitter")).withColumn("note", F.when(k % 10 == 1, "write to a@b.org").when(k % 10 == 3, "it was abc1234"))
     queue = rows.where(k % 2 == 0).withColumn("status", F.when(k % 6 == 0, "rejected").otherwise("pending"))
     gone = G.record_tombstones(rows.where("false").select(F.lit("").alias("hash")), rows.where(k % 2 == 0))
     return G.submit(batch, queue, gone).select("report_id", "status", F.array_join("flags", ",").alias("flags"))
@@ -78,9 +79,9 @@ def approve_reject(spark, d):
     return G.latest_state(M.table(spark, d, "events").select(F.col("user_id").alias("submission_id"), k.alias("seq"), status.alias("status")))
 
 
-@query(rf"""SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}') THEN 'email' END,
-  CASE WHEN regexp_matches(text, '\b\d{{3}}[-.\s]?\d{{3}}[-.\s]?\d{{4}}\b') THEN 'phone' END,
-  CASE WHEN len(list_filter(regexp_extract_all(regexp_replace(text, '[^\p{{L}}\p{{N}}_]', '  ', 'g'), '(?:^| )([A-Z0-9]{{5,8}})(?: |$)', 1), lambda x: regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[0-9]'))) > 0 THEN 'plate' END) AS flags FROM documents""")
+@query(rf"""SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}') THEN 'possible_email_in_note' END,
+  CASE WHEN regexp_matches(text, '\b\d{{3}}[-.\s]?\d{{3}}[-.\s]?\d{{4}}\b') THEN 'possible_phone_in_note' END,
+  CASE WHEN len(list_filter(regexp_extract_all(regexp_replace(upper(text), '[^\p{{L}}\p{{N}}_]', '  ', 'g'), '(?:^| )([A-Z0-9]{{5,8}})(?: |$)', 1), lambda x: regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[0-9]'))) > 0 THEN 'possible_plate_in_note' END) AS flags FROM documents""")
 def pii_flags(spark, d):
     return M.table(spark, d, "documents").select("doc_id", F.array_join(X.pii_flags(F.col("text")), ",").alias("flags"))
 
@@ -173,20 +174,49 @@ def preregistration_score(spark, d):
     return G.score_preregistration(G.preregister(_sig(spark, d)), later).select("evaluable", "hits", "unevaluable", r("hit_rate"))
 
 
-@query(M.sql("attached", """SELECT segment_id, CASE WHEN pos % 11 = 0 THEN 'withdrawn' WHEN pos % 7 = 0 THEN 'added' WHEN pos % 5 = 0 OR pos % 3 = 0 THEN 'changed' ELSE 'same' END AS change,
-  CASE WHEN pos % 11 = 0 THEN 'suppression' WHEN pos % 7 = 0 THEN NULL WHEN pos % 5 = 0 THEN 'threshold' WHEN pos % 3 = 0 THEN 'reports' END AS cause FROM attached WHERE NOT (pos % 11 = 0 AND pos % 7 = 0)"""))
+_OLD_METHODS = {"fdr_alpha": 0.05, "min_publish_n": 3, "getis_ord_band_m": 300.0}
+
+
+@query(M.sql("attached", """SELECT segment_id, change, CASE WHEN change = 'withdrawn' THEN 'suppression' WHEN old_n IS NULL THEN 'threshold_change' WHEN old_n <> new_n THEN 'new_reports'
+  WHEN old_e IS DISTINCT FROM new_e THEN 'revised_exposure' ELSE 'recomputation' END AS cause
+FROM (SELECT *, CASE WHEN new_hot AND NOT old_hot THEN 'appeared' WHEN old_hot AND new_n IS NULL THEN 'withdrawn' WHEN old_hot AND NOT new_hot THEN 'disappeared' END AS change FROM (
+  SELECT segment_id, old_n, old_e, new_n, new_e, coalesce(old_n IS NOT NULL AND pos % 2 = 0, false) AS old_hot, coalesce(new_n IS NOT NULL AND pos % 5 < 2, false) AS new_hot FROM (
+    SELECT pos, segment_id, CASE WHEN pos % 7 <> 0 THEN n END AS old_n, CASE WHEN pos % 7 <> 0 THEN estimate END AS old_e,
+      CASE WHEN pos % 11 <> 0 THEN CASE WHEN pos % 3 = 0 THEN n + 1 ELSE n END END AS new_n, CASE WHEN pos % 4 = 0 THEN coalesce(estimate, 0) + 5 ELSE estimate END AS new_e FROM attached)))
+WHERE change IS NOT NULL"""))
 def vintage_diff(spark, d):
-    base = attached(spark, d).select("pos", "segment_id", F.lit("m1").alias("method"), F.lit(3).alias("threshold"), "estimate", "n", F.lit(1.0).alias("rate"))
-    new = base.where("pos % 11 <> 0").withColumns({"threshold": F.when(F.col("pos") % 5 == 0, 4).otherwise(3), "n": F.when(F.col("pos") % 3 == 0, F.col("n") + 1).otherwise(F.col("n"))})
-    return G.vintage_diff(base.where("pos % 7 <> 0"), new)
+    """Hot spots of two releases: some segments are withheld in one, some have more reports, some another exposure; the floor was lowered."""
+    base = attached(spark, d).select(
+        "pos", "segment_id", (F.col("pos") % 2 == 0).alias("significant"), F.col("n").alias("report_count"), F.col("estimate").alias("exposure_estimate"), F.lit("counts").alias("exposure_source"), F.lit("2024").alias("exposure_date")
+    )
+    new = base.where("pos % 11 <> 0").withColumns({
+        "significant": F.col("pos") % 5 < 2, "report_count": F.when(F.col("pos") % 3 == 0, F.col("report_count") + 1).otherwise(F.col("report_count")),
+        "exposure_estimate": F.when(F.col("pos") % 4 == 0, F.coalesce("exposure_estimate", F.lit(0.0)) + 5).otherwise(F.col("exposure_estimate")),
+    })
+    return releases.hotspot_changes(base.where("pos % 7 <> 0"), new, _OLD_METHODS, _OLD_METHODS | {"min_publish_n": 2})
 
 
-@query(M.sql("attached", """SELECT 'rate_without_denominator' AS rule, segment_id FROM attached WHERE pos % 9 = 0 AND NOT coalesce(estimate > 0, false)
-UNION ALL SELECT 'rate_without_interval', segment_id FROM attached WHERE pos % 9 = 0 AND NOT coalesce(estimate > 0, false)
-UNION ALL SELECT 'small_cell', segment_id FROM attached WHERE n > 0 AND n < 150"""))
+@query(M.sql("attached", """SELECT unnest(list_filter([
+    CASE WHEN has AND NOT coalesce(e > 0, false) THEN 'HR1: a rate without a positive exposure' END, CASE WHEN has AND source IS NULL THEN 'HR1: a rate without the source of its exposure' END,
+    CASE WHEN has AND date IS NULL THEN 'HR1: a rate without the date of its exposure' END, CASE WHEN has AND low IS NULL THEN 'HR2: a rate without an interval' END,
+    CASE WHEN has AND pos % 10 = 4 AND low IS NOT NULL THEN 'HR2: a rate outside its interval' END, CASE WHEN has AND n > 0 AND n < 160 AND pos % 3 <> 0 THEN 'HR2: a small sample that is not marked' END,
+    CASE WHEN has AND (n > 0 OR rate > 0) AND n = 0 THEN 'HR2: reports without an n of 1 or more' END, CASE WHEN pos % 8 = 5 THEN 'HR3: quality_flags is missing or no array' END,
+    CASE WHEN n > 0 AND n < 150 THEN 'HR4: fewer reports than may be told' END, CASE WHEN pos % 12 = 7 THEN 'HR4: a property tells of single reports' END], lambda x: x IS NOT NULL)) AS problem, segment_id
+FROM (SELECT *, rate IS NOT NULL OR pos % 9 = 0 AS has FROM (SELECT pos, segment_id, n, estimate AS e, CASE WHEN pos % 6 <> 1 THEN 'orders' END AS source, date, CASE WHEN estimate > 0 THEN 1e0 END AS low,
+  CASE WHEN estimate > 0 THEN n * (1000e0 / estimate) END AS rate FROM attached))"""))
 def conformance_rules(spark, d):
-    rows = rated(spark, d).withColumn("rate", F.when(F.col("rate").isNull() & (F.col("pos") % 9 == 0), 1.0).otherwise(F.col("rate")))
-    return G.conformance(rows, 150)
+    """Published rows with planted faults against the hard rules."""
+    pos = F.col("pos")
+    rate = F.coalesce("rate", F.when(pos % 9 == 0, 1.0))
+    known = F.col("rate").isNotNull()
+    rows = rated(spark, d).select(
+        "segment_id", "n", F.col("n").alias("report_count"), rate.alias("rate"), F.col("estimate").alias("exposure_estimate"), F.when(pos % 6 != 1, "orders").alias("exposure_source"),
+        F.col("date").alias("exposure_date"), F.when(known, F.when(pos % 10 == 4, rate + 1).otherwise(0.0)).alias("rate_ci_low"), F.when(known, rate + 2).alias("rate_ci_high"),
+        F.when(pos % 8 != 5, F.when(pos % 3 == 0, F.array(F.lit("low_sample"))).otherwise(F.array().cast("array<string>"))).alias("quality_flags"),
+        F.when(pos % 12 == 7, F.struct(F.lit(1).alias("reporter_token"))).alias("more"),
+    )
+    found = releases.feature_problems(releases.features(rows), 150, 160)
+    return found.select(F.concat("rule", F.lit(": "), "problem").alias("problem"), "segment_id")
 
 
 @query(M.sql("attached", f"""SELECT {sr('count(*) FILTER (hot AND flag) / count(*) FILTER (hot)')} AS recall, {sr('count(*) FILTER (hot AND flag) / count(*) FILTER (flag)')} AS precision,

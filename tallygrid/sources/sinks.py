@@ -105,8 +105,9 @@ def brief(top: DataFrame, city: str, language: str = "en", per: float = 1000.0)
 
 
 def dossier(corridors: DataFrame, corridor_id: str) -> str:
-    """What may be said of one corridor."""
+    """What may be said of one corridor; without a known exposure there is no rate to tell."""
     r = corridors.where(F.col("corridor_id") == corridor_id).first()
     if r is None:
         raise KeyError(corridor_id)
-    return f"# {r.name}\n\n{r.n} reports over {len(r.segment_ids)} segments; {r.rate:.2f} per unit ({r.rate_ci_low:.2f} to {r.rate_ci_high:.2f}).\n"
+    rate = "exposure unknown, so no rate" if r.rate is None else f"{r.rate:.2f} per unit ({r.rate_ci_low:.2f} to {r.rate_ci_high:.2f})"
+    return f"# {r.name}\n\n{r.n} reports over {len(r.segment_ids)} segments; {rate}.\n"

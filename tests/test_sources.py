@@ -70,6 +70,8 @@ def test_small_reports(spark, tmp_path):
     assert sinks.brief(top.where("false"), "Town", "es").endswith("Ningún tramo destaca.\n")
     one = spark.createDataFrame([("c", "A St (B–C)", ["x", "y"], 12, 3.25, 2.0, 4.5)], "corridor_id string, name string, segment_ids array<string>, n long, rate double, rate_ci_low double, rate_ci_high double")
     assert sinks.dossier(one, "c") == "# A St (B–C)\n\n12 reports over 2 segments; 3.25 per unit (2.00 to 4.50).\n"
+    unknown = one.withColumns({c: F.lit(None).cast("double") for c in ("rate", "rate_ci_low", "rate_ci_high")})
+    assert sinks.dossier(unknown, "c").endswith("12 reports over 2 segments; exposure unknown, so no rate.\n")
     with pytest.raises(KeyError):
         sinks.dossier(one, "d")
     said = sinks.manifest({"b": b"2", "a": b"1"}, {"k": 3}, {"n": 4})
