@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from .arrays import get, put
 from .common import new_folder, remove_folder, saved, small_batches
 from .tokens import CACHE, PieceEncoder, byte_letters, maker
+from .tokens import _KNOWN as KNOWN
+from .tokens import _ranks as ranks
 
 #: The one character that the second vocabulary does not give back: it has it for a space.
 LOST = "▁"
@@ -33,7 +36,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than spaces and line breaks.
 _RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Different stretches that a task counts at once, those of a file, and those that a worker keeps.
-COUNTED, PER_FILE, KEPT = 400_000, 200_000, 300_000
+COUNTED, PER_FILE, KEPT = 300_000, 200_000, 200_000
 #: A token as one number: its side from this bit on, its id from that bit on, its length in bytes below.
 _SIDE, _ID = 48, 16
 
@@ -45,25 +48,41 @@ def stretches(text: str) -> list[str]:
     return text.split(" ")
 
 
+class Vocabularies(NamedTuple):
+    """Files of both: a byte-level one (A), the same as ranks with the pattern by which it cuts texts, and a sentencepiece model (B)."""
+
+    a: str
+    a_ranks: str
+    a_pattern: str
+    b: str
+
+
 class Encoders:
     """Ids and byte lengths of both vocabularies for texts that a space goes before."""
 
-    def __init__(self, paths: tuple[str, str]):
+    def __init__(self, files: Vocabularies):
         import sentencepiece
 
-        self._a = maker(PieceEncoder, paths[0])
-        self._b = sentencepiece.SentencePieceProcessor(model_file=paths[1])
+        self._a = PieceEncoder(files.a)
+        self._fast = ranks(files.a_ranks, files.a_pattern)
+        self._b = sentencepiece.SentencePieceProcessor(model_file=files.b)
         shown = {c: b for b, c in enumerate(byte_letters())}
         said = {i: t for t, i in self._a.library.get_vocab(with_added_tokens=False).items()}
         self.a_bytes = [bytes(shown[c] for c in said.get(i, "")) if all(c in shown for c in said.get(i, "")) else b"" for i in range(max(said) + 1)]
         piece = self._b.id_to_piece
         self.b_bytes = [bytes([int(piece(i)[3:5], 16)]) if self._b.is_byte(i) else piece(i).replace("▁", " ").encode() for i in range(self._b.get_piece_size())]
 
+    def _encode_a(self, text: str) -> list[int]:
+        """By the ranks where every character is one on which both engines cut alike, else by the library's own cut."""
+        if not KNOWN.search(text):
+            return self._fast.encode_ordinary(text)
+        if len(self._a) > CACHE // 8:
+            self._a.clear()
+        return np.frombuffer(b"".join([self._a[p] for p in self._a.cut(text)]), "<u4").tolist()
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of each text by both; raises if the tokens of one are not the bytes of a space and the text."""
-        if len(self._a) > CACHE // 4:
-            self._a.clear()
-        a_ids = [np.frombuffer(b"".join([self._a[p] for p in self._a.cut(" " + t)]), "<u4").tolist() for t in texts]
+        a_ids = [self._encode_a(" " + t) for t in texts]
         b_ids = self._b.encode(texts, num_threads=1)
         a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         for t, a, b in zip(texts, a_ids, b_ids):
@@ -78,12 +97,12 @@ def usable(text: str | None) -> bool:
     return bool(text) and LOST not in text
 
 
-def encoded(texts: DataFrame, paths: tuple[str, str]) -> DataFrame:
+def encoded(texts: DataFrame, files: Vocabularies) -> DataFrame:
     """Rows (key, n, piece), the pieces texts with which `usable` is true, to (key, n, tokens), first those of A, then of B."""
     small_batches(texts.sparkSession)
 
     def run(batches):
-        encoders = maker(Encoders, paths)
+        encoders = maker(Encoders, files)
         numbers = [(side << _SIDE) + (np.arange(len(data), dtype=np.int64) << _ID) + np.array([len(x) for x in data]) for side, data in enumerate((encoders.a_bytes, encoders.b_bytes))]
         for batch in batches:
             a, b = encoders.encode(batch.column(2).to_pylist())
@@ -130,41 +149,55 @@ def aligned(tokens: DataFrame) -> DataFrame:
 _FOLDED = "key long, n long, n_a long, n_b long, n_groups long, groups string, links array<long>, heads long"
 
 
+#: Ids as text.
+_SAID = [str(i) for i in range(1 << 16)]
+
+
 def _folded(batches):
     """Rows of `aligned`, those of a key one behind the other, to one row for each key: key, n, n_a, n_b, n_groups,
     groups (joined by semicolons), links (A id and B id in one number) and heads, how many texts have the key."""
     names = [c.split()[0] for c in _FOLDED.split(", ")]
-    kinds = [pa.int64()] * 5 + [pa.string(), pa.list_(pa.int64()), pa.int64()]
-    done: list[tuple] = []
-    key, count, n_a, n_b, said, links, heads, a_ids, b_ids = None, 0, 0, 0, [], [], 0, [], []
-
-    def sent():
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=names)
-
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("key", "n", "a", "b", "head")]
-        for k, n, a, b, head in zip(*columns):
-            if k != key:
-                if key is not None:
-                    done.append((key, count, n_a, n_b, len(links), ";".join(said), links, heads))
-                key, count, n_a, n_b, said, links, heads = k, n, 0, 0, [], [], 0
-            heads += head
-            if a is not None:
-                a_ids.append(str(a))
-            if b is not None:
-                b_ids.append(str(b))
-                if a is not None:
-                    said.append(f"{','.join(a_ids)}|{','.join(b_ids)}")
-                    links.append(a << 32 | b)
-                    n_a += len(a_ids)
-                    n_b += len(b_ids)
-                    a_ids, b_ids = [], []
-        if len(done) > 5000:
-            yield sent()
-            done = []
-    if key is not None:
-        done.append((key, count, n_a, n_b, len(links), ";".join(said), links, heads))
-        yield sent()
+
+    def blocks():
+        """Columns of whole keys, many rows at once; the last key of a block waits for the next one."""
+        held, n = [], 0
+        for batch in batches:
+            held.append([batch.column(c).fill_null(-1).to_numpy(zero_copy_only=False) for c in ("key", "n", "a", "b")] + [batch.column("head").to_numpy(zero_copy_only=False)])
+            n += batch.num_rows
+            if n >= 50_000:
+                columns = [np.concatenate(c) for c in zip(*held)]
+                cut = int(np.append(-1, np.flatnonzero(columns[0] != columns[0][-1]))[-1]) + 1
+                if cut:
+                    yield [c[:cut] for c in columns]
+                held, n = [[c[cut:] for c in columns]], n - cut
+        if n:
+            yield [np.concatenate(c) for c in zip(*held)]
+
+    for key, n, a, b, head in blocks():
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        said, links, a_ids, b_ids = [], [], [], []
+        ends = [*heads[1:].tolist(), len(key)]
+        groups, sizes, at = [], [], 0
+        a_all, b_all = a.tolist(), b.tolist()
+        for end in ends:
+            for x, y in zip(a_all[at:end], b_all[at:end]):
+                if y < 0:
+                    a_ids.append(_SAID[x])
+                elif x < 0:
+                    b_ids.append(_SAID[y])
+                else:
+                    if a_ids or b_ids:
+                        said.append(f"{','.join([*a_ids, _SAID[x]])}|{','.join([*b_ids, _SAID[y]])}")
+                        a_ids, b_ids = [], []
+                    else:
+                        said.append(f"{_SAID[x]}|{_SAID[y]}")
+                    links.append(x << 32 | y)
+            groups.append(";".join(said))
+            sizes.append(len(said))
+            said, at = [], end
+        sums = [np.add.reduceat(c.astype(np.int64), heads) for c in (a >= 0, b >= 0, head)]
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(links, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(key[heads]), pa.array(n[heads]), pa.array(sums[0]), pa.array(sums[1]), pa.array(sizes, pa.int64()), pa.array(groups, pa.string()), lists, pa.array(sums[2])], names=names)
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
@@ -263,25 +296,32 @@ class Pieces:
     def values(self, slots) -> np.ndarray:
         return self._values[slots]
 
-    def need(self, pieces: set[str]) -> None:
-        """Make sure that all of these have a slot. They are stretches of the corpus, whose keys are all different."""
-        new = list(pieces.difference(self.slot))
-        if len(self.slot) + len(new) > max(KEPT, len(pieces)):
+    def slots(self, cut: list[list[str]]) -> list[list[int]]:
+        """The slots of the stretches of each text. They are stretches of the corpus, whose keys are all different."""
+        out = [list(map(self.slot.get, pieces)) for pieces in cut]
+        missing = {p for pieces, mine in zip(cut, out) if None in mine for p, s in zip(pieces, mine) if s is None}
+        if not missing:
+            return out
+        if len(self.slot) + len(missing) > KEPT and self.slot:
             self.clear()
-            new = list(pieces)
-        h = np.array([_key(p, self._seed) for p in new], np.int64).view(np.uint64)
+            return self.slots(cut)
+        self._look_up(list(missing))
+        return [list(map(self.slot.__getitem__, pieces)) if None in mine else mine for pieces, mine in zip(cut, out)]
+
+    def _look_up(self, new: list[str]) -> None:
+        h = np.array([xxhash.xxh64_intdigest(p.encode(), self._seed) for p in new], np.uint64)
         order = np.argsort(h)
         cuts = np.searchsorted(_file_of(h[order], self._files), np.arange(self._files + 1))
         while len(self._values) < len(self.groups) + len(new):
             self._values = np.concatenate([self._values, np.zeros_like(self._values)])
         for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             part = order[cuts[k] : cuts[k + 1]]
-            main, data = get(self._folder, f"pieces-{k}"), get(self._folder, f"groups-{k}")["bytes"]
+            main, data = get(self._folder, f"pieces-{k}"), memoryview(get(self._folder, f"groups-{k}")["bytes"])
             at = np.searchsorted(main["key"], h[part])
             first = len(self.groups)
-            for j, (i, begin, end) in enumerate(zip(part.tolist(), np.where(at > 0, main["end"][at - 1], 0).tolist(), main["end"][at].tolist())):
-                self.slot[new[i]] = first + j
-                self.groups.append(data[begin:end].tobytes())
+            begins = np.where(at > 0, main["end"][at - 1], 0).tolist()
+            self.groups += [data[i:j].tobytes() for i, j in zip(begins, main["end"][at].tolist())]
+            self.slot.update(zip([new[i] for i in part.tolist()], range(first, len(self.groups))))
             self._values[first : len(self.groups)] = np.stack([main[c][at] for c in _STORED], axis=1)
 
 
@@ -290,10 +330,10 @@ def _written(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
-def align_corpus(docs: DataFrame, paths: tuple[str, str], folder: str | None = None) -> DataFrame:
+def align_corpus(docs: DataFrame, files: Vocabularies, folder: str | None = None) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every whole text.
 
-    `paths` are a byte-level vocabulary (A), which encodes a space and the text, and a sentencepiece model (B), which adds the
+    A encodes a space and the text, B adds the
     space. Special strings in texts are plain text. The digest is that of all groups, `a1,a2|b1;a3|b2,b3`. A link's count is
     how many links of the corpus hold its ids; best are those whose count is the highest of their B id, ties too.
     Null and empty texts, and those with U+2581, which B turns into a space, have no tokens: zeros and
@@ -308,7 +348,7 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str], folder: str | None = N
     spark.conf.set(setting, "false")
     try:
         for seed in range(100):
-            rows = aligned(encoded(_piece_counts(docs, seed), paths)).select("key", "n", "a", "b", "head")
+            rows = aligned(encoded(_piece_counts(docs, seed), files)).select("key", "n", "a", "b", "head")
             whole = _written(rows.mapInArrow(_folded, _FOLDED), f"{folder}/whole")
             n_pieces, most = whole.agg(F.count("*"), F.max("heads")).first()
             if (most or 1) == 1:
@@ -330,13 +370,10 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str], folder: str | None = N
         table = Pieces(folder, files, seed)
         for batch in batches:
             cut = [stretches(t) if usable(t) else [] for t in batch.column(1).to_pylist()]
-            table.need(set().union(*cut))
-            slot, groups = table.slot.__getitem__, table.groups.__getitem__
-            slots, digests = [], []
-            for pieces in cut:
-                mine = list(map(slot, pieces))
-                slots += mine
-                digests.append(hashlib.sha256(b";".join(map(groups, mine))).hexdigest() if mine else "")
+            each = table.slots(cut)
+            groups = table.groups.__getitem__
+            slots = [s for mine in each for s in mine]
+            digests = [hashlib.sha256(b";".join(map(groups, mine))).hexdigest() if mine else "" for mine in each]
             sums = np.zeros((len(cut), len(_STORED)), np.int64)
             sizes = np.array([len(p) for p in cut], np.int64)
             if slots:
@@ -349,13 +386,13 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str], folder: str | None = N
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, kinds)
 
 
-def align_texts(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
+def align_texts(docs: DataFrame, files: Vocabularies) -> DataFrame:
     """The groups themselves, text by text: key, doc_id, grp, end (in bytes, from the space before the text), a and b (ids in order).
 
     Whole texts go through the relations. Texts without tokens have no row; rows of one doc_id are told apart by `key`.
     """
     texts = docs.where("text <> ''").where(~F.contains("text", F.lit(LOST))).select(F.col("doc_id").cast("long"), F.col("text").alias("piece"))
     told = saved(texts.withColumn("key", F.monotonically_increasing_id()))
-    rows = aligned(encoded(told.select("key", F.lit(1).cast("long").alias("n"), "piece"), paths))
+    rows = aligned(encoded(told.select("key", F.lit(1).cast("long").alias("n"), "piece"), files))
     ids = lambda c: F.array_compact(F.transform(F.array_sort(F.collect_list(F.struct("end", c))), lambda x: x[c])).alias(c)
     return rows.groupBy("key", "grp").agg(F.max("end").alias("end"), ids("a"), ids("b")).join(told.drop("piece"), "key").select("key", "doc_id", "grp", "end", "a", "b")

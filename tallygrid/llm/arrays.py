@@ -56,7 +56,7 @@ def get(folder: str, name: str) -> dict[str, np.ndarray] | None:
     if info.type != pafs.FileType.File:
         return None
     if isinstance(system, pafs.LocalFileSystem):
-        data = np.memmap(path, np.uint8, "r")
+        data = np.memmap(path, np.uint8, "r").view(np.ndarray)  # a plain array is sliced faster
     else:
         with system.open_input_file(path) as f:
             data = np.frombuffer(f.read(), np.uint8)

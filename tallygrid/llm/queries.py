@@ -75,7 +75,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens by two vocabularies, aligned; edge cases as `alignment.align_corpus` has them."""
-    return alignment.align_corpus(table(spark, sf_dir, "documents"), (VOCABULARY, PIECES))
+    return alignment.align_corpus(table(spark, sf_dir, "documents"), alignment.Vocabularies(VOCABULARY, RANKS, public_tokenizers.PATTERN, PIECES))
 
 
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,10 @@ from tokenizers import Tokenizer
 from tallygrid.llm import alignment, queries
 from tallygrid.llm.tokens import byte_letters
 
-PATHS = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-A = Tokenizer.from_file(PATHS[0])
+PATHS = alignment.Vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
+A = Tokenizer.from_file(PATHS.a)
 A.encode_special_tokens = True
-B = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+B = sentencepiece.SentencePieceProcessor(model_file=PATHS.b)
 SHOWN = {c: b for b, c in enumerate(byte_letters())}
 
 
@@ -89,6 +89,15 @@ def test_stretches_are_encoded_as_in_the_text():
             assert [i for x in a for i in x] == A.encode(" " + t, add_special_tokens=False).ids and [i for x in b for i in x] == B.encode(t), t
 
 
+def test_both_engines_of_the_first_vocabulary_agree():
+    encoders = alignment.Encoders(PATHS)
+    chars = [c for c in map(chr, range(0x3000)) if not alignment.KNOWN.search(c)]
+    draw = random.Random(4)
+    said = [f"a{c} b1{c}{c}2 {c}'s _{c}{c}" for c in chars] + ["".join(draw.choices(chars, k=60)) for _ in range(500)]
+    for t in said:
+        assert encoders._encode_a(t) == A.encode(t, add_special_tokens=False).ids, t
+
+
 def test_another_seed_where_two_stretches_have_one_key(spark, monkeypatch):
     key = alignment._key
     monkeypatch.setattr(alignment, "_key", lambda p, seed: 5 if seed == 0 and p in ("one", "two") else key(p, seed))
