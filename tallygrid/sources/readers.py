@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..operators.ranks import numbered
 from ..operators.spatial import bounded_broadcast
+from . import ranges
 
 _POINT = "array<double>"
-_STREETS = (
-    "features array<struct<type: string, id: string, geometry: struct<type: string, coordinates: string>,"
-    " properties: struct<segment_id: string, id: string, name: string>>>"
-)
+_LINE = "struct<type: string, id: string, geometry: struct<type: string, coordinates: string>, properties: struct<segment_id: string, id: string, name: string>>"
+_STREETS = f"features array<{_LINE}>"
 _EXPOSURE = (
     "struct<segment_id: string, estimate: double, source: string, date: string, tier: string,"
     " sources: array<struct<estimate: double, source: string, date: string, tier: string>>>"
@@ -46,10 +46,10 @@ def _listed(spark: SparkSession, path: str, key: str, row: str) -> DataFrame:
 def streets_geojson(spark: SparkSession, path: str) -> DataFrame:
     """pos, segment_id, name, coords of the LineStrings of a FeatureCollection; [lon, lat] is turned round.
 
-    The id is properties.segment_id, else properties.id, else the feature's; a line of fewer
-    than two vertices fails.
+    The collection is read by ranges of bytes. pos is the place among all its features. The id is properties.segment_id, else
+    properties.id, else the feature's; a line of fewer than two vertices fails.
     """
-    f = _whole(spark, path).select(F.posexplode(F.from_json("value", f"struct<{_STREETS}>")["features"]).alias("pos", "f"))
+    f = numbered(ranges.read_features(spark, path), ["file", "offset"], "pos").select("pos", F.from_json("feature", _LINE).alias("f"))
     lines = f.where("f.geometry.type = 'LineString'")
     points = F.from_json("f.geometry.coordinates", f"array<{_POINT}>")
     coords = F.transform(points, lambda p: F.struct(p[1].alias("lat"), p[0].alias("lon")))
@@ -134,52 +134,37 @@ def gazetteer_json(spark: SparkSession, path: str) -> DataFrame:
 RIDES = uuid.uuid5(uuid.NAMESPACE_URL, "https://simra-project.github.io/")
 POINTS = uuid.uuid5(uuid.NAMESPACE_URL, "https://bikemaps.org/")
 
-Box = tuple[float, float, float, float]
-
-
-def _inside(frame: DataFrame, box: Box | None) -> DataFrame:
-    """Rows within (west, south, east, north), its edges included; all without a box."""
-    if box is None:
-        return frame
-    west, south, east, north = box
-    return frame.where(F.col("lon").between(west, east) & F.col("lat").between(south, north))
+Box = ranges.Box
 
 
 def ride_file(spark: SparkSession, path: str, box: Box | None = None) -> DataFrame:
     """Incidents of ride files: the part before the divider, its second line naming the columns.
 
-    Incidents without a kind or of kind -5 are left out, and those outside the box; the time is
-    in milliseconds. report_id follows from the file's name, place and time.
+    Incidents without a kind or of kind -5 are left out, and those outside the box; the time is in milliseconds. report_id follows
+    from the file's name, place and time. Files are read in groups, one task each, which also drops what lies outside the box.
     """
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", "\r", ""), r"={5,}")[0].alias("head"))
-    lines = files.select("file", F.split("head", "\n").alias("l"))
-    names = F.split(F.get("l", F.lit(1)), ",")
-    rows = lines.select("file", names.alias("names"), F.posexplode("l").alias("i", "line")).where("i > 1 and trim(line) <> ''")
-    cells = F.transform("names", lambda n, i: F.coalesce(F.get(F.split("line", ","), i), F.lit("")))
-    m = rows.select("file", F.map_from_arrays("names", cells).alias("m"))
-    rows = m.where("m['incident'] not in ('', '-5')").select(
-        "file", F.col("m")["ts"].alias("ts"), F.col("m")["key"].alias("key"), F.col("m")["lat"].try_cast("double").alias("lat"), F.col("m")["lon"].try_cast("double").alias("lon"),
-        X.iso_from_epoch_ms(F.col("m")["ts"].try_cast("long")).alias("occurred_at"), F.col("m")["incident"].alias("incident"), F.col("m")["scary"].alias("scary"),
+    rows = ranges.inside_box(ranges.read_rides(spark, path), box).where("incident not in ('', '-5')").select(
+        "file", F.col("record")["ts"].alias("ts"), F.col("record")["key"].alias("key"), "lat", "lon",
+        X.iso_from_epoch_ms(F.col("ts")).alias("occurred_at"), "incident", F.col("record")["scary"].alias("scary"),
     )
     name = F.format_string("simra:%s:%.6f,%.6f:%s", F.element_at(F.split("file", "/"), -1), F.col("lat"), F.col("lon"), F.col("ts"))
-    return _inside(rows.withColumn("report_id", X.uuid5(RIDES, name)), box).drop("ts")
+    return rows.withColumn("report_id", X.uuid5(RIDES, name)).drop("ts")
 
 
 def point_reports(spark: SparkSession, path: str, kind: str, offset: str = "-08:00", box: Box | None = None) -> DataFrame:
     """Point features with pk, date, incident_with, injury, hazard_type, as far as they lie in the box.
 
-    A time without offset gets one; report_id follows from kind and pk, without pk from place and time.
+    A time without offset gets one; report_id follows from kind and pk, without pk from place and time. source_term is the source's
+    own word, trimmed: hazard_type of hazards, else incident_with; null if it is empty. The collection is read by ranges of
+    bytes, which also drop what lies outside the box.
     """
     props = "struct<pk: string, date: string, incident_with: string, injury: string, hazard_type: string>"
-    row = f"struct<features: array<struct<geometry: struct<type: string, coordinates: {_POINT}>, properties: {props}>>>"
-    f = _whole(spark, path).select(F.explode(F.from_json("value", row)["features"]).alias("f")).where("f.geometry.type = 'Point'")
-    rows = f.select(
-        F.lit(kind).alias("kind"), "f.properties.pk", X.with_offset(F.col("f.properties.date"), offset).alias("occurred_at"),
-        F.col("f.geometry.coordinates")[1].alias("lat"), F.col("f.geometry.coordinates")[0].alias("lon"),
-        "f.properties.incident_with", "f.properties.injury", "f.properties.hazard_type",
-    )
+    found = ranges.inside_box(ranges.read_features(spark, path), box).where("lon is not null")
+    f = found.select("lat", "lon", F.from_json("feature", f"struct<properties: {props}>")["properties"].alias("p"))
+    rows = f.select(F.lit(kind).alias("kind"), "p.pk", X.with_offset(F.col("p.date"), offset).alias("occurred_at"), "lat", "lon", "p.incident_with", "p.injury", "p.hazard_type")
     name = F.coalesce(F.concat(F.lit(f"{kind}:"), F.col("pk")), F.format_string(kind + ":%.6f,%.6f:%s", F.col("lat"), F.col("lon"), F.col("occurred_at")))
-    return _inside(rows.withColumn("report_id", X.uuid5(POINTS, name)), box)
+    term = F.nullif(F.trim("hazard_type" if kind == "hazard" else "incident_with"), F.lit(""))
+    return rows.withColumns({"report_id": X.uuid5(POINTS, name), "source_term": term})
 
 
 def osm_ways(spark: SparkSession, path: str) -> DataFrame:
@@ -204,11 +189,10 @@ def counts_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def counts_geojson(spark: SparkSession, path: str, field: str = "count") -> DataFrame:
-    """lat, lon, count of Point features whose property `field` is a positive count."""
-    row = f"struct<features: array<struct<geometry: struct<type: string, coordinates: {_POINT}>, properties: map<string,string>>>>"
-    f = _whole(spark, path).select(F.explode(F.from_json("value", row)["features"]).alias("f")).where("f.geometry.type = 'Point' and size(f.geometry.coordinates) >= 2")
-    rows = f.select(F.col("f.geometry.coordinates")[1].alias("lat"), F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.properties")[field].try_cast("double").alias("count"))
-    return rows.where("count > 0")
+    """lat, lon, count of Point features whose property `field` is a positive count; read by ranges of bytes."""
+    found = ranges.read_features(spark, path).where("lon is not null")
+    said = F.from_json("feature", "struct<properties: map<string,string>>")["properties"][field]
+    return found.select("lat", "lon", said.try_cast("double").alias("count")).where("count > 0")
 
 
 def zip_table(spark: SparkSession, path: str, member: str, columns: list[str], encoding: str = "UTF-8") -> DataFrame:
@@ -332,29 +316,95 @@ def pinned_archives(spark: SparkSession, path: str, pins: DataFrame) -> DataFram
     return files.join(bounded_broadcast(pins), ["name", "size", "sha256"], "left_semi")
 
 
+_RING = "struct<LinearRing: struct<coordinates: string>>"
+_POLYGON = f"struct<outerBoundaryIs: {_RING}, innerBoundaryIs: array<{_RING}>>"
+_DATA = "array<struct<_VALUE: string, _name: string>>"
+_PLACEMARK = (
+    f"name string, ExtendedData struct<SchemaData: struct<SimpleData: {_DATA}>>, SimpleData {_DATA}, Polygon array<{_POLYGON}>,"
+    f" MultiGeometry struct<Polygon: array<{_POLYGON}>>, coordinates array<string>"
+)
+
+
 def boundaries_kml(spark: SparkSession, path: str) -> DataFrame:
-    """Placemarks of a KML file: name, data map and rings of their polygons, one row each."""
+    """Placemarks of KML files: name, data map, polygons (each its outer ring, then its inner ones; points [lon, lat] to 6 digits), rings (all of them).
+
+    Spark's XML source reads the file placemark by placemark. Data and rings may also stand in a placemark itself; such a ring is a polygon.
+    """
+    marks = spark.read.format("xml").options(rowTag="Placemark", valueTag="_VALUE", attributePrefix="_", ignoreNamespace=True).schema(_PLACEMARK).load(path)
+    half_up = lambda x: F.round(x.try_cast("double"), 6)
+    point = lambda p: F.transform(F.slice(F.split(p, ","), 1, 2), half_up)
+    listed = lambda text: F.transform(F.filter(F.split(F.trim(text), r"\s+"), lambda p: p != ""), point)
+    ring = lambda r: listed(r["LinearRing"]["coordinates"])
+    polygon = lambda p: F.concat(F.array(ring(p["outerBoundaryIs"])), F.coalesce(F.transform(p["innerBoundaryIs"], ring), F.array().cast("array<array<array<double>>>")))
+    none = F.array().cast(f"array<{_POLYGON}>")
+    bare = F.transform(F.coalesce("coordinates", F.array().cast("array<string>")), lambda c: F.array(listed(c)))
+    polygons = F.concat(F.transform(F.concat(F.coalesce("Polygon", none), F.coalesce("MultiGeometry.Polygon", none)), polygon), bare)
+    data = F.concat(F.coalesce("ExtendedData.SchemaData.SimpleData", F.array().cast(_DATA)), F.coalesce("SimpleData", F.array().cast(_DATA)))
+    pairs = F.transform(data, lambda d: F.struct(d["_name"].alias("k"), F.coalesce(d["_VALUE"], F.lit("")).alias("v")))
+    return marks.select("name", F.map_from_entries(pairs).alias("data"), polygons.alias("polygons")).withColumn("rings", F.flatten("polygons"))
+
+
+#: Fields that each county's placemark has.
+COUNTY_FIELDS = ("STATEFP", "COUNTYFP", "GEOID", "NAME", "NAMELSAD", "STUSPS", "STATE_NAME")
+#: Least area of a ring, in square degrees, and states (with the capital's district) that there are.
+LEAST_AREA, STATES = 1e-12, 51
+
+
+def _ring_problem(ring) -> object:
+    """What is wrong with a ring: not closed, a point outside the globe or without two numbers, or no area."""
+    flat = F.forall(ring, lambda p: F.coalesce((F.size(p) == 2) & p[0].between(-180, 180) & p[1].between(-90, 90), F.lit(False)))
+    steps = F.sequence(F.lit(0), F.size(ring) - 2)
+    twice = F.aggregate(F.transform(steps, lambda i: F.get(ring, i)[0] * F.get(ring, i + 1)[1] - F.get(ring, i + 1)[0] * F.get(ring, i)[1]), F.lit(0.0), lambda a, x: a + x)
+    return F.when(~flat, "a point is not valid").when((F.size(ring) < 4) | (F.element_at(ring, 1) != F.element_at(ring, -1)), "a ring is not closed").when(F.abs(twice) < LEAST_AREA, "a ring has no area")
+
+
+def county_boundaries(spark: SparkSession, path: str, states: tuple[str, ...] | None = None) -> DataFrame:
+    """geoid, state_fips, county_fips, name, kind (Polygon or MultiPolygon), polygons, points of the counties of KML files, or of some states only.
+
+    A placemark without a field, with a geoid that is not its state's and county's, without a polygon, or with a bad ring fails.
+    """
+    marks = boundaries_kml(spark, path)
+    f = lambda name: F.col("data")[name]
+    if states is not None:
+        marks = marks.where(f("STATEFP").isin(*states))
+    missing = F.array_except(F.array(*map(F.lit, COUNTY_FIELDS)), F.map_keys("data"))
+    rings = F.array_compact(F.transform("rings", _ring_problem))
+    problem = (
+        F.when(F.size(missing) > 0, F.concat(F.lit("missing fields: "), F.array_join(missing, ", ")))
+        .when(f("GEOID") != F.concat(f("STATEFP"), f("COUNTYFP")), "the geoid is not the state's and county's")
+        .when(F.size("polygons") == 0, "no polygon")
+        .otherwise(F.get(rings, F.lit(0)))
+    )
+    checked = marks.withColumn("problem", problem).withColumn("geoid", F.when(F.col("problem").isNull(), f("GEOID")).otherwise(F.raise_error(F.concat(F.coalesce("name", F.lit("placemark")), F.lit(": "), "problem"))))
+    return checked.select(
+        "geoid", f("STATEFP").alias("state_fips"), f("COUNTYFP").alias("county_fips"), f("NAME").alias("name"),
+        F.when(F.size("polygons") == 1, "Polygon").otherwise("MultiPolygon").alias("kind"), "polygons", F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r)).cast("long").alias("points"),
+    )
 
-    def parse(batches):
-        import pandas as pd
-        import xml.etree.ElementTree as E
 
-        for pdf in batches:
-            out = []
-            for content in pdf["content"]:
-                root = E.fromstring(content)
-                tag = lambda e: e.tag.rpartition("}")[2]
-                for mark in (e for e in root.iter() if tag(e) == "Placemark"):
-                    name = next((e.text for e in mark if tag(e) == "name"), None)
-                    data = {e.get("name"): e.text or "" for e in mark.iter() if tag(e) == "SimpleData"}
-                    rings = [
-                        [tuple(map(float, p.split(",")[:2])) for p in (e.text or "").split()] for e in mark.iter() if tag(e) == "coordinates"
-                    ]
-                    out.append((name, data, [[list(p) for p in r] for r in rings]))
-            yield pd.DataFrame(out, columns=["name", "data", "rings"])
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInPandas(parse, "name string, data map<string,string>, rings array<array<array<double>>>")
+def state_boundaries(spark: SparkSession, path: str) -> DataFrame:
+    """state_fips, abbreviation, name, polygons of the states; raises unless each of the 51 is there once. Territories are left out."""
+    f = lambda name: F.col("data")[name]
+    marks = boundaries_kml(spark, path).select(f("STATEFP").alias("state_fips"), f("STUSPS").alias("abbreviation"), f("NAME").alias("name"), "polygons")
+    rows = marks.where((F.col("state_fips") <= "56") & (F.size("polygons") > 0))
+    n, different = rows.agg(F.count("*"), F.count_distinct("state_fips")).first()
+    if (n, different) != (STATES, STATES):
+        raise ValueError(f"{n} boundaries of {different} states, not one each of {STATES}")
+    return rows
+
+
+def write_county_shards(counties: DataFrame, folder: str) -> DataFrame:
+    """Write counties below `folder`, a part for each state, in order of geoid; returns what was read back of each state: state_fips,
+    features, polygons, multipolygons, points. Raises if that is not what was to be written, or a geoid stands twice."""
+    told = lambda rows: rows.groupBy("state_fips").agg(
+        F.count("*").alias("features"), F.count_if(F.col("kind") == "Polygon").alias("polygons"), F.count_if(F.col("kind") == "MultiPolygon").alias("multipolygons"),
+        F.sum("points").alias("points"), F.count_distinct("geoid").alias("different"),
+    )
+    counties.repartition("state_fips").sortWithinPartitions("state_fips", "geoid").write.partitionBy("state_fips").parquet(folder)
+    back = told(counties.sparkSession.read.schema(counties.schema).parquet(folder))
+    if not told(counties).exceptAll(back).isEmpty() or not back.where("different <> features").isEmpty():
+        raise ValueError("the parts are not what was to be written")
+    return back.drop("different")
 
 
 def public_release(content: bytes, most: int = 16 << 20) -> dict:

@@ -378,7 +378,7 @@ def test_submissions_as_one_chain(spark):
     queue = spark.createDataFrame([(*row("q"), "pending"), (*row("r", lat=38.7), "rejected")], schema + ", status string")
     gone = governance.record_tombstones(queue.where("false").select(F.lit("").alias("hash")), spark.createDataFrame([("old",)], "report_id string"))
     batch = spark.createDataFrame([row("a", "call 555-123-4567"), row("b", lat=38.6), row("c", lat=38.7)], schema)
-    assert {r.report_id: (r.status, r.flags) for r in governance.submit(batch, queue, gone).collect()} == {"a": ("pending", ["phone", "possible_duplicate"]), "b": ("pending", []), "c": ("pending", [])}
+    assert {r.report_id: (r.status, r.flags) for r in governance.submit(batch, queue, gone).collect()} == {"a": ("pending", ["possible_phone_in_note", "possible_duplicate"]), "b": ("pending", []), "c": ("pending", [])}
     for wrong, message in ((row("old"), "deleted"), (row("x", lat=91.0), "invalid")):
         with pytest.raises(ValueError, match=message):
             governance.submit(spark.createDataFrame([row("a"), wrong], schema), queue, gone)
