@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions import numerics as N
-from .network import kept
-from .spatial import band_neighbors, bounded_broadcast
+from .shared import kept
 
 
 def getis_ord_star(values: DataFrame, neighbors: DataFrame) -> DataFrame:
@@ -26,12 +25,69 @@ def getis_ord_star(values: DataFrame, neighbors: DataFrame) -> DataFrame:
         .groupBy("a")
         .agg(F.count("*").alias("w"), F.sum("value").alias("wx"))
     )
+    return sums.crossJoin(F.broadcast(whole)).select(F.col("a").alias("id"), standard_score().alias("z"), F.col("w").alias("neighbors"))
+
+
+def standard_score() -> Column:
+    """Gi* from n, mean and sd of all values, and the number w and the sum wx of those in a neighbourhood."""
     n, w = F.col("n"), F.col("w")
     spread = F.col("sd") * F.sqrt(F.greatest(F.lit(0.0), (n * w - w * w) / (n - 1)))
-    z = (F.col("wx") - F.col("mean") * w) / spread
-    return sums.crossJoin(F.broadcast(whole)).select(
-        F.col("a").alias("id"), F.when((n < 3) | (F.col("sd") == 0) | (spread == 0), 0.0).otherwise(z).alias("z"), w.alias("neighbors")
-    )
+    return F.when((n < 3) | (F.col("sd") == 0) | (spread == 0), 0.0).otherwise((F.col("wx") - F.col("mean") * w) / spread)
+
+
+#: Cells to the band, and to a block of cells of one row; a row of the band lies in two blocks at the most.
+CELLS, BLOCK = 8, 32
+
+
+def band_sums(units: DataFrame, plane: geo.Plane, band: float) -> DataFrame:
+    """(a, w, wx): number and sum of the values of units (id, lat, lon, value) within the band of each, itself included.
+
+    No list of pairs: cells wholly inside the band count by running sums of their row, two look-ups of blocks a row at the most, and
+    only units in cells on the rim are tested one by one. So what is shuffled grows with the units, not with their pairs,
+    wherever the band is wide against the crowd.
+    """
+    size, inner, outer = band / CELLS, band - geo.margin(band), band + geo.margin(band)
+    placed = units.where("value is not null").select("id", "lat", "lon", "value", plane.x(F.col("lon")).alias("x"), plane.y(F.col("lat")).alias("y"))
+    placed = kept(placed.withColumns({"cx": geo.cell(F.col("x"), size), "cy": geo.cell(F.col("y"), size)}))
+    cells = placed.groupBy("cx", "cy").agg(F.count("*").alias("c"), F.sum("value").alias("s"))
+    upto = lambda what, kind: F.transform(F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda i: F.aggregate("t", F.lit(0).cast(kind), lambda a, t: a + F.when(t["i"] <= i, t[what]).otherwise(F.lit(0).cast(kind))))
+    held = cells.groupBy("cy", F.floor(F.col("cx") / BLOCK).alias("bx")).agg(F.collect_list(F.struct(F.pmod("cx", F.lit(BLOCK)).alias("i"), "c", "s")).alias("t"))
+    blocks = held.select("cy", "bx", upto("c", "long").alias("c"), upto("s", "double").alias("s"))
+
+    reach = int(outer / size) + 1
+    rows = placed.select("id", "lat", "lon", "x", "y", F.explode(F.sequence(F.col("cy") - reach, F.col("cy") + reach)).alias("cy"))
+    low, high = F.col("cy") * size, (F.col("cy") + 1) * size
+    far = F.greatest(F.abs(F.col("y") - low), F.abs(F.col("y") - high))
+    near = F.greatest(F.lit(0.0), low - F.col("y"), F.col("y") - high)
+    half = lambda radius, dy: F.sqrt(F.lit(radius * radius) - dy * dy)
+    inside, within = far < inner, near <= outer
+    rows = rows.where(within).withColumns({
+        "i0": F.when(inside, F.ceil((F.col("x") - half(inner, far)) / size)), "i1": F.when(inside, F.floor((F.col("x") + half(inner, far)) / size) - 1),
+        "o0": F.floor((F.col("x") - half(outer, near)) / size), "o1": F.floor((F.col("x") + half(outer, near)) / size),
+    })
+    full = F.coalesce(F.col("i0") <= F.col("i1"), F.lit(False))
+    block = lambda c: F.floor(F.col(c) / BLOCK)
+    asked = rows.where(full).select("id", "cy", "i0", "i1", F.explode(F.array_distinct(F.array(block("i0"), block("i1")))).alias("bx"))
+    found = asked.join(blocks, ["cy", "bx"])
+    last = F.when(F.col("bx") == block("i1"), F.pmod("i1", F.lit(BLOCK))).otherwise(F.lit(BLOCK - 1)).cast("int")
+    before = F.when(F.col("bx") == block("i0"), F.pmod("i0", F.lit(BLOCK)) - 1).otherwise(F.lit(-1)).cast("int")
+    part = lambda c: F.get(c, last) - F.when(before >= 0, F.get(c, before)).otherwise(0)
+    whole = found.select("id", part("c").alias("w"), part("s").alias("wx"))
+
+    some = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+    rim = F.when(full, F.concat(some(F.col("o0"), F.col("i0") - 1), some(F.col("i1") + 1, F.col("o1")))).otherwise(some(F.col("o0"), F.col("o1")))
+    edge = rows.select("id", "lat", "lon", "cy", F.explode(rim).alias("cx"))
+    other = placed.select("cx", "cy", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "value")
+    met = edge.join(other, ["cx", "cy"]).where(geo.haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= band)
+    sums = whole.unionByName(met.select("id", F.lit(1).cast("long").alias("w"), F.col("value").alias("wx")))
+    return sums.groupBy(F.col("id").alias("a")).agg(F.sum("w").alias("w"), F.sum("wx").alias("wx"))
+
+
+def getis_ord_band(units: DataFrame, plane: geo.Plane, band: float) -> DataFrame:
+    """(id, z, neighbors) as `getis_ord_star`, from units (id, lat, lon, value) whose neighbours are those within the band."""
+    own = units.where("value is not null")
+    whole = own.agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"))
+    return band_sums(own, plane, band).crossJoin(F.broadcast(whole)).select(F.col("a").alias("id"), standard_score().alias("z"), F.col("w").alias("neighbors"))
 
 
 def benjamini_hochberg(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -79,43 +135,11 @@ def unit_analyze(
     )
     rated = kept(rated)
     known = rated.where("rate is not null")
-    gi = getis_ord_star(known.select("id", F.col("rate").alias("value")), band_neighbors(known.select("id", "lat", "lon"), plane, band))
+    gi = getis_ord_band(known.select("id", "lat", "lon", F.col("rate").alias("value")), plane, band)
     flagged = hotspot_significance(gi, alpha).select("id", "z", "p", "significant")
     return rated.join(flagged, "id", "left").withColumn("significant", F.coalesce("significant", F.lit(False)))
 
 
-def null_calibration(values: DataFrame, neighbors: DataFrame, shuffles: int = 200, seed: int = 20260101, alpha: float = 0.05) -> DataFrame:
-    """(shuffle, false_positives): flagged units after the values were dealt out anew at random.
-
-    In each shuffle the units are sorted by a hash of seed, shuffle and id, and the unit at a
-    place gets the value of the unit at that place by id; so the permutations follow from the
-    seed, on any cluster. All shuffles are tested in one grouped plan.
-    """
-    from .ranks import numbered
-
-    known = kept(numbered(values.where("value is not null").select("id", "value"), ["id"], "place"))
-    each = known.select("id", F.explode(F.sequence(F.lit(0), F.lit(shuffles - 1))).alias("shuffle"))
-    mixed = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("shuffle").cast("string"), F.col("id").cast("string")))
-    place = (F.row_number().over(Window.partitionBy("shuffle").orderBy(mixed, "id")) - 1).alias("place")
-    table = kept(each.select("shuffle", "id", place).join(known.select("place", "value"), "place").select("shuffle", "id", "value"))
-    own = known.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    pairs = bounded_broadcast(neighbors.where("a <> b").select("a", "b").distinct().unionByName(own))
-    by = Window.partitionBy("shuffle")
-    stats = table.groupBy("shuffle").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"))
-    sums = table.join(pairs, table.id == pairs.b).groupBy("shuffle", "a").agg(F.count("*").alias("w"), F.sum("value").alias("wx"))
-    n, w = F.col("n"), F.col("w")
-    spread = F.col("sd") * F.sqrt(F.greatest(F.lit(0.0), (n * w - w * w) / (n - 1)))
-    z = F.when((n < 3) | (spread == 0), 0.0).otherwise((F.col("wx") - F.col("mean") * w) / spread)
-    tested = sums.join(bounded_broadcast(stats), "shuffle").withColumn("z", z).withColumn("p", N.two_sided_p(F.col("z")))
-    ranked = tested.withColumn("r", F.row_number().over(by.orderBy("p", "a")))
-    last = F.max(F.when(F.col("p") <= F.col("r") / n * alpha, F.col("r"))).over(by)
-    return (
-        ranked.withColumn("last", last)
-        .groupBy("shuffle")
-        .agg(F.count_if((F.col("r") <= F.col("last")) & (F.col("z") > 0)).alias("false_positives"))
-    )
-
-
 def planted_units(spark) -> DataFrame:
     """Units with a planted hot spot, a decoy with many events and as much exposure, and context."""
     hot = [(f"hot-{i}", 0.001 * i, 0.0, 40, 100.0) for i in range(3)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import numerics as N
 from ..functions import text as X
-from ..operators import city, dedupe, hotspot, network, ranks, rates, spatial, surfaces
+from ..operators import calibration, city, dedupe, hotspot, network, ranks, rates, spatial, surfaces
 from . import mapping as M
 from .registry import query, r, sr
 
@@ -462,21 +462,48 @@ def maup_rank_stability(spark, d):
     return network.maup_rank_stability(rated(spark, d), pairs, near).withColumn("topk_overlap", r("topk_overlap"))
 
 
+_SEED, _SHUFFLES = 20260101, 50
+_ROUND = "SELECT *, r{k} AS l{j}, xor(l{k}, ((r{k} * r{k} % 2147483647) * a{k} + r{k} * b{k} + c{k}) % 2147483647 >> 8 & mask) AS r{j} FROM ({inner})"
+
+
+def _feistel(inner: str) -> str:
+    """The rounds of the network around rows with x, bits, mask and the keys."""
+    inner = f"SELECT *, x >> bits AS l0, x & mask AS r0 FROM ({inner})"
+    for k in range(calibration.ROUNDS):
+        inner = _ROUND.format(k=k, j=k + 1, inner=inner)
+    return inner
+
+
+_KEYS = "keys AS (SELECT shuffle, " + ", ".join(
+    f"CAST('0x' || substr(md5('{_SEED}-' || shuffle || '-{k}'), {1 + 8 * i}, 8) AS BIGINT) >> 1 AS {n}{k}" for k in range(calibration.ROUNDS) for i, n in enumerate("abc")
+) + f" FROM range({_SHUFFLES}) t(shuffle))"
+
+
 @query(M.sql("segments reports exposure", """SELECT shuffle, count(*) FILTER (r <= last AND z > 0) AS false_positives FROM (SELECT *, max(CASE WHEN p <= r / m * 0.05e0 THEN r END) OVER (PARTITION BY shuffle) AS last FROM ranked) GROUP BY shuffle""",
-  ",\n".join([_UNITS, _BAND, f"""placed AS (SELECT id, value, row_number() OVER (ORDER BY id) - 1 AS place FROM vals),
-dealt AS (SELECT shuffle, id, row_number() OVER (PARTITION BY shuffle ORDER BY md5('20260101-' || shuffle || '-' || id), id) - 1 AS place FROM vals, range(50) t(shuffle)),
-mixed AS (SELECT d.shuffle, d.id, v.value FROM dealt d JOIN placed v USING (place)),
+  ",\n".join([_UNITS, _BAND, _KEYS, f"""placed AS (SELECT id, n, exposure, row_number() OVER (ORDER BY id) - 1 AS place FROM units WHERE exposure > 0),
+size AS (SELECT most, (SELECT min(b) FROM range(1, 31) t(b) WHERE power(4, b) >= most) AS bits FROM (SELECT count(*) AS most FROM placed)),
+walk(shuffle, i, x, turn) AS (SELECT shuffle, place, place, 0 FROM placed, keys UNION ALL
+  SELECT shuffle, i, (l{calibration.ROUNDS} << bits) | r{calibration.ROUNDS}, turn + 1 FROM ({_feistel("SELECT *, (1 << bits) - 1 AS mask FROM walk JOIN keys USING (shuffle), size WHERE turn = 0 OR x >= most")})),
+mixed AS (SELECT w.shuffle, p.id, v.n * (1000e0 / p.exposure) AS value FROM walk w JOIN placed p ON p.place = w.i JOIN placed v ON v.place = w.x, size WHERE w.turn > 0 AND w.x < most),
 whole AS (SELECT shuffle, count(*) AS m, avg(value) AS mean, stddev_pop(value) AS sd FROM mixed GROUP BY 1),
 gi AS (SELECT shuffle, a, m, CASE WHEN sd * sqrt(greatest(0e0, (m * w - w * w) / (m - 1))) = 0 THEN 0e0 ELSE (wx - mean * w) / (sd * sqrt(greatest(0e0, (m * w - w * w) / (m - 1)))) END AS z
   FROM (SELECT shuffle, n.a, count(*) AS w, sum(v.value) AS wx FROM near n JOIN mixed v ON v.id = n.b GROUP BY 1, 2) JOIN whole USING (shuffle)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY shuffle ORDER BY p, a) AS r FROM (SELECT *, {s_p('z')} AS p FROM gi))"""])))
+ranked AS (SELECT *, row_number() OVER (PARTITION BY shuffle ORDER BY p, a) AS r FROM (SELECT *, {s_p('z')} AS p FROM gi))"""])).replace("WITH ", "WITH RECURSIVE ", 1))
 def null_calibration(spark, d):
-    u = M.units(spark, d).where("exposure > 0")
-    near = spatial.band_neighbors(u.select("id", "lat", "lon"), M.PLANE, 300.0)
-    out = hotspot.null_calibration(u.select("id", N.rate(F.col("n"), F.col("exposure")).alias("value")), near, shuffles=50)
+    u = M.units(spark, d)
+    near = spatial.band_neighbors(u.where("exposure > 0").select("id", "lat", "lon"), M.PLANE, 300.0)
+    out = calibration.null_calibration(u.select("id", "n", "exposure"), near, _SHUFFLES, _SEED)
     return out.select(F.col("shuffle").cast("long").alias("shuffle"), "false_positives")
 
 
+@query(M.sql("reports", f"""SELECT a AS id, count(*) AS neighbors, {sr('sum(b.value)')} AS total FROM (SELECT r.report_id AS a, s.value FROM reports r JOIN (SELECT report_id, lat, lon, accuracy_m AS value FROM reports) s
+  ON abs(r.lat - s.lat) < 0.004e0 AND abs(r.lon - s.lon) < 0.005e0 AND {s_haversine('r.lat', 'r.lon', 's.lat', 's.lon')} <= 300e0) b GROUP BY a"""))
+def band_sums(spark, d):
+    """Number of reports within 300 m of each report, and the sum of their accuracies: by cell sums, not by pairs."""
+    rows = M.reports(spark, d).select(F.col("report_id").alias("id"), "lat", "lon", F.col("accuracy_m").alias("value"))
+    return hotspot.band_sums(rows, M.PLANE, 300.0).select(F.col("a").alias("id"), F.col("w").alias("neighbors"), r(F.col("wx")).alias("total"))
+
+
 @query("""WITH n AS (SELECT l_orderkey AS way, l_linenumber AS i, l_suppkey AS node FROM lineitem),
 shared AS (SELECT node FROM n GROUP BY node HAVING count(DISTINCT way) >= 2),
 m AS (SELECT *, node IN (SELECT node FROM shared) OR row_number() OVER (PARTITION BY way ORDER BY i) = 1 OR row_number() OVER (PARTITION BY way ORDER BY i DESC) = 1 AS cut FROM n)
