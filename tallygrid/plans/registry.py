@@ -46,4 +46,4 @@ def sr(expression: str, places: int = 4) -> str:
     return f"floor(({expression}) * 1e{places} + 0.5e0) / 1e{places}"
 
 
-from . import city_queries, crash_queries, governance_queries, lineage_queries, source_queries, stream_queries  # noqa: E402, F401
+from . import city_queries, crash_queries, governance_queries, lineage_queries, source_queries, sql_queries, stream_queries  # noqa: E402, F401
