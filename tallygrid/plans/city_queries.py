@@ -534,6 +534,19 @@ def kde_surface(spark, d):
     return _kde(spark, d).select("pos", r("intensity", 3))
 
 
+_ODD = lambda v: f"(CAST(greatest(1, ceil({v})) AS INT) + CASE WHEN CAST(greatest(1, ceil({v})) AS INT) % 2 = 0 THEN 1 ELSE 0 END)"
+
+
+@query(M.sql("reports", f"""SELECT CAST(r.r * 12 + c.c AS INT) AS pos, {sr("coalesce(sum(n * exp(-0.5e0 * dx * dx / 22500e0) * exp(-0.5e0 * dy * dy / 22500e0)) FILTER (abs(dx) <= 600e0 + fx * per / 2 AND abs(dy) <= 600e0 + fy * 110540e0 / 2), 0e0)", 3)} AS intensity
+FROM range(12) r(r), range(12) c(c), LATERAL (SELECT *, ((bx + 0.5e0) * fx - (c.c + 0.5e0) * dlon) * per AS dx, ((by_ + 0.5e0) * fy - (r.r + 0.5e0) * dlat) * 110540e0 AS dy FROM bins) GROUP BY r.r, c.c""",
+  f"""box AS (SELECT min(lat) AS lo_lat, (max(lat) - min(lat)) / 12 AS dlat, min(lon) AS lo_lon, (max(lon) - min(lon)) / 12 AS dlon, {M._K} AS per FROM reports),
+fine AS (SELECT *, {_ODD("dlat * 110540e0 / (150e0 / 8)")} AS sy, {_ODD("dlon * per / (150e0 / 8)")} AS sx FROM box), steps AS (SELECT *, dlat / sy AS fy, dlon / sx AS fx FROM fine),
+bins AS (SELECT least(12 * sy - 1, CAST(floor((lat - lo_lat) / fy) AS INT)) AS by_, least(12 * sx - 1, CAST(floor((lon - lo_lon) / fx) AS INT)) AS bx, count(*) AS n, any_value(fx) AS fx, any_value(fy) AS fy, any_value(dlat) AS dlat, any_value(dlon) AS dlon, any_value(per) AS per
+  FROM reports, steps GROUP BY 1, 2)"""))
+def kde_binned(spark, d):
+    return surfaces.kde_binned(M.reports(spark, d), M.PLANE, 150.0, 12).select("pos", r("intensity", 3))
+
+
 @query(M.sql("reports segments", f"""SELECT s.segment_id, {sr(s_haversine('s.lat', '((s.lon1 + s.lon2) / 2e0)', 'p.lat', 'p.lon'), 2)} AS d
 FROM segments s, (SELECT * FROM kde ORDER BY intensity DESC, pos LIMIT 1) p ORDER BY {s_haversine('s.lat', '((s.lon1 + s.lon2) / 2e0)', 'p.lat', 'p.lon')}, s.segment_id LIMIT 1""", _KDE))
 def kde_peak_segment(spark, d):
