@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from .shared import bounded_broadcast, kept  # noqa: F401  others take them from here
 
+#: Segments whose cells, each with all edges near it, are kept as a table; more are packed in pages.
+FEW_SEGMENTS = 20_000
+
+
 def _around(cx: Column, cy: Column, reach: int = 1) -> Column:
     steps = [(i, j) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)]
     return F.array(*(F.struct((cx + i).alias("cx"), (cy + j).alias("cy")) for i, j in steps))
@@ -70,8 +74,13 @@ def snap_nearest(points: DataFrame, segments: DataFrame, plane: geo.Plane, snap_
     """Points with segment_id of the nearest segment if within `snap_max`, and the distance either way.
 
     Looks within 4 snap_max first, where few segments are, and only for points that find none
-    there within max(1000, 4 snap_max) metres; of equal distances the least id.
+    there within max(1000, 4 snap_max) metres; of equal distances the least id. More segments than `FEW_SEGMENTS` are
+    looked up through a packed index instead, to the same result.
     """
+    if segments.limit(FEW_SEGMENTS + 1).count() > FEW_SEGMENTS:
+        from .packed import snap_packed
+
+        return snap_packed(points, segments, plane, snap_max)
     close, wide = 4 * snap_max, max(1000.0, 4 * snap_max)
     first = _look_up(_placed(points, plane), segments, plane, close, 100.0, F.array_min).withColumnRenamed("found", "__first")
     settled = F.coalesce(F.col("__first.d") <= close, F.lit(False))

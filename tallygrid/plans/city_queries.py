@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import numerics as N
 from ..functions import text as X
-from ..operators import calibration, city, dedupe, hotspot, network, ranks, rates, spatial, surfaces
+from ..operators import calibration, city, dedupe, hotspot, network, packed, ranks, rates, spatial, surfaces
 from . import mapping as M
 from .registry import query, r, sr
 
@@ -91,6 +91,12 @@ def snap_nearest(spark, d):
     return M.clean(spark, d).select("report_id", "segment_id", r("snapped_distance_m", 3))
 
 
+@query(M.sql("snapped", f"SELECT report_id, segment_id, {sr('snapped_distance_m', 3)} AS snapped_distance_m FROM snapped"))
+def snap_packed(spark, d):
+    """Snapping through pages of edges, here of four."""
+    return packed.snap_packed(M.reports(spark, d), M.segments(spark, d), M.PLANE, M.SNAP_M, 4).select("report_id", "segment_id", r("snapped_distance_m", 3))
+
+
 @query(M.sql("far", f"""SELECT report_id, CASE WHEN m > 25e0 + 1e-6 OR m IS NULL THEN 'unsnapped' WHEN c > 1 THEN 'ambiguous' ELSE 'snapped' END AS status,
   CASE WHEN m <= 25e0 + 1e-6 AND c > 1 THEN ids END AS competitors
 FROM reports LEFT JOIN (
