@@ -74,6 +74,22 @@ def test_against_brute_force_on_shuffled_lines(spark):
     assert run(spark, r) == brute(r)
 
 
+def test_equal_digests_of_other_bytes_stay(spark, monkeypatch):
+    """Every range has one digest: only those with the bytes of the first go."""
+    monkeypatch.setattr(L, "_digest", lambda data: b"\0" * 16)
+    other = LONG.replace("w5", "v5")
+    got = run(spark, [(1, LONG), (2, other), (3, LONG), (4, other + "\nx")])
+    assert [(d, t, n) for _, d, t, _, n in got] == [(1, LONG, 0), (2, other, 0), (3, "", 1), (4, other + "\nx", 0)]
+
+
+def test_digests_that_agree_in_half_are_told_apart(spark, monkeypatch):
+    whole = L._digest
+    monkeypatch.setattr(L, "_digest", lambda data: b"\1" * 8 + whole(data)[8:])
+    monkeypatch.setattr(L, "PER_FILE", 2)
+    r = rows()
+    assert run(spark, r) == brute(r)
+
+
 def test_passages_go_and_first_stays(spark):
     got = {d: t for n, d, t, _, _ in run(spark, [x for x in rows() if x[0] and 1 < x[0] < 100])}
     assert PASSAGE.split("\n")[5] in got[2] and LONG in got[2]
