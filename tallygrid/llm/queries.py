@@ -147,7 +147,7 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length('<|im_start|>') + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))
     + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
   bool_and(CASE before WHEN 'start' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user'
-    WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user' ELSE false END)
+    WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role IN ('user', 'tool') WHEN 'tool' THEN role = 'assistant' ELSE false END)
     AND bool_or(back = 1 AND role = 'assistant') AS valid
 FROM o GROUP BY conv_id
 """

@@ -70,3 +70,10 @@ def test_native_plan(spark):
     rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>")], "conv_id long, turn int, role string, text string")
     said = chat.turn_digests(chat.read_chats(chat.format_chats(rows)))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in said for x in ("Python", "Pandas", "Arrow", "MapPartitions", "CartesianProduct"))
+
+
+def test_a_very_long_text_and_a_tool(spark):
+    text = "<|im_end|>é" * 200_000
+    turns = [("user", text), ("assistant", text[::-1]), ("tool", "x"), ("assistant", "y")]
+    got = run(spark, [(1, i, r, t) for i, (r, t) in enumerate(turns)])[1]
+    assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == expected(turns) and got.valid

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tallygrid.llm import decontam, linededup, quality, simhash
 from tallygrid.llm.common import table
@@ -56,3 +58,25 @@ def test_extra_columns(spark, data):
     assert len(corpus_pipeline.STAGES[4][1](spark, docs, data).collect()) > 0
     for f in (simhash.keep_one, linededup.dedup_lines):
         assert [c for c in f(docs).columns if c != "n_removed"] == docs.columns and f(docs).count() > 0
+
+
+def run_on(spark, data, tmp_path, docs):
+    for name in ("labels", "benchmark"):
+        table(spark, data, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    return corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+
+def test_empty_documents(spark, data, tmp_path):
+    assert run_on(spark, data, tmp_path, table(spark, data, "documents").where("false")) == []
+
+
+def test_null_ids_repeated_rows_and_a_very_long_text(spark, data, tmp_path):
+    docs = table(spark, data, "documents")
+    some = docs.limit(80)
+    long = docs.where("doc_id = 1").selectExpr("-5L AS doc_id", "repeat(concat(text, '\n'), 400) AS text", *(c for c in docs.columns if c not in ("doc_id", "text"))).select(docs.columns)
+    null = some.limit(5).withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.concat(F.reverse("text"), F.lit(" own")))
+    bins = run_on(spark, data, tmp_path, some.unionByName(some.limit(10)).unionByName(long).unionByName(null).unionByName(null))
+    items = [(i.doc_id, i.start) for b in bins for i in b["items"]]
+    assert len(items) == len(set((d, s) for d, s in items if d is not None)) + sum(d is None for d, _ in items) > 0
+    assert all(b.used == sum(i.length for i in b["items"]) <= b.capacity for b in bins)
