@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,13 +22,31 @@ def floor_round(x: Column, places: int) -> Column:
     return F.floor(x * scale + 0.5) / scale
 
 
+#: Factor by which a double is split into halves of 26 bits, and from where on doubles are whole.
+_SPLITTER, _WHOLE = 134_217_729.0, 2.0**52
+
+
 def even_round(x: Column, places: int) -> Column:
-    """Round as Python's round() does, on the exact binary value. Vectorised in Python."""
-    @F.pandas_udf("double")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: round(v, places), na_action="ignore")
+    """Round as Python's round() does: the exact binary value to the nearest, ties to even; `places` from 0 to 15.
 
-    return run(x)
+    The product with the power of ten is taken without error, as a double and what it lacks, so that 2.675 is seen to lie under its tie.
+    """
+    scale = 10.0**places
+    high = _SPLITTER * scale - (_SPLITTER * scale - scale)
+    low = scale - high
+
+    def rounded(v: Column) -> Column:
+        upper = v * _SPLITTER - (v * _SPLITTER - v)
+        lower = v - upper
+        product = v * scale
+        missing = ((upper * high - product) + upper * low + lower * high) + lower * low
+        floor = F.floor(product).cast("double")
+        beyond = (product - floor - 0.5) + missing  # the sign is that of the exact value against the tie
+        even = F.when(floor % 2 == 0, floor).otherwise(floor + 1)
+        out = F.when(beyond > 0, floor + 1).when(beyond < 0, floor).otherwise(even) / scale
+        return F.when(F.isnan(v) | (F.abs(product) >= _WHOLE), v).when(out == 0, v * 0.0).otherwise(out)
+
+    return F.transform(F.array(x.cast("double")), rounded)[0]
 
 
 def byar_low(n: Column, z: float = Z95) -> Column:

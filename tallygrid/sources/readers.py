@@ -49,8 +49,23 @@ def streets_geojson(spark: SparkSession, path: str) -> DataFrame:
     The collection is read by ranges of bytes. pos is the place among all its features. The id is properties.segment_id, else
     properties.id, else the feature's; a line of fewer than two vertices fails.
     """
-    f = numbered(ranges.read_features(spark, path), ["file", "offset"], "pos").select("pos", F.from_json("feature", _LINE).alias("f"))
-    lines = f.where("f.geometry.type = 'LineString'")
+    return _streets(numbered(ranges.read_features(spark, path), ["file", "offset"], "pos"))
+
+
+def streets_bytes(spark: SparkSession, content: bytes, sha256: str | None = None) -> DataFrame:
+    """The same of a collection that was read already, such as one whose digest was checked; raises if the digest is another one."""
+    if not isinstance(content, bytes):
+        raise TypeError("a street network is given as bytes")
+    if sha256 is not None and hashlib.sha256(content).hexdigest() != sha256.lower():
+        raise ValueError("the street network is not the one that was pinned")
+    features = json.loads(content).get("features", [])
+    rows = spark.createDataFrame([(i, json.dumps(f)) for i, f in enumerate(features)], "pos long, feature string")
+    return _streets(rows)
+
+
+def _streets(features: DataFrame) -> DataFrame:
+    """Lines of features (pos, feature)."""
+    lines = features.select("pos", F.from_json("feature", _LINE).alias("f")).where("f.geometry.type = 'LineString'")
     points = F.from_json("f.geometry.coordinates", f"array<{_POINT}>")
     coords = F.transform(points, lambda p: F.struct(p[1].alias("lat"), p[0].alias("lon")))
     checked = F.when(F.size(coords) >= 2, coords).otherwise(F.raise_error(F.lit("a line of fewer than two vertices")))
@@ -195,12 +210,18 @@ def counts_geojson(spark: SparkSession, path: str, field: str = "count") -> Data
     return found.select("lat", "lon", said.try_cast("double").alias("count")).where("count > 0")
 
 
-def zip_table(spark: SparkSession, path: str, member: str, columns: list[str], encoding: str = "UTF-8") -> DataFrame:
+#: Encodings of a crash export.
+ENCODINGS = ("utf-8-sig", "cp1252")
+
+
+def zip_table(spark: SparkSession, path: str, member: str, columns: list[str], encoding: str = "utf-8-sig", row_cap: int | None = None) -> DataFrame:
     """The columns, as text, of the CSV that is a member of ZIP files; its name in any case, with or without folders before it.
 
-    A file is one task, and its rows are passed on in parts. Names are trimmed and in upper
-    case; a row with more values than names fails, and so do duplicate or missing names.
+    A file is one task, and its rows are passed on in parts. Names are trimmed and in upper case; a row with more values than
+    names fails, and so do duplicate or missing names, another encoding than the two, and a file of more rows than `row_cap`, if one is given.
     """
+    if encoding.lower() not in (*ENCODINGS, "utf-8"):
+        raise ValueError(f"an export is in {' or '.join(ENCODINGS)}")
     wanted = [c.upper() for c in columns]
 
     def run(batches):
@@ -219,7 +240,9 @@ def zip_table(spark: SparkSession, path: str, member: str, columns: list[str], e
                     if len(set(names)) != len(names) or not set(wanted) <= set(names):
                         raise ValueError("duplicate or missing columns")
                     at, held = [names.index(c) for c in wanted], []
-                    for row in rows:
+                    for i, row in enumerate(rows):
+                        if row_cap is not None and i >= row_cap:
+                            raise ValueError(f"{member} has more than {row_cap} rows")
                         if len(row) > len(names):
                             raise ValueError("a row has more values than there are columns")
                         held.append([row[i] if i < len(row) else None for i in at])

@@ -93,3 +93,42 @@ def test_streams_of_windows_and_accepted_reports(spark, tmp_path):
         intake.write_accepted(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     kept = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.report_id for r in kept.collect()) == [i for i in range(12) if i != 5]
+
+
+def test_streets_from_bytes(spark, tmp_path):
+    said = {"type": "FeatureCollection", "features": [{"geometry": {"type": "Point", "coordinates": [1, 2]}, "properties": {}}, {"id": "x", "geometry": {"type": "LineString", "coordinates": [[2, 1], [4, 3.5]]}, "properties": {"name": "N"}}]}
+    content = json.dumps(said).encode()
+    (tmp_path / "s.geojson").write_bytes(content)
+    rows = lambda f: [(r.pos, r.segment_id, r.name, [tuple(p) for p in r.coords]) for r in f.collect()]
+    got = rows(readers.streets_bytes(spark, content, hashlib.sha256(content).hexdigest().upper()))
+    assert got == rows(readers.streets_geojson(spark, str(tmp_path / "s.geojson"))) == [(1, "x", "N", [(1.0, 2.0), (3.5, 4.0)])]
+    with pytest.raises(ValueError, match="pinned"):
+        readers.streets_bytes(spark, content, "00")
+    with pytest.raises(TypeError):
+        readers.streets_bytes(spark, "text")
+
+
+def test_export_encodings_and_row_cap(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("accident.csv", "ST_CASE,NAME\n1,Ca\u00f1on\n2,b\n".encode("cp1252"))
+    read = lambda **how: [tuple(r) for r in readers.zip_table(spark, str(tmp_path / "a.zip"), "accident.csv", ["ST_CASE", "NAME"], **how).collect()]
+    assert read(encoding="cp1252") == read(encoding="cp1252", row_cap=2) == [("1", "Ca\u00f1on"), ("2", "b")]
+    for how, message in (({"encoding": "cp1252", "row_cap": 1}, "more than 1 rows"), ({}, "decode"), ({"encoding": "latin-1"}, "is in")):
+        with pytest.raises(Exception, match=message):
+            read(**how)
+
+
+def test_rounding_is_that_of_the_exact_value(spark):
+    import random
+
+    from tallygrid.functions.numerics import even_round
+
+    draw = random.Random(8)
+    values = [0.00005, 0.000005, 2.675, 1.005, 0.5, 1.5, 2.5, -2.5, -0.4, 0.0, -0.0, 1e300, -1e22, 2.0**52 + 1, float("inf"), 5e-324, 0.125, 0.375, 1234567.125, 4503599627370495.5, None]
+    values += [draw.uniform(-1, 1) * 10 ** draw.randint(-6, 9) for _ in range(3000)] + [(draw.randint(-10**6, 10**6) + 0.5) / 10 ** draw.randint(0, 5) for _ in range(3000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
+    for places in (0, 1, 2, 4, 6):
+        got = [r[0] for r in frame.select(even_round(F.col("v"), places)).collect()]
+        for v, g in zip(values, got):
+            want = None if v is None else v if v == float("inf") else round(v, places)
+            assert g == want and (g is None or str(g) == str(want)), (v, places)
