@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numerics as N
 from ..functions import text as X
+from .shared import bounded_broadcast
 
 #: Keys that no published row may have.
 PRIVATE_KEYS = ("reporter_token", "occurred_at", "note", "heading_deg", "lat", "lon", "accuracy_m", "mode", "severity", "true_count")
@@ -237,8 +238,6 @@ def scorecard(verdicts: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-#: Rules of one crosswalk at the most; they are written by hand.
-MOST_RULES = 10_000
 #: The axes on which each source's bias has to be described.
 BIAS_AXES = ("route_choice", "reporter_pool", "app_access", "language", "demographic_skew", "survivorship", "salience", "temporal_campaign")
 #: Characters that an answer about an axis has at least.
@@ -279,13 +278,12 @@ def apply_crosswalk(rows: DataFrame, said: dict, hazard: str, severity: str) ->
 def crosswalk_lookup(rows: DataFrame, rules: DataFrame, value: str, default: str, exact: bool = False) -> DataFrame:
     """Adds mapped: the target of the first rule (priority, pattern, target) that the value meets.
 
-    A value meets a rule of severity if it contains the pattern in any case of letters, one of
-    hazards (`exact`) if it equals the pattern. A missing or empty value gets the default.
+    A value meets a rule of severity if it contains the pattern in any case of letters, one of hazards (`exact`) if it equals the
+    pattern. A missing or empty value gets the default. Each different value is looked up once: exact rules by a join on the
+    value, others against the rules, which are broadcast if they are few; the answers are joined back.
     """
-    told = [(r.priority, r.pattern, r.target) for r in rules.select("priority", "pattern", "target").limit(MOST_RULES + 1).collect()]
-    if len(told) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    v, mapped = F.col(value), F.lit(default)
-    for _, pattern, target in sorted(told, reverse=True):
-        mapped = F.when((v == pattern) if exact else F.contains(F.lower(v), F.lit(pattern.lower())), target).otherwise(mapped)
-    return rows.withColumn("mapped", F.when(F.coalesce(v, F.lit("")) == "", default).otherwise(mapped))
+    told = rules.select(F.col("priority").alias("__priority"), F.col("pattern").alias("__pattern"), F.col("target").alias("__target"))
+    values = rows.select(F.col(value).alias("__value")).where("__value <> ''").distinct()
+    meets = F.col("__value") == F.col("__pattern") if exact else F.contains(F.lower("__value"), F.lower("__pattern"))
+    first = values.join(bounded_broadcast(told), meets).groupBy("__value").agg(F.min_by("__target", F.struct("__priority", "__pattern")).alias("__mapped"))
+    return rows.join(first, F.col(value) == F.col("__value"), "left").withColumn("mapped", F.coalesce("__mapped", F.lit(default))).drop("__value", "__mapped")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import pandas as pd
@@ -45,7 +46,7 @@ def segment_adjacency(segments: DataFrame, plane: geo.Plane, snap_m: float = 5.0
 FEW_HOPS = 6
 
 
-def network_neighbors(segments: DataFrame, adjacency: DataFrame, band: float = 300.0, most_rounds: int = 100) -> DataFrame:
+def network_neighbors(segments: DataFrame, adjacency: DataFrame, band: float = 300.0) -> DataFrame:
     """(a, b, d): segments reachable within the band by the least path, itself at 0 included.
 
     No path within the band has more edges than the band holds of the shortest edge. Few such
@@ -57,7 +58,7 @@ def network_neighbors(segments: DataFrame, adjacency: DataFrame, band: float = 3
     shortest = edges.agg(F.min("w")).first()[0]
     if shortest is None:
         return own
-    hops = int(band / shortest + 1e-9) if shortest > 0 else most_rounds
+    hops = int(band / shortest + 1e-9) if shortest > 0 else FEW_HOPS + 1
 
     def step(front: DataFrame) -> DataFrame:
         moved = front.join(edges, "b").select("a", F.col("to").alias("b"), (F.col("d") + F.col("w")).alias("d"))
@@ -72,20 +73,24 @@ def network_neighbors(segments: DataFrame, adjacency: DataFrame, band: float = 3
             reached = moved.where(F.col("d") <= band).groupBy("a", "b").agg(F.min("d").alias("d"))
         return reached
     reached = front = own
-    for _ in range(most_rounds):
+    while True:
         nearer = step(front).join(reached.select("a", "b", F.col("d").alias("old")), ["a", "b"], "left").where("old is null or d < old").drop("old")
         front = kept(nearer)
         if front.isEmpty():
             return reached
         reached = kept(reached.unionByName(front).groupBy("a", "b").agg(F.min("d").alias("d")))
-    raise RuntimeError(f"paths did not settle in {most_rounds} rounds")
 
 
-def component_roots(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(node, root): least node of each component, by passing on least labels and following them."""
+def component_roots(nodes: DataFrame, edges: DataFrame, most_rounds: int | None = None) -> DataFrame:
+    """(node, root): least node of each component, by passing on least labels and following them, until none changes.
+
+    Labels only fall, so the rounds end; following a label's own label makes them few. With `most_rounds` more of them raise.
+    """
     label = kept(nodes.select("node", F.col("node").alias("root")))
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    for _ in range(most_rounds):
+    for n in itertools.count():
+        if n == most_rounds:
+            raise RuntimeError(f"components did not settle in {most_rounds} rounds")
         heard = both.join(label.select(F.col("node").alias("v"), "root"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("heard"))
         near = label.join(heard, "node", "left").select("node", "root", F.least("root", "heard").alias("next"))
         jump = near.join(near.select(F.col("node").alias("next"), F.col("next").alias("further")), "next", "left")
@@ -94,7 +99,6 @@ def component_roots(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -
         label = new.select("node", F.col("next").alias("root"))
         if not changed:
             return label
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def chain(near: dict[str, list[str]]) -> list[str] | None:
