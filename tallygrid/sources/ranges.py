@@ -206,6 +206,7 @@ class Range(InputPartition):
     depth: int = 0
     low: int = 0
     high: int = 0
+    level: int = 2
 
 
 class BoxReader(DataSourceReader):
@@ -241,8 +242,8 @@ class FeatureReader(BoxReader):
         names, kinds = ["file", "offset", "lon", "lat", "feature"], [pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.string()]
         held, size = [], 0
         with opened(partition.uri) as file:
-            for place, data in elements(file, partition.size, partition.start, partition.end, partition.inside, partition.depth, partition.low, partition.high):
-                geometry = json.loads(data).get("geometry")
+            for place, data in elements(file, partition.size, partition.start, partition.end, partition.inside, partition.depth, partition.low, partition.high, partition.level):
+                geometry = json.loads(data).get("geometry") if b'"geometry"' in data else None
                 point = geometry.get("coordinates") if isinstance(geometry, dict) and geometry.get("type") == "Point" else None
                 lon, lat = (float(point[0]), float(point[1])) if point and len(point) >= 2 else (None, None)
                 if self.fits(lon, lat):
@@ -256,7 +257,7 @@ class FeatureReader(BoxReader):
 
 
 class FeatureSource(DataSource):
-    """Features of collections: file, offset, lon and lat (of points, else null), feature (its JSON). Option `ranges`: what `read_features` finds."""
+    """Objects of lists: file, offset, lon and lat (of point features, else null), feature (the object's JSON). Option `ranges`: what `feature_ranges` finds."""
 
     @classmethod
     def name(cls) -> str:
@@ -347,7 +348,10 @@ def inside_box(frame: DataFrame, box: Box | None) -> DataFrame:
 
 
 def feature_ranges(spark: SparkSession, path: str, most: int = RANGE, member: str = "features") -> list[Range]:
-    """The ranges of all collections that a path names, each with the state at its start; one row a range comes to the driver."""
+    """The ranges of the lists of all files that a path names, each with the state at its start; one row a range comes to the driver.
+
+    A file is an object with the list under `member`, or a list itself.
+    """
     parts = [(uri, size, a, b) for uri, size in files_of(spark, path) for a, b in cut(size, most)]
 
     def each(schema, rows, tell):
@@ -377,36 +381,41 @@ def feature_ranges(spark: SparkSession, path: str, most: int = RANGE, member: st
 
     def tops(file, uri, size, a, b, inside, depth):
         found = top_arrays(file, size, a, b, inside, depth)
+        if a == 0 and (head := file.read_at(min(size, BLOCK), 0)).lstrip().startswith(b"["):
+            found = [("list", "", len(head) - len(head.lstrip()))]
         yield pa.RecordBatch.from_pylist([{"uri": uri, "what": w, "name": n, "place": p} for w, n, p in found], schema=pa.schema([("uri", pa.string()), ("what", pa.string()), ("name", pa.string()), ("place", pa.int64())]))
 
     arrays: dict[str, tuple[int, int]] = {}
+    lists: dict[str, int] = {}
     begun: dict[str, int] = {}
     for r in sorted(each("uri string, what string, name string, place long", shallow, tops), key=lambda r: (r.uri, r.place)):
-        if r.what == "open" and r.name == member:
+        if r.what == "list":
+            lists[r.uri] = r.place
+        elif r.what == "open" and r.name == member:
             begun[r.uri] = r.place
         elif r.what == "close" and r.uri in begun:
             arrays[r.uri] = (begun.pop(r.uri), r.place)
     out = []
     for uri, size, a, b, inside, depth in states:
-        low, high = arrays.get(uri, (0, 0))
+        low, high, level = (lists[uri], size, 1) if uri in lists else (*arrays.get(uri, (0, 0)), 2)
         if low < b and a < high:
-            out.append(Range(uri, size, a, b, inside, depth, low, high))
+            out.append(Range(uri, size, a, b, inside, depth, low, high, level))
     return out
 
 
-def read_features(spark: SparkSession, path: str, most: int = RANGE) -> DataFrame:
-    """(file, offset, lon, lat, feature) of GeoJSON collections, one task for each range of bytes; features stand in order of offset."""
+def read_features(spark: SparkSession, path: str, most: int | None = None, member: str = "features") -> DataFrame:
+    """(file, offset, lon, lat, feature) of GeoJSON collections, or of other lists of objects, one task for each range of bytes; they stand in order of offset."""
     _ready(spark)
-    ranges = [[r.uri, r.size, r.start, r.end, r.inside, r.depth, r.low, r.high] for r in feature_ranges(spark, path, most)]
+    ranges = [[r.uri, r.size, r.start, r.end, r.inside, r.depth, r.low, r.high, r.level] for r in feature_ranges(spark, path, most or RANGE, member)]
     return spark.read.format(FeatureSource.name()).option("ranges", json.dumps(ranges)).load()
 
 
-def read_rides(spark: SparkSession, path: str, most: int = RANGE) -> DataFrame:
+def read_rides(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
     """Incidents of all ride files that a path names; a task reads files of about so many bytes."""
     _ready(spark)
     groups, size = [[]], 0
     for uri, n in files_of(spark, path):
-        if groups[-1] and size + n > most:
+        if groups[-1] and size + n > (most or RANGE):
             groups.append([])
             size = 0
         groups[-1].append(uri)

@@ -37,10 +37,8 @@ def _whole(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _listed(spark: SparkSession, path: str, key: str, row: str) -> DataFrame:
-    """Rows (pos, r) of a JSON file that is a list or an object with the list under `key`."""
-    raw = _whole(spark, path)
-    rows = F.coalesce(F.from_json(F.when(F.trim("value").startswith("["), F.col("value")), f"array<{row}>"), F.from_json("value", f"struct<{key}: array<{row}>>")[key])
-    return raw.select(F.posexplode(rows).alias("pos", "r"))
+    """Rows (file, offset, r) of JSON files that are a list or an object with the list under `key`; read by ranges of bytes."""
+    return ranges.read_features(spark, path, member=key).select("file", "offset", F.from_json("feature", row).alias("r"))
 
 
 def streets_geojson(spark: SparkSession, path: str) -> DataFrame:
@@ -76,7 +74,7 @@ def _streets(features: DataFrame) -> DataFrame:
 def exposure_json(spark: SparkSession, path: str) -> DataFrame:
     """segment_id, estimate, source, date, tier, sources; the last of equal ids counts, a missing tier is 'unknown'."""
     rows = _listed(spark, path, "segments", _EXPOSURE)
-    last = rows.groupBy("r.segment_id").agg(F.max_by("r", "pos").alias("r"))
+    last = rows.groupBy("r.segment_id").agg(F.max_by("r", F.struct("file", "offset")).alias("r"))
     return last.select("segment_id", "r.estimate", "r.source", "r.date", F.coalesce("r.tier", F.lit("unknown")).alias("tier"), "r.sources")
 
 

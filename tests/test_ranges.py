@@ -97,3 +97,15 @@ def test_rides(spark, tmp_path):
     box = ranges.inside_box(rides, (-121.25, 38.05, -121.05, 38.25))
     assert sorted((r.lon, r.lat) for r in box.collect()) == [(-121.2, 38.1), (-121.2, 38.2), (-121.1, 38.1), (-121.1, 38.2)]
     assert readers.ride_file(spark, str(tmp_path), (-121.25, 38.05, -121.05, 38.25)).count() == 4
+
+
+@pytest.mark.parametrize("wrap", [lambda rows: {"about": ["x", {"reports": []}], "reports": rows, "segments": rows}, lambda rows: rows])
+@pytest.mark.parametrize("size", [11, 100, 1 << 20])
+def test_lists_of_reports_by_ranges(spark, tmp_path, monkeypatch, wrap, size):
+    monkeypatch.setattr(ranges, "RANGE", size)
+    rows = [{"id": f"r{i}", "note": 'a "[{' * (i % 3), "segment_id": f"s{i % 4}", "estimate": i, "occurred_at": "2026-01-02T03:04:05Z", "location": {"lat": i, "lon": -i}} for i in range(15 if size > 11 else 4)]
+    (tmp_path / "r.json").write_text("  " + json.dumps(wrap(rows), indent=1))
+    got = readers.reports_json(spark, str(tmp_path / "r.json")).collect()
+    assert sorted((r.report_id, r.note, r.lat, r.lon) for r in got) == sorted((r["id"], r["note"], r["location"]["lat"], r["location"]["lon"]) for r in rows)
+    last = {r["segment_id"]: float(r["estimate"]) for r in rows}
+    assert {r.segment_id: r.estimate for r in readers.exposure_json(spark, str(tmp_path / "r.json")).collect()} == last
