@@ -15,7 +15,7 @@ AHEAD = [(t, x, y) for t in (0, 1) for x in (-1, 0, 1) for y in (-1, 0, 1) if (t
 
 
 def duplicate_pairs(reports: DataFrame, plane: geo.Plane, distance_m: float = 15.0, window_s: int = 600) -> DataFrame:
-    """(a, b): reports that are duplicates of each other, a before b in order of (epoch, id).
+    """(a, b, a_epoch, b_epoch, d): reports that are duplicates of each other, a before b in order of (epoch, id), d metres apart.
 
     Within the distance and the time window, and of one reporter if both have a token, else of
     one hazard and mode. Candidates share the token, or hazard and mode, and a cell of space
@@ -38,10 +38,11 @@ def duplicate_pairs(reports: DataFrame, plane: geo.Plane, distance_m: float = 15
     first, last = F.when(order("r") < order("s"), F.col("r")).otherwise(F.col("s")), F.when(order("r") < order("s"), F.col("s")).otherwise(F.col("r"))
     # In one cell both orders meet; two reports with a token count by it alone.
     met = near.where((~F.col("own") | (order("r") < order("s"))) & ((F.col("kind") == "token") | ~(F.col("r.told") & F.col("s.told"))))
-    pairs = met.select(first.alias("a"), last.alias("b"))
-    return pairs.where(
-        (F.col("b.epoch") - F.col("a.epoch") <= window_s) & (geo.haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= distance_m)
-    ).select(F.col("a.report_id").alias("a"), F.col("b.report_id").alias("b"), F.col("a.epoch").alias("a_epoch"), F.col("b.epoch").alias("b_epoch"))
+    pairs = met.select(first.alias("a"), last.alias("b")).where(F.col("b.epoch") - F.col("a.epoch") <= window_s)
+    far = geo.haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
+    return pairs.withColumn("d", far).where(F.col("d") <= distance_m).select(
+        F.col("a.report_id").alias("a"), F.col("b.report_id").alias("b"), F.col("a.epoch").alias("a_epoch"), F.col("b.epoch").alias("b_epoch"), "d"
+    )
 
 
 #: Duplicate pairs up to which one task settles them all.
@@ -57,7 +58,7 @@ def removed_reports(pairs: DataFrame, most_rounds: int = 12, few: int = FEW_PAIR
     settled, until few pairs are left. What `most_rounds` rounds leave are long chains: each
     set of connected rows is then settled in one pass in order of time.
     """
-    edges = kept(pairs.distinct())
+    edges = kept(pairs.select("a", "b", "a_epoch", "b_epoch").distinct())
     gone = edges.select(F.col("b").alias("report_id")).where("false")
     n = edges.limit(few + 1).count()
     if n == 0:

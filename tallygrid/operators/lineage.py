@@ -143,18 +143,31 @@ def artifact_accounting(outcomes: DataFrame, summaries: DataFrame, key: str) ->
 
 
 def sensitivity_grid(reports: DataFrame, segments: DataFrame, plane, snaps: tuple[float, ...], windows: tuple[int, ...], distances: tuple[float, ...]) -> DataFrame:
-    """(snap_max, window_s, distance_m, kept, snapped): the pipeline's counts under each setting."""
-    from .city import run_pipeline
-
-    out = None
-    for s in snaps:
-        for w in windows:
-            for d in distances:
-                row = run_pipeline(reports, segments, plane, snap_max=s, window_s=w, distance_m=d).agg(
-                    F.lit(s).alias("snap_max"), F.lit(w).alias("window_s"), F.lit(d).alias("distance_m"), F.count("*").alias("kept"), F.count("segment_id").alias("snapped")
-                )
-                out = row if out is None else out.unionByName(row)
-    return out
+    """(snap_max, window_s, distance_m, kept, snapped): the pipeline's counts under each setting.
+
+    Reports are snapped once, within the greatest distance, and candidate pairs of duplicates are found once, for the greatest window and
+    distance; each window and distance then settles its own part of the pairs. All settings are counted in one pass over the reports.
+    """
+    from .dedupe import duplicate_pairs, removed_reports
+    from .shared import kept
+    from .spatial import snap_nearest
+
+    rows = kept(snap_nearest(reports, segments, plane, max(snaps)).select("report_id", "snapped_distance_m"))
+    pairs = kept(duplicate_pairs(reports, plane, max(distances), max(windows)))
+    settings = [(w, d) for w in windows for d in distances]
+    gone = None
+    for w, d in settings:
+        mine = pairs.where((F.col("b_epoch") - F.col("a_epoch") <= w) & (F.col("d") <= d))
+        part = removed_reports(mine).select("report_id", F.lit(w).alias("window_s"), F.lit(d).alias("distance_m"))
+        gone = part if gone is None else gone.unionByName(part)
+    each = F.array(*(F.struct(F.lit(w).alias("window_s"), F.lit(d).alias("distance_m")) for w, d in settings))
+    asked = rows.select("report_id", "snapped_distance_m", F.explode(each).alias("x")).select("report_id", "snapped_distance_m", "x.*")
+    left = asked.join(gone, ["report_id", "window_s", "distance_m"], "left_anti")
+    counts = left.groupBy("window_s", "distance_m").agg(F.count("*").alias("kept"), *(F.count_if(F.col("snapped_distance_m") <= s).alias(f"within_{i}") for i, s in enumerate(snaps)))
+    every = reports.sparkSession.createDataFrame(settings, "window_s int, distance_m double")
+    counts = every.join(counts, ["window_s", "distance_m"], "left").na.fill(0, ["kept", *(f"within_{i}" for i in range(len(snaps)))])
+    told = F.array(*(F.struct(F.lit(s).alias("snap_max"), F.col(f"within_{i}").alias("snapped")) for i, s in enumerate(snaps)))
+    return counts.select("window_s", "distance_m", "kept", F.explode(told).alias("s")).select("s.snap_max", "window_s", "distance_m", "kept", "s.snapped")
 
 
 #: What a tier of evidence allows to be said.

@@ -86,10 +86,19 @@ def joined_artifact(spark, d):
     return L.artifact_accounting(o, s, "case_id")
 
 
-@query(M.sql("clean", " UNION ALL ".join(f"""SELECT {s} AS snap_max, 600 AS window_s, 15e0 AS distance_m, count(*) AS kept, count(*) FILTER (snapped_distance_m <= {s}) AS snapped
-FROM clean WHERE report_id NOT IN (SELECT report_id FROM gone)""" for s in ("10e0", "25e0")), _PAIRS + ",\n" + _GREEDY).replace("WITH ", "WITH RECURSIVE ", 1))
+def _setting(w: int, d: str) -> str:
+    """The duplicates under a window and a distance, under names of their own."""
+    pairs, name = _PAIRS.replace("<= 600", f"<= {w}").replace("<= 15e0", f"<= {d}"), f"{w}_{d}"
+    return (pairs + ",\n" + _GREEDY).replace("pairs", f"pairs_{name}").replace("nodes", f"nodes_{name}").replace("greedy", f"greedy_{name}").replace("gone AS (SELECT unnest(gone) AS", f"gone_{name} AS (SELECT unnest(gone) AS")
+
+
+_SETTINGS = [(w, d) for w in (300, 600) for d in ("8e0", "15e0")]
+
+
+@query(M.sql("clean", " UNION ALL ".join(f"""SELECT {s} AS snap_max, {w} AS window_s, {d} AS distance_m, count(*) AS kept, count(*) FILTER (snapped_distance_m <= {s}) AS snapped
+FROM clean WHERE report_id NOT IN (SELECT report_id FROM gone_{w}_{d})""" for s in ("10e0", "25e0") for w, d in _SETTINGS), ",\n".join(_setting(*x) for x in _SETTINGS)).replace("WITH ", "WITH RECURSIVE ", 1))
 def sensitivity_grid(spark, d):
-    return L.sensitivity_grid(M.reports(spark, d), M.segments(spark, d), M.PLANE, (10.0, 25.0), (600,), (15.0,))
+    return L.sensitivity_grid(M.reports(spark, d), M.segments(spark, d), M.PLANE, (10.0, 25.0), (300, 600), (8.0, 15.0))
 
 
 @query("SELECT n_nationkey, CASE n_nationkey % 4 " + " ".join(f"WHEN {t} THEN '{a}'" for t, (a, _) in L.CLAIMS.items()) + " END AS allowed FROM nation")
