@@ -11,20 +11,24 @@ one only; these connect the same fingerprints as all pairs would.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, fresh, saved, small_batches
+from .arrays import get, put
+from .common import components, fresh, new_folder, saved, small_batches
 
 #: Differing bits at which fingerprints still link.
 RADIUS = 2
 WORDS = 3
 SEED = 42
-#: Members of a shard that the tree aims at, and shards at the most: beyond, they grow, and the tree goes on inside them.
+#: Members of a shard that the tree aims at, shards of its first levels at the most, and members above which a shard is cut again.
 SHARD = 4096
 MOST_SHARDS = 8192
+CROWD = 32_768
 #: Fingerprints sampled for each shard to place its vantage points; so 65,536 come to the driver at the most.
 SAMPLE_PER_SHARD = 8
 #: Members of a node under which all are compared.
@@ -108,9 +112,9 @@ def build_tree(sample: np.ndarray, shards: int):
     return node(np.unique(sample), shards), count
 
 
-def route(tree, fps: np.ndarray):
-    """Yields (shard, positions, whether it is their home) for all shards that the fingerprints reach."""
-    todo = [(tree, np.arange(len(fps)), np.ones(len(fps), dtype=bool))]
+def route(tree, fps: np.ndarray, home: np.ndarray | None = None):
+    """Yields (shard, positions, whether it is their home) for all shards that the fingerprints reach; without `home` each has one."""
+    todo = [(tree, np.arange(len(fps)), np.ones(len(fps), dtype=bool) if home is None else home)]
     while todo:
         node, at, home = todo.pop()
         if not len(at):
@@ -164,10 +168,75 @@ def shard_clusters(fps: np.ndarray, home: np.ndarray) -> np.ndarray:
     return labels
 
 
-def fingerprint_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
+_DEALT = "shard long, fp long, node long, home boolean"
+#: Shards of one that is cut again, at the most, fingerprints that are sampled of it, and how often crowds are cut; what is crowded
+#: then lies within few bits and is compared as it is.
+_AGAIN, _SAMPLE, _ROUNDS = 256, 2048, 12
+
+
+def _routed(tree, batch, shard, home=None):
+    """Rows of a batch (fp, node) in all shards that they reach, under the numbers that `shard` gives."""
+    fps = batch.column("fp").to_numpy().view(np.uint64)
+    for number, at, mine in route(tree, fps, home):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), shard(number), dtype=np.int64)), pa.array(fps[at].view(np.int64)), batch.column("node").take(pa.array(at)), pa.array(mine)],
+            names=["shard", "fp", "node", "home"],
+        )
+
+
+def _cut_crowds(dealt: DataFrame, crowd: int) -> DataFrame:
+    """Shards of more home members than `crowd` cut by trees of their own, until none is left that a tree can cut, or some rounds are over.
+
+    Each tree is built by one task from a bounded sample of its shard and lies in the shared folder, where the tasks that deal
+    out the shard's rows find it; so neither the number of shards nor their trees are bounded by the driver.
+    """
+    spark = dealt.sparkSession
+    folder = new_folder(spark, "trees")
+    whole = None  # shards that no tree cuts
+    for _ in range(_ROUNDS):
+        crowds = dealt.where("home").groupBy("shard").agg(F.count("*").alias("members")).where(F.col("members") > crowd)
+        if whole is not None:
+            crowds = crowds.join(whole, "shard", "left_anti")
+        crowds = saved(crowds)
+        if crowds.isEmpty():
+            return dealt
+
+        def build(table: pa.Table) -> pa.Table:
+            shard = table.column("shard")[0].as_py()
+            fps = np.sort(table.column("fp").to_numpy().view(np.uint64))
+            wanted = -(-table.column("members")[0].as_py() // (crowd // 8 or 1))
+            tree, leaves = build_tree(fps, max(2, min(_AGAIN, wanted)))
+            put(folder, f"tree-{shard}", {"bytes": np.frombuffer(pickle.dumps(tree), np.uint8)})
+            return pa.table({"shard": pa.array([shard], pa.int64()), "leaves": pa.array([leaves], pa.int64())})
+
+        place = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("fp"), "fp"))
+        sample = dealt.where("home").join(crowds, "shard").withColumn("place", place).where(F.col("place") <= _SAMPLE).select("shard", "fp", "members")
+        built = saved(sample.groupBy("shard").applyInArrow(build, "shard long, leaves long"))
+        stay = built.where("leaves = 1").select("shard")
+        whole = stay if whole is None else saved(whole.unionByName(stay))
+        cut = built.where("leaves > 1").select("shard")
+        if cut.isEmpty():
+            return dealt
+
+        def deal(batches):
+            for batch in batches:
+                shards = batch.column("shard").to_numpy()
+                for k in np.unique(shards).tolist():
+                    tree = pickle.loads(get(folder, f"tree-{k}")["bytes"].tobytes())
+                    part = batch.filter(pa.array(shards == k))
+                    yield from _routed(tree, part, lambda number: k * _AGAIN + number + MOST_SHARDS, part.column("home").to_numpy(zero_copy_only=False))
+
+        rest = dealt.join(cut, "shard", "left_anti")
+        more = dealt.join(cut, "shard", "left_semi").repartition("shard").sortWithinPartitions("shard").mapInArrow(deal, _DEALT)
+        dealt = saved(rest.select("shard", "fp", "node", "home").unionByName(more))
+    return dealt
+
+
+def fingerprint_links(classes: DataFrame, shard: int = SHARD, crowd: int = CROWD) -> DataFrame:
     """Links (u, v) among the nodes of (fp, node), fp all different, that connect what is within the radius.
 
-    A sample of bounded size, the least by hash, comes to the driver to place vantage points.
+    A sample of bounded size, the least by hash, comes to the driver to place the vantage points of the first levels. Shards that
+    are crowded all the same are cut again, each by a tree from its own sample.
     """
     n = classes.count()
     shards = max(1, min(MOST_SHARDS, -(-n // shard)))
@@ -176,17 +245,7 @@ def fingerprint_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
 
     def deal(batches):
         for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
-            for number, at, home in route(tree, fps):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(at), number, dtype=np.int32)),
-                        pa.array(fps[at].view(np.int64)),
-                        batch.column(1).take(pa.array(at)),
-                        pa.array(home),
-                    ],
-                    names=["shard", "fp", "node", "home"],
-                )
+            yield from _routed(tree, batch, lambda number: number)
 
     def link(batch: pa.Table) -> pa.Table:
         order = np.argsort(batch.column("node").to_numpy(), kind="stable")
@@ -196,7 +255,7 @@ def fingerprint_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
         u = np.flatnonzero(labels != np.arange(len(labels)))
         return pa.table({"u": pa.array(nodes[u]), "v": pa.array(nodes[labels[u]])})
 
-    dealt = classes.select("fp", "node").mapInArrow(deal, "shard int, fp long, node long, home boolean")
+    dealt = _cut_crowds(saved(classes.select("fp", "node").mapInArrow(deal, _DEALT)), crowd)
     return dealt.groupBy("shard").applyInArrow(link, "u long, v long").distinct()
 
 

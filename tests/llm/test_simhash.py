@@ -56,6 +56,21 @@ def test_tree_finds_all_links(spark):
     assert [found.get(i, i) for i in range(len(fps))] == roots(fps)
 
 
+def test_crowded_shards_are_cut_again(spark, monkeypatch):
+    """Two shards at first; those of more than 40 members are cut by trees of their own, in several rounds, to the same links."""
+    monkeypatch.setattr(S, "MOST_SHARDS", 2)
+    monkeypatch.setattr(S, "_AGAIN", 3)
+    fps = balls(3, 250) + [1 << i for i in range(64)]  # and a ball that no tree can cut well
+    fps = list(dict.fromkeys(fps))
+    signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
+    classes = spark.createDataFrame([(f, i) for i, f in enumerate(signed)], "fp long, node long").repartition(3)
+    found = {r.node: r.root for r in components(S.fingerprint_links(classes, shard=60, crowd=40)).collect()}
+    assert [found.get(i, i) for i in range(len(fps))] == roots(fps)
+    dealt = spark.createDataFrame([(0, f, i, True) for i, f in enumerate(signed)], S._DEALT)
+    shards = S._cut_crowds(dealt, 40).where("home").groupBy("shard").count().collect()
+    assert sum(r["count"] for r in shards) == len(fps) and len(shards) > 9
+
+
 def test_documents(spark):
     draw = random.Random(5)
     base = [" ".join(draw.choice(["sun", "moon", "sea", "hill", "road"]) + str(draw.randint(0, 99)) for _ in range(200)) for _ in range(12)]
