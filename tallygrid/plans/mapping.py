@@ -1,6 +1,6 @@
 """The star-schema test tables as spatial and crash tables, in Spark and as SQL with equal values.
 
-A segment is a block of a grid of 60, on which users of events live. An event is a report
+A segment is a block of a grid of 60, on which customers live, and users too. An event is a report
 near its user's block; one in thirteen lies off the streets. Exposure is the number of orders
 of the customers who live on a block. Orders are crashes, their lines the persons.
 """
@@ -39,9 +39,9 @@ def _block(i) -> object:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pos, segment_id, name, coords of the blocks on which the users of events live; blocks of a row touch."""
+    """pos, segment_id, name, coords of the blocks on which customers live; blocks of a row touch."""
     i = F.col("id")
-    blocks = table(spark, sf_dir, "events").select((F.col("user_id") % 60).cast("long").alias("id")).where("id is not null").distinct()
+    blocks = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 60).cast("long").alias("id")).where("id is not null").distinct()
     row, col = F.floor(i / 10), i % 10
     point = lambda lon: F.struct((38.5 + row * 0.0025).alias("lat"), lon.alias("lon"))
     return blocks.select(
@@ -139,7 +139,7 @@ CTES = {
     "segments": """segments AS (
   SELECT i AS pos, 'seg-' || lpad(CAST(i AS VARCHAR), 2, '0') AS segment_id, 'Row ' || (i // 10) || ' St' AS street,
     38.5e0 + (i // 10) * 0.0025e0 AS lat, -121.7e0 + (i % 10) * 0.003e0 AS lon1, -121.7e0 + (i % 10 + 1) * 0.003e0 AS lon2
-  FROM (SELECT DISTINCT user_id % 60 AS i FROM events WHERE user_id IS NOT NULL))""",
+  FROM (SELECT DISTINCT c_custkey % 60 AS i FROM customer WHERE c_custkey IS NOT NULL))""",
     "reports": f"""reports AS (
   SELECT event_id AS report_id, 'seg-' || lpad(CAST(user_id % 60 AS VARCHAR), 2, '0') AS home,
     strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-08:00' AS occurred_at,
