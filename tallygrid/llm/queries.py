@@ -28,6 +28,7 @@ def lengths_for_packing(docs: DataFrame) -> DataFrame:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the planted one, formatted and read back. Null roles and texts are empty; ties, repeats and null ids as `chat.format_chats` has them."""
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.sql(
         f"SELECT -1L AS conv_id, turn, role, '{said}' AS text"
@@ -38,38 +39,47 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of the lengths of all documents. Null texts are one end token; repeated rows and null ids are packed like others (`packing.pack_documents`)."""
     return packing.pack_documents(lengths_for_packing(table(spark, sf_dir, "documents")))
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored. Null and empty texts have a score too; repeats and missing labels as `quality.score_quality` has them."""
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's sketch beside those of its edited text and of the next document; edge cases as `sketch.compare_edits` has them."""
     return sketch.compare_edits(table(spark, sf_dir, "documents"))
 
 
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written and read back. Null texts are an end id alone; order, repeats and null ids as `records.encode_to_records` has them."""
     return records.encode_to_records(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token count by prefixes. Null texts have none; rows are answered one by one (`tokens.count_tokens`)."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by rank-order profiles; null texts and those without a letter are `und` (`langid.predict_languages`)."""
     return langid.predict_languages(table(spark, sf_dir, "documents"))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component; texts without words, repeats and null ids as `simhash.near_duplicates` has them."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the best window; empty texts and items match nothing (`decontam.contaminated`)."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that come earlier; null texts stay null; repeats and null ids as `linededup.dedup_lines` has them."""
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
@@ -89,6 +99,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each handles nulls, repeats and empty tables as its operator does."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
