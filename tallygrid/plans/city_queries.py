@@ -376,7 +376,7 @@ def band_neighbors(spark, d):
 
 @query(M.sql("segments reports exposure", f"SELECT id, {sr('z')} AS z, neighbors FROM gi", ",\n".join([_UNITS, _BAND, _GI])))
 def getis_ord_star(spark, d):
-    u = M.units(spark, d).where("exposure > 0")
+    u = spatial.kept(M.units(spark, d).where("exposure > 0"))
     near = spatial.band_neighbors(u.select("id", "lat", "lon"), M.PLANE, 300.0)
     return hotspot.getis_ord_star(u.select("id", N.rate(F.col("n"), F.col("exposure")).alias("value")), near).select("id", r("z"), "neighbors")
 
