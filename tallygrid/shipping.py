@@ -26,3 +26,11 @@ def ship(spark: SparkSession) -> None:
             z.write(path, path.relative_to(ROOT.parent))
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
+
+
+def carry(*modules) -> None:
+    """Send what functions use of these modules along with them: Spark's own worker for state on the driver gets no archive."""
+    from pyspark import cloudpickle
+
+    for module in modules:
+        cloudpickle.register_pickle_by_value(module)

@@ -8,6 +8,7 @@ comes behind the watermark; Spark drops it then.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import geo
+from ..functions.geo import METRES_PER_LAT, haversine_plain, margin
+from ..shipping import carry
 
 _HELD = "report_id string, epoch long, lat double, lon double, token string, kind string, home boolean, edge double"
 _SEEN = "report_id string, epoch long, lat double, lon double, token string, kind string, stays boolean, sure boolean"
@@ -29,7 +32,7 @@ def settle(waiting: list, seen: list, distance_m: float, window_s: int) -> list[
     `seen` are those settled before, of the last window. A report goes if it repeats one that stays. It is not sure where it
     lies within reach of the outer edge of what the tile sees, or repeats one that isn't sure and none that surely stays.
     """
-    size = max(1.0, distance_m + geo.margin(distance_m)) / geo.METRES_PER_LAT
+    size = max(1.0, distance_m + margin(distance_m)) / METRES_PER_LAT
     cell = lambda r: (int(r.lat // size), int(r.epoch // max(1, window_s)))
     near: dict[tuple[int, int], list] = {}
     for r in seen:
@@ -44,7 +47,7 @@ def settle(waiting: list, seen: list, distance_m: float, window_s: int) -> list[
             for s in near.get((i, j), ())
             if r.epoch - s.epoch <= window_s
             and (r.token == s.token if r.token and s.token else r.kind is not None and r.kind == s.kind)
-            and geo.haversine_plain(r.lat, r.lon, s.lat, s.lon) <= distance_m
+            and haversine_plain(r.lat, r.lon, s.lat, s.lon) <= distance_m
         ]
         gone = any(s.stays and s.sure for s in repeats)
         sure = gone or (r.edge > distance_m and not any(not s.sure for s in repeats))
@@ -128,4 +131,5 @@ def dedupe_stream(
     inside = lambda v, c: F.least(F.col(v) - F.col(c) * tile_m + halo, (F.col(c) + 1) * tile_m + halo - F.col(v))
     tiles = spread.withColumns({"home": (own("x") == F.col("cx")) & (own("y") == F.col("cy")), "edge": F.least(inside("x", "cx"), inside("y", "cy"))})
     reports.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    carry(sys.modules[__name__], geo)
     return tiles.groupBy("cx", "cy").transformWithState(Tile(distance_m, window_s), SETTLED, "append", "eventTime")

@@ -8,6 +8,7 @@ that was told equals the batch purge of all that came, less what was deleted, at
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import text as X
+from ..shipping import carry
 from .dedupe import STATE_STORE
 
 TOLD = "hash string, seq long, epoch long, status string"
@@ -76,6 +78,7 @@ def report_lives(reports: DataFrame, deletions: DataFrame, days: int) -> DataFra
     went = deletions.where("ts is not null").select("ts", X.tombstone_key(F.col("report_id")).alias("hash"), F.lit(None).cast("long").alias("epoch"), F.lit(True).alias("deletion"), ms)
     rows = came.unionByName(went).withWatermark("ts", f"{days} days")
     reports.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    carry(sys.modules[__name__])
     return rows.groupBy("hash").transformWithState(Life(), TOLD, "append", "eventTime")
 
 
