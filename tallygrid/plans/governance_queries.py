@@ -199,7 +199,7 @@ def vintage_diff(spark, d):
 @query(M.sql("attached", """SELECT unnest(list_filter([
     CASE WHEN has AND NOT coalesce(e > 0, false) THEN 'HR1: a rate without a positive exposure' END, CASE WHEN has AND source IS NULL THEN 'HR1: a rate without the source of its exposure' END,
     CASE WHEN has AND date IS NULL THEN 'HR1: a rate without the date of its exposure' END, CASE WHEN has AND low IS NULL THEN 'HR2: a rate without an interval' END,
-    CASE WHEN has AND pos % 10 = 4 AND low IS NOT NULL THEN 'HR2: a rate outside its interval' END, CASE WHEN has AND n > 0 AND n < 160 AND pos % 3 <> 0 THEN 'HR2: a small sample that is not marked' END,
+    CASE WHEN has AND pos % 10 = 4 AND low IS NOT NULL THEN 'HR2: a rate outside its interval' END, CASE WHEN has AND n > 0 AND n < 160 AND NOT (pos % 3 = 0 AND pos % 8 <> 5) THEN 'HR2: a small sample that is not marked' END,
     CASE WHEN has AND (n > 0 OR rate > 0) AND n = 0 THEN 'HR2: reports without an n of 1 or more' END, CASE WHEN pos % 8 = 5 THEN 'HR3: quality_flags is missing or no array' END,
     CASE WHEN n > 0 AND n < 150 THEN 'HR4: fewer reports than may be told' END, CASE WHEN pos % 12 = 7 THEN 'HR4: a property tells of single reports' END], lambda x: x IS NOT NULL)) AS problem, segment_id
 FROM (SELECT *, rate IS NOT NULL OR pos % 9 = 0 AS has FROM (SELECT pos, segment_id, n, estimate AS e, CASE WHEN pos % 6 <> 1 THEN 'orders' END AS source, date, CASE WHEN estimate > 0 THEN 1e0 END AS low,
