@@ -42,14 +42,16 @@ CELLS, BLOCK = 8, 32
 def band_sums(units: DataFrame, plane: geo.Plane, band: float) -> DataFrame:
     """(a, w, wx): number and sum of the values of units (id, lat, lon, value) within the band of each, itself included.
 
-    No list of pairs: cells wholly inside the band count by running sums of their row, two look-ups of blocks a row at the most, and
-    only units in cells on the rim are tested one by one. So what is shuffled grows with the units, not with their pairs,
-    wherever the band is wide against the crowd.
+    No list of pairs: units of one place are counted once, with their number and sum. Cells wholly inside the band count by running
+    sums of their row, two look-ups of blocks a row at the most, and only places in cells on the rim are tested one by one.
+    So what is shuffled grows with the places, not with pairs of units, wherever the band is wide against the crowd.
     """
     size, inner, outer = band / CELLS, band - geo.margin(band), band + geo.margin(band)
-    placed = units.where("value is not null").select("id", "lat", "lon", "value", plane.x(F.col("lon")).alias("x"), plane.y(F.col("lat")).alias("y"))
-    placed = kept(placed.withColumns({"cx": geo.cell(F.col("x"), size), "cy": geo.cell(F.col("y"), size)}))
-    cells = placed.groupBy("cx", "cy").agg(F.count("*").alias("c"), F.sum("value").alias("s"))
+    valued = units.where("value is not null and lat is not null and lon is not null")
+    spots = valued.groupBy("lat", "lon").agg(F.count("*").alias("c"), F.sum("value").alias("s"))
+    spots = spots.select(F.struct("lat", "lon").alias("id"), "lat", "lon", "c", "s", plane.x(F.col("lon")).alias("x"), plane.y(F.col("lat")).alias("y"))
+    placed = kept(spots.withColumns({"cx": geo.cell(F.col("x"), size), "cy": geo.cell(F.col("y"), size)}))
+    cells = placed.groupBy("cx", "cy").agg(F.sum("c").alias("c"), F.sum("s").alias("s"))
     upto = lambda what, kind: F.transform(F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda i: F.aggregate("t", F.lit(0).cast(kind), lambda a, t: a + F.when(t["i"] <= i, t[what]).otherwise(F.lit(0).cast(kind))))
     held = cells.groupBy("cy", F.floor(F.col("cx") / BLOCK).alias("bx")).agg(F.collect_list(F.struct(F.pmod("cx", F.lit(BLOCK)).alias("i"), "c", "s")).alias("t"))
     blocks = held.select("cy", "bx", upto("c", "long").alias("c"), upto("s", "double").alias("s"))
@@ -77,10 +79,12 @@ def band_sums(units: DataFrame, plane: geo.Plane, band: float) -> DataFrame:
     some = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
     rim = F.when(full, F.concat(some(F.col("o0"), F.col("i0") - 1), some(F.col("i1") + 1, F.col("o1")))).otherwise(some(F.col("o0"), F.col("o1")))
     edge = rows.select("id", "lat", "lon", "cy", F.explode(rim).alias("cx"))
-    other = placed.select("cx", "cy", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "value")
+    other = placed.select("cx", "cy", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "c", "s")
     met = edge.join(other, ["cx", "cy"]).where(geo.haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= band)
-    sums = whole.unionByName(met.select("id", F.lit(1).cast("long").alias("w"), F.col("value").alias("wx")))
-    return sums.groupBy(F.col("id").alias("a")).agg(F.sum("w").alias("w"), F.sum("wx").alias("wx"))
+    sums = whole.unionByName(met.select("id", F.col("c").alias("w"), F.col("s").alias("wx")))
+    around = sums.groupBy("id").agg(F.sum("w").alias("w"), F.sum("wx").alias("wx")).select(F.col("id.lat").alias("lat"), F.col("id.lon").alias("lon"), "w", "wx")
+    told = valued.select(F.col("id").alias("a"), "lat", "lon").join(around, ["lat", "lon"])
+    return told.groupBy("a").agg(F.sum("w").alias("w"), F.sum("wx").alias("wx"))
 
 
 def getis_ord_band(units: DataFrame, plane: geo.Plane, band: float) -> DataFrame:

@@ -77,3 +77,11 @@ def test_a_crowd_in_one_place_makes_no_pairs(spark):
     rows = spark.range(3000).select("id", (38.5 + F.col("id") * 1e-9).alias("lat"), F.lit(-121.7).alias("lon"), F.lit(1.0).alias("value"))
     sums = hotspot.band_sums(rows, PLANE, 300.0)
     assert {(r.w, r.wx) for r in sums.collect()} == {(3000, 3000.0)}
+
+
+def test_units_of_one_place_are_not_paired(spark):
+    # 20,000 units at each of four places: one by one the rim would need more than a thousand million tests.
+    n = 80_000
+    units = spark.range(n).select("id", (38.5 + F.col("id") % 2 * 0.0026).alias("lat"), (-121.7 + F.floor(F.col("id") / 2) % 2 * 0.003).alias("lon"), F.lit(1.0).alias("value"))
+    got = hotspot.band_sums(units, PLANE, 300.0).groupBy("w", "wx").count().collect()
+    assert [tuple(r) for r in got] == [(3 * n // 4, 3.0 * n / 4, n)]
