@@ -121,3 +121,24 @@ def test_lives_equal_the_batch_purge(spark, tmp_path):
         assert {r.hash for r in rights.standing(told).collect()} == want and want
     # 15 days of four reports, and deletions of reports that never came.
     assert max(held[1:]) <= 75
+
+
+def test_a_report_is_held_against_those_it_may_repeat_only():
+    looks = []
+
+    class Report:
+        def __init__(self, i, token, kind):
+            self.report_id, self.lat, self.lon, self.token, self.kind, self.home, self.edge = f"r{i:05d}", 38.5, -121.7, token, kind, True, 100.0
+            self._epoch = 1000 + i // 10
+
+        @property
+        def epoch(self):
+            looks.append(1)
+            return self._epoch
+
+    n = 4000
+    # All in one spot and window: half of a reporter of their own each, half of a kind of its own each; every tenth repeats the one before.
+    rows = [Report(i, f"u{i - (i % 10 == 9)}" if i % 20 < 10 else None, f"k{i - (i % 10 == 9)}") for i in range(n)]
+    got = {r.report_id: r.stays for r in D.settle(rows, [], 15.0, 600)}
+    assert [i for i in range(n) if not got[f"r{i:05d}"]] == list(range(9, n, 10))
+    assert len(looks) < 20 * n
