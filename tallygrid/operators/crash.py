@@ -153,13 +153,29 @@ def cell_accounting(cells: DataFrame, count: str, k: int) -> DataFrame:
 
 
 def grouping_totals(rows: DataFrame, geography: str, county: str, mode: str, key: str) -> DataFrame:
-    """Cases by (state, county, mode), by (state, mode) and by mode, in one pass; level says which."""
-    return (
-        rows.select(geography, county, mode, key).distinct()
-        .rollup(mode, geography, county)
-        .agg(F.count_distinct(key).alias("cases"), F.grouping_id().alias("level"))
-        .where(F.col(mode).isNotNull())
+    """Cases by (state, county, mode), by (state, mode) and by mode; level says which.
+
+    Rows of a case and mode are put in order of place once. The first of them counts for the mode, the first of each state for
+    the state, the first of each county for the county; so no level holds or sends its own sets of cases.
+    """
+    one = Window.partitionBy(key, mode).orderBy(geography, county)
+    before = F.lag(F.struct(geography, county)).over(one)
+    first = F.row_number().over(one) == 1
+    known = rows.where(F.col(mode).isNotNull()).select(geography, county, mode, key)
+    marked = known.select(
+        geography, county, mode, key, first.alias("__mode"), (first | ~before[geography].eqNullSafe(F.col(geography))).alias("__state"),
+        (first | ~before.eqNullSafe(F.struct(geography, county))).alias("__county"),
+    )
+    # Rows without a case make their group known but count for nothing.
+    counts = marked.groupBy(mode, geography, county).agg(*(F.count_if(F.col(c) & F.col(key).isNotNull()).alias(c) for c in ("__mode", "__state", "__county")))
+    none = lambda c: F.lit(None).cast(rows.schema[c].dataType).alias(c)
+    told = F.array(
+        F.struct(F.col(geography), F.col(county), F.lit(0).cast("long").alias("level"), F.col("__county").alias("cases")),
+        F.struct(F.col(geography), none(county), F.lit(1).cast("long").alias("level"), F.col("__state").alias("cases")),
+        F.struct(none(geography), none(county), F.lit(3).cast("long").alias("level"), F.col("__mode").alias("cases")),
     )
+    levels = counts.select(mode, F.explode(told).alias("x")).select(mode, "x.*")
+    return levels.groupBy(mode, geography, county, "level").agg(F.sum("cases").alias("cases")).select(mode, geography, county, "cases", "level")
 
 
 def county_cells(rows: DataFrame, geography: str, county: str, mode: str, key: str) -> DataFrame:
