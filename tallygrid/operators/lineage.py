@@ -145,21 +145,16 @@ def artifact_accounting(outcomes: DataFrame, summaries: DataFrame, key: str) ->
 def sensitivity_grid(reports: DataFrame, segments: DataFrame, plane, snaps: tuple[float, ...], windows: tuple[int, ...], distances: tuple[float, ...]) -> DataFrame:
     """(snap_max, window_s, distance_m, kept, snapped): the pipeline's counts under each setting.
 
-    Reports are snapped once, within the greatest distance, and candidate pairs of duplicates are found once, for the greatest window and
-    distance; each window and distance then settles its own part of the pairs. All settings are counted in one pass over the reports.
+    Reports are snapped once, within the greatest distance, and patches of reports that can repeat each other are found
+    once, for the greatest distance; each is settled under every window and distance. All settings are counted in one pass over the reports.
     """
-    from .dedupe import duplicate_pairs, removed_reports
+    from .dedupe import removed_by_setting
     from .shared import kept
     from .spatial import snap_nearest
 
     rows = kept(snap_nearest(reports, segments, plane, max(snaps)).select("report_id", "snapped_distance_m"))
-    pairs = kept(duplicate_pairs(reports, plane, max(distances), max(windows)))
     settings = [(w, d) for w in windows for d in distances]
-    gone = None
-    for w, d in settings:
-        mine = pairs.where((F.col("b_epoch") - F.col("a_epoch") <= w) & (F.col("d") <= d))
-        part = removed_reports(mine).select("report_id", F.lit(w).alias("window_s"), F.lit(d).alias("distance_m"))
-        gone = part if gone is None else gone.unionByName(part)
+    gone = removed_by_setting(reports, plane, settings)
     each = F.array(*(F.struct(F.lit(w).alias("window_s"), F.lit(d).alias("distance_m")) for w, d in settings))
     asked = rows.select("report_id", "snapped_distance_m", F.explode(each).alias("x")).select("report_id", "snapped_distance_m", "x.*")
     left = asked.join(gone, ["report_id", "window_s", "distance_m"], "left_anti")
