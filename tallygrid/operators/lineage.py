@@ -152,7 +152,8 @@ def sensitivity_grid(reports: DataFrame, segments: DataFrame, plane, snaps: tupl
     from .shared import kept
     from .spatial import snap_nearest
 
-    rows = kept(snap_nearest(reports, segments, plane, max(snaps)).select("report_id", "snapped_distance_m"))
+    # A file of few row groups would be snapped by as few tasks.
+    rows = kept(snap_nearest(reports.repartition("report_id"), segments, plane, max(snaps)).select("report_id", "snapped_distance_m"))
     settings = [(w, d) for w in windows for d in distances]
     gone = removed_by_setting(reports, plane, settings)
     each = F.array(*(F.struct(F.lit(w).alias("window_s"), F.lit(d).alias("distance_m")) for w, d in settings))
