@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, five-word similarity 0.8, stays."""
+    """One document of each group of near copies stays: SimHash finds them, an exact comparison (five-word similarity 0.8) holds them, looser ones are found too."""
     return neardup.keep_distinct(docs)
 
 

@@ -1,9 +1,11 @@
 """Near copies of the pipeline: texts whose sets of five-word shingles have a Jaccard similarity of 0.8.
 
-Found without loss by prefixes: with all shingles in one order, two sets of that similarity share
-one of their first n - ceil(0.8 n) + 1. Rows meet by the shingles of their prefixes, those that are
-frequent in a sample last in the order. A fingerprint of parities gives a bound by which most
-pairs fall; the others are compared exactly. In a large group all are compared with one of
+SimHash comes first: fingerprints, tree and radius are those of `simhash`, and what it links is
+compared exactly and joined. Copies that lie farther apart than its radius are found without loss by
+prefixes: with all shingles in one order, two sets of that similarity share one of their first
+n - ceil(0.8 n) + 1. Rows meet by the shingles of their prefixes, those that are
+frequent in a sample last in the order. What SimHash has joined is not compared again; of the rest a fingerprint of parities
+gives a bound by which most pairs fall; the others are compared exactly. In a large group all are compared with one of
 them first. Then those that are not linked with the most of their group are compared with all that share a shingle:
 at once if they are few, else by shingle, each with the nearest first.
 """
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, components, fresh, saved, shingle_hashes, small_batches, word_hashes
+from .simhash import fingerprint_links, simhash
 
 WORDS = 5
 #: Similarity at which documents are near copies, as a fraction.
@@ -97,27 +100,44 @@ def _key(doc_id, mark, names=("nul", "id", "mark")):
 
 
 def _prints(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, node, n, prefix, bits) of each row; node is a 64-bit hash of its shingles."""
+    """(doc_id, mark, node, fp, n, prefix, bits) of each row; node is a 64-bit hash of its shingles, fp its SimHash fingerprint."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(_frequent(docs))
 
     def run(batches):
         frequent, rank = order.value
         for batch in batches:
-            nodes, sizes, heads, bits = [], [], [], []
+            nodes, prints, sizes, heads, bits = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 found = shingles(text or "")
+                prints.append(simhash(text or ""))
                 nodes.append(int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "big", signed=True))
                 sizes.append(len(found))
                 bits.append(parities(found))
                 heads.append(prefix(found, frequent, rank).view(np.int64) if len(found) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                names=["doc_id", "mark", "node", "n", "prefix", "bits"],
+                [
+                    batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(np.array(prints, dtype=np.uint64).view(np.int64)),
+                    pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
+                ],
+                names=["doc_id", "mark", "node", "fp", "n", "prefix", "bits"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text")
-    return rows.mapInArrow(run, "doc_id long, mark long, node long, n int, prefix array<long>, bits binary")
+    return rows.mapInArrow(run, "doc_id long, mark long, node long, fp long, n int, prefix array<long>, bits binary")
+
+
+def simhash_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (u, v) of nodes that SimHash links: those of one fingerprint with the least of them, and what the tree finds within its radius."""
+    points = saved(classes.groupBy("fp").agg(F.min("node").alias("node")))
+    same = classes.select("fp", F.col("node").alias("v")).join(points.withColumnRenamed("node", "u"), "fp").where("u <> v").select("u", "v")
+    return saved(same.unionByName(fingerprint_links(points).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))))
+
+
+def _not_joined(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose ends are of different groups."""
+    named = pairs.distinct().join(groups.toDF("u", "ru"), "u", "left").join(groups.toDF("v", "rv"), "v", "left")
+    return named.where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
 
 
 # ---------------------------------------------------------------- groups of a shingle
@@ -350,12 +370,14 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     best = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "mark")
     classes = saved(
-        _prints(docs).groupBy("node").agg(F.min(best).alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        _prints(docs).groupBy("node").agg(F.min(best).alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.min("fp").alias("fp"))
     )
+    links = _links(simhash_pairs(classes), docs, classes)
+    groups = components(links)
     rows = classes.select(F.posexplode("prefix").alias("at", "sh"), "node", "n").select("sh", "node", "n", "at")
     by_shingle = lambda f, *more: f.repartition("sh").sortWithinPartitions("sh", *more)
     found = saved(by_shingle(rows).mapInArrow(_first_pairs, "sh long, u long, v long, n int, at int"))
-    links = _links(found.where("v is not null").select("u", "v"), docs, classes)
+    links = links.unionByName(_links(_not_joined(found.where("v is not null").select("u", "v"), groups), docs, classes))
     groups = components(links)
     large = found.where("v is null").select("sh", F.col("u").alias("node"), "n", "at")
     for nearest in (True, True, False) if not large.isEmpty() else ():

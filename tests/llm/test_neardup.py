@@ -163,3 +163,23 @@ def test_parities_never_say_too_much():
 
 def test_empty(spark):
     assert N.keep_distinct(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_simhash_links_copies_before_any_prefix(spark, monkeypatch):
+    """Without pairs by prefixes copies within two bits go all the same, by SimHash; texts that only SimHash links stay."""
+    from tallygrid.llm import simhash
+
+    monkeypatch.setattr(N, "_first_pairs", lambda batches: iter(()))
+    draw = random.Random(21)
+    base = [[f"w{draw.randrange(9000)}" for _ in range(400)] for _ in range(6)]
+    texts = [" ".join(b) for b in base] + [" ".join([*b, "end"]) for b in base]
+    bits = lambda a, b: bin(simhash.simhash(a) ^ simhash.simhash(b)).count("1")
+    close = [bits(texts[i], texts[i + 6]) <= simhash.RADIUS for i in range(6)]
+    assert sum(close) >= 2
+    # Of one fingerprint by a run that both repeat, and else unlike.
+    turn, other = ("a b c " * 300 + " ".join(f"{x}{i}" for i in range(10)) for x in "xy")
+    assert bits(turn, other) <= simhash.RADIUS and 5 * len(grams(turn) & grams(other)) < 4 * len(grams(turn) | grams(other))
+    rows = [(i, t, i) for i, t in enumerate([*texts, turn, other])]
+    assert check(spark, rows) == [0, 1, 2, 3, 4, 5, *(i + 6 for i in range(6) if not close[i]), 12, 13]
+    classes = spark.createDataFrame([(1, 5), (2, 5), (3, 7), (4, -1)], "node long, fp long")
+    assert sorted((r.u, r.v) for r in N.simhash_pairs(classes).collect()) == [(1, 2), (1, 3)]
