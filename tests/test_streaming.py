@@ -142,3 +142,33 @@ def test_a_report_is_held_against_those_it_may_repeat_only():
     got = {r.report_id: r.stays for r in D.settle(rows, [], 15.0, 600)}
     assert [i for i in range(n) if not got[f"r{i:05d}"]] == list(range(9, n, 10))
     assert len(looks) < 20 * n
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_lives_of_a_group_are_told_one_by_one(spark, tmp_path, groups):
+    """Few entries of the state hold many reports; what is told of each is as if it were alone, over several batches."""
+    day, start = 86_400, 1_767_225_600
+    parts = [
+        ([("a", 0), ("b", 1), ("b", 1), ("c", 2)], [("c", 2), ("early", 3)]),
+        ([("early", 2), ("d", 9)], [("b", 5)]),
+        ([("a", 0), ("e", 18)], []),
+        ([("f", 40)], []),
+        ([("g", 41)], []),
+    ]
+    held = []
+    for i, (came, gone) in enumerate(parts):
+        told = lambda rows: spark.createDataFrame(rows, "report_id string, d long").select("report_id", F.timestamp_seconds(start + F.col("d") * day).alias("ts"), (start + F.col("d") * day).alias("epoch"))
+        told(came).coalesce(1).write.parquet(str(tmp_path / "in" / f"p{i}"))
+        told(gone).drop("epoch").coalesce(1).write.parquet(str(tmp_path / "gone" / f"p{i}"))
+        read = lambda schema, name: spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / name))
+        lives = rights.report_lives(read("report_id string, ts timestamp, epoch long", "in"), read(DELETION, "gone"), 15, groups)
+        query = lives.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    names = {r.hash: r.report_id for r in spark.createDataFrame([(x,) for x in "abcdefg"], "report_id string").select("report_id", X.tombstone_key(F.col("report_id")).alias("hash")).collect()}
+    rows = sorted((names.get(r.hash, r.hash), r.seq, (r.epoch - start) // day, r.status) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert rows == [
+        ("a", 1, 0, "kept"), ("a", 2, 0, "expired"), ("b", 1, 1, "kept"), ("b", 2, 1, "deleted"), ("c", 1, 2, "kept"), ("c", 2, 2, "deleted"),
+        ("d", 1, 9, "kept"), ("d", 2, 9, "expired"), ("e", 1, 18, "kept"), ("e", 2, 18, "expired"), ("f", 1, 40, "kept"), ("g", 1, 41, "kept"),
+    ]
+    assert max(held) <= groups
