@@ -16,7 +16,7 @@ shared AS (SELECT node FROM n GROUP BY node HAVING count(DISTINCT way) >= 2)"""
 cuts AS (SELECT way, i, lead(i) OVER (PARTITION BY way ORDER BY i) AS j, row_number() OVER (PARTITION BY way ORDER BY i) - 1 AS piece FROM m WHERE inner_cut OR first = 1 OR last = 1)
 SELECT c.way AS way_id, CAST(piece AS INT) AS piece, count(*) AS nodes, min(node) AS least FROM cuts c JOIN n ON n.way = c.way AND n.i BETWEEN c.i AND c.j WHERE j IS NOT NULL GROUP BY ALL""")
 def sql_split_ways(spark, d):
-    """Orders as ways and suppliers as nodes, cut by the table function from SQL."""
+    """Orders as ways and suppliers as nodes, cut by the table function from SQL, a batch of many ways at a time."""
     tables.register(spark)
     M.table(spark, d, "lineitem").createOrReplaceTempView("tallygrid_lines")
     return spark.sql("""
@@ -25,7 +25,7 @@ def sql_split_ways(spark, d):
             SELECT l_suppkey FROM tallygrid_lines GROUP BY l_suppkey HAVING count(DISTINCT l_orderkey) >= 2) AS shared
           FROM tallygrid_lines)
         SELECT way_id, piece, CAST(size(coords) AS BIGINT) AS nodes, CAST(array_min(transform(coords, p -> p.lat)) AS BIGINT) AS least
-        FROM split_ways(TABLE(nodes))""")
+        FROM split_way_batches(TABLE(nodes) PARTITION BY pmod(xxhash64(way_id), 4096) ORDER BY (way_id, i))""")
 
 
 @query(f"""WITH v AS (SELECT l_orderkey AS way, l_linenumber AS i, (l_suppkey % 50) * 1e-4 * {M._K} AS x, (l_partkey % 40) * 1e-4 * 110540e0 AS y FROM lineitem),

@@ -84,3 +84,31 @@ def test_the_rate_is_kept(spark, tmp_path):
     began = time.time()
     assert lookups.look_up(rows, str(tmp_path / "a"), service(str(tmp_path / "log")), per_second=5.0).count() == 6
     assert time.time() - began > 1.0
+
+
+def test_ways_are_cut_alike_in_any_batches():
+    """A group of ways in one batch, in batches of a few rows, and row by row, against each node in turn."""
+    import random
+
+    import pyarrow as pa
+
+    draw, rows = random.Random(4), []
+    for way in [None, *range(60)]:
+        some = draw.choice([0.0, 0.2, 0.7])
+        rows += [(way, float(len(rows) + i), None if draw.random() < 0.1 else -float(i), draw.choice([True, True, None]) if draw.random() < some else False) for i in range(draw.choice([1, 1, 2, 3, 9, 40]))]
+    want, held = [], {}
+    for k, (way, lat, lon, shared) in enumerate(rows):
+        piece, points = held.get(way, (0, []))
+        points = [*points, (lat, lon)]
+        last = k + 1 == len(rows) or rows[k + 1][0] != way
+        if len(points) > 1 and (shared or last):
+            want.append((way, piece, points))
+            piece, points = piece + 1, [(lat, lon)]
+        held[way] = piece, points
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.float64(), pa.float64(), pa.bool_()))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["way_id", "lat", "lon", "shared"])
+    for step in (1, 2, 7, 64, len(rows)):
+        cutter = tables.SplitWayBatches()
+        out = [t for i in range(0, len(rows), step) for t in cutter.eval(batch.slice(i, step))] + list(cutter.terminate())
+        got = [(r["way_id"], r["piece"], [(p["lat"], p["lon"]) for p in r["coords"]]) for t in out for r in t.to_pylist()]
+        assert got == want and len(want) > 100
