@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, components, fresh, saved, shingle_hashes, small_batches, word_hashes
+from .common import BROADCAST_ROWS, bounded, components, fresh, saved, shingle_hashes, small_batches, word_hashes
 from .simhash import fingerprint_links, simhash
 
 WORDS = 5
@@ -338,9 +338,12 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
             yield batch.select(["u", "v"]).filter(pa.array(fits, pa.bool_()))
 
     pairs = saved(marked.mapInArrow(near, "u long, v long"))
-    nodes = saved(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(classes, "node").select("node", *_key(F.col("best.doc_id"), F.col("best.mark"))))
-    if nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        nodes = F.broadcast(nodes)
+    ends = saved(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    key = ["node", *_key(F.col("best.doc_id"), F.col("best.mark"))]
+    if ends.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        nodes = F.broadcast(classes.join(F.broadcast(ends), "node").select(*key))
+    else:
+        nodes = classes.join(ends, "node").select(*key)
 
     def run(batches):
         for batch in batches:
@@ -373,12 +376,12 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
         _prints(docs).groupBy("node").agg(F.min(best).alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.min("fp").alias("fp"))
     )
     links = _links(simhash_pairs(classes), docs, classes)
-    groups = components(links)
+    groups = bounded(components(links))
     rows = classes.select(F.posexplode("prefix").alias("at", "sh"), "node", "n").select("sh", "node", "n", "at")
     by_shingle = lambda f, *more: f.repartition("sh").sortWithinPartitions("sh", *more)
     found = saved(by_shingle(rows).mapInArrow(_first_pairs, "sh long, u long, v long, n int, at int"))
     links = links.unionByName(_links(_not_joined(found.where("v is not null").select("u", "v"), groups), docs, classes))
-    groups = components(links)
+    groups = bounded(components(links))
     large = found.where("v is null").select("sh", F.col("u").alias("node"), "n", "at")
     for nearest in (True, True, False) if not large.isEmpty() else ():
         named = saved(large.join(groups, "node", "left").select("sh", "node", "n", "at", F.coalesce("root", "node").alias("label")))
@@ -388,14 +391,14 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
         if few.isEmpty():
             break
         size = F.size("prefix") * 8 + F.octet_length("bits")
-        held = few.limit(FEW_LEFT + 1).join(classes, "node").agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-        if held[0] <= FEW_LEFT and held[1] <= FEW_BYTES:
+        held = classes.join(F.broadcast(few), "node") if few.limit(FEW_LEFT + 1).count() <= FEW_LEFT else None
+        if held is not None and held.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= FEW_BYTES:
             # Of two members that are not linked one at least is not of the label that most have. Few such: all are compared with these.
-            told = [tuple(r) for r in few.join(classes, "node").select("node", "n", "prefix", "bits", "label").collect()]
+            told = [tuple(r) for r in held.select("node", "n", "prefix", "bits", "label").collect()]
             labelled = classes.join(groups, "node", "left").select("node", "n", "prefix", "bits", F.coalesce("root", "node").alias("label"))
             more = saved(labelled.mapInArrow(_pairs_with(told), "u long, v long").distinct())
             links = links.unionByName(_links(more, docs, classes))
-            groups = components(links)
+            groups = bounded(components(links))
             break
         # Members tell the nearest one of another label first, twice: that joins most labels, so that few pairs are left to be
         # told in full. The parities go along, so that only pairs which they do not rule out are told.
@@ -404,7 +407,7 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
         if more.isEmpty():
             break
         links = links.unionByName(_links(more, docs, classes))
-        groups = components(links)
+        groups = bounded(components(links))
     keys = fresh(docs, "nul", "id", "mark")
     firsts = (
         classes.select("node", "best")
